@@ -39,3 +39,237 @@ SELECT page, (behavior_ms // 86400000 + 1) * 86400000 AS window_time,
 FROM b GROUP BY 1, 2""")
 def uv_exact_day(spark, sf_dir):
     return uv_per_window(_b(spark, sf_dir), DAY, "exact")
+
+
+# --- HLL (A3, A4, G3): tolerance checks ---------------------------------------
+# The sketch is checked against the exact count: ``within_tol`` is true when
+# the estimate is within 3 % (at least 1) of the exact UV.
+
+import uuid  # noqa: E402
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from uvlens.operators import sketches as S  # noqa: E402
+from uvlens.operators.admissions import uv_cumulative, uv_new_visitors  # noqa: E402
+from uvlens.operators.strategies import uv_exact as exact_uv  # noqa: E402
+from uvlens.operators.windows import page_views, uv_per_batch_time  # noqa: E402
+from uvlens.session import scratch_path  # noqa: E402
+
+TOL = 0.03
+
+
+def within_tol(est: str = "est", exact: str = "exact"):
+    return (F.abs(F.col(est) - F.col(exact))
+            <= F.greatest(F.lit(1.0), F.col(exact) * TOL)).alias("within_tol")
+
+
+def _tol_sql(width: int) -> str:
+    return f"""
+WITH {B_SQL}
+SELECT DISTINCT page, (behavior_ms // {width} + 1) * {width} AS window_time, true AS within_tol
+FROM b"""
+
+
+def _tol_check(estimates, exact):
+    return (estimates.withColumnRenamed("uv", "est")
+            .join(exact.withColumnRenamed("uv", "exact"), ["page", "window_time"])
+            .select("page", "window_time", within_tol()))
+
+
+@register("uv_hll", _tol_sql(MINUTE))
+def uv_hll(spark, sf_dir):
+    """A3: HLL(2^14) per page per minute, checked against exact."""
+    b = _b(spark, sf_dir)
+    return _tol_check(uv_per_window(b, MINUTE, "hll"), uv_per_window(b, MINUTE, "exact"))
+
+
+@register("uv_hll_store", _tol_sql(MINUTE))
+def uv_hll_store(spark, sf_dir):
+    """A4: sketches persisted per (page, window), read back and merged."""
+    b = _b(spark, sf_dir)
+    path = scratch_path(spark, "sketch-store")
+    S.write_sketches(S.window_sketches(b, MINUTE), path)
+    stored = S.merge_sketches(S.read_sketches(spark, path), ["page", "window_time"])
+    est = stored.select("page", "window_time", S.estimate().alias("uv"))
+    return _tol_check(est, uv_per_window(b, MINUTE, "exact"))
+
+
+@register("uv_hll_rollup", f"""
+WITH {B_SQL}
+SELECT DISTINCT page, (behavior_ms // 86400000 + 1) * 86400000 AS window_time,
+       true AS within_tol FROM b
+UNION ALL
+SELECT DISTINCT '*' AS page, (behavior_ms // 86400000 + 1) * 86400000 AS window_time,
+       true AS within_tol FROM b""")
+def uv_hll_rollup(spark, sf_dir):
+    """Hourly sketches merged into days, per page and across pages ('*')."""
+    b = _b(spark, sf_dir)
+    hourly = S.window_sketches(b, HOUR)
+    daily = S.rollup_sketches(hourly, DAY)
+    all_pages = S.merge_sketches(daily.withColumn("page", F.lit("*")), ["page", "window_time"])
+    est = daily.unionByName(all_pages).select("page", "window_time", S.estimate().alias("uv"))
+    exact = uv_per_window(b, DAY, "exact").unionByName(
+        uv_per_window(b.withColumn("page", F.lit("*")), DAY, "exact"))
+    return _tol_check(est, exact)
+
+
+# --- exact hash / bitmap strategies (A6, A7) ----------------------------------
+
+@register("uv_hash_slots", f"""
+WITH {B_SQL}
+SELECT page, (behavior_ms // 86400000 + 1) * 86400000 AS window_time,
+       count(DISTINCT ('0x' || substr(md5(user_id), 1, 8))::BIGINT % 65536)::BIGINT AS uv
+FROM b GROUP BY 1, 2""")
+def uv_hash_slots(spark, sf_dir):
+    """Occupied md5 hash slots (65,536) per page and day."""
+    return uv_per_window(_b(spark, sf_dir), DAY, "slots")
+
+
+@register("uv_hash_exact", f"""
+WITH {B_SQL}
+SELECT page, (behavior_ms // 3600000 + 1) * 3600000 AS window_time,
+       count(DISTINCT user_id)::BIGINT AS uv
+FROM b GROUP BY 1, 2""")
+def uv_hash_exact(spark, sf_dir):
+    """A7 (sparse ids): distinct 63-bit hashes per page and hour."""
+    return uv_per_window(_b(spark, sf_dir), HOUR, "hash64")
+
+
+@register("uv_bitmap", f"""
+WITH {B_SQL}
+SELECT page, (behavior_ms // 3600000 + 1) * 3600000 AS window_time,
+       count(DISTINCT user_num)::BIGINT AS uv
+FROM b GROUP BY 1, 2""")
+def uv_bitmap(spark, sf_dir):
+    """A7 (dense ids): bitmaps over the numeric user ids per page and hour."""
+    return uv_per_window(_b_num(spark, sf_dir), HOUR, "bitmap")
+
+
+def _b_num(spark, sf_dir):
+    from uvlens.sources.tables import read_table
+    from uvlens.sources.behaviors import behaviors_from_events
+    ev = read_table(spark, sf_dir, "events").withColumn("user_num", F.col("user_id"))
+    return behaviors_from_events(ev, keep=("user_num",))
+
+
+@register("uv_bitmap_rollup", f"""
+WITH {B_SQL}
+SELECT page, (behavior_ms // 86400000 + 1) * 86400000 AS window_time,
+       count(DISTINCT user_num)::BIGINT AS uv
+FROM b GROUP BY 1, 2""")
+def uv_bitmap_rollup(spark, sf_dir):
+    """Hourly bitmaps OR-merged into days, then counted."""
+    from uvlens.operators.strategies import count_bitmaps
+    daily = S.rollup_bitmaps(S.window_bitmaps(_b_num(spark, sf_dir), HOUR), DAY)
+    return count_bitmaps(daily, ["page", "window_time"])
+
+
+@register("uv_overlap", f"""
+WITH {B_SQL},
+d AS (SELECT DISTINCT page, (behavior_ms // 86400000 + 1) * 86400000 AS window_time, user_num FROM b),
+w AS (SELECT DISTINCT page, window_time FROM d)
+SELECT w.page, w.window_time,
+       (SELECT count(*) FROM d x JOIN d y ON x.page = y.page AND x.user_num = y.user_num
+         AND y.window_time = x.window_time + 86400000
+        WHERE x.page = w.page AND x.window_time = w.window_time)::BIGINT AS overlap
+FROM w WHERE EXISTS (SELECT 1 FROM w v WHERE v.page = w.page
+                     AND v.window_time = w.window_time + 86400000)""")
+def uv_overlap(spark, sf_dir):
+    """Visitors present on a day and on the following day (bitmap AND)."""
+    return S.overlap_next(S.window_bitmaps(_b_num(spark, sf_dir), DAY), DAY)
+
+
+@register("pv_counter", f"""
+WITH {B_SQL}
+SELECT page, (behavior_ms // 3600000 + 1) * 3600000 AS window_time, count(*)::BIGINT AS pv
+FROM b GROUP BY 1, 2""")
+def pv_counter(spark, sf_dir):
+    """Page views per page and hour."""
+    return page_views(_b(spark, sf_dir), HOUR)
+
+
+@register("uv_dedup_bucket", f"""
+WITH {B_SQL},
+y AS (SELECT *, epoch_us(date_trunc('year', ts)) // 1000 AS ys FROM b)
+SELECT page, ys + ((behavior_ms - ys) // 60000) * 60000 AS window_time,
+       count(DISTINCT user_id)::BIGINT AS uv
+FROM y GROUP BY 1, 2""")
+def uv_dedup_bucket(spark, sf_dir):
+    """Dedup (page, user, year-anchored minute) then count; label = start."""
+    return uv_per_batch_time(_b(spark, sf_dir), 1, "minutes", strategy="dedup")
+
+
+# --- admissions (A2, A5) -------------------------------------------------------
+
+TTL_TEST_MS = 3_600_000  # 1 h: long enough to matter, short enough to reset pages
+
+_ADM_TTL_SQL = f"""
+t AS (SELECT DISTINCT page, user_id, behavior_ms AS ms FROM b),
+adm(page, user_id, a) AS (
+  SELECT page, user_id, min(ms) FROM t GROUP BY 1, 2
+  UNION ALL
+  SELECT t.page, t.user_id, min(t.ms) FROM adm JOIN t
+    ON t.page = adm.page AND t.user_id = adm.user_id AND t.ms >= adm.a + {TTL_TEST_MS}
+  GROUP BY 1, 2)"""
+
+_ADM_FIRST_SQL = """
+adm AS (SELECT page, user_id, min(behavior_ms) AS a FROM b GROUP BY 1, 2)"""
+
+
+def _new_visitors_sql(adm_sql: str, width: int) -> str:
+    return f"""
+WITH RECURSIVE {B_SQL}, {adm_sql},
+aw AS (SELECT DISTINCT page, (behavior_ms // {width} + 1) * {width} AS window_time FROM b),
+nw AS (SELECT page, (a // {width} + 1) * {width} AS window_time, count(DISTINCT user_id) AS n
+       FROM adm GROUP BY 1, 2)
+SELECT aw.page, aw.window_time, coalesce(nw.n, 0)::BIGINT AS uv
+FROM aw LEFT JOIN nw ON aw.page = nw.page AND aw.window_time = nw.window_time"""
+
+
+@register("uv_new_visitors", _new_visitors_sql(_ADM_FIRST_SQL, MINUTE))
+def q_uv_new_visitors(spark, sf_dir):
+    """A5 without expiry: first-time visitors per page and minute."""
+    return uv_new_visitors(_b(spark, sf_dir), MINUTE)
+
+
+@register("uv_new_visitors_ttl", _new_visitors_sql(_ADM_TTL_SQL, MINUTE))
+def q_uv_new_visitors_ttl(spark, sf_dir):
+    """A5: visitors new to the page within a 1-hour TTL, per minute."""
+    return uv_new_visitors(_b(spark, sf_dir), MINUTE, TTL_TEST_MS)
+
+
+CUM_W = 30_000
+
+
+@register("uv_cumulative", f"""
+WITH {B_SQL}, {_ADM_FIRST_SQL},
+aw AS (SELECT DISTINCT page, (behavior_ms // {CUM_W} + 1) * {CUM_W} AS window_time FROM b),
+nw AS (SELECT page, (a // {CUM_W} + 1) * {CUM_W} AS window_time, count(*) AS n FROM adm GROUP BY 1, 2)
+SELECT aw.page, aw.window_time,
+       (sum(coalesce(nw.n, 0)) OVER (PARTITION BY aw.page ORDER BY aw.window_time
+            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))::BIGINT AS uv
+FROM aw LEFT JOIN nw ON aw.page = nw.page AND aw.window_time = nw.window_time""")
+def q_uv_cumulative(spark, sf_dir):
+    """A2 without expiry: running distinct users per page at each 30-s window."""
+    return uv_cumulative(_b(spark, sf_dir), CUM_W)
+
+
+@register("uv_cumulative_ttl", f"""
+WITH RECURSIVE {B_SQL}, {_ADM_TTL_SQL},
+g AS (SELECT page, behavior_ms, lag(behavior_ms) OVER (PARTITION BY page ORDER BY behavior_ms, event_id) AS prev
+      FROM b),
+e AS (SELECT page, behavior_ms,
+             sum(CASE WHEN prev IS NULL OR behavior_ms - prev >= {TTL_TEST_MS} THEN 1 ELSE 0 END)
+               OVER (PARTITION BY page ORDER BY behavior_ms ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+               AS epoch FROM g),
+aw AS (SELECT page, (behavior_ms // {CUM_W} + 1) * {CUM_W} AS window_time, max(epoch) AS epoch
+       FROM e GROUP BY 1, 2),
+nw AS (SELECT page, (a // {CUM_W} + 1) * {CUM_W} AS window_time, count(DISTINCT user_id) AS n
+       FROM adm GROUP BY 1, 2)
+SELECT aw.page, aw.window_time,
+       (sum(coalesce(nw.n, 0)) OVER (PARTITION BY aw.page, aw.epoch ORDER BY aw.window_time
+            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))::BIGINT AS uv
+FROM aw LEFT JOIN nw ON aw.page = nw.page AND aw.window_time = nw.window_time""")
+def q_uv_cumulative_ttl(spark, sf_dir):
+    """A2: running distinct users per page with a 1-hour entry TTL and page reset."""
+    return uv_cumulative(_b(spark, sf_dir), CUM_W, TTL_TEST_MS)
