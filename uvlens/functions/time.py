@@ -129,7 +129,8 @@ def year_of(ms: str, zone: str = "UTC") -> Column:
 
 def day_time(year: str, day_index: str, zone: str = "UTC") -> Column:
     """Epoch ms of local midnight of day ``day_index`` (1-based) of ``year``."""
-    ntz = f"cast(date_add(make_date({year}, 1, 1), {day_index} - 1) as timestamp_ntz)"
+    ntz = (f"cast(date_add(make_date({year}, 1, 1), cast({day_index} - 1 as int))"
+           " as timestamp_ntz)")
     return F.expr(local_to_ms_sql(ntz, zone))
 
 
@@ -152,7 +153,7 @@ def batch_time_sql(ms: str, n: int, unit: str, zone: str = "UTC") -> str:
         return f"({year_start} + (({ms} - {year_start}) div {d}) * {d})"
     if unit == "day":
         start_day = (f"cast(date_add(cast(date_trunc('YEAR', {local}) as date), "
-                     f"((dayofyear({local}) - 1) div {n}) * {n}) as timestamp_ntz)")
+                     f"cast(((dayofyear({local}) - 1) div {n}) * {n} as int)) as timestamp_ntz)")
         return local_to_ms_sql(start_day, zone)
     raise ValueError("unit must be seconds, minutes, hours or days")
 
