@@ -2,6 +2,6 @@
 SQL that checks each one. Importing the submodules fills the registry."""
 
 from uvlens.plans.registry import QUERIES, ORACLE, register  # noqa: F401
-from uvlens.plans import uv, calendar, reports, streams  # noqa: F401,E402
+from uvlens.plans import uv, calendar, reports, streams, tablejobs  # noqa: F401,E402
 
 __all__ = ["QUERIES", "ORACLE", "register"]
