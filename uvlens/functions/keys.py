@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from uvlens.operators.strategies import hash63  # noqa: F401  (63-bit user hash)
 
@@ -29,24 +32,41 @@ def base36(n) -> Column:
             .otherwise(F.lower(F.conv(n.cast("string"), 10, 36))))
 
 
+_POW31 = np.ones(1, dtype=np.uint32)
+
+
+def _pow31(n: int) -> np.ndarray:
+    """31**k mod 2**32 for k < n (uint32 arithmetic wraps)."""
+    global _POW31
+    if len(_POW31) < n:
+        p = np.full(max(n, 2 * len(_POW31)), 31, dtype=np.uint32)
+        p[0] = 1
+        _POW31 = np.cumprod(p, dtype=np.uint32)
+    return _POW31[:n]
+
+
+def _hash_one(text: str) -> int:
+    units = np.frombuffer(text.encode("utf-16-le"), dtype="<u2").astype(np.uint32)
+    n = len(units)
+    if n == 0:
+        return 0
+    h = int((units * _pow31(n)[::-1]).sum(dtype=np.uint32))
+    return h - 4294967296 if h >= 2147483648 else h
+
+
+@F.pandas_udf(T.LongType())
+def _java_hashcode_udf(texts: pd.Series) -> pd.Series:
+    return pd.Series([None if t is None else _hash_one(t) for t in texts], dtype="Int64")
+
+
 def java_hashcode(c) -> Column:
-    """32-bit polynomial string hash (31 * h + unit) over UTF-16 units,
-    as a signed int in a bigint column."""
-    c = _c(c)
-    chars = F.split(c, "")
-    two32 = 4294967296
-
-    def step(acc, ch):
-        cp = F.ascii(ch).cast("bigint")
-        hi = F.floor((cp - 65536) / 1024) + 55296
-        lo = F.pmod(cp - 65536, F.lit(1024)) + 56320
-        bmp = F.pmod(acc * 31 + cp, F.lit(two32))
-        astral = F.pmod(F.pmod(acc * 31 + hi, F.lit(two32)) * 31 + lo, F.lit(two32))
-        return F.when(cp < 65536, bmp).otherwise(astral)
-
-    h = F.aggregate(chars, F.lit(0).cast("bigint"), step)
-    signed = F.when(h >= 2147483648, h - two32).otherwise(h)
-    return F.when(F.length(c) == 0, F.lit(0).cast("bigint")).otherwise(signed)
+    """32-bit polynomial string hash (31 * h + unit over UTF-16 units), as a
+    signed int in a bigint column.
+
+    Arrow-batched: each text becomes a numpy array of UTF-16 units and the
+    hash is one dot product with precomputed powers of 31 (mod 2^32).
+    """
+    return _java_hashcode_udf(_c(c))
 
 
 def java_abs_hashcode(c) -> Column:

@@ -112,18 +112,44 @@ def substr(c, start: int, end: int) -> Column:
 
 def split_part(c, sep_regex: str, i: int) -> Column:
     """Element ``i`` of a regex split, with trailing empty strings removed
-    first (so an index into them gives null); null for empty input."""
+    first (so an index into them gives null); null for empty input.
+
+    Splits with a limit of ``i + 2``: element ``i`` is exact and element
+    ``i + 1`` is the unsplit rest, so no array of all words is built. An
+    empty element ``i`` survives only if the rest holds a non-empty piece.
+    """
     c = _c(c)
-    arr = F.split(c, sep_regex)
-    from_end = F.array_position(F.reverse(F.transform(arr, lambda x: x != F.lit(""))), True)
-    eff_len = F.when(from_end == 0, F.lit(0)).otherwise(F.size(arr) - from_end + 1)
-    return _nonempty(c, F.when(F.lit(i) < eff_len, F.get(arr, F.lit(i))))
+    arr = F.split(c, sep_regex, i + 2)
+    elem = F.get(arr, F.lit(i))
+    rest = F.get(arr, F.lit(i + 1))
+    rest_has_piece = rest.isNotNull() & ~rest.rlike(rf"^(?:{sep_regex})*\z")
+    keep = elem.isNotNull() & ((elem != F.lit("")) | rest_has_piece)
+    return _nonempty(c, F.when(keep, elem))
+
+
+TOKEN = "[a-z_0-9]"
 
 
 def replace_tokens(c, mapping: dict[str, str]) -> Column:
-    """Replace every maximal ``[a-z_0-9]+`` token found in ``mapping``."""
+    """Replace every maximal ``[a-z_0-9]+`` token found in ``mapping``.
+
+    When no replacement value contains a key as a token, one
+    ``regexp_replace`` per key with token-boundary lookarounds gives the same
+    text as a single left-to-right pass; otherwise the text is cut into
+    tokens and gaps and each token is looked up once.
+    """
+    import re
     c = _c(c)
-    pieces = F.regexp_extract_all(c, F.lit("([a-z_0-9]+|[^a-z_0-9]+)"), F.lit(1))
+    keys = set(mapping)
+    cascade = any(tok in keys for v in mapping.values() for tok in re.findall(TOKEN + "+", v))
+    if not cascade and all(re.fullmatch(TOKEN + "+", k) for k in keys):
+        out = c
+        for k, v in mapping.items():
+            # literal first, so the regex engine can scan for it
+            out = F.regexp_replace(out, f"{k}(?<!{TOKEN}{k})(?!{TOKEN})",
+                                   v.replace("\\", "\\\\").replace("$", "\\$"))
+        return _nonempty(c, out)
+    pieces = F.regexp_extract_all(c, F.lit(f"({TOKEN}+|[^a-z_0-9]+)"), F.lit(1))
     m = F.create_map(*[x for k, v in mapping.items() for x in (F.lit(k), F.lit(v))])
     swapped = F.transform(pieces, lambda p: F.coalesce(F.try_element_at(m, p), p))
     return _nonempty(c, F.array_join(swapped, ""))
@@ -167,8 +193,8 @@ def display_width(c) -> Column:
     """Chars in U+0391..U+FFE5 count 2, others 1; a char outside the BMP
     counts 4 (two UTF-16 units, both in that range)."""
     c = _c(c)
-    wide = F.length(F.regexp_replace(c, r"[^\u0391-\uFFE5]", ""))
-    astral = F.length(F.regexp_replace(c, r"[^\x{10000}-\x{10FFFF}]", ""))
+    wide = F.regexp_count(c, F.lit(r"[\u0391-\uFFE5]"))
+    astral = F.regexp_count(c, F.lit(r"[\x{10000}-\x{10FFFF}]"))
     return F.length(c) + wide + astral * 3
 
 

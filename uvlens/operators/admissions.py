@@ -105,27 +105,31 @@ def _fold_sorted(keys: list[str], ms: str, ttl_ms: int):
 
 def ttl_admissions(behaviors: DataFrame, ttl_ms: int, keys: Sequence[str] = KEYS,
                    ms: str = "behavior_ms") -> DataFrame:
-    """Admission times per key under an entry TTL (exact, see module doc)."""
+    """Admission times per key under an entry TTL (exact, see module doc).
+
+    One pipeline, no branches: per-bucket (min, max) summaries, sessions and
+    their bounds by two windows over the same key partitioning, one join
+    back to the events on (keys, bucket). A short session sends only its
+    first event to the fold (which then emits just that event); a long one
+    sends all of them. Duplicate times need no dedup: the fold skips them.
+    """
     keys = list(keys)
     ttl_ms = int(ttl_ms)
-    times = behaviors.select(*keys, ms).dropDuplicates()
-    sessions = _sessions(times, keys, ttl_ms, ms)
-    per_session = (sessions.groupBy(*keys, "session")
-                   .agg(F.min("mn").alias("s_min"), F.max("mx").alias("s_max")))
-    short = (per_session.where(F.col("s_max") - F.col("s_min") < ttl_ms)
-             .select(*keys, F.col("s_min").alias("admit_ms")))
-    long_ids = (sessions.join(per_session.where(F.col("s_max") - F.col("s_min") >= ttl_ms)
-                              .select(*keys, "session"), [*keys, "session"], "left_semi")
-                .select(*keys, "tb", "session"))
-    long_rows = (times.withColumn("tb", F.expr(f"{ms} div {ttl_ms}"))
-                 .join(long_ids, [*keys, "tb"])
-                 .select(*keys, "session", ms))
+    ev = behaviors.select(*keys, ms).withColumn("tb", F.expr(f"{ms} div {ttl_ms}"))
+    sessions = _sessions(ev, keys, ttl_ms, ms)
+    ws = Window.partitionBy(*keys, "session")
+    bounds = (sessions
+              .withColumn("s_min", F.min("mn").over(ws))
+              .withColumn("long", F.max("mx").over(ws) - F.col("s_min") >= ttl_ms)
+              .select(*keys, "tb", "session", "s_min", "long"))
+    rows = (ev.join(bounds, [*keys, "tb"])
+            .where(F.col("long") | (F.col(ms) == F.col("s_min")))
+            .select(*keys, "session", ms))
     out_schema = T.StructType([behaviors.schema[k] for k in keys]
                               + [T.StructField("admit_ms", T.LongType())])
-    folded = (long_rows.repartition(*keys, "session")
-              .sortWithinPartitions(*keys, "session", ms)
-              .mapInPandas(_fold_sorted(keys, ms, ttl_ms), out_schema))
-    return short.unionByName(folded)
+    return (rows.repartition(*keys, "session")
+            .sortWithinPartitions(*keys, "session", ms)
+            .mapInPandas(_fold_sorted(keys, ms, ttl_ms), out_schema))
 
 
 def admissions(behaviors: DataFrame, ttl_ms: int | None = None,
