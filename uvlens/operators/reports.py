@@ -9,8 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from uvlens.functions.time import format_ms
 
@@ -39,15 +42,69 @@ def rank_slice(df: DataFrame, partition: Sequence[str], order: Sequence[Column],
                   .where(F.col("_rd") <= -start).where(F.col("_rd") >= -end))
         return (ranked.join(sizes, part).withColumn(pos, (F.col("_n") - F.col("_rd")).cast("bigint"))
                 .drop("_rd", "_n"))
-    # Mixed signs: position from the start, bounds normalised by the size.
-    w = Window.partitionBy(*part).orderBy(*order)
-    ranked = df.withColumn("_rn", F.row_number().over(w) - 1).join(sizes, part)
+    # Mixed signs: exact positions from the start, bounds normalised by size.
+    ranked = positions(df, part, order, "_rn").join(sizes, part)
     lo = F.lit(start) if start >= 0 else F.col("_n") + start
     hi = F.lit(end) if end >= 0 else F.col("_n") + end
     return (ranked.where((F.col("_rn") >= lo) & (F.col("_rn") <= hi))
             .withColumn(pos, F.col("_rn").cast("bigint")).drop("_rn", "_n"))
 
 
+def _local_index(keys: list[str]):
+    """mapInPandas body: rows arrive sorted by (keys, order); number them
+    per key, carrying the running index across Arrow batches."""
+    def fn(batches):
+        carry_key, carry_n = None, 0
+        for pdf in batches:
+            n = len(pdf)
+            if n == 0:
+                continue
+            cols = [pdf[k].to_numpy() for k in keys]
+            change = np.zeros(n, dtype=bool)
+            change[0] = True
+            for c in cols:
+                change[1:] |= c[1:] != c[:-1]
+            first_key = tuple(c[0] for c in cols)
+            run_id = np.cumsum(change) - 1
+            starts = np.flatnonzero(change)
+            idx = np.arange(n) - starts[run_id]
+            if first_key == carry_key:
+                idx[run_id == 0] += carry_n
+            carry_key = tuple(c[-1] for c in cols)
+            carry_n = int(idx[-1]) + 1
+            pdf["_local"] = idx.astype(np.int64)
+            yield pdf
+    return fn
+
+
+def positions(df: DataFrame, partition: Sequence[str], order: Sequence[Column],
+              pos: str = "pos", n_parts: int | None = None) -> DataFrame:
+    """Exact 0-based position of every row in its partition under ``order``.
+
+    No partition is ranked in one task: rows are range-partitioned on
+    (partition keys, order keys), so a hot key spans many tasks; each task
+    numbers its sorted rows per key; per-(task, key) row counts (a small
+    table) give prefix offsets by a window over tasks. Range bounds are
+    fixed in the shuffle, so recomputation after a lost executor gives the
+    same assignment.
+    """
+    part = list(partition)
+    sort = [F.col(p).asc() for p in part] + list(order)
+    n = n_parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = (df.repartitionByRange(n, *sort).sortWithinPartitions(*sort)
+              .withColumn("_pid", F.spark_partition_id()))
+    schema = T.StructType(ranged.schema.fields + [T.StructField("_local", T.LongType())])
+    local = ranged.mapInPandas(_local_index(part), schema)
+    counts = local.groupBy("_pid", *part).agg(F.count(F.lit(1)).alias("_cnt"))
+    w = (Window.partitionBy(*part).orderBy("_pid")
+         .rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select("_pid", *part,
+                            F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_off"))
+    return (local.join(offsets, ["_pid", *part])
+            .withColumn(pos, (F.col("_off") + F.col("_local")).cast("bigint"))
+            .drop("_pid", "_local", "_off"))
+
+
 def _reverse(c: Column) -> Column:
     # Column ordering objects cannot be inspected, so callers pass plain
     # expressions wrapped by ``asc``/``desc`` helpers below.
