@@ -88,3 +88,17 @@ def test_stateful_admissions_equal_batch_fold(spark):
     b = behaviors_from_events(spark.read.parquet(f"{SF}/events.parquet"))
     want = {tuple(r) for r in ttl_admissions(b, ttl).select("page", "user_id", "admit_ms").collect()}
     assert got == want
+
+
+def test_store_seeded_admissions_equal_batch_fold(spark):
+    folder = stage(spark, MIDDAY_CUTS)
+    ttl = 3_600_000
+    s = stream_behaviors(spark, folder, glob="events-*.parquet", max_files=1)
+    out = scratch_path(spark, "adm-store")
+    J.admissions_store_stream(spark, s, ttl, out, "t-adm-store")
+    log = spark.read.parquet(out)
+    assert log.select("batch_id").distinct().count() == 3
+    got = {tuple(r) for r in log.select("page", "user_id", "admit_ms").collect()}
+    b = behaviors_from_events(spark.read.parquet(f"{SF}/events.parquet"))
+    want = {tuple(r) for r in ttl_admissions(b, ttl).select("page", "user_id", "admit_ms").collect()}
+    assert got == want

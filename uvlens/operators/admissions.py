@@ -187,3 +187,62 @@ def uv_cumulative(behaviors: DataFrame, width_ms: int = 30_000,
     return per_window.select(
         "page", "window_time",
         F.sum(F.coalesce("new_users", F.lit(0))).over(w).cast("bigint").alias("uv"))
+
+
+def _fold_seeded(keys: list[str], ms: str, ttl_ms: int, carry: str):
+    """mapInPandas body: rows sorted by (keys, ms), each carrying the key's
+    previous admission (or null); emits new admissions."""
+    def fold(batches):
+        carry_key = None
+        carry_last = None
+        for pdf in batches:
+            n = len(pdf)
+            if n == 0:
+                continue
+            cols = [pdf[c].to_numpy() for c in keys]
+            t = pdf[ms].to_numpy(dtype=np.int64)
+            seed = pdf[carry].to_numpy(dtype="float64")
+            change = np.zeros(n, dtype=bool)
+            change[0] = True
+            for c in cols:
+                change[1:] |= c[1:] != c[:-1]
+            starts = np.flatnonzero(change)
+            ends = np.append(starts[1:], n)
+            rows, admits = [], []
+            for s, e in zip(starts, ends):
+                key = tuple(c[s] for c in cols)
+                if key != carry_key:
+                    carry_last = None if np.isnan(seed[s]) else int(seed[s])
+                seg = t[s:e]
+                pos = 0 if carry_last is None else int(np.searchsorted(seg, carry_last + ttl_ms))
+                while pos < len(seg):
+                    carry_last = int(seg[pos])
+                    rows.append(s)
+                    admits.append(carry_last)
+                    pos = int(np.searchsorted(seg, carry_last + ttl_ms, side="left"))
+                carry_key = key
+            if rows:
+                idx = np.asarray(rows)
+                out = pd.DataFrame({k: pdf[k].to_numpy()[idx] for k in keys})
+                out["admit_ms"] = np.asarray(admits, dtype=np.int64)
+                yield out
+    return fold
+
+
+def continue_admissions(events: DataFrame, previous: DataFrame, ttl_ms: int,
+                        keys: Sequence[str] = KEYS, ms: str = "behavior_ms") -> DataFrame:
+    """Admissions of a new slice of events, given earlier admissions.
+
+    ``previous`` holds (keys..., admit_ms) from earlier slices; only its
+    latest admission per key within ``ttl`` of the slice matters, found by a
+    partial aggregate. Events older than a key's last admission are not
+    admitted again (arrival order wins, as with keyed state).
+    """
+    keys = list(keys)
+    ttl_ms = int(ttl_ms)
+    carry = previous.groupBy(*keys).agg(F.max("admit_ms").alias("_carry"))
+    seeded = events.select(*keys, ms).join(carry, keys, "left")
+    out_schema = T.StructType([events.schema[k] for k in keys]
+                              + [T.StructField("admit_ms", T.LongType())])
+    return (seeded.repartition(*keys).sortWithinPartitions(*keys, ms)
+            .mapInPandas(_fold_seeded(keys, ms, ttl_ms, "_carry"), out_schema))

@@ -109,6 +109,42 @@ def admissions_stream(behaviors: DataFrame, ttl_ms: int, delay: str = "10 minute
                                     "append", GroupStateTimeout.EventTimeTimeout))
 
 
+def admissions_store_stream(spark: SparkSession, behaviors: DataFrame, ttl_ms: int,
+                            out: str, name: str = "adm-store", max_files: int | None = None):
+    """Exact TTL admissions of a stream without per-key Python calls.
+
+    Each micro-batch is folded as a batch job (sorted partitions through
+    ``mapInPandas``), seeded by the admissions of earlier batches that are
+    younger than the TTL relative to the batch; its admissions are written
+    to the ``batch_id`` partition of ``out``. Replaying a batch overwrites
+    its own partition and ignores it as a seed, so the result is unchanged.
+    """
+    from uvlens.operators.admissions import continue_admissions
+    ttl_ms = int(ttl_ms)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        b = batch.select("page", "user_id", "behavior_ms")
+        lo = b.agg(F.min("behavior_ms")).first()[0]
+        if lo is None:
+            return
+        try:
+            prev = (spark.read.schema(f"{ADMIT_SCHEMA}, batch_id BIGINT").parquet(out)
+                    .where((F.col("batch_id") < batch_id)
+                           & (F.col("admit_ms") > F.lit(int(lo) - ttl_ms))))
+        except Exception:  # noqa: BLE001  (no earlier batch yet)
+            prev = spark.createDataFrame([], f"{ADMIT_SCHEMA}, batch_id BIGINT")
+        adm = continue_admissions(b, prev.drop("batch_id"), ttl_ms)
+        (adm.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").parquet(out))
+
+    q = (behaviors.writeStream.foreachBatch(write)
+         .option("checkpointLocation", scratch_path(spark, f"ckpt-{name}"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return out
+
+
 # --- running a stream to completion ------------------------------------------------
 
 def _changelog_writer(path: str) -> Callable[[DataFrame, int], None]:
