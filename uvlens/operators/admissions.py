@@ -132,7 +132,7 @@ def ttl_admissions(behaviors: DataFrame, ttl_ms: int, keys: Sequence[str] = KEYS
             .mapInPandas(_fold_sorted(keys, ms, ttl_ms), out_schema))
 
 
-def admissions(behaviors: DataFrame, ttl_ms: int | None = None,
+def admission_times(behaviors: DataFrame, ttl_ms: int | None = None,
                keys: Sequence[str] = KEYS) -> DataFrame:
     if ttl_ms is None:
         return first_seen(behaviors, keys)
@@ -155,7 +155,7 @@ def _admitted_per_window(adm: DataFrame, width_ms: int) -> DataFrame:
 def uv_new_visitors(behaviors: DataFrame, width_ms: int = 60_000,
                     ttl_ms: int | None = None) -> DataFrame:
     """A5: users admitted in each window with events; 0 when none."""
-    adm = admissions(behaviors, ttl_ms)
+    adm = admission_times(behaviors, ttl_ms)
     active = active_windows(behaviors, width_ms).select("page", "window_time")
     return (active.join(_admitted_per_window(adm, width_ms), ["page", "window_time"], "left")
             .select("page", "window_time",
@@ -171,7 +171,7 @@ def page_epochs(behaviors: DataFrame, ttl_ms: int) -> DataFrame:
 def uv_cumulative(behaviors: DataFrame, width_ms: int = 30_000,
                   ttl_ms: int | None = None) -> DataFrame:
     """A2: running distinct users per page, sampled at each window with events."""
-    adm = admissions(behaviors, ttl_ms)
+    adm = admission_times(behaviors, ttl_ms)
     active = active_windows(behaviors, width_ms)
     per_window = active.join(_admitted_per_window(adm, width_ms), ["page", "window_time"], "left")
     part = ["page"]

@@ -139,15 +139,17 @@ SELECT * FROM (WITH {B_SQL}
   SELECT '{tag}' AS bucket, page, {_batch_sql(n, unit)} AS window_time,
          count(DISTINCT user_id)::BIGINT AS uv FROM b GROUP BY 1, 2, 3)""" for tag, n, unit in BATCHES))
 def uv_by_batch_time(spark, sf_dir):
-    """Year-anchored buckets of 7 minutes, 5 hours and 7 days."""
+    """Year-anchored buckets of 7 minutes, 5 hours and 7 days.
+
+    One scan: each event is expanded into its three bucket labels
+    (``inline``), then one distinct count per (bucket kind, page, bucket).
+    """
     b = load_behaviors(spark, sf_dir)
-    parts = [uv_by(b, TM.batch_time("behavior_ms", n, unit, ZONE))
-             .select(F.lit(tag).alias("bucket"), "page", "window_time", "uv")
-             for tag, n, unit in BATCHES]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    kinds = F.array(*[F.struct(F.lit(tag).alias("bucket"),
+                               TM.batch_time("behavior_ms", n, unit, ZONE).alias("window_time"))
+                      for tag, n, unit in BATCHES])
+    keyed = b.select("page", "user_id", F.inline(kinds))
+    return uv_exact(keyed, ["bucket", "page", "window_time"])
 
 
 @register("uv_vs_previous", f"""
@@ -280,28 +282,24 @@ SELECT event_id, 'yyyy-MM-dd' AS pattern, props AS text, NULL::BIGINT AS day_ms,
 def report_formats(spark, sf_dir):
     """Event times rendered in the preset formats and parsed back into a
     day bucket and a time of day; text that does not parse is rejected
-    (``valid`` false), here the JSON ``props`` column."""
+    (``valid`` false), here the JSON ``props`` column. One scan: every event
+    is expanded into its nine (pattern, text) variants."""
     from uvlens.sources.tables import read_table
     ev = read_table(spark, sf_dir, "events").select(
         "event_id", "props", F.expr(TM.epoch_ms_sql("ts")).alias("ms"))
-    parts = []
-    for jp, _ in FORMAT_PAIRS:
-        date_part = "HH" not in jp[:2]
-        r = ev.select("event_id", F.lit(jp).alias("pattern"),
-                      TM.format_ms("ms", jp, ZONE).alias("text"))
-        p = parse_text_time("text", jp)
-        r = r.withColumn("_p", p)
-        day = (F.expr("_p - pmod(_p, 86400000)") if date_part else F.lit(None).cast("bigint"))
-        parts.append(r.select("event_id", "pattern", "text", day.alias("day_ms"),
-                              F.expr("pmod(_p, 86400000)").alias("tod_ms"),
-                              F.col("_p").isNotNull().alias("valid")))
-    bad = ev.select("event_id", F.lit("yyyy-MM-dd").alias("pattern"), F.col("props").alias("text"))
-    bad = bad.withColumn("_p", parse_text_time("text", "yyyy-MM-dd")).select(
+    variants = [F.struct(F.lit(jp).alias("pattern"),
+                         TM.format_ms("ms", jp, ZONE).alias("text"),
+                         F.lit("HH" not in jp[:2]).alias("has_date"))
+                for jp, _ in FORMAT_PAIRS]
+    variants.append(F.struct(F.lit("yyyy-MM-dd").alias("pattern"), F.col("props").alias("text"),
+                             F.lit(True).alias("has_date")))
+    rows = ev.select("event_id", F.inline(F.array(*variants)))
+    # the pattern varies per row, so the parse goes through one CASE per pattern
+    parsed = F.coalesce(*[F.when(F.col("pattern") == jp, parse_text_time("text", jp))
+                          for jp, _ in FORMAT_PAIRS])
+    rows = rows.withColumn("_p", parsed)
+    return rows.select(
         "event_id", "pattern", "text",
-        F.expr("_p - pmod(_p, 86400000)").alias("day_ms"),
+        F.when(F.col("has_date"), F.expr("_p - pmod(_p, 86400000)")).alias("day_ms"),
         F.expr("pmod(_p, 86400000)").alias("tod_ms"),
         F.col("_p").isNotNull().alias("valid"))
-    out = parts[0]
-    for p in parts[1:] + [bad]:
-        out = out.unionByName(p)
-    return out

@@ -10,7 +10,7 @@ from uvlens.operators.strategies import uv_exact
 from uvlens.operators.windows import MINUTE, uv_per_window
 from uvlens.plans.registry import B_SQL, register
 from uvlens.sources.behaviors import (
-    MANY_PAGES, events_as_messages, load_behaviors, parse_messages,
+    MANY_PAGES, load_behaviors, parse_messages,
 )
 from uvlens.sources.sinks import as_messages
 from uvlens.sources.tables import read_table
@@ -116,14 +116,15 @@ def parse_behaviors(spark, sf_dir):
     lenient JSON (unquoted names, single quotes) and the props text, which
     lacks the fields and must be rejected."""
     ev = read_table(spark, sf_dir, "events")
-    strict = events_as_messages(ev).withColumn("source", F.lit("json"))
-    lenient = ev.select(
-        "event_id",
-        F.concat(F.lit("{userId:'"), F.col("user_id").cast("string"), F.lit("',page:'"),
-                 F.col("event_type"), F.lit("',behaviorTime:"),
-                 F.expr(TM.epoch_ms_sql("ts")).cast("string"), F.lit("}")).alias("value"),
-        F.lit("lenient").alias("source"))
-    props = ev.select("event_id", F.col("props").alias("value"), F.lit("props").alias("source"))
-    raw = strict.unionByName(lenient).unionByName(props)
+    ms = F.expr(TM.epoch_ms_sql("ts"))
+    strict = F.to_json(F.struct(F.col("user_id").cast("string").alias("userId"),
+                                F.col("event_type").alias("page"), ms.alias("behaviorTime")))
+    lenient = F.concat(F.lit("{userId:'"), F.col("user_id").cast("string"), F.lit("',page:'"),
+                       F.col("event_type"), F.lit("',behaviorTime:"), ms.cast("string"), F.lit("}"))
+    # one scan: every event expands into its three message renderings
+    raw = ev.select("event_id", F.inline(F.array(
+        F.struct(F.lit("json").alias("source"), strict.alias("value")),
+        F.struct(F.lit("lenient").alias("source"), lenient.alias("value")),
+        F.struct(F.lit("props").alias("source"), F.col("props").alias("value")))))
     return parse_messages(raw).select("event_id", "source", "user_id", "page", "behavior_ms",
                                       "valid")

@@ -127,6 +127,11 @@ def start(spark: SparkSession, args):
                                  batch_time("behavior_ms", args.bucket_n, args.bucket_unit,
                                               args.zone).alias("window_time"))
             store.write_batch(keyed, batch_id)
+            if args.sink == "console":
+                # read back the current UV of the buckets this batch touched
+                touched = keyed.select("page", "window_time").distinct()
+                for r in store.lookup(touched).toLocalIterator():
+                    print(f"page:{r.page},batch time:{r.window_time},uv:{r.uv}")
         w = b.writeStream.foreachBatch(write)
     elif args.strategy in ("new-visitors", "cumulative"):
         adm = J.admissions_stream(b, int(args.ttl_hours * 3_600_000), args.delay)
