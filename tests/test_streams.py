@@ -102,3 +102,21 @@ def test_store_seeded_admissions_equal_batch_fold(spark):
     b = behaviors_from_events(spark.read.parquet(f"{SF}/events.parquet"))
     want = {tuple(r) for r in ttl_admissions(b, ttl).select("page", "user_id", "admit_ms").collect()}
     assert got == want
+
+
+def test_cumulative_streams_equal_batch_over_three_batches(spark):
+    from uvlens.operators.admissions import uv_cumulative
+    folder = stage(spark, MIDDAY_CUTS)
+
+    def s():
+        return stream_behaviors(spark, folder, glob="events-*.parquet", max_files=1)
+    new_log = J.run_update(spark, J.first_seen_stream(s(), "30 seconds"), "t-cum-new")
+    act_log = J.run_update(spark, J.active_windows_stream(s(), "30 seconds"), "t-cum-act")
+    new = J.read_changelog(spark, new_log, "page STRING, window_time BIGINT, new_users BIGINT",
+                           ["page", "window_time"], ["new_users"])
+    act = J.read_changelog(spark, act_log, "page STRING, window_time BIGINT, first_ms BIGINT",
+                           ["page", "window_time"], ["first_ms"]).drop("first_ms")
+    got = {tuple(r) for r in J.cumulative_from(act, new).collect()}
+    b = behaviors_from_events(spark.read.parquet(f"{SF}/events.parquet"))
+    want = {tuple(r) for r in uv_cumulative(b, 30_000).collect()}
+    assert got == want

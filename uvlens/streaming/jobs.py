@@ -52,15 +52,25 @@ def hll_uv_stream(behaviors: DataFrame, width: str = "1 minute", delay: str = "1
             .select("page", _window_end().alias("window_time"), "uv"))
 
 
-def active_windows_stream(behaviors: DataFrame, width: str) -> DataFrame:
-    return (behaviors.groupBy("page", F.window("behavior_time", width))
+def active_windows_stream(behaviors: DataFrame, width: str,
+                          delay: str = "10 minutes") -> DataFrame:
+    """Windows holding events; window state is evicted by the watermark."""
+    return (behaviors.withWatermark("behavior_time", delay)
+            .groupBy("page", F.window("behavior_time", width))
             .agg(F.min("behavior_ms").alias("first_ms"))
             .select("page", _window_end().alias("window_time"), "first_ms"))
 
 
-def first_seen_stream(behaviors: DataFrame, width: str) -> DataFrame:
-    """New users per window: the first event of each (page, user) ever."""
-    return (behaviors.dropDuplicates(["page", "user_id"])
+def first_seen_stream(behaviors: DataFrame, width: str,
+                      delay: str = "10 minutes") -> DataFrame:
+    """New users per window: the first event of each (page, user) ever.
+
+    The (page, user) dedup state is the set of users seen so far, which is
+    what a cumulative count without expiry needs; the per-window counts are
+    evicted by the watermark. For bounded state use the TTL forms.
+    """
+    return (behaviors.withWatermark("behavior_time", delay)
+            .dropDuplicates(["page", "user_id"])
             .groupBy("page", F.window("behavior_time", width))
             .agg(F.count(F.lit(1)).cast("bigint").alias("new_users"))
             .select("page", _window_end().alias("window_time"), "new_users"))
@@ -147,6 +157,19 @@ def admissions_store_stream(spark: SparkSession, behaviors: DataFrame, ttl_ms: i
 
 # --- running a stream to completion ------------------------------------------------
 
+# name -> state rows / bytes of the last run, from the streaming progress report
+STATE_METRICS: dict[str, dict[str, int]] = {}
+
+
+def _record_state(name: str, q) -> None:
+    rows = mem = 0
+    for p in q.recentProgress or []:
+        ops = p.get("stateOperators", []) if isinstance(p, dict) else []
+        if ops:  # peak over the micro-batches
+            rows = max(rows, sum(int(o.get("numRowsTotal", 0)) for o in ops))
+            mem = max(mem, sum(int(o.get("memoryUsedBytes", 0)) for o in ops))
+    STATE_METRICS[name] = {"peak_state_rows": rows, "peak_state_bytes": mem}
+
 def _changelog_writer(path: str) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
         (batch.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
@@ -164,6 +187,7 @@ def run_update(spark: SparkSession, result: DataFrame, name: str) -> str:
          .foreachBatch(_changelog_writer(out))
          .trigger(availableNow=True).start())
     q.awaitTermination()
+    _record_state(name, q)
     return out
 
 
@@ -174,6 +198,7 @@ def run_append(spark: SparkSession, result: DataFrame, name: str) -> str:
          .option("checkpointLocation", scratch_path(spark, f"ckpt-{name}"))
          .trigger(availableNow=True).start())
     q.awaitTermination()
+    _record_state(name, q)
     return out
 
 
