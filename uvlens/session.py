@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -23,13 +22,38 @@ DEFAULT_CONF = {
 }
 
 
+# Settings for a large cluster (hundreds of executors, tens of TB). Shuffles
+# start with many partitions and AQE coalesces them to ~256 MiB each, so a
+# stage never has partitions that outgrow executor memory; input splits are
+# 256 MiB; skewed partitions over 5x the median (and 512 MiB) are split.
+# RocksDB state with changelog checkpointing keeps large streaming state on
+# local disk with small incremental checkpoints.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+}
+
+
 def build_session(master: str | None = None, app: str = "uvlens",
                   shuffle_partitions: int | None = None,
-                  extra: dict[str, str] | None = None) -> SparkSession:
+                  extra: dict[str, str] | None = None,
+                  cluster: bool = False) -> SparkSession:
+    """Session with DEFAULT_CONF; ``cluster=True`` adds CLUSTER_CONF; values in
+    ``extra`` win over both."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if cluster:
+        conf.update(CLUSTER_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -64,18 +88,3 @@ def scratch_path(spark: SparkSession, kind: str) -> str:
     """A fresh, unique folder below the shared checkpoint root."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/uvlens/{kind}/{uuid.uuid4().hex}"
-
-
-def local_path(path: str) -> str | None:
-    """Local file-system path for ``file:`` or bare paths, else None."""
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    if "://" in path:
-        return None
-    return path
-
-
-def ensure_dir(path: str) -> None:
-    lp = local_path(path)
-    if lp is not None:
-        os.makedirs(lp, exist_ok=True)
