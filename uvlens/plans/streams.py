@@ -93,6 +93,22 @@ def stream_uv_new_visitors(spark, sf_dir):
             .select("page", "window_time", F.coalesce("new_users", F.lit(0)).cast("bigint").alias("uv")))
 
 
+@register("stream_uv_new_visitors_wm", ORACLE["uv_new_visitors"])
+def stream_uv_new_visitors_wm(spark, sf_dir):
+    """A5 with built-in dedup state (dropDuplicatesWithinWatermark); the
+    retention (40 days) exceeds the data, so every first visit counts."""
+    new_log = J.run_update(spark, J.new_visitors_within_watermark_stream(
+        _stream(spark, sf_dir), "1 minute", "40 days"), "nv-wm")
+    act_log = J.run_update(spark, J.active_windows_stream(_stream(spark, sf_dir), "1 minute"),
+                           "nv-wm-active")
+    new = J.read_changelog(spark, new_log, "page STRING, window_time BIGINT, new_users BIGINT",
+                           ["page", "window_time"], ["new_users"])
+    act = J.read_changelog(spark, act_log, "page STRING, window_time BIGINT, first_ms BIGINT",
+                           ["page", "window_time"], ["first_ms"])
+    return (act.join(new, ["page", "window_time"], "left")
+            .select("page", "window_time", F.coalesce("new_users", F.lit(0)).cast("bigint").alias("uv")))
+
+
 @register("stream_uv_new_visitors_ttl", ORACLE["uv_new_visitors_ttl"])
 def stream_uv_new_visitors_ttl(spark, sf_dir):
     """A5 with a 1-hour entry TTL on a stream: every micro-batch is folded as

@@ -29,6 +29,7 @@ SELECT page, (behavior_ms // 3600000 + 1) * 3600000 AS window_time,
        count(DISTINCT user_id)::BIGINT AS uv
 FROM b GROUP BY 1, 2""")
 def uv_exact_hour(spark, sf_dir):
+    """A1 with 1-hour windows."""
     return uv_per_window(_b(spark, sf_dir), HOUR, "exact")
 
 
@@ -38,6 +39,7 @@ SELECT page, (behavior_ms // 86400000 + 1) * 86400000 AS window_time,
        count(DISTINCT user_id)::BIGINT AS uv
 FROM b GROUP BY 1, 2""")
 def uv_exact_day(spark, sf_dir):
+    """A1 with 1-day windows."""
     return uv_per_window(_b(spark, sf_dir), DAY, "exact")
 
 

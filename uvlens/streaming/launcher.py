@@ -46,8 +46,9 @@ STRATEGIES = ("exact", "cumulative", "hll", "hll-store", "new-visitors", "slots"
 
 def source(spark: SparkSession, args) -> DataFrame:
     if args.source == "kafka":
+        extra = {"maxOffsetsPerTrigger": str(args.max_offsets)} if args.max_offsets else {}
         return stream_behaviors_from_messages(kafka_messages(spark, args.servers, args.topic,
-                                                             args.starting_offsets))
+                                                             args.starting_offsets, **extra))
     if args.source == "json":
         return stream_behaviors_from_messages(json_line_messages(spark, args.path, args.max_files))
     return stream_behaviors(spark, args.path, glob=args.glob, max_files=args.max_files)
@@ -152,7 +153,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--starting-offsets", default="latest")
     p.add_argument("--path")
     p.add_argument("--glob")
-    p.add_argument("--max-files", type=int)
+    p.add_argument("--max-files", type=int, help="files per micro-batch (file sources)")
+    p.add_argument("--max-offsets", type=int, help="records per micro-batch (Kafka)")
     p.add_argument("--sink", choices=("console", "parquet"), default="console")
     p.add_argument("--out")
     p.add_argument("--checkpoint")
