@@ -111,7 +111,7 @@ def ttl_admissions(behaviors: DataFrame, ttl_ms: int, keys: Sequence[str] = KEYS
     their bounds by two windows over the same key partitioning, one join
     back to the events on (keys, bucket). A short session sends only its
     first event to the fold (which then emits just that event); a long one
-    sends all of them. Duplicate times need no dedup: the fold skips them.
+    sends its distinct event times.
     """
     keys = list(keys)
     ttl_ms = int(ttl_ms)
@@ -122,9 +122,12 @@ def ttl_admissions(behaviors: DataFrame, ttl_ms: int, keys: Sequence[str] = KEYS
               .withColumn("s_min", F.min("mn").over(ws))
               .withColumn("long", F.max("mx").over(ws) - F.col("s_min") >= ttl_ms)
               .select(*keys, "tb", "session", "s_min", "long"))
+    # Distinct (key, session, ms): a partial aggregate that spreads a hot key
+    # over its timestamps, so the ordered input of a session is bounded by
+    # its span in milliseconds, not by its event count.
     rows = (ev.join(bounds, [*keys, "tb"])
             .where(F.col("long") | (F.col(ms) == F.col("s_min")))
-            .select(*keys, "session", ms))
+            .select(*keys, "session", ms).distinct())
     out_schema = T.StructType([behaviors.schema[k] for k in keys]
                               + [T.StructField("admit_ms", T.LongType())])
     return (rows.repartition(*keys, "session")
