@@ -73,3 +73,17 @@ def test_cumulative_without_ttl_never_resets(mk):
     df = mk([("u", "p", BASE_MS), ("v", "p", BASE_MS + 5 * HOUR), ("u", "p", BASE_MS + 9 * HOUR)])
     assert _series(uv_cumulative(df, 30_000)) == [1, 2, 2]
     assert _series(uv_new_visitors(df, MINUTE)) == [1, 1, 0]
+
+
+def test_dense_session_across_small_arrow_batches(mk, spark):
+    # one session with many events per 1,024-ms piece, folded across batches
+    rnd = random.Random(11)
+    ttl = 5000
+    events = [(7, "p", t) for t in sorted(rnd.randrange(200_000) for _ in range(20_000))]
+    events += [(8, "p", t) for t in range(0, 200_000, 333)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
+    try:
+        got = {(r.page, r.user_id, r.admit_ms) for r in ttl_admissions(mk(events), ttl).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == _brute(events, ttl)

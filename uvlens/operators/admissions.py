@@ -24,10 +24,12 @@ partial aggregation. With TTL the admission chain is sequential per
    independent and a hot (page, user) is split into many of them.
 2. Sessions shorter than ``ttl`` have exactly one admission, their first
    event: pure aggregation.
-3. Only longer sessions go through an ordered fold: hash-partitioned by
-   session, sorted within partitions, and scanned by ``mapInPandas`` with
-   O(1) carried state (binary search for the next admission), so a session
-   is streamed in Arrow batches and never held whole in memory.
+3. Only longer sessions go through an ordered fold. Their distinct times
+   are packed into sorted arrays per 1,024-ms piece (partial aggregation, so
+   a hot key's duplicates collapse map-side); the pieces are hash-partitioned
+   by session, sorted, and scanned by ``mapInPandas`` with O(1) carried
+   state (binary search for the next admission). A session is streamed in
+   Arrow batches and never held whole in memory.
 """
 
 from __future__ import annotations
@@ -62,8 +64,14 @@ def _sessions(times: DataFrame, keys: list[str], ttl_ms: int, ms: str) -> DataFr
             .select(*keys, "tb", "session", "mn", "mx"))
 
 
-def _fold_sorted(keys: list[str], ms: str, ttl_ms: int):
-    """mapInPandas body: rows arrive sorted by (keys, session, ms)."""
+PIECE_MS = 1024  # width of the time pieces whose distinct times travel as one array
+
+
+def _fold_pieces(keys: list[str], ttl_ms: int):
+    """mapInPandas body: rows (keys..., session, piece, times) arrive sorted
+    by (keys, session, piece); ``times`` is the sorted array of distinct
+    event times of the piece. The chain state (key, last admission) is
+    carried across rows and Arrow batches."""
     group_cols = keys + ["session"]
 
     def fold(batches):
@@ -74,7 +82,7 @@ def _fold_sorted(keys: list[str], ms: str, ttl_ms: int):
             if n == 0:
                 continue
             cols = [pdf[c].to_numpy() for c in group_cols]
-            t = pdf[ms].to_numpy(dtype=np.int64)
+            pieces = pdf["times"].to_numpy()
             change = np.zeros(n, dtype=bool)
             change[0] = True
             for c in cols:
@@ -84,11 +92,10 @@ def _fold_sorted(keys: list[str], ms: str, ttl_ms: int):
             rows, admits = [], []
             for s, e in zip(starts, ends):
                 key = tuple(c[s] for c in cols)
-                seg = t[s:e]
-                if key == carry_key and carry_last is not None:
-                    pos = int(np.searchsorted(seg, carry_last + ttl_ms, side="left"))
-                else:
-                    pos, carry_last = 0, None
+                if key != carry_key:
+                    carry_last = None
+                seg = np.concatenate([np.asarray(p, dtype=np.int64) for p in pieces[s:e]])
+                pos = 0 if carry_last is None else int(np.searchsorted(seg, carry_last + ttl_ms))
                 while pos < len(seg):
                     carry_last = int(seg[pos])
                     rows.append(s)
@@ -111,7 +118,7 @@ def ttl_admissions(behaviors: DataFrame, ttl_ms: int, keys: Sequence[str] = KEYS
     their bounds by two windows over the same key partitioning, one join
     back to the events on (keys, bucket). A short session sends only its
     first event to the fold (which then emits just that event); a long one
-    sends its distinct event times.
+    sends its distinct event times, as sorted arrays per time piece.
     """
     keys = list(keys)
     ttl_ms = int(ttl_ms)
@@ -122,17 +129,20 @@ def ttl_admissions(behaviors: DataFrame, ttl_ms: int, keys: Sequence[str] = KEYS
               .withColumn("s_min", F.min("mn").over(ws))
               .withColumn("long", F.max("mx").over(ws) - F.col("s_min") >= ttl_ms)
               .select(*keys, "tb", "session", "s_min", "long"))
-    # Distinct (key, session, ms): a partial aggregate that spreads a hot key
-    # over its timestamps, so the ordered input of a session is bounded by
-    # its span in milliseconds, not by its event count.
+    # Distinct times per (key, session, 1,024-ms piece) as one sorted array
+    # (at most 1,024 entries by construction). collect_set is partially
+    # aggregated before the shuffle, so duplicates of a hot key collapse
+    # map-side; a session's ordered input is bounded by its span, and the
+    # sort before the fold handles one row per piece, not per event.
     rows = (ev.join(bounds, [*keys, "tb"])
             .where(F.col("long") | (F.col(ms) == F.col("s_min")))
-            .select(*keys, "session", ms).distinct())
+            .groupBy(*keys, "session", F.expr(f"{ms} div {PIECE_MS}").alias("piece"))
+            .agg(F.array_sort(F.collect_set(ms)).alias("times")))
     out_schema = T.StructType([behaviors.schema[k] for k in keys]
                               + [T.StructField("admit_ms", T.LongType())])
     return (rows.repartition(*keys, "session")
-            .sortWithinPartitions(*keys, "session", ms)
-            .mapInPandas(_fold_sorted(keys, ms, ttl_ms), out_schema))
+            .sortWithinPartitions(*keys, "session", "piece")
+            .mapInPandas(_fold_pieces(keys, ttl_ms), out_schema))
 
 
 def admission_times(behaviors: DataFrame, ttl_ms: int | None = None,
