@@ -67,10 +67,10 @@ def stream_uv_append(spark, sf_dir):
 def stream_uv_cumulative(spark, sf_dir):
     """A2 as streams: first-seen users per 30-s window and active windows,
     both in update mode; running sum over the final change logs."""
-    s = _stream(spark, sf_dir)
-    new_log = J.run_update(spark, J.first_seen_stream(s, "30 seconds"), "cum-new")
-    act_log = J.run_update(spark, J.active_windows_stream(_stream(spark, sf_dir), "30 seconds"),
-                           "cum-active")
+    new_log, act_log = J.await_all(
+        J.start_update(spark, J.first_seen_stream(_stream(spark, sf_dir), "30 seconds"), "cum-new"),
+        J.start_update(spark, J.active_windows_stream(_stream(spark, sf_dir), "30 seconds"),
+                       "cum-active"))
     new = J.read_changelog(spark, new_log, "page STRING, window_time BIGINT, new_users BIGINT",
                            ["page", "window_time"], ["new_users"])
     act = J.read_changelog(spark, act_log, "page STRING, window_time BIGINT, first_ms BIGINT",
@@ -82,9 +82,10 @@ def stream_uv_cumulative(spark, sf_dir):
 def stream_uv_new_visitors(spark, sf_dir):
     """A5 without expiry as streams: first-seen users per minute, 0 for
     windows with events but no new user."""
-    new_log = J.run_update(spark, J.first_seen_stream(_stream(spark, sf_dir), "1 minute"), "nv-new")
-    act_log = J.run_update(spark, J.active_windows_stream(_stream(spark, sf_dir), "1 minute"),
-                           "nv-active")
+    new_log, act_log = J.await_all(
+        J.start_update(spark, J.first_seen_stream(_stream(spark, sf_dir), "1 minute"), "nv-new"),
+        J.start_update(spark, J.active_windows_stream(_stream(spark, sf_dir), "1 minute"),
+                       "nv-active"))
     new = J.read_changelog(spark, new_log, "page STRING, window_time BIGINT, new_users BIGINT",
                            ["page", "window_time"], ["new_users"])
     act = J.read_changelog(spark, act_log, "page STRING, window_time BIGINT, first_ms BIGINT",
@@ -97,10 +98,11 @@ def stream_uv_new_visitors(spark, sf_dir):
 def stream_uv_new_visitors_wm(spark, sf_dir):
     """A5 with built-in dedup state (dropDuplicatesWithinWatermark); the
     retention (40 days) exceeds the data, so every first visit counts."""
-    new_log = J.run_update(spark, J.new_visitors_within_watermark_stream(
-        _stream(spark, sf_dir), "1 minute", "40 days"), "nv-wm")
-    act_log = J.run_update(spark, J.active_windows_stream(_stream(spark, sf_dir), "1 minute"),
-                           "nv-wm-active")
+    new_log, act_log = J.await_all(
+        J.start_update(spark, J.new_visitors_within_watermark_stream(
+            _stream(spark, sf_dir), "1 minute", "40 days"), "nv-wm"),
+        J.start_update(spark, J.active_windows_stream(_stream(spark, sf_dir), "1 minute"),
+                       "nv-wm-active"))
     new = J.read_changelog(spark, new_log, "page STRING, window_time BIGINT, new_users BIGINT",
                            ["page", "window_time"], ["new_users"])
     act = J.read_changelog(spark, act_log, "page STRING, window_time BIGINT, first_ms BIGINT",
@@ -115,15 +117,16 @@ def stream_uv_new_visitors_ttl(spark, sf_dir):
     a batch job seeded by earlier admissions younger than the TTL; admitted
     users are counted per minute. (``jobs.admissions_stream`` is the same
     rule as arbitrary keyed state.)"""
+    active = J.start_update(spark, J.active_windows_stream(_stream(spark, sf_dir), "1 minute"),
+                            "nvt-active")
     out = J.admissions_store_stream(spark, _stream(spark, sf_dir), U.TTL_TEST_MS,
                                     scratch_path(spark, "adm-store"), "nv-ttl")
+    (act_log,) = J.await_all(active)
     admitted = spark.read.schema(f"{J.ADMIT_SCHEMA}, batch_id BIGINT").parquet(out)
     per_window = (admitted.select("page", "user_id",
                                   TM.window_end_ms("admit_ms", MINUTE).alias("window_time"))
                   .groupBy("page", "window_time")
                   .agg(F.count_distinct("user_id").alias("new_users")))
-    act_log = J.run_update(spark, J.active_windows_stream(_stream(spark, sf_dir), "1 minute"),
-                           "nvt-active")
     act = J.read_changelog(spark, act_log, "page STRING, window_time BIGINT, first_ms BIGINT",
                            ["page", "window_time"], ["first_ms"])
     return (act.join(per_window, ["page", "window_time"], "left")

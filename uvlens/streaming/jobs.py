@@ -10,6 +10,7 @@ partition, so a replayed batch is idempotent.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import numpy as np
@@ -193,28 +194,43 @@ def _changelog_writer(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def run_update(spark: SparkSession, result: DataFrame, name: str) -> str:
-    """Run an update-mode stream to the end of the available input; returns
-    the change-log folder (one partition per micro-batch)."""
+def start_update(spark: SparkSession, result: DataFrame, name: str):
+    """Start an update-mode stream over the available input; returns
+    (query, change-log folder with one partition per micro-batch)."""
     out = scratch_path(spark, f"changelog-{name}")
-    q = (result.writeStream.outputMode("update")
+    q = (result.writeStream.outputMode("update").queryName(f"{name}-{uuid.uuid4().hex[:8]}")
          .option("checkpointLocation", scratch_path(spark, f"ckpt-{name}"))
          .foreachBatch(_changelog_writer(out))
          .trigger(availableNow=True).start())
-    q.awaitTermination()
-    _record_state(name, q)
-    return out
+    return q, out, name
 
 
-def run_append(spark: SparkSession, result: DataFrame, name: str) -> str:
+def start_append(spark: SparkSession, result: DataFrame, name: str):
     out = scratch_path(spark, f"append-{name}")
     q = (result.writeStream.outputMode("append").format("parquet")
+         .queryName(f"{name}-{uuid.uuid4().hex[:8]}")
          .option("path", out)
          .option("checkpointLocation", scratch_path(spark, f"ckpt-{name}"))
          .trigger(availableNow=True).start())
-    q.awaitTermination()
-    _record_state(name, q)
-    return out
+    return q, out, name
+
+
+def await_all(*handles) -> list[str]:
+    """Wait for streams started together (their fixed costs overlap)."""
+    outs = []
+    for q, out, name in handles:
+        q.awaitTermination()
+        _record_state(name, q)
+        outs.append(out)
+    return outs
+
+
+def run_update(spark: SparkSession, result: DataFrame, name: str) -> str:
+    return await_all(start_update(spark, result, name))[0]
+
+
+def run_append(spark: SparkSession, result: DataFrame, name: str) -> str:
+    return await_all(start_append(spark, result, name))[0]
 
 
 def read_changelog(spark: SparkSession, path: str, schema: str, keys: list[str],
