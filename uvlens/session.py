@@ -65,23 +65,32 @@ def build_session(master: str | None = None, app: str = "uvlens",
     return spark
 
 
+_FALLBACK_ROOT: str | None = None
+
+
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder for checkpoints and scratch data.
 
-    On a cluster this is set by the deployment and points at shared storage;
-    only when it is unset (local tests) a folder under the temp dir is made.
+    In order: ``spark.checkpoint.dir`` from the session (set by the
+    deployment to shared storage), the context's checkpoint folder (set by
+    the application), and only when neither exists (local tests) a folder
+    under the temp dir, which is then registered as the checkpoint folder.
     """
+    global _FALLBACK_ROOT
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="uvlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
+    if root:
+        return root
     try:
         sc = spark.sparkContext
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(root)
     except Exception:  # Spark Connect has no SparkContext
-        pass
-    return root
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    if _FALLBACK_ROOT is None:
+        _FALLBACK_ROOT = tempfile.mkdtemp(prefix="uvlens-ckpt-")
+    if sc is not None:
+        sc.setCheckpointDir(_FALLBACK_ROOT)
+    return _FALLBACK_ROOT
 
 
 def scratch_path(spark: SparkSession, kind: str) -> str:
