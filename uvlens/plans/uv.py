@@ -3,10 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
-from uvlens.operators.windows import DAY, HOUR, MINUTE, uv_per_window
+from uvlens.operators import sketches as S
+from uvlens.operators.admissions import uv_cumulative, uv_new_visitors
+from uvlens.operators.strategies import count_bitmaps
+from uvlens.operators.windows import DAY, HOUR, MINUTE, page_views, uv_per_batch_time, uv_per_window
 from uvlens.plans.registry import B_SQL, register
-from uvlens.sources.behaviors import load_behaviors
+from uvlens.session import scratch_path
+from uvlens.sources.behaviors import behaviors_from_events, load_behaviors
+from uvlens.sources.tables import read_table
 
 
 def _b(spark: SparkSession, sf_dir: str):
@@ -47,16 +53,6 @@ def uv_exact_day(spark, sf_dir):
 # The sketch is checked against the exact count: ``within_tol`` is true when
 # the estimate is within 3 % (at least 1) of the exact UV.
 
-import uuid  # noqa: E402
-
-from pyspark.sql import functions as F  # noqa: E402
-
-from uvlens.operators import sketches as S  # noqa: E402
-from uvlens.operators.admissions import uv_cumulative, uv_new_visitors  # noqa: E402
-from uvlens.operators.strategies import uv_exact as exact_uv  # noqa: E402
-from uvlens.operators.windows import page_views, uv_per_batch_time  # noqa: E402
-from uvlens.session import scratch_path  # noqa: E402
-
 TOL = 0.03
 
 
@@ -148,8 +144,7 @@ def uv_bitmap(spark, sf_dir):
 
 
 def _b_num(spark, sf_dir):
-    from uvlens.sources.tables import read_table
-    from uvlens.sources.behaviors import behaviors_from_events
+    """Behaviours that keep the numeric user id for bitmap strategies."""
     ev = read_table(spark, sf_dir, "events").withColumn("user_num", F.col("user_id"))
     return behaviors_from_events(ev, keep=("user_num",))
 
@@ -161,7 +156,6 @@ SELECT page, (behavior_ms // 86400000 + 1) * 86400000 AS window_time,
 FROM b GROUP BY 1, 2""")
 def uv_bitmap_rollup(spark, sf_dir):
     """Hourly bitmaps OR-merged into days, then counted."""
-    from uvlens.operators.strategies import count_bitmaps
     daily = S.rollup_bitmaps(S.window_bitmaps(_b_num(spark, sf_dir), HOUR), DAY)
     return count_bitmaps(daily, ["page", "window_time"])
 
