@@ -73,3 +73,34 @@ def test_gap_fill_ranges(spark):
     two = spark.createDataFrame([("p", 10 * day, 3), ("p", 13 * day, 1)],
                                 "page string, window_time bigint, uv bigint")
     assert [r.uv for r in gap_fill(two).orderBy("window_time").collect()] == [3, 0, 0, 1]
+
+
+def test_month_and_year_start_by_numbers(spark):
+    from zoneinfo import ZoneInfo
+    df = spark.createDataFrame([(2024, 2)], "y int, m int")
+    r = df.select(TM.month_start_of("y", "m", "Asia/Kolkata").alias("s"),
+                  TM.month_end_of("y", "m", "Asia/Kolkata").alias("e"),
+                  TM.year_start_of("y", "Asia/Kolkata").alias("ys")).first()
+    kol = ZoneInfo("Asia/Kolkata")
+    assert r.s == ms("2024-02-01 00:00:00.000", kol)
+    assert r.e == ms("2024-03-01 00:00:00.000", kol) - 1
+    assert r.ys == ms("2024-01-01 00:00:00.000", kol)
+
+
+def test_day_list_and_hour_in_half_hour_zone(spark):
+    a, b = ms("2024-01-30 10:00:00.000"), ms("2024-02-02 01:00:00.000")
+    df = spark.createDataFrame([(a, b)], "a bigint, b bigint")
+    r = df.select(TM.day_list("a", "b").alias("l"), TM.day_list("b", "a").alias("rev"),
+                  TM.day_list("a", "a").alias("one"),
+                  TM.calendar_start("a", "HOUR", "Asia/Kolkata").alias("h")).first()
+    assert r.l == ["2024-01-30", "2024-01-31", "2024-02-01", "2024-02-02"]
+    assert r.rev == [] and r.one == ["2024-01-30"]
+    assert r.h == ms("2024-01-30 09:30:00.000")   # 15:30 local is the hour start
+
+
+def test_parse_in_zone(spark):
+    from zoneinfo import ZoneInfo
+    df = spark.createDataFrame([("2024-03-10 12:00:00",), ("nonsense",)], "t string")
+    got = [r.m for r in df.select(TM.parse_ms("t", "yyyy-MM-dd HH:mm:ss", "America/New_York")
+                                  .alias("m")).collect()]
+    assert got == [ms("2024-03-10 12:00:00.000", ZoneInfo("America/New_York")), None]

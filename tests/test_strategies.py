@@ -66,3 +66,12 @@ def test_single_sketch_100_keys(spark):
     df = spark.range(100).selectExpr("concat('key:', id) AS user_id", "'k' AS page")
     est = distinct_users(df, ["page"], "hll").first().uv
     assert abs(est - 100) <= 3
+
+
+def test_reference_hashcode_contract(spark):
+    from uvlens.functions.keys import hashcode_abs, java_hashcode
+    df = spark.createDataFrame([("",), ("abc",), ("polygenelubricants",), (None,)], "s string")
+    rows = df.select(java_hashcode("s").alias("h"), hashcode_abs("s").alias("a")).collect()
+    # Java: "abc".hashCode() == 96354; "polygenelubricants".hashCode() == Integer.MIN_VALUE
+    assert [r.h for r in rows] == [0, 96354, -2147483648, None]
+    assert [r.a for r in rows] == [-1, 96354, -2147483648, -1]

@@ -75,5 +75,13 @@ def java_abs_hashcode(c) -> Column:
     return F.when(h == -2147483648, h).otherwise(F.abs(h))
 
 
+def hashcode_abs(c) -> Column:
+    """The reference's ``hashcode``: -1 for null or empty text, else the
+    absolute hash (the minimum int stays negative)."""
+    c = _c(c)
+    return F.when(c.isNull() | (F.length(c) == 0), F.lit(-1).cast("bigint")) \
+        .otherwise(java_abs_hashcode(c))
+
+
 def hash_bucket(c, n: int) -> Column:
     return F.pmod(java_hashcode(c), F.lit(int(n)))

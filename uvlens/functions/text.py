@@ -68,6 +68,7 @@ def has_special_char(c: str | Column) -> Column:
 
 RULES = {
     "is_empty": is_empty,
+    "is_not_empty": lambda c: ~is_empty(c),
     "is_phone": lambda c: matches(c, PHONE),
     "is_date": lambda c: matches(c, DATE),
     "is_double": lambda c: matches(c, DOUBLE),

@@ -92,7 +92,7 @@ def minute_start(ms: str) -> Column:
 
 # --- calendar buckets in a zone (B5, B7, B8, B9) ------------------------------
 
-CALENDAR_UNITS = ("DAY", "WEEK", "MONTH", "QUARTER", "YEAR")
+CALENDAR_UNITS = ("MINUTE", "HOUR", "DAY", "WEEK", "MONTH", "QUARTER", "YEAR")
 
 
 def calendar_start_sql(ms: str, unit: str, zone: str = "UTC") -> str:
@@ -127,6 +127,41 @@ def year_of(ms: str, zone: str = "UTC") -> Column:
     return F.expr(f"year({local_ts_sql(ms, zone)})")
 
 
+def month_start_of(year: str, month: str, zone: str = "UTC") -> Column:
+    """Epoch ms of local midnight on the first day of (year, month)."""
+    ntz = f"cast(make_date({year}, {month}, 1) as timestamp_ntz)"
+    return F.expr(local_to_ms_sql(ntz, zone))
+
+
+def month_end_of(year: str, month: str, zone: str = "UTC") -> Column:
+    """Last millisecond of (year, month) in local time."""
+    nxt = f"timestampadd(MONTH, 1, cast(make_date({year}, {month}, 1) as timestamp_ntz))"
+    return F.expr(f"({local_to_ms_sql(nxt, zone)} - 1)")
+
+
+def year_start_of(year: str, zone: str = "UTC") -> Column:
+    return month_start_of(year, "1", zone)
+
+
+def day_list(ms1: str, ms2: str, zone: str = "UTC") -> Column:
+    """Local days from ``ms1`` to ``ms2`` inclusive as 'yyyy-MM-dd' texts;
+    empty when the range is reversed (``sequence`` would count down)."""
+    d1 = f"cast({local_ts_sql(ms1, zone)} as date)"
+    d2 = f"cast({local_ts_sql(ms2, zone)} as date)"
+    return F.expr(f"CASE WHEN {d1} <= {d2} THEN transform(sequence({d1}, {d2}), "
+                  f"d -> date_format(d, 'yyyy-MM-dd')) ELSE cast(array() AS array<string>) END")
+
+
+def parse_ms(text: str, pattern: str, zone: str = "UTC") -> Column:
+    """Text in ``pattern`` read as wall-clock time in ``zone`` -> epoch ms;
+    null when the text does not fit. The parse itself carries an explicit
+    offset, so it never depends on the session time zone."""
+    wall = f"unix_millis(try_to_timestamp(concat({text}, ' +0000'), '{pattern} Z'))"
+    if zone.upper() == "UTC":
+        return F.expr(wall)
+    return F.expr(local_to_ms_sql(f"timestampadd(MILLISECOND, {wall}, {EPOCH})", zone))
+
+
 def day_time(year: str, day_index: str, zone: str = "UTC") -> Column:
     """Epoch ms of local midnight of day ``day_index`` (1-based) of ``year``."""
     ntz = (f"cast(date_add(make_date({year}, 1, 1), cast({day_index} - 1 as int))"

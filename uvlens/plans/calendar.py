@@ -256,9 +256,8 @@ FORMAT_PAIRS = (
 
 
 def parse_text_time(text: str, pattern: str) -> "F.Column":
-    """Parse text with a pattern as UTC wall-clock; null when it does not fit.
-    The explicit offset makes the parse independent of the session zone."""
-    return F.expr(f"unix_millis(try_to_timestamp(concat({text}, ' +0000'), '{pattern} Z'))")
+    """Parse text with a pattern as UTC wall-clock; null when it does not fit."""
+    return TM.parse_ms(text, pattern, ZONE)
 
 
 def _formats_sql() -> str:

@@ -35,6 +35,7 @@ def _duck_rule(rule: str, c: str) -> str:
         return f"coalesce(regexp_matches({c}, '{TX.full(p)}'), false)"
     special = {
         "is_empty": f"coalesce(regexp_matches({c}, '^{TX.JAVA_BLANK}*\\z'), true)",
+        "is_not_empty": f"NOT coalesce(regexp_matches({c}, '^{TX.JAVA_BLANK}*\\z'), true)",
         "is_number": f"({m(TX.NUMBER)} AND length({c}) > 0)",
         "has_special_char": f"coalesce(regexp_matches({c}, '{TX.SPECIAL_CHARS}'), false)",
     }
@@ -204,6 +205,8 @@ WITH h AS (SELECT doc_id, text, CASE WHEN length(text) = 0 THEN 0 ELSE {_DUCK_HA
 s AS (SELECT *, CASE WHEN u >= 2147483648 THEN u - 4294967296 ELSE u END AS hc FROM h)
 SELECT doc_id, md5(text) AS text_md5, substr(md5(text), 9, 16) AS text_md5_16,
        {_DUCK_B36} AS id_base36, hc::BIGINT AS text_hashcode,
+       (CASE WHEN length(text) = 0 THEN -1 WHEN hc = -2147483648 THEN hc ELSE abs(hc) END)::BIGINT
+         AS text_hashcode_abs,
        (((hc % 16) + 16) % 16)::BIGINT AS text_bucket16
 FROM s"""
 
@@ -218,6 +221,7 @@ def derive_keys(spark, sf_dir):
         K.md5_16("text").alias("text_md5_16"),
         K.base36("doc_id").alias("id_base36"),
         K.java_hashcode("text").alias("text_hashcode"),
+        K.hashcode_abs("text").alias("text_hashcode_abs"),
         K.hash_bucket("text", 16).cast("bigint").alias("text_bucket16"),
     )
 
