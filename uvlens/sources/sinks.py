@@ -24,10 +24,12 @@ def publish(messages: DataFrame, fmt: str = "kafka", **options: str) -> None:
     """Write ``(key, value)`` records; with ``fmt='kafka'`` pass
     ``kafka.bootstrap.servers`` and ``topic``. The Kafka connector must be on
     the classpath; any other batch format (e.g. ``json``) works the same."""
+    options = dict(options)
+    path = options.pop("path", None)
     w = messages.write.format(fmt)
     for k, v in options.items():
         w = w.option(k, v)
     if fmt == "kafka":
         w.save()
     else:
-        w.mode("append").save(options.get("path"))
+        w.mode("append").save(path)
