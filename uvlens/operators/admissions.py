@@ -52,10 +52,10 @@ def first_seen(behaviors: DataFrame, keys: Sequence[str] = KEYS,
     return behaviors.groupBy(*keys).agg(F.min(ms).alias("admit_ms"))
 
 
-def _sessions(times: DataFrame, keys: list[str], ttl_ms: int, ms: str) -> DataFrame:
-    """(keys..., tb, session) per non-empty TTL bucket."""
-    per_bucket = (times.groupBy(*keys, F.expr(f"{ms} div {ttl_ms}").alias("tb"))
-                  .agg(F.min(ms).alias("mn"), F.max(ms).alias("mx")))
+def _sessions_from_summary(per_bucket: DataFrame, keys: list[str], ttl_ms: int) -> DataFrame:
+    """(keys..., tb, session, mn, mx) from per-bucket (mn, mx) summaries:
+    a new session starts after every gap >= ttl between neighbouring
+    buckets. The window holds at most span/ttl rows per key."""
     w = Window.partitionBy(*keys).orderBy("tb")
     prev = F.lag("mx").over(w)
     brk = F.when(prev.isNull() | (F.col("mn") - prev >= ttl_ms), 1).otherwise(0)
@@ -64,6 +64,13 @@ def _sessions(times: DataFrame, keys: list[str], ttl_ms: int, ms: str) -> DataFr
             .select(*keys, "tb", "session", "mn", "mx"))
 
 
+def _sessions(times: DataFrame, keys: list[str], ttl_ms: int, ms: str) -> DataFrame:
+    """(keys..., tb, session, mn, mx) per non-empty TTL bucket of events."""
+    per_bucket = (times.groupBy(*keys, F.expr(f"{ms} div {ttl_ms}").alias("tb"))
+                  .agg(F.min(ms).alias("mn"), F.max(ms).alias("mx")))
+    return _sessions_from_summary(per_bucket, keys, ttl_ms)
+
+
 PIECE_MS = 1024  # width of the time pieces whose distinct times travel as one array
 
 
@@ -114,35 +121,48 @@ def ttl_admissions(behaviors: DataFrame, ttl_ms: int, keys: Sequence[str] = KEYS
                    ms: str = "behavior_ms") -> DataFrame:
     """Admission times per key under an entry TTL (exact, see module doc).
 
-    One pipeline, no branches: per-bucket (min, max) summaries, sessions and
-    their bounds by two windows over the same key partitioning, one join
-    back to the events on (keys, bucket). A short session sends only its
-    first event to the fold (which then emits just that event); a long one
-    sends its distinct event times, as sorted arrays per time piece.
+    Raw events are aggregated once, into *pieces*: per (key, 1,024-ms piece)
+    the sorted distinct times with their min and max (a partial aggregate,
+    so a hot key's duplicates collapse map-side). Everything after works on
+    pieces. A piece is assigned to the TTL bucket of its first event; a
+    bucket assigned this way still has no inner gap >= ttl (its pieces start
+    inside one TTL span and are no wider than the TTL), so sessions follow
+    from per-bucket (min, max) over pieces exactly as over events. Short
+    sessions yield their first time; pieces of long sessions are joined to
+    their session and folded in order.
     """
     keys = list(keys)
     ttl_ms = int(ttl_ms)
-    ev = behaviors.select(*keys, ms).withColumn("tb", F.expr(f"{ms} div {ttl_ms}"))
-    sessions = _sessions(ev, keys, ttl_ms, ms)
+    piece_ms = min(PIECE_MS, ttl_ms)  # a piece must not be wider than the TTL
+    pieces = (behaviors.groupBy(*keys, F.expr(f"{ms} div {piece_ms}").alias("piece"))
+              .agg(F.array_sort(F.collect_set(ms)).alias("times"),
+                   F.min(ms).alias("pmin"), F.max(ms).alias("pmax"))
+              .withColumn("tb", F.expr(f"pmin div {ttl_ms}")))
+    # Referencing ``times`` here (the filter is always true) keeps both
+    # branches on the identical piece aggregate, so its exchange is reused
+    # and the raw events are shuffled once.
+    summary = (pieces.groupBy(*keys, "tb")
+               .agg(F.min("pmin").alias("mn"), F.max("pmax").alias("mx"),
+                    F.sum(F.size("times")).alias("n_times"))
+               .where(F.col("n_times") > 0).drop("n_times"))
+    sessions = _sessions_from_summary(summary, keys, ttl_ms)
     ws = Window.partitionBy(*keys, "session")
     bounds = (sessions
               .withColumn("s_min", F.min("mn").over(ws))
-              .withColumn("long", F.max("mx").over(ws) - F.col("s_min") >= ttl_ms)
-              .select(*keys, "tb", "session", "s_min", "long"))
-    # Distinct times per (key, session, 1,024-ms piece) as one sorted array
-    # (at most 1,024 entries by construction). collect_set is partially
-    # aggregated before the shuffle, so duplicates of a hot key collapse
-    # map-side; a session's ordered input is bounded by its span, and the
-    # sort before the fold handles one row per piece, not per event.
-    rows = (ev.join(bounds, [*keys, "tb"])
-            .where(F.col("long") | (F.col(ms) == F.col("s_min")))
-            .groupBy(*keys, "session", F.expr(f"{ms} div {PIECE_MS}").alias("piece"))
-            .agg(F.array_sort(F.collect_set(ms)).alias("times")))
+              .withColumn("long", F.max("mx").over(ws) - F.col("s_min") >= ttl_ms))
+    short = (bounds.where(~F.col("long") & (F.col("mn") == F.col("s_min")))
+             .select(*keys, F.col("s_min").alias("admit_ms")))
+    # (pmax >= pmin always holds; it keeps this branch's piece aggregate
+    # identical to the summary branch's, so one exchange serves both)
+    long_pieces = (pieces.where(F.col("pmax") >= F.col("pmin"))
+                   .join(bounds.where("long").select(*keys, "tb", "session"), [*keys, "tb"])
+                   .select(*keys, "session", "piece", "times"))
     out_schema = T.StructType([behaviors.schema[k] for k in keys]
                               + [T.StructField("admit_ms", T.LongType())])
-    return (rows.repartition(*keys, "session")
-            .sortWithinPartitions(*keys, "session", "piece")
-            .mapInPandas(_fold_pieces(keys, ttl_ms), out_schema))
+    folded = (long_pieces.repartition(*keys, "session")
+              .sortWithinPartitions(*keys, "session", "piece")
+              .mapInPandas(_fold_pieces(keys, ttl_ms), out_schema))
+    return short.unionByName(folded)
 
 
 def admission_times(behaviors: DataFrame, ttl_ms: int | None = None,
