@@ -18,7 +18,14 @@ from pyspark.sql import types as T
 from uvlens.functions.time import format_ms
 
 
-def rank_slice(df: DataFrame, partition: Sequence[str], order: Sequence[Column],
+Order = tuple[str, bool]  # (column, ascending)
+
+
+def _cols(order: Sequence[Order], reverse: bool = False) -> list[Column]:
+    return [F.col(c).asc() if asc_ != reverse else F.col(c).desc() for c, asc_ in order]
+
+
+def rank_slice(df: DataFrame, partition: Sequence[str], order: Sequence[Order],
                start: int, end: int, pos: str = "pos") -> DataFrame:
     """Rows at positions ``start..end`` of each partition under ``order``.
 
@@ -30,14 +37,13 @@ def rank_slice(df: DataFrame, partition: Sequence[str], order: Sequence[Column],
     """
     part = list(partition)
     if start >= 0 and end >= 0:
-        w = Window.partitionBy(*part).orderBy(*order)
+        w = Window.partitionBy(*part).orderBy(*_cols(order))
         ranked = df.withColumn("_rn", F.row_number().over(w))
         return (ranked.where(F.col("_rn") <= end + 1).where(F.col("_rn") >= start + 1)
                 .withColumn(pos, (F.col("_rn") - 1).cast("bigint")).drop("_rn"))
-    rev = [_reverse(c) for c in order]
     sizes = df.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
     if start < 0 and end < 0:
-        w = Window.partitionBy(*part).orderBy(*rev)
+        w = Window.partitionBy(*part).orderBy(*_cols(order, reverse=True))
         ranked = (df.withColumn("_rd", F.row_number().over(w))
                   .where(F.col("_rd") <= -start).where(F.col("_rd") >= -end))
         return (ranked.join(sizes, part).withColumn(pos, (F.col("_n") - F.col("_rd")).cast("bigint"))
@@ -77,7 +83,7 @@ def _local_index(keys: list[str]):
     return fn
 
 
-def positions(df: DataFrame, partition: Sequence[str], order: Sequence[Column],
+def positions(df: DataFrame, partition: Sequence[str], order: Sequence[Order],
               pos: str = "pos", n_parts: int | None = None) -> DataFrame:
     """Exact 0-based position of every row in its partition under ``order``.
 
@@ -89,7 +95,7 @@ def positions(df: DataFrame, partition: Sequence[str], order: Sequence[Column],
     same assignment.
     """
     part = list(partition)
-    sort = [F.col(p).asc() for p in part] + list(order)
+    sort = [F.col(p).asc() for p in part] + _cols(order)
     n = n_parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = (df.repartitionByRange(n, *sort).sortWithinPartitions(*sort)
               .withColumn("_pid", F.spark_partition_id()))
@@ -105,22 +111,12 @@ def positions(df: DataFrame, partition: Sequence[str], order: Sequence[Column],
             .drop("_pid", "_local", "_off"))
 
 
-def _reverse(c: Column) -> Column:
-    # Column ordering objects cannot be inspected, so callers pass plain
-    # expressions wrapped by ``asc``/``desc`` helpers below.
-    return c._uvlens_rev if hasattr(c, "_uvlens_rev") else c
-
-
-def asc(name: str) -> Column:
-    c = F.col(name).asc()
-    c._uvlens_rev = F.col(name).desc()
-    return c
+def asc(name: str) -> Order:
+    return (name, True)
 
 
-def desc(name: str) -> Column:
-    c = F.col(name).desc()
-    c._uvlens_rev = F.col(name).asc()
-    return c
+def desc(name: str) -> Order:
+    return (name, False)
 
 
 def top_by_score(df: DataFrame, partition: Sequence[str], member: str, score: str,
