@@ -19,12 +19,14 @@ def json_folder(spark):
 
 
 @pytest.mark.parametrize("strategy", ["exact", "hash", "slots", "hll", "set-store",
-                                      "new-visitors"])
+                                      "new-visitors", "new-visitors/keyed"])
 def test_launcher_runs(spark, json_folder, strategy):
+    strategy, _, state = strategy.partition("/")
     out = scratch_path(spark, f"launch-{strategy}")
     args = L.parser().parse_args(["--strategy", strategy, "--source", "json", "--path", json_folder,
                                   "--sink", "parquet", "--out", out, "--once",
-                                  "--window", "1 hour", "--bucket-unit", "hours"])
+                                  "--window", "1 hour", "--bucket-unit", "hours",
+                                  "--state", state or "seeded"])
     L.start(spark, args).awaitTermination()
     df = spark.read.parquet(out)
     assert df.count() > 0

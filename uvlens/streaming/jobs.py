@@ -135,16 +135,10 @@ def admissions_stream(behaviors: DataFrame, ttl_ms: int, delay: str = "10 minute
                                     "append", GroupStateTimeout.EventTimeTimeout))
 
 
-def admissions_store_stream(spark: SparkSession, behaviors: DataFrame, ttl_ms: int,
-                            out: str, name: str = "adm-store", max_files: int | None = None):
-    """Exact TTL admissions of a stream without per-key Python calls.
-
-    Each micro-batch is folded as a batch job (sorted partitions through
-    ``mapInPandas``), seeded by the admissions of earlier batches that are
-    younger than the TTL relative to the batch; its admissions are written
-    to the ``batch_id`` partition of ``out``. Replaying a batch overwrites
-    its own partition and ignores it as a seed, so the result is unchanged.
-    """
+def seeded_admissions_writer(spark: SparkSession, ttl_ms: int, out: str,
+                             then: Callable[[DataFrame, int], None] | None = None):
+    """foreachBatch body: fold the micro-batch seeded by stored admissions,
+    store the new admissions under its ``batch_id`` and pass them on."""
     from uvlens.operators.admissions import continue_admissions
     ttl_ms = int(ttl_ms)
 
@@ -163,8 +157,24 @@ def admissions_store_stream(spark: SparkSession, behaviors: DataFrame, ttl_ms: i
         (adm.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(out))
+        if then is not None:
+            stored = (spark.read.schema(f"{ADMIT_SCHEMA}, batch_id BIGINT").parquet(out)
+                      .where(F.col("batch_id") == batch_id).drop("batch_id"))
+            then(stored, batch_id)
+    return write
 
-    q = (behaviors.writeStream.foreachBatch(write)
+
+def admissions_store_stream(spark: SparkSession, behaviors: DataFrame, ttl_ms: int,
+                            out: str, name: str = "adm-store", max_files: int | None = None):
+    """Exact TTL admissions of a stream without per-key Python calls.
+
+    Each micro-batch is folded as a batch job (sorted partitions through
+    ``mapInPandas``), seeded by the admissions of earlier batches that are
+    younger than the TTL relative to the batch; its admissions are written
+    to the ``batch_id`` partition of ``out``. Replaying a batch overwrites
+    its own partition and ignores it as a seed, so the result is unchanged.
+    """
+    q = (behaviors.writeStream.foreachBatch(seeded_admissions_writer(spark, ttl_ms, out))
          .option("checkpointLocation", scratch_path(spark, f"ckpt-{name}"))
          .trigger(availableNow=True).start())
     q.awaitTermination()

@@ -14,7 +14,8 @@ Strategies (one per reference plan):
 
 ==================  =====================================================
 exact               distinct users per window: dedup state + count (A1)
-cumulative          running distinct users per page, entry TTL (A2)
+cumulative          admitted users per window under the entry TTL; the running
+                    sum per page is taken when reading (``jobs.cumulative_from``) (A2)
 hll                 HLL sketch per window (A3)
 hll-store           per-batch sketches merged in a keyed store (A4, A10)
 new-visitors        users new to the page within the TTL, per window (A5)
@@ -135,9 +136,14 @@ def start(spark: SparkSession, args):
                     print(f"page:{r.page},batch time:{r.window_time},uv:{r.uv}")
         w = b.writeStream.foreachBatch(write)
     elif args.strategy in ("new-visitors", "cumulative"):
-        adm = J.admissions_stream(b, int(args.ttl_hours * 3_600_000), args.delay)
-        w = adm.writeStream.outputMode("append").foreachBatch(
-            _admission_counts(args, out))
+        ttl = int(args.ttl_hours * 3_600_000)
+        if args.state == "keyed":
+            adm = J.admissions_stream(b, ttl, args.delay)
+            w = adm.writeStream.outputMode("append").foreachBatch(_admission_counts(args, out))
+        else:
+            adm_out = args.admissions or scratch_path(spark, "admissions")
+            w = b.writeStream.foreachBatch(
+                J.seeded_admissions_writer(spark, ttl, adm_out, _admission_counts(args, out)))
     else:
         res = windowed_result(b, args)
         w = res.writeStream.outputMode(args.mode).foreachBatch(_sink_batch(args, out))
@@ -162,6 +168,10 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--window", default="1 minute")
     p.add_argument("--delay", default="10 minutes")
     p.add_argument("--ttl-hours", type=float, default=3.0)
+    p.add_argument("--state", choices=("seeded", "keyed"), default="seeded",
+                   help="TTL admissions: batch fold seeded from stored admissions, or "
+                        "applyInPandasWithState keyed by (page, user)")
+    p.add_argument("--admissions", help="folder of stored admissions (seeded state)")
     p.add_argument("--slots", type=int, default=DEFAULT_SLOTS)
     p.add_argument("--bucket-n", type=int, default=1)
     p.add_argument("--bucket-unit", default="minutes")
