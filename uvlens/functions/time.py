@@ -221,16 +221,3 @@ def days_between(ms1: str, ms2: str, zone: str = "UTC") -> Column:
 
 def format_ms(ms: str, pattern: str, zone: str = "UTC") -> Column:
     return F.expr(f"date_format({local_ts_sql(ms, zone)}, '{pattern}')")
-
-
-# The eight preset date formats of the reference's helpers.
-PRESET_FORMATS = (
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyyMMddHHmmss",
-    "yyyyMMddHHmm",
-    "yyyyMMddHH",
-    "yyyy-MM-dd",
-    "yyyyMMdd",
-    "HH:mm:ss",
-    "HH:mm",
-)

@@ -242,7 +242,8 @@ def gap_fill(daily: DataFrame, step_ms: int = 86_400_000) -> DataFrame:
             .select("page", "window_time", F.coalesce("uv", F.lit(0)).cast("bigint").alias("uv")))
 
 
-# Java preset patterns and their strftime equivalents.
+# The eight preset date formats of the reference, in its order,
+# each with the strftime equivalent used by the DuckDB oracle.
 FORMAT_PAIRS = (
     ("yyyy-MM-dd HH:mm:ss", "%Y-%m-%d %H:%M:%S"),
     ("yyyyMMddHHmmss", "%Y%m%d%H%M%S"),
