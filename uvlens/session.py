@@ -27,7 +27,10 @@ DEFAULT_CONF = {
 # stage never has partitions that outgrow executor memory; input splits are
 # 256 MiB; skewed partitions over 5x the median (and 512 MiB) are split.
 # RocksDB state with changelog checkpointing keeps large streaming state on
-# local disk with small incremental checkpoints.
+# local disk with small incremental checkpoints. A streaming query fixes its
+# number of state partitions from spark.sql.shuffle.partitions at its first
+# start; streams should override it to about 2-3x the total cores (the
+# launcher's --state-partitions).
 CLUSTER_CONF = {
     "spark.sql.shuffle.partitions": "8000",
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8000",

@@ -179,12 +179,19 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--trigger-seconds", type=int, default=5)
     p.add_argument("--once", action="store_true", help="process what is available, then stop")
     p.add_argument("--master")
+    p.add_argument("--cluster", action="store_true", help="apply the large-cluster settings")
+    p.add_argument("--state-partitions", type=int,
+                   help="state partitions of a new query (fixed in its checkpoint); "
+                        "about 2-3x the total cores")
     return p
 
 
 def main(argv=None) -> None:
     args = parser().parse_args(argv)
-    spark = build_session(args.master, app=f"uvlens-{args.strategy}")
+    extra = ({"spark.sql.shuffle.partitions": str(args.state_partitions)}
+             if args.state_partitions else None)
+    spark = build_session(args.master, app=f"uvlens-{args.strategy}", cluster=args.cluster,
+                          extra=extra)
     q = start(spark, args)
     q.awaitTermination()
 
