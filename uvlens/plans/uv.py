@@ -123,6 +123,20 @@ def uv_hash_slots(spark, sf_dir):
     return uv_per_window(_b(spark, sf_dir), DAY, "slots")
 
 
+@register("uv_hash_slots_corrected", f"""
+WITH {B_SQL},
+n AS (SELECT page, (behavior_ms // 86400000 + 1) * 86400000 AS window_time,
+             count(DISTINCT ('0x' || substr(md5(user_id), 1, 8))::BIGINT % 65536) AS occupied
+      FROM b GROUP BY 1, 2)
+SELECT page, window_time,
+       (CASE WHEN occupied >= 65536 THEN occupied
+             ELSE round(-65536.0 * ln(1 - occupied / 65536.0)) END)::BIGINT AS uv
+FROM n""")
+def uv_hash_slots_corrected(spark, sf_dir):
+    """A6 with the linear-counting correction -m ln(1 - n/m) of the slot count."""
+    return uv_per_window(_b(spark, sf_dir), DAY, "slots", correct=True)
+
+
 @register("uv_hash_exact", f"""
 WITH {B_SQL}
 SELECT page, (behavior_ms // 3600000 + 1) * 3600000 AS window_time,
