@@ -6,8 +6,10 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from uvlens.operators import sketches as S
-from uvlens.operators.admissions import uv_cumulative, uv_new_visitors
-from uvlens.operators.strategies import count_bitmaps
+from uvlens.functions.time import window_end_ms
+from uvlens.operators.admissions import ttl_admissions, uv_cumulative, uv_new_visitors
+from uvlens.operators.strategies import count_bitmaps, hll_sketch
+from uvlens.operators.strategies import uv_exact as exact_distinct
 from uvlens.operators.windows import DAY, HOUR, MINUTE, page_views, uv_per_batch_time, uv_per_window
 from uvlens.plans.registry import B_SQL, register
 from uvlens.session import scratch_path
@@ -248,6 +250,20 @@ def q_uv_new_visitors_ttl(spark, sf_dir):
     return uv_new_visitors(_b(spark, sf_dir), MINUTE, TTL_TEST_MS)
 
 
+@register("uv_new_visitors_hll", f"""
+WITH RECURSIVE {B_SQL}, {_ADM_TTL_SQL}
+SELECT DISTINCT page, (a // {MINUTE} + 1) * {MINUTE} AS window_time, true AS within_tol FROM adm""")
+def q_uv_new_visitors_hll(spark, sf_dir):
+    """A5 as the reference counts it: admitted users (1-hour TTL) added to an
+    HLL sketch per page and minute; estimate checked against the exact
+    count of admitted users."""
+    adm = (ttl_admissions(_b(spark, sf_dir), TTL_TEST_MS)
+           .select("page", "user_id", window_end_ms("admit_ms", MINUTE).alias("window_time")))
+    est = (adm.groupBy("page", "window_time")
+           .agg(F.hll_sketch_estimate(hll_sketch("user_id")).cast("bigint").alias("uv")))
+    return _tol_check(est, exact_distinct(adm, ["page", "window_time"]))
+
+
 CUM_W = 30_000
 
 
