@@ -9,7 +9,6 @@ from uvlens.operators import sketches as S
 from uvlens.functions.time import window_end_ms
 from uvlens.operators.admissions import ttl_admissions, uv_cumulative, uv_new_visitors
 from uvlens.operators.strategies import count_bitmaps, hll_sketch
-from uvlens.operators.strategies import uv_exact as exact_distinct
 from uvlens.operators.windows import DAY, HOUR, MINUTE, page_views, uv_per_batch_time, uv_per_window
 from uvlens.plans.registry import B_SQL, register
 from uvlens.session import scratch_path
@@ -70,6 +69,14 @@ SELECT DISTINCT page, (behavior_ms // {width} + 1) * {width} AS window_time, tru
 FROM b"""
 
 
+def _tol_in_one_pass(keyed, keys=("page", "window_time"), user: str = "user_id"):
+    """Estimate and exact count in one aggregate (one scan, one pipeline)."""
+    return (keyed.groupBy(*keys)
+            .agg(F.hll_sketch_estimate(hll_sketch(user)).alias("est"),
+                 F.count_distinct(user).alias("exact"))
+            .select(*keys, within_tol()))
+
+
 def _tol_check(estimates, exact):
     return (estimates.withColumnRenamed("uv", "est")
             .join(exact.withColumnRenamed("uv", "exact"), ["page", "window_time"])
@@ -79,8 +86,9 @@ def _tol_check(estimates, exact):
 @register("uv_hll", _tol_sql(MINUTE))
 def uv_hll(spark, sf_dir):
     """A3: HLL(2^14) per page per minute, checked against exact."""
-    b = _b(spark, sf_dir)
-    return _tol_check(uv_per_window(b, MINUTE, "hll"), uv_per_window(b, MINUTE, "exact"))
+    keyed = _b(spark, sf_dir).select("page", "user_id",
+                                     window_end_ms("behavior_ms", MINUTE).alias("window_time"))
+    return _tol_in_one_pass(keyed)
 
 
 @register("uv_hll_store", _tol_sql(MINUTE))
@@ -259,9 +267,7 @@ def q_uv_new_visitors_hll(spark, sf_dir):
     count of admitted users."""
     adm = (ttl_admissions(_b(spark, sf_dir), TTL_TEST_MS)
            .select("page", "user_id", window_end_ms("admit_ms", MINUTE).alias("window_time")))
-    est = (adm.groupBy("page", "window_time")
-           .agg(F.hll_sketch_estimate(hll_sketch("user_id")).cast("bigint").alias("uv")))
-    return _tol_check(est, exact_distinct(adm, ["page", "window_time"]))
+    return _tol_in_one_pass(adm)
 
 
 CUM_W = 30_000
