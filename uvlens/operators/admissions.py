@@ -133,6 +133,8 @@ def ttl_admissions(behaviors: DataFrame, ttl_ms: int, keys: Sequence[str] = KEYS
     """
     keys = list(keys)
     ttl_ms = int(ttl_ms)
+    if ttl_ms <= 0:
+        raise ValueError("ttl_ms must be positive")
     piece_ms = min(PIECE_MS, ttl_ms)  # a piece must not be wider than the TTL
     pieces = (behaviors.groupBy(*keys, F.expr(f"{ms} div {piece_ms}").alias("piece"))
               .agg(F.array_sort(F.collect_set(ms)).alias("times"),
@@ -166,7 +168,7 @@ def ttl_admissions(behaviors: DataFrame, ttl_ms: int, keys: Sequence[str] = KEYS
 
 
 def admission_times(behaviors: DataFrame, ttl_ms: int | None = None,
-               keys: Sequence[str] = KEYS) -> DataFrame:
+                    keys: Sequence[str] = KEYS) -> DataFrame:
     if ttl_ms is None:
         return first_seen(behaviors, keys)
     return ttl_admissions(behaviors, ttl_ms, keys)
