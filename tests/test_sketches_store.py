@@ -64,3 +64,10 @@ def test_hll_store_merges_batches(spark):
     store.write_batch(_batch(spark, [("p", 0, str(i)) for i in range(300)]), 0)
     store.write_batch(_batch(spark, [("p", 0, str(i)) for i in range(200, 500)]), 1)
     assert abs(store.uv().first().uv - 500) <= 15
+
+
+def test_empty_store_reads_as_empty(spark):
+    store = UVStore(spark, scratch_path(spark, "never-written"), "set")
+    assert store.uv().count() == 0
+    keys = spark.createDataFrame([("p", 0)], "page string, window_time bigint")
+    assert [r.uv for r in store.lookup(keys).collect()] == [0]

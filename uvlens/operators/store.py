@@ -53,8 +53,14 @@ class UVStore:
 
     # -- read -----------------------------------------------------------------
     def rows(self) -> DataFrame:
+        """All stored rows; empty before the first batch is written."""
         schema = SET_SCHEMA if self.kind == "set" else HLL_SCHEMA
-        return self.spark.read.schema(schema).parquet(self.root)
+        try:
+            return self.spark.read.schema(schema).parquet(self.root)
+        except Exception as e:  # noqa: BLE001
+            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+                raise
+            return self.spark.createDataFrame([], schema)
 
     def live_rows(self, as_of_ms: int | None = None) -> DataFrame:
         rows = self.rows()
