@@ -165,7 +165,7 @@ def seeded_admissions_writer(spark: SparkSession, ttl_ms: int, out: str,
 
 
 def admissions_store_stream(spark: SparkSession, behaviors: DataFrame, ttl_ms: int,
-                            out: str, name: str = "adm-store", max_files: int | None = None):
+                            out: str, name: str = "adm-store"):
     """Exact TTL admissions of a stream without per-key Python calls.
 
     Each micro-batch is folded as a batch job (sorted partitions through
