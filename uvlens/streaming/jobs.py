@@ -135,7 +135,7 @@ def admissions_stream(behaviors: DataFrame, ttl_ms: int, delay: str = "10 minute
                                     "append", GroupStateTimeout.EventTimeTimeout))
 
 
-def seeded_admissions_writer(spark: SparkSession, ttl_ms: int, out: str,
+def seeded_admissions_writer(ttl_ms: int, out: str,
                              then: Callable[[DataFrame, int], None] | None = None):
     """foreachBatch body: fold the micro-batch seeded by stored admissions,
     store the new admissions under its ``batch_id`` and pass them on."""
@@ -143,22 +143,23 @@ def seeded_admissions_writer(spark: SparkSession, ttl_ms: int, out: str,
     ttl_ms = int(ttl_ms)
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
         b = batch.select("page", "user_id", "behavior_ms")
         lo = b.agg(F.min("behavior_ms")).first()[0]
         if lo is None:
             return
         try:
-            prev = (spark.read.schema(f"{ADMIT_SCHEMA}, batch_id BIGINT").parquet(out)
+            prev = (session.read.schema(f"{ADMIT_SCHEMA}, batch_id BIGINT").parquet(out)
                     .where((F.col("batch_id") < batch_id)
                            & (F.col("admit_ms") > F.lit(int(lo) - ttl_ms))))
         except Exception:  # noqa: BLE001  (no earlier batch yet)
-            prev = spark.createDataFrame([], f"{ADMIT_SCHEMA}, batch_id BIGINT")
+            prev = session.createDataFrame([], f"{ADMIT_SCHEMA}, batch_id BIGINT")
         adm = continue_admissions(b, prev.drop("batch_id"), ttl_ms)
         (adm.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(out))
         if then is not None:
-            stored = (spark.read.schema(f"{ADMIT_SCHEMA}, batch_id BIGINT").parquet(out)
+            stored = (session.read.schema(f"{ADMIT_SCHEMA}, batch_id BIGINT").parquet(out)
                       .where(F.col("batch_id") == batch_id).drop("batch_id"))
             then(stored, batch_id)
     return write
@@ -174,7 +175,7 @@ def admissions_store_stream(spark: SparkSession, behaviors: DataFrame, ttl_ms: i
     to the ``batch_id`` partition of ``out``. Replaying a batch overwrites
     its own partition and ignores it as a seed, so the result is unchanged.
     """
-    q = (behaviors.writeStream.foreachBatch(seeded_admissions_writer(spark, ttl_ms, out))
+    q = (behaviors.writeStream.foreachBatch(seeded_admissions_writer(ttl_ms, out))
          .option("checkpointLocation", scratch_path(spark, f"ckpt-{name}"))
          .trigger(availableNow=True).start())
     q.awaitTermination()

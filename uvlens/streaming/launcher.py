@@ -143,7 +143,7 @@ def start(spark: SparkSession, args):
         else:
             adm_out = args.admissions or scratch_path(spark, "admissions")
             w = b.writeStream.foreachBatch(
-                J.seeded_admissions_writer(spark, ttl, adm_out, _admission_counts(args, out)))
+                J.seeded_admissions_writer(ttl, adm_out, _admission_counts(args, out)))
     else:
         res = windowed_result(b, args)
         w = res.writeStream.outputMode(args.mode).foreachBatch(_sink_batch(args, out))
