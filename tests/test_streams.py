@@ -120,3 +120,26 @@ def test_cumulative_streams_equal_batch_over_three_batches(spark):
     b = behaviors_from_events(spark.read.parquet(f"{SF}/events.parquet"))
     want = {tuple(r) for r in uv_cumulative(b, 30_000).collect()}
     assert got == want
+
+
+def test_cumulative_ttl_stream_equals_batch_over_three_batches(spark):
+    from uvlens.operators.admissions import uv_cumulative
+    folder = stage(spark, MIDDAY_CUTS)
+    ttl = 3_600_000
+
+    def s():
+        return stream_behaviors(spark, folder, glob="events-*.parquet", max_files=1)
+    active = J.start_update(spark, J.active_windows_stream(s(), "30 seconds"), "t-cumt-act")
+    out = J.admissions_store_stream(spark, s(), ttl, scratch_path(spark, "t-adm"), "t-cumt-adm")
+    (act_log,) = J.await_all(active)
+    admitted = spark.read.schema(f"{J.ADMIT_SCHEMA}, batch_id BIGINT").parquet(out)
+    new = (admitted.selectExpr("page", "user_id",
+                               "admit_ms - pmod(admit_ms, 30000) + 30000 AS window_time")
+           .groupBy("page", "window_time").agg(F.count_distinct("user_id").alias("new_users")))
+    act = J.read_changelog(spark, act_log,
+                           "page STRING, window_time BIGINT, first_ms BIGINT, last_ms BIGINT",
+                           ["page", "window_time"], ["first_ms", "last_ms"])
+    got = {tuple(r) for r in J.cumulative_ttl_from(act, new, ttl).collect()}
+    b = behaviors_from_events(spark.read.parquet(f"{SF}/events.parquet"))
+    want = {tuple(r) for r in uv_cumulative(b, 30_000, ttl).collect()}
+    assert got == want

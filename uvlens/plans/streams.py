@@ -78,6 +78,27 @@ def stream_uv_cumulative(spark, sf_dir):
     return J.cumulative_from(act, new)
 
 
+@register("stream_uv_cumulative_ttl", ORACLE["uv_cumulative_ttl"])
+def stream_uv_cumulative_ttl(spark, sf_dir):
+    """A2 with a 1-hour entry TTL and page reset on a stream: admissions from
+    the seeded-fold stream, active 30-s windows with their first and last
+    event from an update stream; running sums per page epoch on read."""
+    active = J.start_update(spark, J.active_windows_stream(_stream(spark, sf_dir), "30 seconds"),
+                            "cumt-active")
+    out = J.admissions_store_stream(spark, _stream(spark, sf_dir), U.TTL_TEST_MS,
+                                    scratch_path(spark, "adm-store"), "cumt-adm")
+    (act_log,) = J.await_all(active)
+    admitted = spark.read.schema(f"{J.ADMIT_SCHEMA}, batch_id BIGINT").parquet(out)
+    new = (admitted.select("page", "user_id",
+                           TM.window_end_ms("admit_ms", 30_000).alias("window_time"))
+           .groupBy("page", "window_time")
+           .agg(F.count_distinct("user_id").alias("new_users")))
+    act = J.read_changelog(spark, act_log,
+                           "page STRING, window_time BIGINT, first_ms BIGINT, last_ms BIGINT",
+                           ["page", "window_time"], ["first_ms", "last_ms"])
+    return J.cumulative_ttl_from(act, new, U.TTL_TEST_MS)
+
+
 @register("stream_uv_new_visitors", ORACLE["uv_new_visitors"])
 def stream_uv_new_visitors(spark, sf_dir):
     """A5 without expiry as streams: first-seen users per minute, 0 for

@@ -55,11 +55,12 @@ def hll_uv_stream(behaviors: DataFrame, width: str = "1 minute", delay: str = "1
 
 def active_windows_stream(behaviors: DataFrame, width: str,
                           delay: str = "10 minutes") -> DataFrame:
-    """Windows holding events; window state is evicted by the watermark."""
+    """Windows holding events, with their first and last event time; window
+    state is evicted by the watermark."""
     return (behaviors.withWatermark("behavior_time", delay)
             .groupBy("page", F.window("behavior_time", width))
-            .agg(F.min("behavior_ms").alias("first_ms"))
-            .select("page", _window_end().alias("window_time"), "first_ms"))
+            .agg(F.min("behavior_ms").alias("first_ms"), F.max("behavior_ms").alias("last_ms"))
+            .select("page", _window_end().alias("window_time"), "first_ms", "last_ms"))
 
 
 def first_seen_stream(behaviors: DataFrame, width: str,
@@ -258,6 +259,24 @@ def cumulative_from(active: DataFrame, new_users: DataFrame) -> DataFrame:
                     F.sum(F.coalesce("new_users", F.lit(0))).over(w).cast("bigint").alias("uv")))
 
 
+def cumulative_ttl_from(active: DataFrame, new_users: DataFrame, ttl_ms: int) -> DataFrame:
+    """Running admitted users per page that restarts after a page silence
+    >= ttl. ``active`` has (page, window_time, first_ms, last_ms) for every
+    window with events; a silence is the gap from one active window's last
+    event to the next one's first (windows must be shorter than the TTL).
+    The windows over pages hold one row per active window."""
+    w = Window.partitionBy("page").orderBy("window_time")
+    prev_last = F.lag("last_ms").over(w)
+    brk = F.when(prev_last.isNull() | (F.col("first_ms") - prev_last >= int(ttl_ms)), 1).otherwise(0)
+    epochs = (active.withColumn("brk", brk)
+              .withColumn("epoch", F.sum("brk").over(w.rowsBetween(Window.unboundedPreceding, 0))))
+    we = (Window.partitionBy("page", "epoch").orderBy("window_time")
+          .rowsBetween(Window.unboundedPreceding, 0))
+    return (epochs.join(new_users, ["page", "window_time"], "left")
+            .select("page", "window_time",
+                    F.sum(F.coalesce("new_users", F.lit(0))).over(we).cast("bigint").alias("uv")))
+
+
 def store_stream(spark: SparkSession, behaviors: DataFrame, store: UVStore, n: int = 1,
                  unit: str = "minutes", zone: str = "UTC", name: str = "store") -> UVStore:
     """Each micro-batch merges its (page, bucket, user) rows into the
