@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from uvlens.llm import (chat_format, kdtree_topk, language_id, mixing, rule_ensemble, warc, weak_rules)
+from uvlens.llm import (chat_format, kdtree_topk, language_id, mixing, near_dedup, rule_ensemble, warc,
+                        weak_rules)
 from uvlens.llm.common import crc_mod
 from uvlens.sources.tables import read_table
 
@@ -47,6 +48,14 @@ def op4_language_id(spark, sf_dir):
     return got.select("doc_id", held.alias("held_out"), "language.lang_pred", "language.score", "language.rejected")
 
 
+@query("op5_near_dedup")
+def op5_near_dedup(spark, sf_dir):
+    """Component of every document over links of Jaccard 0.85 or more."""
+    got = near_dedup.components(read_table(spark, sf_dir, "documents"), threshold=0.85, k=5)
+    return got.select(F.col("id").alias("doc_id"), "n_shingles", "component_id",
+                      F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 OP6_SQL = """
 WITH r AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
