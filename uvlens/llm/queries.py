@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from uvlens.llm import (chat_format, kdtree_topk, language_id, mixing, near_dedup, rule_ensemble, warc,
-                        weak_rules)
+from uvlens.llm import (chat_format, kdtree_topk, language_id, mixing, near_dedup, rule_ensemble,
+                        sentencepieces, token_counts, warc, weak_rules)
 from uvlens.llm.common import crc_mod
 from uvlens.sources.tables import read_table
 
@@ -27,6 +27,28 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+@query("op1_token_counts")
+def op1_token_counts(spark, sf_dir):
+    """Tokens of every whole text, and after masking edits (mail, links, numbers)
+    counted from the stored trees."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    got = token_counts.with_edits(token_counts.mask_edits(token_counts.with_trees(docs)), "edits")
+    return got.select("doc_id", "tree.n_tokens", "tree.n_pre_tokens",
+                      F.size("tree.leaf_tokens").cast("bigint").alias("n_leaves"), "edited.n_edits",
+                      F.col("edited.n_tokens").alias("n_tokens_masked"),
+                      F.col("edited.n_encoded").alias("n_pre_tokens_encoded"))
+
+
+@query("op2_sentencepiece")
+def op2_sentencepiece(spark, sf_dir):
+    """Best segmentation of every whole text, scores of the 3 best, round trip."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    got = sentencepieces.encode(docs, n=3).withColumn("ids", F.col("pieces.ids"))
+    return sentencepieces.decode(got, "ids").select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_pieces"), "ids", "pieces.nbest_scores",
+        F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+
+
 @query("op3_quality_rules")
 def op3_quality_rules(spark, sf_dir):
     """Weak-supervision verdict on every whole text."""
