@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from uvlens.llm import mixing, rule_ensemble, weak_rules
+from uvlens.llm import mixing, near_dedup, rule_ensemble, sentencepieces, weak_rules
 from uvlens.llm.common import crc_mod, fresh, materialize
 from uvlens.llm.queries import MIX_SEED, MIX_WEIGHTS
 from uvlens.sources.tables import read_table
@@ -32,15 +32,31 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return judged.where(fresh(docs, "rule_kept")).select(docs.columns)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document (the smallest id) of each group of near-duplicates: five-word
+    shingles, Jaccard 0.8 or more (operator 5)."""
+    return near_dedup.keep_one(docs, threshold=0.8, k=5).select(docs.columns)
+
+
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated to the target weights of their sources (operator 7)."""
     return mixing.mix(docs, MIX_WEIGHTS, seed=MIX_SEED).select(docs.columns)
 
 
+def sentencepiece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document copy as piece ids (operator 2): doc_id, lang, source, ids,
+    n_pieces."""
+    got = sentencepieces.encode(docs, n=1, out=fresh(docs, "pieces"))
+    ids = F.col(fresh(docs, "pieces"))["ids"]
+    return got.select("doc_id", "lang", "source", ids.alias("ids"), F.size(ids).cast("bigint").alias("n_pieces"))
+
+
 STAGES = [
     ("quality classifier", quality_classifier),
     ("quality rules", quality_rules),
+    ("near-duplicates", near_duplicates),
     ("source mix", source_mix),
+    ("SentencePiece ids", sentencepiece_ids),
 ]
 
 ORACLE_SQL = None
