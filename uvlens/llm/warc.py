@@ -194,7 +194,7 @@ def write_archives(pages: DataFrame, folder: str | None = None, min_bytes: int =
             if packer is None and rows:
                 fs, path = _open(name)
                 fs.create_dir(path.rpartition("/")[0], recursive=True)
-                out = fs.open_output_stream(path)
+                out = fs.open_output_stream(path, compression=None)  # or it would pack ".zst" again
                 trained, lead = dictionary_frame(
                     [record_bytes(r["page_id"], r["url"], r["payload"][:SAMPLE_BYTES], r["size"], r["digest"],
                                   r["refers_to"], date) for r in rows[:SAMPLES]])
@@ -227,7 +227,7 @@ def read_archives(manifest: DataFrame, with_payload: bool = True) -> DataFrame:
             for row in batch.to_pylist():
                 fs, path = _open(row["archive"])
                 rows, held, seen = [], 0, 0
-                with fs.open_input_stream(path) as stream:
+                with fs.open_input_stream(path, compression=None) as stream:
                     for raw in frames(stream):
                         r = parse_record(raw)
                         seen += 1
