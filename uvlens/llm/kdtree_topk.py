@@ -33,6 +33,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from uvlens.llm.common import materialize
+
 SHARD_ROWS, BLOCK_ROWS, LEAF_ROWS = 8_192, 2_048, 256
 FOUND = "query_id BIGINT, vec_id BIGINT, score BIGINT"
 _LONG = 2**63 - 1
@@ -155,13 +157,14 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
           block_rows: int = BLOCK_ROWS) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: each query's k best other rows.
     ``is_query`` is a condition on the id, as column ``vec_id``."""
+    # dealt out by position, then written: both passes see the same shards
     rows = (vectors.select(F.col(id_col).cast("bigint").alias("vec_id"), quantize(F.col(embedding)).alias("v"))
-            .where("vec_id is not null and v is not null"))
-    queries = rows.where(is_query).distinct().select(F.col("vec_id").alias("query_id"), "v")
+            .where("vec_id is not null and v is not null").withColumn("at", F.monotonically_increasing_id()))
+    rows = materialize(rows, "vectors")
+    queries = materialize(rows.where(is_query).select(F.col("vec_id").alias("query_id"), "v").distinct(), "queries")
     n, m = rows.count(), queries.count()
     shards, blocks = max(1, math.ceil(n / shard_rows)), max(1, math.ceil(m / block_rows))
-    # dealt out by position: the same on a retry, as scan partitions are fixed
-    rows = rows.withColumn("shard", F.pmod(F.monotonically_increasing_id(), F.lit(shards)).cast("int"))
+    rows = rows.withColumn("shard", F.pmod("at", F.lit(shards)).cast("int")).drop("at")
     queries = queries.withColumn("block", F.pmod(F.xxhash64("query_id", "v"), F.lit(blocks)).cast("int"))
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -178,9 +181,10 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
         first = (rows.withColumn("block", every_block).where(F.col("shard") == F.pmod("block", F.lit(shards)))
                  .groupBy("shard", "block").cogroup(home.groupBy("shard", "block")).applyInArrow(search, FOUND))
         # at least k rows, or it bounds nothing
-        floors = (_ranked(first, k).groupBy("query_id")
-                  .agg(F.when(F.count(F.lit(1)) == k, F.min("score")).alias("floor")))
-        q = queries.join(floors, "query_id", "left")
+        floors = materialize(_ranked(first, k).groupBy("query_id")
+                             .agg(F.when(F.count(F.lit(1)) == k, F.min("score")).alias("floor")), "floors")
+        q = materialize(queries.join(floors, "query_id", "left"), "bounded")
+        rows = rows.select(*[F.col(c).alias(c) for c in rows.columns])  # its second use in a cogroup
     found = (rows.withColumn("block", every_block).groupBy("shard", "block")
              .cogroup(q.withColumn("shard", every_shard).groupBy("shard", "block"))
              .applyInArrow(search, FOUND))
