@@ -7,8 +7,8 @@ import pytest
 import corpus_pipeline as C
 from uvlens.llm import mixing
 from uvlens.llm import sentencepieces as S
-from tests.llm.test_near_dedup import brute as near_brute
-from tests.llm.test_quality import brute as text_brute
+from .test_near_dedup import brute as near_brute
+from .test_quality import brute as text_brute
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
