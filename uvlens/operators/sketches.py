@@ -77,18 +77,15 @@ def overlap_next(bitmaps: DataFrame, width_ms: int) -> DataFrame:
     Each (page, window) with a non-empty following window gets a row; the
     intersection is ``bitmap_and_agg`` over the two chunk bitmaps.
     """
-    this = bitmaps.select("page", "window_time", "chunk", "bm")
-    nxt = bitmaps.select("page", (F.col("window_time") - width_ms).alias("window_time"),
-                         "chunk", "bm")
-    both = (this.unionByName(nxt).groupBy("page", "window_time", "chunk")
-            .agg(F.count(F.lit(1)).alias("n"), F.expr("bitmap_and_agg(bm)").alias("bm"))
-            .where("n = 2")
-            .groupBy("page", "window_time")
-            .agg(F.sum(F.expr("bitmap_count(bm)")).alias("overlap")))
-    present = this.select("page", "window_time").distinct()
-    pairs = present.join(
-        present.select("page", (F.col("window_time") - width_ms).alias("window_time")),
-        ["page", "window_time"], "left_semi")
-    return (pairs.join(both, ["page", "window_time"], "left")
-            .select("page", "window_time",
-                    F.coalesce("overlap", F.lit(0)).cast("bigint").alias("overlap")))
+    # every bitmap counts for its own window (role 0) and for the one before (role 1):
+    # one scan, one shuffle, and no join
+    role = F.explode(F.sequence(F.lit(0), F.lit(1)))
+    both = (bitmaps.select("page", "window_time", "chunk", "bm", role.alias("role"))
+            .withColumn("window_time", F.col("window_time") - F.col("role") * width_ms))
+    per_chunk = (both.groupBy("page", "window_time", "chunk")
+                 .agg(F.count(F.lit(1)).alias("n"), F.expr("bitmap_and_agg(bm)").alias("bm"),
+                      F.max(F.expr("role = 0")).alias("here"), F.max(F.expr("role = 1")).alias("next")))
+    return (per_chunk.groupBy("page", "window_time")
+            .agg(F.sum(F.expr("CASE WHEN n = 2 THEN bitmap_count(bm) ELSE 0 END")).alias("overlap"),
+                 F.max("here").alias("here"), F.max("next").alias("next"))
+            .where("here AND next").select("page", "window_time", F.col("overlap").cast("bigint").alias("overlap")))

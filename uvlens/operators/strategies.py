@@ -15,8 +15,8 @@ before the shuffle:
 * ``hash64``  distinct 63-bit hashes (A7): exact but for hash collisions.
 * ``bitmap``  dense non-negative numeric ids into 32,768-bit chunks (A7 on
               dense ids); OR-mergeable.
-* ``slots``   a fixed number of hash slots (A6): counts occupied slots, with
-              an optional linear-counting correction.
+* ``slots``   2^31 hash slots (A6): counts occupied slots, with an optional
+              linear-counting correction.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_LGK = 14            # 2^14 registers, as the reference's HLL(14, 6)
-DEFAULT_SLOTS = 65_536
+DEFAULT_SLOTS = 2**31       # the range of a non-negative 32-bit hash
 MAX63 = 0x7FFFFFFFFFFFFFFF
 
 
@@ -42,10 +42,6 @@ def md5_slot(user: str, slots: int = DEFAULT_SLOTS) -> Column:
                   f" % {int(slots)}")
 
 
-def xx_slot(user: str, slots: int = DEFAULT_SLOTS) -> Column:
-    return F.expr(f"pmod(xxhash64({user}), {int(slots)})")
-
-
 def _keys(keys: Sequence[str]) -> list[str]:
     return list(keys)
 
@@ -100,17 +96,17 @@ def uv_bitmap(df: DataFrame, keys: Sequence[str], user: str = "user_num") -> Dat
 
 
 def uv_slots(df: DataFrame, keys: Sequence[str], user: str = "user_id",
-             slots: int = DEFAULT_SLOTS, slot_fn: str = "md5",
-             correct: bool = False) -> DataFrame:
-    """Occupied hash slots per key (A6); ``correct`` applies linear counting
-    ``-m * ln(1 - n/m)`` (returned as a rounded bigint)."""
-    slot = md5_slot(user, slots) if slot_fn == "md5" else xx_slot(user, slots)
-    occupied = count_bitmaps(bitmap_chunks(df, keys, slot), keys)
+             slots: int = DEFAULT_SLOTS, correct: bool = False) -> DataFrame:
+    """Occupied hash slots per key (A6), counted as distinct slots: planned as a
+    dedup on (keys, slot), spread over all tasks by slot. ``correct`` applies
+    linear counting ``-m * ln(1 - n/m)`` (a rounded bigint); null when every slot
+    is occupied, as nothing can be estimated then."""
+    occupied = (df.groupBy(*_keys(keys))
+                .agg(F.count_distinct(md5_slot(user, slots)).cast("bigint").alias("uv")))
     if not correct:
         return occupied
     m = float(slots)
-    est = F.when(F.col("uv") >= slots, F.col("uv")).otherwise(
-        F.round(-m * F.log(1 - F.col("uv") / m)))
+    est = F.when(F.col("uv") < slots, F.round(-m * F.log1p(-F.col("uv") / m)))
     return occupied.withColumn("uv", est.cast("bigint"))
 
 

@@ -64,7 +64,6 @@ def build_session(master: str | None = None, app: str = "uvlens",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_root(spark)
     return spark
 
 
@@ -78,6 +77,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     deployment to shared storage), the context's checkpoint folder (set by
     the application), and only when neither exists (local tests) a folder
     under the temp dir, which is then registered as the checkpoint folder.
+    On a cluster no machine-local folder stands in: executors would write to
+    their own disks and later reads would miss those files, so it is an error.
     """
     global _FALLBACK_ROOT
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -89,6 +90,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         sc = None
     if sc is not None and sc.getCheckpointDir():
         return sc.getCheckpointDir()
+    if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     if _FALLBACK_ROOT is None:
         _FALLBACK_ROOT = tempfile.mkdtemp(prefix="uvlens-ckpt-")
     if sc is not None:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from uvlens.sources.behaviors import behaviors_from_events, parse_messages, with_event_time
+from uvlens.sources.tables import table_path
 
 EVENTS_SCHEMA = ("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
                  "value DOUBLE, props STRING")
@@ -51,6 +52,30 @@ def stream_events(spark: SparkSession, folder: str, glob: str | None = None,
     return r.load(folder)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether a path is a folder, in any file system that Spark reads."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory()
+
+
+def stream_table(spark: SparkSession, sf_dir: str, name: str = "events",
+                 max_files: int | None = None) -> DataFrame:
+    """A file stream over the ``events`` table ``<sf_dir>/<name>.parquet``: a
+    folder of part files is streamed itself; a single file is streamed from its
+    parent folder by its name (Spark streams folders only). A missing table
+    raises, as in a batch read."""
+    path = table_path(sf_dir, name)
+    if is_folder(spark, path):
+        return stream_events(spark, path, None, max_files)
+    parent, _, file = path.rpartition("/")
+    return stream_events(spark, parent, file, max_files)
+
+
+def stream_table_behaviors(spark: SparkSession, sf_dir: str, name: str = "events",
+                           max_files: int | None = None) -> DataFrame:
+    return with_event_time(behaviors_from_events(stream_table(spark, sf_dir, name, max_files)))
+
+
 def stream_behaviors(spark: SparkSession, folder: str, glob: str | None = "events*.parquet",
                      max_files: int | None = None) -> DataFrame:
     return with_event_time(behaviors_from_events(stream_events(spark, folder, glob, max_files)))

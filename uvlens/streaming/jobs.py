@@ -16,10 +16,11 @@ from collections.abc import Callable
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from uvlens.functions.time import batch_time
+from uvlens.functions.time import batch_time, window_end_ms
 from uvlens.operators.store import UVStore
 from uvlens.operators.strategies import DEFAULT_LGK, hll_sketch
 from uvlens.session import scratch_path
@@ -63,14 +64,35 @@ def active_windows_stream(behaviors: DataFrame, width: str,
             .select("page", _window_end().alias("window_time"), "first_ms", "last_ms"))
 
 
+FIRST_SCHEMA = "page STRING, user_id STRING, first_ms BIGINT"
+
+
+def first_visits_stream(behaviors: DataFrame) -> DataFrame:
+    """First visit of each (page, user) ever, in update mode: the state keeps the
+    smallest event time, so neither the order of rows within a micro-batch nor
+    the order of the batches matters. The state is the set of users seen so far,
+    which is what counting without expiry needs; for bounded state use the TTL
+    forms."""
+    return (behaviors.groupBy("page", "user_id").agg(F.min("behavior_ms").alias("first_ms")))
+
+
+def read_first_visits(spark: SparkSession, log: str) -> DataFrame:
+    """(page, user_id, first_ms) after all micro-batches of a change log."""
+    rows = spark.read.schema(f"{FIRST_SCHEMA}, {CHANGELOG_SCHEMA_EXTRA}").parquet(log)
+    return rows.groupBy("page", "user_id").agg(F.min("first_ms").alias("first_ms"))
+
+
+def new_users_per_window(first_visits: DataFrame, width_ms: int) -> DataFrame:
+    """(page, window_time, new_users) of first visits."""
+    return (first_visits.groupBy("page", window_end_ms("first_ms", width_ms).alias("window_time"))
+            .agg(F.count(F.lit(1)).cast("bigint").alias("new_users")))
+
+
 def first_seen_stream(behaviors: DataFrame, width: str,
                       delay: str = "10 minutes") -> DataFrame:
-    """New users per window: the first event of each (page, user) ever.
-
-    The (page, user) dedup state is the set of users seen so far, which is
-    what a cumulative count without expiry needs; the per-window counts are
-    evicted by the watermark. For bounded state use the TTL forms.
-    """
+    """New users per window, counted inside the stream. It keeps whichever event
+    of a (page, user) reaches the state first, so it needs input in time order
+    (one file after the other); ``first_visits_stream`` does not."""
     return (behaviors.withWatermark("behavior_time", delay)
             .dropDuplicates(["page", "user_id"])
             .groupBy("page", F.window("behavior_time", width))
@@ -78,21 +100,6 @@ def first_seen_stream(behaviors: DataFrame, width: str,
             .select("page", _window_end().alias("window_time"), "new_users"))
 
 
-def new_visitors_within_watermark_stream(behaviors: DataFrame, width: str,
-                                         retention: str) -> DataFrame:
-    """T7 with built-in state: a visitor counts as new unless seen on the page
-    within the watermark delay (``dropDuplicatesWithinWatermark``; like the
-    reference's map, duplicates do not renew the entry). The entry lifetime
-    follows the watermark, so this approximates a TTL; with a retention
-    longer than the data it is exactly first-seen. Windows without a new
-    visitor produce no row (join with the active windows for zeros)."""
-    return (behaviors.withWatermark("behavior_time", retention)
-            .dropDuplicatesWithinWatermark(["page", "user_id"])
-            .groupBy("page", F.window("behavior_time", width))
-            .agg(F.count(F.lit(1)).cast("bigint").alias("new_users"))
-            .select("page", _window_end().alias("window_time"), "new_users"))
-
-
 # --- exact TTL admissions as arbitrary state (T7) ---------------------------------
 
 ADMIT_SCHEMA = "page STRING, user_id STRING, admit_ms BIGINT"
@@ -153,7 +160,9 @@ def seeded_admissions_writer(ttl_ms: int, out: str,
             prev = (session.read.schema(f"{ADMIT_SCHEMA}, batch_id BIGINT").parquet(out)
                     .where((F.col("batch_id") < batch_id)
                            & (F.col("admit_ms") > F.lit(int(lo) - ttl_ms))))
-        except Exception:  # noqa: BLE001  (no earlier batch yet)
+        except AnalysisException as e:  # no earlier batch yet; anything else is an error
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             prev = session.createDataFrame([], f"{ADMIT_SCHEMA}, batch_id BIGINT")
         adm = continue_admissions(b, prev.drop("batch_id"), ttl_ms)
         (adm.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
