@@ -45,26 +45,35 @@ def _pow31(n: int) -> np.ndarray:
     return _POW31[:n]
 
 
-def _hash_one(text: str) -> int:
-    units = np.frombuffer(text.encode("utf-16-le"), dtype="<u2").astype(np.uint32)
-    n = len(units)
-    if n == 0:
-        return 0
-    h = int((units * _pow31(n)[::-1]).sum(dtype=np.uint32))
-    return h - 4294967296 if h >= 2147483648 else h
+def hash_texts(texts: list[str]) -> np.ndarray:
+    """Hashes of texts (uint32) from one buffer of all their UTF-16 units: each unit
+    times the power of 31 of its distance from its text's end, summed per text."""
+    units = np.frombuffer("".join(texts).encode("utf-16-le", "surrogatepass"), dtype="<u2").astype(np.uint32)
+    size = np.fromiter(map(len, texts), np.int64, len(texts))
+    if size.sum() != len(units):  # characters of two units
+        size = np.fromiter((len(t.encode("utf-16-le", "surrogatepass")) // 2 for t in texts), np.int64, len(texts))
+    out = np.zeros(len(texts), np.uint32)
+    full = np.flatnonzero(size)
+    if len(full):
+        ends = np.cumsum(size[full])
+        left = np.repeat(ends, size[full]) - 1 - np.arange(len(units))
+        out[full] = np.add.reduceat(units * _pow31(int(size.max()))[left], ends - size[full], dtype=np.uint32)
+    return out
 
 
 @F.pandas_udf(T.LongType())
 def _java_hashcode_udf(texts: pd.Series) -> pd.Series:
-    return pd.Series([None if t is None else _hash_one(t) for t in texts], dtype="Int64")
+    known = texts.notna()
+    out = pd.Series(pd.array([pd.NA] * len(texts), dtype="Int64"), index=texts.index)
+    out[known] = hash_texts(texts[known].tolist()).view(np.int32).astype(np.int64)
+    return out
 
 
 def java_hashcode(c) -> Column:
     """32-bit polynomial string hash (31 * h + unit over UTF-16 units), as a
     signed int in a bigint column.
 
-    Arrow-batched: each text becomes a numpy array of UTF-16 units and the
-    hash is one dot product with precomputed powers of 31 (mod 2^32).
+    Arrow-batched: one numpy pass over the UTF-16 units of the whole batch.
     """
     return _java_hashcode_udf(_c(c))
 

@@ -25,10 +25,22 @@ LETTER = r"[a-zA-Z]+"
 LETTER_OR_NUMERIC = r"[a-zA-Z0-9]+"
 LETTER_NUM_UNDERLINE = r"[a-zA-Z0-9_]+"
 MD5 = r"[a-fA-F0-9]{32}"
-# The reference's e-mail pattern nests quantifiers and backtracks badly on
-# long non-matching input; this form accepts the same strings in linear time:
-# at least two alphanumerics with single separators from "-|._" between them.
+# At least two alphanumerics with single separators from "-|._" between them.
 EMAIL = r"[a-z0-9A-Z]([-|._]?[a-z0-9A-Z])+@([a-z0-9A-Z]+(-[a-z0-9A-Z]+)?\.)+[a-zA-Z]{2,}"
+# The same languages for Java's backtracking engine: possessive quantifiers and no two
+# ways to read a text, so that long words are judged in linear time and constant stack.
+LINEAR = {
+    EMAIL: r"[a-z0-9A-Z](?:[-|._]?+[a-z0-9A-Z])++@(?:[a-z0-9A-Z]++(?:-[a-z0-9A-Z]++)?+\.)++[a-zA-Z]{2,}+",
+    SCIENTIFIC: (r"[+-]*+(?:[0-9]{2,}+|[0-9]++(?:[Ee]++[+-]*+|[+-]++)[0-9]++"
+                 r"|[0-9]++\.(?:[0-9]++|[0-9]*+(?:[Ee]++[+-]*+|[+-]++)[0-9]++))"),
+    DOUBLE: r"-?+[0-9]++(?:\.[0-9]*+)?+",
+    INT: r"-?+[0-9]++",
+    NUMBER: r"-?+[0-9]*+(?:\.[0-9]*+)?+",
+    DIGITS: r"[0-9]++",
+    LETTER: r"[a-zA-Z]++",
+    LETTER_OR_NUMERIC: r"[a-zA-Z0-9]++",
+    LETTER_NUM_UNDERLINE: r"[a-zA-Z0-9_]++",
+}
 # Searched (not full match): special characters or control whitespace.
 SPECIAL_CHARS = "[`~@$%^&*+=|{}<>/?~！@#￥%……&*——+|{}‘；：”“’。，、？]|\n|\r|\t"
 # Java's String.trim strips every char up to U+0020.
@@ -45,7 +57,7 @@ def _c(c: str | Column) -> Column:
 
 def matches(c: str | Column, pattern: str) -> Column:
     """Full match; null input does not match."""
-    return F.coalesce(_c(c).rlike(full(pattern)), F.lit(False))
+    return F.coalesce(_c(c).rlike(full(LINEAR.get(pattern, pattern))), F.lit(False))
 
 
 def java_trim(c: str | Column) -> Column:
@@ -55,7 +67,7 @@ def java_trim(c: str | Column) -> Column:
 
 def is_empty(c: str | Column) -> Column:
     """Null or only blanks (chars <= U+0020)."""
-    return F.coalesce(_c(c).rlike(rf"^{JAVA_BLANK}*\z"), F.lit(True))
+    return F.coalesce(_c(c).rlike(rf"^{JAVA_BLANK}*+\z"), F.lit(True))
 
 
 def is_number(c: str | Column) -> Column:

@@ -1,14 +1,18 @@
 """Time buckets as column expressions over epoch-millisecond columns.
 
 All functions take the *SQL text* of their input (usually a column name) and
-return a ``Column``. They never depend on the session time zone: epoch ms is
-computed from ``TIMESTAMP_NTZ`` by plain arithmetic, and calendar buckets in
-a zone go through ``convert_timezone`` on ``TIMESTAMP_NTZ`` values, which is
-zone-explicit. The stored test timestamps are UTC wall-clock times.
+return a ``Column``. They never depend on the session time zone: everything is
+arithmetic on ``TIMESTAMP_NTZ``, dates and intervals, and zones go through
+``convert_timezone``, which is zone-explicit. ``timestampdiff``, ``date_trunc`` and
+``date_format`` are avoided on ``TIMESTAMP_NTZ``: they cast it to an instant of the
+session zone, which moves wall-clock times that this zone skips. The stored test
+timestamps are UTC wall-clock times.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -30,7 +34,9 @@ def _q(zone: str) -> str:
 
 def epoch_ms_sql(ts: str) -> str:
     """Epoch ms of a TIMESTAMP_NTZ taken as UTC (floor, not rounding)."""
-    return f"(timestampdiff(MICROSECOND, {EPOCH}, {ts}) div 1000)"
+    # counted from the year 1, so that the truncating division is a floor
+    return (f"((({ts}) - TIMESTAMP_NTZ'0001-01-01 00:00:00') div INTERVAL '0.001' SECOND"
+            " - 62135596800000)")
 
 
 def epoch_ms(ts: str) -> Column:
@@ -39,7 +45,7 @@ def epoch_ms(ts: str) -> Column:
 
 def local_ts_sql(ms: str, zone: str = "UTC") -> str:
     """Wall-clock TIMESTAMP_NTZ of epoch ms in ``zone``."""
-    utc = f"timestampadd(MILLISECOND, {ms}, {EPOCH})"
+    utc = f"({EPOCH} + INTERVAL '0.001' SECOND * ({ms}))"
     if zone.upper() == "UTC":
         return utc
     return f"convert_timezone('UTC', '{_q(zone)}', {utc})"
@@ -95,12 +101,38 @@ def minute_start(ms: str) -> Column:
 CALENDAR_UNITS = ("MINUTE", "HOUR", "DAY", "WEEK", "MONTH", "QUARTER", "YEAR")
 
 
+def trunc_local_sql(unit: str, local: str) -> str:
+    """Start of the calendar unit of a wall-clock TIMESTAMP_NTZ."""
+    day = f"cast(cast({local} as date) as timestamp_ntz)"
+    if unit == "DAY":
+        return day
+    if unit == "HOUR":
+        return f"({day} + INTERVAL '1' HOUR * hour({local}))"
+    if unit == "MINUTE":
+        return f"({day} + INTERVAL '1' MINUTE * (hour({local}) * 60 + minute({local})))"
+    return f"cast(trunc(cast({local} as date), '{unit}') as timestamp_ntz)"
+
+
+def add_local_sql(unit: str, n: int, local: str) -> str:
+    """A wall-clock TIMESTAMP_NTZ moved by ``n`` units."""
+    unit, n = unit.upper(), int(n)
+    if unit == "MILLISECOND":
+        return f"({local} + INTERVAL '0.001' SECOND * {n})"
+    if unit == "WEEK":
+        unit, n = "DAY", 7 * n
+    if unit == "QUARTER":
+        unit, n = "MONTH", 3 * n
+    if unit not in ("SECOND", "MINUTE", "HOUR", "DAY", "MONTH", "YEAR"):
+        raise ValueError(f"unknown unit {unit}")
+    return f"({local} + INTERVAL '1' {unit} * ({n}))"
+
+
 def calendar_start_sql(ms: str, unit: str, zone: str = "UTC") -> str:
     unit = unit.upper()
     if unit not in CALENDAR_UNITS:
         raise ValueError(f"unit must be one of {CALENDAR_UNITS}")
     # WEEK truncates to the ISO Monday.
-    return local_to_ms_sql(f"date_trunc('{unit}', {local_ts_sql(ms, zone)})", zone)
+    return local_to_ms_sql(trunc_local_sql(unit, local_ts_sql(ms, zone)), zone)
 
 
 def calendar_start(ms: str, unit: str, zone: str = "UTC") -> Column:
@@ -110,8 +142,7 @@ def calendar_start(ms: str, unit: str, zone: str = "UTC") -> Column:
 def calendar_end(ms: str, unit: str, zone: str = "UTC") -> Column:
     """Last millisecond of the calendar bucket (start of the next one - 1)."""
     unit = unit.upper()
-    start_local = f"date_trunc('{unit}', {local_ts_sql(ms, zone)})"
-    nxt = f"timestampadd({unit}, 1, {start_local})"
+    nxt = add_local_sql(unit, 1, trunc_local_sql(unit, local_ts_sql(ms, zone)))
     return F.expr(f"({local_to_ms_sql(nxt, zone)} - 1)")
 
 
@@ -135,7 +166,7 @@ def month_start_of(year: str, month: str, zone: str = "UTC") -> Column:
 
 def month_end_of(year: str, month: str, zone: str = "UTC") -> Column:
     """Last millisecond of (year, month) in local time."""
-    nxt = f"timestampadd(MONTH, 1, cast(make_date({year}, {month}, 1) as timestamp_ntz))"
+    nxt = add_local_sql("MONTH", 1, f"cast(make_date({year}, {month}, 1) as timestamp_ntz)")
     return F.expr(f"({local_to_ms_sql(nxt, zone)} - 1)")
 
 
@@ -149,7 +180,7 @@ def day_list(ms1: str, ms2: str, zone: str = "UTC") -> Column:
     d1 = f"cast({local_ts_sql(ms1, zone)} as date)"
     d2 = f"cast({local_ts_sql(ms2, zone)} as date)"
     return F.expr(f"CASE WHEN {d1} <= {d2} THEN transform(sequence({d1}, {d2}), "
-                  f"d -> date_format(d, 'yyyy-MM-dd')) ELSE cast(array() AS array<string>) END")
+                  f"d -> cast(d as string)) ELSE cast(array() AS array<string>) END")
 
 
 def parse_ms(text: str, pattern: str, zone: str = "UTC") -> Column:
@@ -159,7 +190,7 @@ def parse_ms(text: str, pattern: str, zone: str = "UTC") -> Column:
     wall = f"unix_millis(try_to_timestamp(concat({text}, ' +0000'), '{pattern} Z'))"
     if zone.upper() == "UTC":
         return F.expr(wall)
-    return F.expr(local_to_ms_sql(f"timestampadd(MILLISECOND, {wall}, {EPOCH})", zone))
+    return F.expr(local_to_ms_sql(local_ts_sql(wall), zone))
 
 
 def day_time(year: str, day_index: str, zone: str = "UTC") -> Column:
@@ -182,12 +213,12 @@ def batch_time_sql(ms: str, n: int, unit: str, zone: str = "UTC") -> str:
     if n <= 0:
         raise ValueError("n must be positive")
     local = local_ts_sql(ms, zone)
-    year_start = local_to_ms_sql(f"date_trunc('YEAR', {local})", zone)
+    year_start = local_to_ms_sql(trunc_local_sql("YEAR", local), zone)
     if unit in ("second", "minute", "hour"):
         d = n * UNIT_MS[unit]
         return f"({year_start} + (({ms} - {year_start}) div {d}) * {d})"
     if unit == "day":
-        start_day = (f"cast(date_add(cast(date_trunc('YEAR', {local}) as date), "
+        start_day = (f"cast(date_add(trunc(cast({local} as date), 'YEAR'), "
                      f"cast(((dayofyear({local}) - 1) div {n}) * {n} as int)) as timestamp_ntz)")
         return local_to_ms_sql(start_day, zone)
     raise ValueError("unit must be seconds, minutes, hours or days")
@@ -209,8 +240,7 @@ def previous_batch_time(ms: str, n: int, unit: str, zone: str = "UTC") -> Column
 def shift_ms(ms: str, n: int, unit: str, zone: str = "UTC") -> Column:
     """``ms`` moved by ``n`` units of local (wall-clock) time."""
     unit = unit.upper().rstrip("S")
-    moved = f"timestampadd({unit}, {int(n)}, {local_ts_sql(ms, zone)})"
-    return F.expr(local_to_ms_sql(moved, zone))
+    return F.expr(local_to_ms_sql(add_local_sql(unit, n, local_ts_sql(ms, zone)), zone))
 
 
 def days_between(ms1: str, ms2: str, zone: str = "UTC") -> Column:
@@ -219,5 +249,24 @@ def days_between(ms1: str, ms2: str, zone: str = "UTC") -> Column:
                   f"cast({local_ts_sql(ms1, zone)} as date))")
 
 
+# Pattern letters that ``format_ms`` knows, with the field each one stands for.
+_FIELDS = {"yyyy": ("year", 4), "MM": ("month", 2), "dd": ("day", 2), "HH": ("hour", 2),
+           "mm": ("minute", 2), "ss": ("second", 2)}
+
+
 def format_ms(ms: str, pattern: str, zone: str = "UTC") -> Column:
-    return F.expr(f"date_format({local_ts_sql(ms, zone)}, '{pattern}')")
+    """Wall-clock text of epoch ms in ``zone``. Patterns of yyyy, MM, dd, HH, mm, ss
+    and ``SSS`` are put together from the fields; other letters raise."""
+    local, out = local_ts_sql(ms, zone), []
+    for part in re.finditer(r"([A-Za-z])\1*|[^A-Za-z]+", pattern):
+        t = part.group(0)
+        if t in _FIELDS:
+            fn, width = _FIELDS[t]
+            out.append(f"lpad(cast({fn}({local}) as string), {width}, '0')")
+        elif t == "SSS":
+            out.append(f"lpad(cast(pmod({ms}, 1000) as string), 3, '0')")
+        elif t[0].isalpha():
+            raise ValueError(f"pattern letters {t!r} are not supported")
+        else:
+            out.append("'" + t.replace("'", "") + "'")
+    return F.expr(f"concat({', '.join(out)})")

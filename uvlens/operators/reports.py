@@ -8,17 +8,17 @@ out-of-range bounds are clamped, an empty range gives no rows.
 from __future__ import annotations
 
 from collections.abc import Sequence
-
-import numpy as np
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from uvlens.functions.time import format_ms
+from uvlens.session import scratch_path
 
 
 Order = tuple[str, bool]  # (column, ascending)
+DEEP = 10_000  # rows of one key that a ranking task may hold
 
 
 def _cols(order: Sequence[Order], reverse: bool = False) -> list[Column]:
@@ -33,22 +33,26 @@ def rank_slice(df: DataFrame, partition: Sequence[str], order: Sequence[Order],
     into a per-partition group limit before the shuffle (WindowGroupLimit),
     so a hot partition key ships at most ``end + 1`` rows per task. Negative
     bounds rank in the reverse order the same way and take the partition
-    size from a partial aggregate.
+    size from a partial aggregate. Bounds deeper than ``DEEP`` rows, and bounds of
+    mixed sign, go by exact positions instead, which no single task ranks.
     """
     part = list(partition)
+    if start >= 0 and DEEP <= end:
+        return (positions(df, part, order, "_rn").where((F.col("_rn") >= start) & (F.col("_rn") <= end))
+                .withColumn(pos, F.col("_rn").cast("bigint")).drop("_rn"))
     if start >= 0 and end >= 0:
         w = Window.partitionBy(*part).orderBy(*_cols(order))
         ranked = df.withColumn("_rn", F.row_number().over(w))
         return (ranked.where(F.col("_rn") <= end + 1).where(F.col("_rn") >= start + 1)
                 .withColumn(pos, (F.col("_rn") - 1).cast("bigint")).drop("_rn"))
     sizes = df.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
-    if start < 0 and end < 0:
+    if -DEEP <= start < 0 and end < 0:
         w = Window.partitionBy(*part).orderBy(*_cols(order, reverse=True))
         ranked = (df.withColumn("_rd", F.row_number().over(w))
                   .where(F.col("_rd") <= -start).where(F.col("_rd") >= -end))
         return (ranked.join(sizes, part).withColumn(pos, (F.col("_n") - F.col("_rd")).cast("bigint"))
                 .drop("_rd", "_n"))
-    # Mixed signs: exact positions from the start, bounds normalised by size.
+    # Mixed signs or far from the end: exact positions from the start, bounds normalised by size.
     ranked = positions(df, part, order, "_rn").join(sizes, part)
     lo = F.lit(start) if start >= 0 else F.col("_n") + start
     hi = F.lit(end) if end >= 0 else F.col("_n") + end
@@ -56,59 +60,54 @@ def rank_slice(df: DataFrame, partition: Sequence[str], order: Sequence[Order],
             .withColumn(pos, F.col("_rn").cast("bigint")).drop("_rn", "_n"))
 
 
-def _local_index(keys: list[str]):
-    """mapInPandas body: rows arrive sorted by (keys, order); number them
-    per key, carrying the running index across Arrow batches."""
-    def fn(batches):
-        carry_key, carry_n = None, 0
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                continue
-            cols = [pdf[k].to_numpy() for k in keys]
-            change = np.zeros(n, dtype=bool)
-            change[0] = True
-            for c in cols:
-                change[1:] |= c[1:] != c[:-1]
-            first_key = tuple(c[0] for c in cols)
-            run_id = np.cumsum(change) - 1
-            starts = np.flatnonzero(change)
-            idx = np.arange(n) - starts[run_id]
-            if first_key == carry_key:
-                idx[run_id == 0] += carry_n
-            carry_key = tuple(c[-1] for c in cols)
-            carry_n = int(idx[-1]) + 1
-            pdf["_local"] = idx.astype(np.int64)
-            yield pdf
-    return fn
+def _order_number(df: DataFrame, name: str) -> Column:
+    """A number that never falls along an ascending sort by the column (nulls are
+    first in Spark, here null)."""
+    kind = dict(df.dtypes)[name]
+    if kind == "string":  # its first six bytes
+        head = F.rpad(F.hex(F.substring(F.col(name).cast("binary"), 1, 6)), 12, "0")
+        return F.conv(head, 16, 10).cast("double")
+    if kind == "date" or kind.startswith("timestamp"):
+        return F.datediff(F.col(name).cast("date"), F.lit("1970-01-01").cast("date")).cast("double")
+    return F.col(name).cast("double")
 
 
 def positions(df: DataFrame, partition: Sequence[str], order: Sequence[Order],
               pos: str = "pos", n_parts: int | None = None) -> DataFrame:
     """Exact 0-based position of every row in its partition under ``order``.
 
-    No partition is ranked in one task: rows are range-partitioned on
-    (partition keys, order keys), so a hot key spans many tasks; each task
-    numbers its sorted rows per key; per-(task, key) row counts (a small
-    table) give prefix offsets by a window over tasks. Range bounds are
-    fixed in the shuffle, so recomputation after a lost executor gives the
-    same assignment.
+    No partition is ranked in one task: each is cut into ``n_parts`` buckets at
+    approximate quantiles of its first order column, rows are numbered inside
+    (partition, bucket), and bucket sizes give the prefix offsets. The cuts are
+    written to a table first, so both uses see the same buckets, whatever is
+    recomputed or reused. Rows with one value of the first order column share a
+    bucket.
     """
     part = list(partition)
-    sort = [F.col(p).asc() for p in part] + _cols(order)
+    first, ascending = order[0]
     n = n_parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *sort).sortWithinPartitions(*sort)
-              .withColumn("_pid", F.spark_partition_id()))
-    schema = T.StructType(ranged.schema.fields + [T.StructField("_local", T.LongType())])
-    local = ranged.mapInPandas(_local_index(part), schema)
-    counts = local.groupBy("_pid", *part).agg(F.count(F.lit(1)).alias("_cnt"))
-    w = (Window.partitionBy(*part).orderBy("_pid")
-         .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select("_pid", *part,
+    number = _order_number(df, first)
+    shares = F.array(*[F.lit(k / n) for k in range(1, n)]) if n > 1 else F.array(F.lit(0.5))
+    cuts = df.groupBy(*part).agg(F.percentile_approx(number, shares, 100 * n).alias("_cuts"))
+    path = scratch_path(df.sparkSession, "position-cuts")
+    cuts.write.parquet(path)
+    cuts = df.sparkSession.read.schema(cuts.schema).parquet(path)
+    keys = [F.col(p).eqNullSafe(F.col(f"_k{i}")) for i, p in enumerate(part)]
+    named = cuts.select("_cuts", *[F.col(p).alias(f"_k{i}") for i, p in enumerate(part)])
+    above = F.size(F.filter(F.coalesce("_cuts", F.array().cast("array<double>")), lambda c: c < number))
+    bucket = F.when(number.isNull(), F.lit(-1)).otherwise(above)
+    joined = df.join(named, reduce(lambda a, b: a & b, keys)) if part else df.crossJoin(cuts)
+    rows = (joined.withColumn("_bucket", bucket if ascending else -bucket)
+            .drop("_cuts", *[f"_k{i}" for i in range(len(part))]))
+    counts = rows.groupBy(*part, "_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
+    w = Window.partitionBy(*part).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(F.col("_bucket").alias("_b"), *[F.col(p).alias(f"_k{i}") for i, p in enumerate(part)],
                             F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_off"))
-    return (local.join(offsets, ["_pid", *part])
+    inside = Window.partitionBy(*part, "_bucket").orderBy(*_cols(order))
+    local = rows.withColumn("_local", F.row_number().over(inside) - 1)
+    return (local.join(offsets, reduce(lambda a, b: a & b, [*keys, F.col("_bucket") == F.col("_b")]))
             .withColumn(pos, (F.col("_off") + F.col("_local")).cast("bigint"))
-            .drop("_pid", "_local", "_off"))
+            .drop("_bucket", "_local", "_off", "_b", *[f"_k{i}" for i in range(len(part))]))
 
 
 def asc(name: str) -> Order:

@@ -11,18 +11,27 @@ Writing a batch replaces only its own ``batch_id`` partition (dynamic
 partition overwrite), so a replayed micro-batch after a failure changes
 nothing. Reading merges all batches with an aggregate (count_distinct or
 ``hll_union_agg``), partially aggregated per task; expired buckets are
-filtered by ``window_time`` against an ``as_of`` time. ``compact`` folds
-all batches into one snapshot partition to bound the file count.
+filtered by ``window_time`` against an ``as_of`` time, and a lookup keeps the
+asked buckets before it aggregates.
+
+``compact`` folds all batches into a snapshot, stored in a partition with a
+negative ``batch_id`` (batches must not use these), and then adds a line to the
+table ``<root>.snapshots``: (snapshot id, last batch folded in). Readers, in any
+process, take the newest snapshot and the batches after it; other partitions are
+pruned. A crash between the two writes leaves a snapshot that nobody reads. A batch
+that is replayed after it was folded in is ignored.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from uvlens.operators.strategies import DEFAULT_LGK, hll_sketch
 
 SET_SCHEMA = "page STRING, window_time BIGINT, user_id STRING, batch_id BIGINT"
+SNAPSHOT_SCHEMA = "snapshot_id BIGINT, last_batch BIGINT"
 HLL_SCHEMA = "page STRING, window_time BIGINT, sketch BINARY, batch_id BIGINT"
 
 # Default expiries of the reference's store (sets 5 min, HLL 1 day).
@@ -47,21 +56,39 @@ class UVStore:
                 .agg(hll_sketch("user_id", self.lgk).alias("sketch")))
 
     def write_batch(self, batch: DataFrame, batch_id: int) -> None:
-        (self.batch_rows(batch).withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
+        if int(batch_id) < 0:
+            raise ValueError("negative batch ids are reserved for snapshots")
+        self._write(self.batch_rows(batch), int(batch_id))
+
+    def _write(self, rows: DataFrame, batch_id: int) -> None:
+        (rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(self.root))
 
     # -- read -----------------------------------------------------------------
-    def rows(self) -> DataFrame:
-        """All stored rows; empty before the first batch is written."""
-        schema = SET_SCHEMA if self.kind == "set" else HLL_SCHEMA
+    def _read(self, path: str, schema: str) -> DataFrame:
+        """A table of the store; empty before it is first written."""
         try:
-            return self.spark.read.schema(schema).parquet(self.root)
-        except Exception as e:  # noqa: BLE001
-            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+            return self.spark.read.schema(schema).parquet(path)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
                 raise
             return self.spark.createDataFrame([], schema)
 
+    def snapshot(self) -> tuple[int, int] | None:
+        """(number, last batch folded in) of the newest snapshot."""
+        got = (self._read(f"{self.root}.snapshots", SNAPSHOT_SCHEMA)
+               .orderBy(F.desc("snapshot_id")).first())
+        return (got["snapshot_id"], got["last_batch"]) if got else None
+
+    def rows(self) -> DataFrame:
+        """All stored rows; empty before the first batch is written."""
+        rows = self._read(self.root, SET_SCHEMA if self.kind == "set" else HLL_SCHEMA)
+        newest = self.snapshot()
+        if newest is None:
+            return rows.where("batch_id >= 0")
+        return rows.where((F.col("batch_id") == -newest[0]) | (F.col("batch_id") > newest[1]))
+
     def live_rows(self, as_of_ms: int | None = None) -> DataFrame:
         rows = self.rows()
         if as_of_ms is not None:
@@ -70,7 +97,9 @@ class UVStore:
 
     def uv(self, as_of_ms: int | None = None) -> DataFrame:
         """(page, window_time, uv) over all stored batches (scard / pfcount)."""
-        rows = self.live_rows(as_of_ms)
+        return self._count(self.live_rows(as_of_ms))
+
+    def _count(self, rows: DataFrame) -> DataFrame:
         if self.kind == "set":
             return (rows.groupBy("page", "window_time")
                     .agg(F.count_distinct("user_id").cast("bigint").alias("uv")))
@@ -78,23 +107,29 @@ class UVStore:
                 .agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).cast("bigint").alias("uv")))
 
     def lookup(self, keys: DataFrame, as_of_ms: int | None = None) -> DataFrame:
-        """Point / batch lookup by (page, window_time); absent keys give 0."""
-        return (keys.select("page", "window_time").join(self.uv(as_of_ms), ["page", "window_time"],
-                                                        "left")
+        """Point / batch lookup by (page, window_time); absent and expired keys give
+        0. Only rows of the asked buckets are aggregated."""
+        keys = keys.select("page", "window_time").distinct()
+        asked = self.live_rows(as_of_ms).join(keys, ["page", "window_time"], "left_semi")
+        return (keys.join(self._count(asked), ["page", "window_time"], "left")
                 .select("page", "window_time", F.coalesce("uv", F.lit(0)).cast("bigint").alias("uv")))
 
-    def compact(self, snapshot_id: int, as_of_ms: int | None = None) -> None:
-        """Rewrite live rows as a single snapshot batch (drops expired rows).
-
-        Written to a new folder first, then swapped by the caller; here the
-        snapshot goes into ``<root>.compact-<id>`` and the store is re-pointed.
-        """
+    def compact(self, snapshot_id: int | None = None, as_of_ms: int | None = None) -> int:
+        """Fold all live rows into a new snapshot; returns its number (from 1, larger
+        than any before). Expired rows are left out."""
+        newest = self.snapshot()
+        number = max((newest[0] if newest else 0) + 1, int(snapshot_id or 0))
+        last = self.rows().agg(F.max("batch_id")).first()[0]
+        if last is None:
+            return newest[0] if newest else 0
         rows = self.live_rows(as_of_ms).drop("batch_id")
         if self.kind == "set":
             merged = rows.dropDuplicates()
         else:
             merged = rows.groupBy("page", "window_time").agg(F.hll_union_agg("sketch").alias("sketch"))
-        target = f"{self.root}.compact-{int(snapshot_id)}"
-        (merged.withColumn("batch_id", F.lit(int(snapshot_id)).cast("bigint"))
-         .write.mode("overwrite").partitionBy("batch_id").parquet(target))
-        self.root = target
+        self._write(merged, -number)
+        last = max(last, newest[1] if newest else -1)
+        (self.spark.range(1).select(F.lit(number).cast("bigint").alias("snapshot_id"),
+                                    F.lit(last).cast("bigint").alias("last_batch"))
+         .write.mode("append").parquet(f"{self.root}.snapshots"))
+        return number

@@ -152,21 +152,59 @@ def uv_by_batch_time(spark, sf_dir):
     return uv_exact(keyed, ["bucket", "page", "window_time"])
 
 
-@register("uv_vs_previous", f"""
-WITH {B_SQL},
-u AS (SELECT page, {_batch_sql(1, 'hours')} AS window_time, count(DISTINCT user_id)::BIGINT AS uv
-      FROM b GROUP BY 1, 2)
-SELECT u.page, u.window_time, u.uv, coalesce(p.uv, 0)::BIGINT AS prev_uv
-FROM u LEFT JOIN u p ON p.page = u.page AND p.window_time = u.window_time - 3600000""")
+PREVIOUS = (("1h", 1, "hours"), ("7m", 7, "minutes"), ("5h", 5, "hours"))
+
+
+def _previous_sql(tag: str, n: int, unit: str) -> str:
+    d = n * {"minutes": 60_000, "hours": 3_600_000}[unit]
+    back = f"(window_time - {d})"
+    ys = f"(epoch_us(date_trunc('year', epoch_ms{back}::TIMESTAMP)) // 1000)"
+    return f"""
+SELECT * FROM (WITH {B_SQL},
+  u AS (SELECT page, {_batch_sql(n, unit)} AS window_time, count(DISTINCT user_id)::BIGINT AS uv
+        FROM b GROUP BY 1, 2),
+  p AS (SELECT *, {ys} + (({back} - {ys}) // {d}) * {d} AS prev_time FROM u)
+  SELECT '{tag}' AS bucket, p.page, p.window_time, p.uv, coalesce(u.uv, 0)::BIGINT AS prev_uv
+  FROM p LEFT JOIN u ON u.page = p.page AND u.window_time = p.prev_time)"""
+
+
+@register("uv_vs_previous", "\nUNION ALL\n".join(_previous_sql(*x) for x in PREVIOUS))
 def uv_vs_previous(spark, sf_dir):
-    """UV of each year-anchored hour next to the previous hour's UV."""
+    """UV of each year-anchored bucket (1 hour, 7 minutes, 5 hours) next to the
+    UV of the previous bucket, i.e. the bucket of the time one width earlier. One
+    scan: the previous bucket is one of the two active buckets before (a year's last
+    bucket may be shorter), so lags over the aggregated buckets find it."""
     b = load_behaviors(spark, sf_dir)
-    cur = uv_by(b, TM.batch_time("behavior_ms", 1, "hours", ZONE))
-    prev = cur.select("page", (F.col("window_time") + 3_600_000).alias("window_time"),
-                      F.col("uv").alias("prev_uv"))
-    return (cur.join(prev, ["page", "window_time"], "left")
-            .select("page", "window_time", "uv",
-                    F.coalesce("prev_uv", F.lit(0)).cast("bigint").alias("prev_uv")))
+    kinds = F.array(*[F.struct(F.lit(tag).alias("bucket"),
+                               TM.batch_time("behavior_ms", n, unit, ZONE).alias("window_time"))
+                      for tag, n, unit in PREVIOUS])
+    cur = uv_exact(b.select("page", "user_id", F.inline(kinds)), ["bucket", "page", "window_time"])
+    before = F.coalesce(*[F.when(F.col("bucket") == tag, TM.previous_batch_time("window_time", n, unit, ZONE))
+                          for tag, n, unit in PREVIOUS])
+    w = Window.partitionBy("bucket", "page").orderBy("window_time")
+    found = F.coalesce(*[F.when(F.lag("window_time", k).over(w) == F.col("prev_time"), F.lag("uv", k).over(w))
+                         for k in (1, 2)], F.lit(0))
+    return (cur.withColumn("prev_time", before)
+            .select("bucket", "page", "window_time", "uv", found.cast("bigint").alias("prev_uv")))
+
+
+SHIFTS = ("SECOND", "MINUTE", "HOUR", "DAY", "WEEK")
+
+
+def shift_compare(uv: DataFrame, units, zone: str = ZONE) -> DataFrame:
+    """(page, window_time, uv, uv_<unit>_before ...): UV of each bucket against the
+    buckets one local unit earlier. Each aggregated row counts for its own label and,
+    per unit, for the label one unit later; one aggregate by label brings them
+    together, without a second scan or a join."""
+    roles = F.array(F.struct(F.lit("").alias("role"), F.col("window_time").alias("label")),
+                    *[F.struct(F.lit(u).alias("role"), TM.shift_ms("window_time", 1, u, zone).alias("label"))
+                      for u in units])
+    rows = uv.select("page", "uv", F.inline(roles))
+    return (rows.groupBy("page", F.col("label").alias("window_time"))
+            .agg(F.max(F.when(F.col("role") == "", F.col("uv"))).alias("uv"),
+                 *[F.coalesce(F.sum(F.when(F.col("role") == u, F.col("uv"))), F.lit(0)).cast("bigint")
+                   .alias(f"uv_{u.lower()}_before") for u in units])
+            .where("uv is not null"))
 
 
 @register("uv_shift_compare", f"""
@@ -179,13 +217,43 @@ FROM u LEFT JOIN u p ON p.page = u.page
 def uv_shift_compare(spark, sf_dir):
     """UV per hour against the same hour one local day earlier."""
     b = load_behaviors(spark, sf_dir)
-    cur = uv_by(b, TM.hour_start("behavior_ms"))
-    # The earlier hour is found by shifting each bucket one day forward.
-    earlier = cur.select("page", TM.shift_ms("window_time", 1, "DAY", ZONE).alias("window_time"),
-                         F.col("uv").alias("uv_day_before"))
-    return (cur.join(earlier, ["page", "window_time"], "left")
-            .select("page", "window_time", "uv",
-                    F.coalesce("uv_day_before", F.lit(0)).cast("bigint").alias("uv_day_before")))
+    return shift_compare(uv_by(b, TM.hour_start("behavior_ms")), ["DAY"])
+
+
+@register("uv_shift_units", f"""
+WITH {B_SQL},
+u AS (SELECT page, behavior_ms - behavior_ms % 1000 AS window_time,
+             count(DISTINCT user_id)::BIGINT AS uv FROM b GROUP BY 1, 2)
+SELECT u.page, u.window_time, u.uv,
+  {', '.join(f"coalesce(p{k}.uv, 0)::BIGINT AS uv_{x.lower()}_before" for k, x in enumerate(SHIFTS))}
+FROM u {' '.join(f"LEFT JOIN u p{k} ON p{k}.page = u.page AND p{k}.window_time = "
+                 + f"(epoch_us(make_timestamp(u.window_time * 1000) - INTERVAL 1 {x}) // 1000)"
+                 for k, x in enumerate(SHIFTS))}""")
+def uv_shift_units(spark, sf_dir):
+    """UV per second against the second one second, minute, hour, day and week
+    earlier."""
+    b = load_behaviors(spark, sf_dir)
+    return shift_compare(uv_by(b, TM.floor_ms("behavior_ms", 1_000)), SHIFTS)
+
+
+ZONES = ("America/New_York", "Asia/Shanghai")
+
+
+@register("uv_by_day_zones", "\nUNION ALL\n".join(f"""
+SELECT * FROM (WITH {O_SQL},
+  l AS (SELECT page, user_id, date_trunc('day', (ts AT TIME ZONE 'UTC') AT TIME ZONE '{z}') AS d FROM o)
+  SELECT '{z}' AS zone, page, (epoch_us(d AT TIME ZONE '{z}') // 1000) AS window_time,
+         (epoch_us((d + INTERVAL 1 DAY) AT TIME ZONE '{z}') // 1000) - 1 AS window_end,
+         strftime(d, '%Y-%m-%d') AS day, count(DISTINCT user_id)::BIGINT AS uv
+  FROM l GROUP BY ALL)""" for z in ZONES))
+def uv_by_day_zones(spark, sf_dir):
+    """B5 / B14 in local time: customers per order priority and local day, in a zone
+    with clock changes and in UTC+8 (orders span years)."""
+    o = orders_as_behaviors(spark, sf_dir)
+    kinds = F.array(*[F.struct(F.lit(z).alias("zone"), TM.calendar_start("behavior_ms", "DAY", z).alias("window_time"),
+                               TM.calendar_end("behavior_ms", "DAY", z).alias("window_end"),
+                               TM.format_ms("behavior_ms", "yyyy-MM-dd", z).alias("day")) for z in ZONES])
+    return uv_exact(o.select("page", "user_id", F.inline(kinds)), ["zone", "page", "window_time", "window_end", "day"])
 
 
 @register("return_gap_days", f"""
@@ -228,18 +296,20 @@ def uv_gap_filled(spark, sf_dir):
     return gap_fill(daily)
 
 
-def gap_fill(daily: DataFrame, step_ms: int = 86_400_000) -> DataFrame:
-    """Complete a (page, window_time, uv) series with zero rows.
-
-    The range per page is an aggregate; ``sequence`` expands it to at most
-    span/step rows per page. A reversed range yields no rows.
-    """
-    rng = (daily.groupBy("page").agg(F.min("window_time").alias("d1"),
-                                     F.max("window_time").alias("d2"))
-           .where("d1 <= d2"))
-    grid = rng.select("page", F.explode(F.sequence("d1", "d2", F.lit(step_ms))).alias("window_time"))
-    return (grid.join(daily, ["page", "window_time"], "left")
-            .select("page", "window_time", F.coalesce("uv", F.lit(0)).cast("bigint").alias("uv")))
+def gap_fill(daily: DataFrame, zone: str = ZONE) -> DataFrame:
+    """Complete a daily (page, window_time, uv) series, labelled by local midnight,
+    with zero rows: one for every local date between two active days. Steps are
+    dates, not 24 hours, so clock changes lose no day. One pass: each active day
+    brings the days up to the next one."""
+    day = F.expr(f"cast({TM.local_ts_sql('window_time', zone)} as date)")
+    w = Window.partitionBy("page").orderBy("day")
+    rows = daily.withColumn("day", day).withColumn("last", F.coalesce(F.date_sub(F.lead("day").over(w), 1), "day"))
+    days = rows.select("page", "window_time", "uv", F.col("day").alias("first"),
+                       F.explode(F.sequence("day", "last")).alias("day"))
+    midnight = F.expr(TM.local_to_ms_sql("cast(day as timestamp_ntz)", zone))
+    here = F.col("day") == F.col("first")
+    return days.select("page", F.when(here, F.col("window_time")).otherwise(midnight).alias("window_time"),
+                       F.when(here, F.col("uv")).otherwise(0).cast("bigint").alias("uv"))
 
 
 # The eight preset date formats of the reference, in its order,
