@@ -41,3 +41,56 @@ def test_launcher_runs(spark, json_folder, strategy):
         else:
             exact = ev.groupBy("event_type", F.expr("floor(unix_micros(cast(ts as timestamp)) / 3600000000)")).count().count()
         assert got.count() == exact
+
+
+@pytest.fixture(scope="module")
+def three_files(spark, tmp_path_factory):
+    """Events cut by time into three files with growing modification times."""
+    import os
+    import time
+
+    from uvlens.functions.time import epoch_ms
+    ev = spark.read.parquet(f"{SF}/events.parquet").withColumn("_ms", epoch_ms("ts"))
+    lo, hi = ev.agg(F.min("_ms"), F.max("_ms")).first()
+    folder, base = tmp_path_factory.mktemp("three"), time.time() - 1000
+    for k in range(3):
+        a, b = lo + (hi + 1 - lo) * k // 3, lo + (hi + 1 - lo) * (k + 1) // 3
+        sub = str(tmp_path_factory.mktemp("part") / "x")
+        ev.where((F.col("_ms") >= a) & (F.col("_ms") < b)).drop("_ms").coalesce(1).write.parquet(sub)
+        src = [f for f in os.listdir(sub) if f.endswith(".parquet")][0]
+        os.link(f"{sub}/{src}", folder / f"events-{k}.parquet")
+        os.utime(folder / f"events-{k}.parquet", (base + 10 * k,) * 2)
+    return str(folder)
+
+
+@pytest.mark.parametrize("strategy", ["exact", "hash", "slots", "hll", "set-store", "hll-store", "new-visitors",
+                                      "cumulative"])
+def test_launcher_equals_batch_over_three_batches(spark, three_files, strategy):
+    from uvlens.operators.admissions import uv_cumulative, uv_new_visitors
+    from uvlens.operators.store import UVStore
+    from uvlens.operators.windows import uv_per_batch_time, uv_per_window
+    from uvlens.sources.behaviors import load_behaviors
+    out = scratch_path(spark, f"launch3-{strategy}")
+    args = L.parser().parse_args(["--strategy", strategy, "--source", "parquet", "--path", three_files,
+                                  "--max-files", "1", "--sink", "parquet", "--out", out, "--once",
+                                  "--window", "30 seconds", "--ttl-hours", "3"])
+    L.start(spark, args).awaitTermination()
+    b = load_behaviors(spark, SF)
+    if strategy.endswith("-store"):
+        got = UVStore(spark, out, strategy[:-6]).uv()
+        want = uv_per_batch_time(b, 1, "minutes")
+    else:
+        got = spark.read.parquet(out)
+        assert got.select("batch_id").distinct().count() == 3
+        got = got.groupBy("page", "window_time").agg(F.max_by("uv", "batch_id").alias("uv"))
+        want = (uv_cumulative(b, 30_000, 10_800_000) if strategy == "cumulative"
+                else uv_new_visitors(b, 30_000, 10_800_000) if strategy == "new-visitors"
+                else uv_per_window(b, 30_000, "exact"))
+    key = lambda df: sorted((r.page, r.window_time, r.uv) for r in df.collect())
+    assert key(got) == key(want)
+
+
+def test_long_running_needs_a_checkpoint(spark, three_files):
+    args = L.parser().parse_args(["--source", "parquet", "--path", three_files])
+    with pytest.raises(ValueError, match="checkpoint"):
+        L.start(spark, args)

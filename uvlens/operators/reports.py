@@ -136,3 +136,11 @@ def report_lines(uv: DataFrame, zone: str = "UTC") -> DataFrame:
         F.lit("key:"), F.col("page"),
         F.lit(",window time:"), format_ms("window_time", "yyyy-MM-dd HH:mm:ss", zone),
         F.lit(",uv:"), F.col("uv").cast("string")))
+
+
+def store_lines(store, touched: DataFrame, as_of_ms: int) -> DataFrame:
+    """K2: ``page:<page>,batch time:<ms>,uv:<n>`` of the buckets (page, window_time) in
+    ``touched``, read back from a keyed store as of a time; expired buckets read 0."""
+    return (store.lookup(touched, as_of_ms=as_of_ms).withColumn("line", F.concat(
+        F.lit("page:"), F.col("page"), F.lit(",batch time:"), F.col("window_time").cast("string"),
+        F.lit(",uv:"), F.col("uv").cast("string"))))

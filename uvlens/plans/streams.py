@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from uvlens.functions import time as TM
+from uvlens.operators.reports import store_lines
 from uvlens.operators.store import UVStore
 from uvlens.operators.windows import DAY, HOUR, MINUTE
 from uvlens.plans import uv as U
@@ -238,3 +239,20 @@ def uv_lookup(spark, sf_dir):
     keys = stored.unionByName(stored.select("page", (F.col("window_time") + HOUR).alias("window_time"))
                               ).distinct()
     return store.lookup(keys)
+
+
+@register("store_report_lines", f"""
+WITH {B_SQL},
+u AS (SELECT page, behavior_ms - behavior_ms % 3600000 AS window_time,
+             count(DISTINCT user_id)::BIGINT AS n FROM b GROUP BY 1, 2),
+l AS (SELECT page, window_time,
+             (CASE WHEN window_time + {DAY} > (SELECT max(behavior_ms) FROM b) THEN n ELSE 0 END)::BIGINT AS uv
+      FROM u)
+SELECT *, 'page:' || page || ',batch time:' || window_time || ',uv:' || uv AS line FROM l""")
+def store_report_lines(spark, sf_dir):
+    """K2: the printed line of every bucket that four micro-batches wrote, read back
+    from the store as of the latest event; buckets older than a day have expired."""
+    store = UVStore(spark, scratch_path(spark, "store-lines"), "hll", ttl_ms=DAY)
+    J.store_stream(spark, _stream_in_batches(spark, sf_dir), store, 1, "hours", name="st-lines")
+    as_of = _batch(spark, sf_dir).agg(F.max("behavior_ms")).first()[0]
+    return store_lines(store, store.rows().select("page", "window_time"), as_of)

@@ -6,19 +6,22 @@
 
 Sources: ``kafka`` (JSON messages), ``json`` (folder of JSON-lines files) or
 ``parquet`` (folder of files with the ``events`` schema). Sinks: ``console``
-(report lines ``key:...,window time:...,uv:...``) or ``parquet`` (change log
-partitioned by micro-batch id). The checkpoint folder defaults to a fresh
-folder below ``spark.checkpoint.dir``.
+(report lines ``key:...,window time:...,uv:...``, the first ``--console-rows`` of
+each micro-batch) or ``parquet`` (change log partitioned by micro-batch id; the last
+value per page and window is the result). A long-running job needs ``--checkpoint``;
+the folders of its admissions and active windows lie next to it, so that a restart
+goes on where the job stopped. With ``--once`` a fresh folder is used.
 
 Strategies (one per reference plan):
 
 ==================  =====================================================
 exact               distinct users per window: dedup state + count (A1)
-cumulative          admitted users per window under the entry TTL; the running
-                    sum per page is taken when reading (``jobs.cumulative_from``) (A2)
+cumulative          users admitted under the entry TTL, summed per page up to each
+                    window; the sum restarts after a silent TTL (A2)
 hll                 HLL sketch per window (A3)
 hll-store           per-batch sketches merged in a keyed store (A4, A10)
-new-visitors        users new to the page within the TTL, per window (A5)
+new-visitors        users new to the page within the TTL, per window; 0 for windows
+                    with events but no new user (A5)
 slots               occupied hash slots per window (A6)
 hash                distinct 63-bit hashes per window (A7)
 set-store           per-batch distinct users merged in a keyed store (A8, A9)
@@ -32,7 +35,8 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from uvlens.functions.time import batch_time, format_ms
+from uvlens.functions.time import batch_time, format_ms, window_end_ms
+from uvlens.operators.reports import store_lines
 from uvlens.operators.store import UVStore
 from uvlens.operators.strategies import DEFAULT_SLOTS, hash63, md5_slot
 from uvlens.session import build_session, scratch_path
@@ -77,34 +81,96 @@ def windowed_result(b: DataFrame, args) -> DataFrame:
     raise ValueError(args.strategy)
 
 
+def _print(lines: DataFrame, limit: int) -> None:
+    """Console sink: the first ``limit`` lines of a micro-batch (one more is read to
+    tell whether there are others)."""
+    got = lines.limit(limit + 1).collect()
+    for r in got[:limit]:
+        print(r.line)
+    if len(got) > limit:
+        print(f"... more than {limit} lines; use --sink parquet for all")
+
+
 def _sink_batch(args, out: str | None):
     def write(batch: DataFrame, batch_id: int) -> None:
         if args.sink == "console":
-            lines = batch.select(F.concat(
+            _print(batch.select(F.concat(
                 F.lit("key:"), F.col("page"), F.lit(",window time:"),
                 format_ms("window_time", "yyyy-MM-dd HH:mm:ss", args.zone),
-                F.lit(",uv:"), F.col("uv").cast("string")).alias("line"))
-            for r in lines.toLocalIterator():   # console is for small outputs only
-                print(r.line)
+                F.lit(",uv:"), F.col("uv").cast("string")).alias("line")), args.console_rows)
         else:
-            (batch.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("batch_id").parquet(out))
+            _write_batch(batch, batch_id, out)
+    return write
+
+
+def _write_batch(rows: DataFrame, batch_id: int, path: str) -> None:
+    (rows.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("batch_id").parquet(path))
+
+
+ACTIVE_SCHEMA = "page STRING, window_time BIGINT, first_ms BIGINT, last_ms BIGINT, batch_id BIGINT"
+
+
+def admission_totals(admitted: DataFrame, active: DataFrame, touched: DataFrame, strategy: str,
+                     width_ms: int, ttl_ms: int) -> DataFrame:
+    """(page, window_time, uv) of the windows whose value a micro-batch may change.
+
+    ``admitted`` (page, user_id, admit_ms) and ``active`` (page, window_time, first_ms,
+    last_ms) hold everything up to this batch, ``touched`` (page, window_time) its
+    windows. New visitors change in the touched windows only; running totals change
+    from a page's first touched window on."""
+    new = (admitted.join(touched.select("page").distinct(), "page", "left_semi")
+           .select("page", "user_id", window_end_ms("admit_ms", width_ms).alias("window_time"))
+           .groupBy("page", "window_time").agg(F.count_distinct("user_id").alias("new_users")))
+    if strategy == "new-visitors":
+        return (touched.join(new, ["page", "window_time"], "left")
+                .select("page", "window_time", F.coalesce("new_users", F.lit(0)).cast("bigint").alias("uv")))
+    since = touched.groupBy("page").agg(F.min("window_time").alias("since"))
+    seen = (active.join(since.select("page"), "page", "left_semi").groupBy("page", "window_time")
+            .agg(F.min("first_ms").alias("first_ms"), F.max("last_ms").alias("last_ms")))
+    return (J.cumulative_ttl_from(seen, new, ttl_ms).join(since, "page")
+            .where("window_time >= since").drop("since"))
+
+
+def _admissions_batch(args, state: str, ttl_ms: int, out: str | None):
+    """foreachBatch body of the strategies with entry TTL: folds the micro-batch into
+    the stored admissions and active windows, then reports the changed totals. Every
+    write replaces only the batch's own partition, and later partitions are not read,
+    so a replay gives the same rows."""
+    width_ms = _width_ms(args.window)
+    admissions, windows = f"{state}/admissions", f"{state}/active"
+    fold = J.seeded_admissions_writer(ttl_ms, admissions)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        touched = (batch.groupBy("page", window_end_ms("behavior_ms", width_ms).alias("window_time"))
+                   .agg(F.min("behavior_ms").alias("first_ms"), F.max("behavior_ms").alias("last_ms")))
+        _write_batch(touched, batch_id, windows)
+        active = spark.read.schema(ACTIVE_SCHEMA).parquet(windows).where(F.col("batch_id") <= batch_id)
+        mine = active.where(F.col("batch_id") == batch_id).select("page", "window_time")
+        if mine.isEmpty():
+            return
+        fold(batch, batch_id)
+        admitted = (spark.read.schema(f"{J.ADMIT_SCHEMA}, batch_id BIGINT").parquet(admissions)
+                    .where(F.col("batch_id") <= batch_id))
+        _sink_batch(args, out)(admission_totals(admitted, active, mine, args.strategy, width_ms, ttl_ms), batch_id)
     return write
 
 
-def _admission_counts(args, out: str | None):
-    """foreachBatch over admissions: admitted users per (page, window)."""
+def _keyed_admissions_batch(args, state: str, ttl_ms: int, out: str | None):
+    """The same totals where a keyed-state stream has already made the admissions
+    (new visitors only: its output says nothing of windows without admissions)."""
     width_ms = _width_ms(args.window)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        # the cumulative form sums these per page at read time
-        counts = (batch.select("page", "user_id",
-                               F.expr(f"admit_ms - pmod(admit_ms, {width_ms}) + {width_ms}")
-                               .alias("window_time"))
-                  .groupBy("page", "window_time")
-                  .agg(F.count_distinct("user_id").cast("bigint").alias("uv")))
-        _sink_batch(args, out)(counts, batch_id)
+        spark, folder = batch.sparkSession, f"{state}/admissions"
+        _write_batch(batch.select("page", "user_id", "admit_ms"), batch_id, folder)
+        admitted = (spark.read.schema(f"{J.ADMIT_SCHEMA}, batch_id BIGINT").parquet(folder)
+                    .where(F.col("batch_id") <= batch_id))
+        mine = (admitted.where(F.col("batch_id") == batch_id)
+                .select("page", window_end_ms("admit_ms", width_ms).alias("window_time")).distinct())
+        _sink_batch(args, out)(admission_totals(admitted, mine, mine, "new-visitors", width_ms, ttl_ms), batch_id)
     return write
 
 
@@ -115,35 +181,37 @@ def _width_ms(text: str) -> int:
 
 
 def start(spark: SparkSession, args):
+    if not args.checkpoint and not args.once:
+        raise ValueError("a long-running job needs --checkpoint: a restart would forget its state")
     b = source(spark, args)
     ckpt = args.checkpoint or scratch_path(spark, f"ckpt-{args.strategy}")
+    state = args.admissions or f"{ckpt.rstrip('/')}-state"
     out = args.out if args.sink == "parquet" else None
     trigger = ({"availableNow": True} if args.once
                else {"processingTime": f"{args.trigger_seconds} seconds"})
     if args.strategy in ("set-store", "hll-store"):
         kind = "set" if args.strategy == "set-store" else "hll"
-        store = UVStore(spark, args.out or scratch_path(spark, f"store-{kind}"), kind)
+        store = UVStore(spark, args.out or f"{state}/store", kind)
 
         def write(batch: DataFrame, batch_id: int) -> None:
-            keyed = batch.select("page", "user_id",
+            keyed = batch.select("page", "user_id", "behavior_ms",
                                  batch_time("behavior_ms", args.bucket_n, args.bucket_unit,
-                                              args.zone).alias("window_time"))
+                                            args.zone).alias("window_time"))
             store.write_batch(keyed, batch_id)
             if args.sink == "console":
-                # read back the current UV of the buckets this batch touched
-                touched = keyed.select("page", "window_time").distinct()
-                for r in store.lookup(touched).toLocalIterator():
-                    print(f"page:{r.page},batch time:{r.window_time},uv:{r.uv}")
+                now = keyed.agg(F.max("behavior_ms")).first()[0]
+                if now is not None:
+                    _print(store_lines(store, keyed, now), args.console_rows)
         w = b.writeStream.foreachBatch(write)
     elif args.strategy in ("new-visitors", "cumulative"):
         ttl = int(args.ttl_hours * 3_600_000)
         if args.state == "keyed":
-            adm = J.admissions_stream(b, ttl, args.delay)
-            w = adm.writeStream.outputMode("append").foreachBatch(_admission_counts(args, out))
+            if args.strategy == "cumulative":
+                raise ValueError("cumulative needs --state seeded")
+            w = (J.admissions_stream(b, ttl, args.delay).writeStream.outputMode("append")
+                 .foreachBatch(_keyed_admissions_batch(args, state, ttl, out)))
         else:
-            adm_out = args.admissions or scratch_path(spark, "admissions")
-            w = b.writeStream.foreachBatch(
-                J.seeded_admissions_writer(ttl, adm_out, _admission_counts(args, out)))
+            w = b.writeStream.foreachBatch(_admissions_batch(args, state, ttl, out))
     else:
         res = windowed_result(b, args)
         w = res.writeStream.outputMode(args.mode).foreachBatch(_sink_batch(args, out))
@@ -171,7 +239,9 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--state", choices=("seeded", "keyed"), default="seeded",
                    help="TTL admissions: batch fold seeded from stored admissions, or "
                         "applyInPandasWithState keyed by (page, user)")
-    p.add_argument("--admissions", help="folder of stored admissions (seeded state)")
+    p.add_argument("--admissions", help="folder of stored admissions, active windows and "
+                                        "store (default: next to the checkpoint)")
+    p.add_argument("--console-rows", type=int, default=1000, help="lines printed per micro-batch")
     p.add_argument("--slots", type=int, default=DEFAULT_SLOTS)
     p.add_argument("--bucket-n", type=int, default=1)
     p.add_argument("--bucket-unit", default="minutes")
