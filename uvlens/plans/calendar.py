@@ -123,6 +123,25 @@ def uv_calendar_index(spark, sf_dir):
     return uv_exact(keyed, ["page", "year", "month_index", "day_index", "day_time"])
 
 
+@register("uv_month_days", f"""
+WITH {O_SQL},
+m AS (SELECT page, date_trunc('month', ts)::DATE AS d, count(DISTINCT user_id)::BIGINT AS uv FROM o GROUP BY 1, 2)
+SELECT page, {_ms("d::TIMESTAMP")} AS month_start, {_ms("(d + INTERVAL 1 MONTH)::TIMESTAMP")} - 1 AS month_end,
+       day(last_day(d))::INTEGER AS n_days, strftime(d, '%Y-%m-%d') AS first_day,
+       strftime(last_day(d), '%Y-%m-%d') AS last_day, uv
+FROM m""")
+def uv_month_days(spark, sf_dir):
+    """Months given as (year, month), their bounds, and their list of days."""
+    o = orders_as_behaviors(spark, sf_dir)
+    uv = uv_exact(o.select("page", "user_id", TM.year_of("behavior_ms", ZONE).alias("y"),
+                           TM.month_of_year("behavior_ms", ZONE).alias("m")), ["page", "y", "m"])
+    bounds = uv.select("page", "uv", TM.month_start_of("y", "m", ZONE).alias("month_start"),
+                       TM.month_end_of("y", "m", ZONE).alias("month_end"))
+    days = bounds.withColumn("days", TM.day_list("month_start", "month_end", ZONE))
+    return days.select("page", "month_start", "month_end", F.size("days").alias("n_days"),
+                       F.element_at("days", 1).alias("first_day"), F.element_at("days", -1).alias("last_day"), "uv")
+
+
 def _batch_sql(n: int, unit: str) -> str:
     if unit == "days":
         return _ms(f"date_trunc('year', ts) + ((dayofyear(ts) - 1) // {n} * {n}) * INTERVAL 1 DAY")

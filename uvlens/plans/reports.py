@@ -10,7 +10,7 @@ from uvlens.operators.strategies import uv_exact
 from uvlens.operators.windows import MINUTE, uv_per_window
 from uvlens.plans.registry import B_SQL, register
 from uvlens.sources.behaviors import (
-    MANY_PAGES, load_behaviors, parse_messages,
+    MANY_PAGES, events_as_messages, load_behaviors, parse_messages, split_messages,
 )
 from uvlens.sources.sinks import as_messages
 from uvlens.sources.tables import read_table
@@ -128,3 +128,19 @@ def parse_behaviors(spark, sf_dir):
         F.struct(F.lit("props").alias("source"), F.col("props").alias("value")))))
     return parse_messages(raw).select("event_id", "source", "user_id", "page", "behavior_ms",
                                       "valid")
+
+
+@register("split_behaviors", f"""
+WITH {B_SQL}
+SELECT event_id, user_id, page, behavior_ms, NULL AS rejected FROM b
+UNION ALL
+SELECT event_id, NULL, NULL, NULL::BIGINT, props AS rejected FROM events""")
+def split_behaviors(spark, sf_dir):
+    """S3: a message stream with rubbish in it, split into behaviours and the raw text
+    of rejected messages (here the props text)."""
+    ev = read_table(spark, sf_dir, "events")
+    raw = (events_as_messages(ev)
+           .unionByName(ev.select("event_id", F.col("props").alias("value"))))
+    good, bad = split_messages(raw)
+    return (good.withColumn("rejected", F.lit(None).cast("string"))
+            .unionByName(bad.withColumnRenamed("value", "rejected"), allowMissingColumns=True))

@@ -250,7 +250,7 @@ def normalize_json(spark, sf_dir):
 
 
 @register("normalize_json_turns", """
-SELECT conv_id, turn, role AS role_back, true AS text_roundtrip, 'conv_id,role,text,turn' AS keys
+SELECT conv_id, turn, role AS role_back, text AS text_back, 'conv_id,role,text,turn' AS keys
 FROM conversations""")
 def normalize_json_turns(spark, sf_dir):
     """Q5: conversation turns to JSON and back through a map; whole texts."""
@@ -261,6 +261,6 @@ def normalize_json_turns(spark, sf_dir):
     return cv.select(
         "conv_id", "turn",
         back.getField("role").alias("role_back"),
-        (back.getField("text") == F.col("text")).alias("text_roundtrip"),
+        back.getField("text").alias("text_back"),
         F.array_join(F.array_sort(F.map_keys(m)), ",").alias("keys"),
     )

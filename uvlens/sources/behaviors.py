@@ -99,11 +99,8 @@ def parse_messages(raw: DataFrame, value_col: str = "value") -> DataFrame:
 
 
 def split_messages(raw: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
-    """(valid behaviours, rejected raw rows)."""
-    parsed = parse_messages(raw, value_col)
-    good = parsed.where("valid").drop("valid")
-    bad = (raw.withColumn("_ok", F.from_json(F.col(value_col), MESSAGE_SCHEMA, JSON_OPTIONS))
-           .where("not coalesce(_ok.userId is not null and _ok.page is not null "
-                  "and _ok.behaviorTime is not null, false)")
-           .drop("_ok"))
+    """(valid behaviours, rejected raw rows); each message is parsed once per frame."""
+    parsed = parse_messages(raw.withColumn("_raw", F.col(value_col)), value_col)
+    good = parsed.where("valid").drop("valid", "_raw")
+    bad = parsed.where("not valid").withColumnRenamed("_raw", value_col).select(*raw.columns)
     return good, bad
