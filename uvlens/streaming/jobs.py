@@ -16,14 +16,13 @@ from collections.abc import Callable
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from uvlens.functions.time import batch_time, window_end_ms
 from uvlens.operators.store import UVStore
 from uvlens.operators.strategies import DEFAULT_LGK, hll_sketch
-from uvlens.session import scratch_path
+from uvlens.session import path_exists, scratch_path
 
 CHANGELOG_SCHEMA_EXTRA = "batch_id BIGINT"
 
@@ -143,34 +142,46 @@ def admissions_stream(behaviors: DataFrame, ttl_ms: int, delay: str = "10 minute
                                     "append", GroupStateTimeout.EventTimeTimeout))
 
 
+ADMIT_TABLE = f"{ADMIT_SCHEMA}, day BIGINT, batch_id BIGINT"
+DAY_MS = 86_400_000
+
+
+def _stored_admissions(session: SparkSession, out: str, first_ms: int, last_ms: int) -> DataFrame:
+    """Stored admissions of the days from ``first_ms`` to ``last_ms``: only the folders
+    of these days are listed and opened, however long the stream has run."""
+    days = range(first_ms // DAY_MS, last_ms // DAY_MS + 1)
+    paths = [p for p in (f"{out}/day={d}" for d in days) if path_exists(session, p)]
+    if not paths:
+        return session.createDataFrame([], ADMIT_TABLE)
+    return session.read.option("basePath", out).schema(ADMIT_TABLE).parquet(*paths)
+
+
 def seeded_admissions_writer(ttl_ms: int, out: str,
                              then: Callable[[DataFrame, int], None] | None = None):
     """foreachBatch body: fold the micro-batch seeded by stored admissions,
-    store the new admissions under its ``batch_id`` and pass them on."""
+    store the new admissions by day and ``batch_id`` and pass them on."""
     from uvlens.operators.admissions import continue_admissions
     ttl_ms = int(ttl_ms)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        b = batch.select("page", "user_id", "behavior_ms")
-        lo = b.agg(F.min("behavior_ms")).first()[0]
-        if lo is None:
-            return
+        b = batch.select("page", "user_id", "behavior_ms").persist()  # bounds, then the fold
         try:
-            prev = (session.read.schema(f"{ADMIT_SCHEMA}, batch_id BIGINT").parquet(out)
-                    .where((F.col("batch_id") < batch_id)
-                           & (F.col("admit_ms") > F.lit(int(lo) - ttl_ms))))
-        except AnalysisException as e:  # no earlier batch yet; anything else is an error
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            prev = session.createDataFrame([], f"{ADMIT_SCHEMA}, batch_id BIGINT")
-        adm = continue_admissions(b, prev.drop("batch_id"), ttl_ms)
-        (adm.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(out))
+            lo, hi = b.agg(F.min("behavior_ms"), F.max("behavior_ms")).first()
+            if lo is None:
+                return
+            prev = (_stored_admissions(session, out, lo - ttl_ms, hi)
+                    .where((F.col("batch_id") < batch_id) & (F.col("admit_ms") > F.lit(int(lo) - ttl_ms))))
+            adm = continue_admissions(b, prev.select("page", "user_id", "admit_ms"), ttl_ms)
+            (adm.withColumn("day", F.expr(f"cast(floor(admit_ms / {DAY_MS}) as bigint)"))
+             .withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("day", "batch_id").parquet(out))
+        finally:
+            b.unpersist()
         if then is not None:
-            stored = (session.read.schema(f"{ADMIT_SCHEMA}, batch_id BIGINT").parquet(out)
-                      .where(F.col("batch_id") == batch_id).drop("batch_id"))
+            stored = (_stored_admissions(session, out, lo, hi)
+                      .where(F.col("batch_id") == batch_id).drop("batch_id", "day"))
             then(stored, batch_id)
     return write
 
@@ -182,8 +193,8 @@ def admissions_store_stream(spark: SparkSession, behaviors: DataFrame, ttl_ms: i
     Each micro-batch is folded as a batch job (sorted partitions through
     ``mapInPandas``), seeded by the admissions of earlier batches that are
     younger than the TTL relative to the batch; its admissions are written
-    to the ``batch_id`` partition of ``out``. Replaying a batch overwrites
-    its own partition and ignores it as a seed, so the result is unchanged.
+    to the ``day`` and ``batch_id`` partitions of ``out``. Replaying a batch overwrites
+    its own partitions and ignores them as seeds, so the result is unchanged.
     """
     q = (behaviors.writeStream.foreachBatch(seeded_admissions_writer(ttl_ms, out))
          .option("checkpointLocation", scratch_path(spark, f"ckpt-{name}"))

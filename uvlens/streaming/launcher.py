@@ -39,7 +39,7 @@ from uvlens.functions.time import batch_time, format_ms, window_end_ms
 from uvlens.operators.reports import store_lines
 from uvlens.operators.store import UVStore
 from uvlens.operators.strategies import DEFAULT_SLOTS, hash63, md5_slot
-from uvlens.session import build_session, scratch_path
+from uvlens.session import build_session, path_exists, scratch_path
 from uvlens.sources.streams import (
     json_line_messages, kafka_messages, stream_behaviors, stream_behaviors_from_messages,
 )
@@ -152,7 +152,9 @@ def _admissions_batch(args, state: str, ttl_ms: int, out: str | None):
         if mine.isEmpty():
             return
         fold(batch, batch_id)
-        admitted = (spark.read.schema(f"{J.ADMIT_SCHEMA}, batch_id BIGINT").parquet(admissions)
+        if not path_exists(spark, admissions):  # events, but nobody admitted yet
+            return
+        admitted = (spark.read.schema(J.ADMIT_TABLE).parquet(admissions)
                     .where(F.col("batch_id") <= batch_id))
         _sink_batch(args, out)(admission_totals(admitted, active, mine, args.strategy, width_ms, ttl_ms), batch_id)
     return write
