@@ -89,6 +89,18 @@ def test_cases(spark):
     assert N.components(empty).collect() == [] and N.keep_one(empty).collect() == []
 
 
+def test_ids_with_several_texts(spark):
+    """Shingles of one text of an id say nothing of its other texts."""
+    rng = random.Random(11)
+    base = [f"w{rng.randrange(200)}" for _ in range(120)]
+    far = [" ".join(f"v{rng.random()}" for _ in range(90)) for _ in range(3)]
+    near = [" ".join([*base[:k], "changed", *base[k + 1:]]) for k in (20, 60, 100)]
+    rows = [(1, " ".join(base)), (2, near[0]), (2, far[0]), (3, far[1]), (3, near[1]), (4, near[2]), (5, far[2]), (5, far[1])]
+    got = {(r["id"], r["component_id"]) for r in N.components(spark.createDataFrame(rows, "doc_id bigint, text string"),
+                                                             0.85).collect()}
+    assert got == {(i, 1) for i in (1, 2, 3, 4, 5)}
+
+
 def test_registers_by_definition():
     rng = np.random.default_rng(1)
     h = np.unique(rng.integers(0, 2**64, 3000, dtype=np.uint64))

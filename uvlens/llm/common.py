@@ -12,12 +12,13 @@ from pyspark.sql import functions as F
 from uvlens.session import scratch_path
 
 
-def materialize(df: DataFrame, kind: str) -> DataFrame:
+def materialize(df: DataFrame, kind: str, parts: int | None = None) -> DataFrame:
     """Write ``df`` to a fresh table below the shared checkpoint folder and
     read it back: the lineage is cut, every later reader sees the same rows,
-    and a lost executor costs a re-read, not a re-computation."""
+    and a lost executor costs a re-read, not a re-computation. ``parts`` lowers
+    the number of files of a table whose size is known to be small."""
     path = scratch_path(df.sparkSession, f"llm-{kind}")
-    df.write.parquet(path)
+    (df.coalesce(parts) if parts else df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

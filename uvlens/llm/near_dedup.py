@@ -7,15 +7,16 @@ are banded; empty registers borrow from the first full one in a fixed random ord
 of their own, so short texts are banded like long ones.
 
 Links. 1. Texts with equal shingle sets are one node (smallest id). 2. Every band of
-a node is hashed; keys that several nodes share are candidates. 3. Per key, all nodes
-are compared with one leader; links found are contracted to components. This repeats
-with other leaders while many candidate pairs between components are left and links
-are still found. 4. All pairs that share a key and are still in different components
+a node is hashed; keys that several nodes share are candidates. 3. If there are many
+candidate pairs, all nodes of a key are compared with one leader, and links found are
+contracted. This repeats with other leaders while many candidate pairs between
+components are left and links are still found. 4. All pairs that share a key and are still in different components
 are compared: the only pairs not looked at are those whose nodes are connected already,
 so no link between components is lost, and a large group of near copies costs a few
-comparisons per member instead of all its pairs. A comparison first checks the sizes
-and a 256-bit sketch inside the join, then the collision-corrected Jaccard estimate of
-the registers, both with six standard deviations of slack, then the full sets.
+comparisons per member instead of all its pairs. A comparison first checks, inside the
+join, the sizes without the shingles that only one node has (an exact bound) and a
+512-bit sketch, then the collision-corrected Jaccard estimate of the registers, both
+with six standard deviations of slack, then the full sets.
 5. Components: alternating large-star and small-star steps on the verified links.
 
 ``rows_per_band`` is chosen so that a pair at the threshold misses all bands with
@@ -37,17 +38,19 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from uvlens.llm.common import as_strings, fresh, materialize
 
-REGISTERS, MANTISSA, SKETCH_BITS = 512, 10, 256
-BROADCAST_IDS = 1_000_000
+REGISTERS, MANTISSA, SKETCH_BITS = 512, 10, 512
+BROADCAST_IDS, ROWS_PER_PART = 1_000_000, 50_000
+PAIR = ["a", "b", "ca", "cb"]  # two nodes and their components
 SIGMAS = 6
 _LOW = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _ORDER = np.argsort(np.random.default_rng(5).random((REGISTERS, REGISTERS)), axis=1).astype(np.int16)
@@ -91,6 +94,12 @@ def shingles(text: bytes, k: int) -> np.ndarray:
     return np.unique(h)
 
 
+def _digest(hashes: np.ndarray) -> tuple[int, int]:
+    """Identity of a set: 128 bits as two signed 64-bit numbers."""
+    d = xxhash.xxh3_128_intdigest(hashes.tobytes())
+    return (d >> 64) - 2**63, (d & (2**64 - 1)) - 2**63
+
+
 def registers(hashes: np.ndarray) -> np.ndarray:
     """HyperMinHash registers of sorted hashes (uint16; _EMPTY where no hash fell)."""
     bucket = (hashes & np.uint64(REGISTERS - 1)).astype(np.int64)
@@ -193,9 +202,9 @@ def _sign(r: int, k: int):
                 for t in as_strings(part.column(1)):
                     s = shingles(t.as_buffer().to_pybytes() if t.is_valid else b"", k)
                     n.append(len(s))
-                    d = xxhash.xxh3_128_intdigest(s.tobytes())
-                    hi.append((d >> 64) - 2**63)
-                    lo.append((d & (2**64 - 1)) - 2**63)
+                    d = _digest(s)
+                    hi.append(d[0])
+                    lo.append(d[1])
                     if len(s):
                         dense = densified(registers(s))
                         keys.append(band_keys(dense, r))
@@ -218,9 +227,10 @@ def _sets(k: int):
                 sets = [shingles(t.as_buffer().to_pybytes() if t.is_valid else b"", k)
                         for t in as_strings(part.column(1))]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(s) for s in sets], pa.int64()),
+                    [part.column(0), pa.array([_digest(s)[0] for s in sets], pa.int64()),
+                     pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([registers(s).tobytes() for s in sets], pa.binary()),
-                     pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["id", "n", "regs", "hashes"])
+                     pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["id", "hi", "n", "regs", "hashes"])
     return fn
 
 
@@ -233,11 +243,20 @@ def _estimated(threshold: float):
                 a, b = (np.frombuffer(b"".join(p.column(c).to_pylist()), np.uint16).reshape(-1, REGISTERS)
                         for c in ("regs_a", "regs_b"))
                 j, m = estimate(a, b, p.column("n_a").to_numpy(), p.column("n_b").to_numpy())
-                slack = SIGMAS * math.sqrt(threshold * (1 - threshold)) / np.sqrt(m)
-                yield p.select(["a", "b"]).filter(pa.array(j >= threshold - slack))
+                # the used registers are a draw of m without replacement from the union
+                union = np.maximum((p.column("n_a").to_numpy() + p.column("n_b").to_numpy()) / (1 + threshold), 2)
+                rest = np.clip((union - m) / (union - 1), 0, 1)
+                slack = SIGMAS * np.sqrt(threshold * (1 - threshold) / m * rest) + 1 / m + 0.005
+                yield p.select(PAIR).filter(pa.array(j >= threshold - slack))
     return fn
 
 
+def _parts(rows: int) -> int:
+    """Partitions to write a table of at most ``rows`` small rows in: many tiny
+    files cost more than the work on them."""
+    return max(1, math.ceil(rows / ROWS_PER_PART))
+
+
 def connected(links: DataFrame) -> DataFrame:
     """(id, comp): the smallest id reachable over links (a, b), for every linked
     id. Alternating large-star and small-star steps until nothing changes. Minima
@@ -250,32 +269,35 @@ def connected(links: DataFrame) -> DataFrame:
                         .where("a <> b").distinct(), "cc")
     last = state(edges)
     while last["n"]:
+        parts = _parts(2 * last["n"])  # no step makes more rows than twice its edges
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = materialize(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "cc")
+        low = materialize(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "cc", parts)
         large = materialize(both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                            .distinct(), "cc")
-        low = materialize(large.groupBy("a").agg(F.min("b").alias("m")), "cc")
+                            .distinct(), "cc", parts)
+        low = materialize(large.groupBy("a").agg(F.min("b").alias("m")), "cc", parts)
         small = (large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionAll(low.select("a", F.col("m").alias("b"))).distinct())
-        edges = materialize(small, "cc")
+        edges = materialize(small, "cc", parts)
         now = state(edges)
         if now == last:
             break
         last = now
     return materialize(
         edges.select(F.col("a").alias("id"), F.col("b").alias("comp"))
-        .unionAll(edges.select(F.col("b").alias("id"), F.col("b").alias("comp")).distinct()), "cc")
+        .unionAll(edges.select(F.col("b").alias("id"), F.col("b").alias("comp")).distinct()), "cc", _parts(2 * last["n"]))
 
 
-def merge(comp: DataFrame, links: DataFrame) -> DataFrame:
-    """Components (id, comp of every node) after new links (a, b) between nodes:
-    the links are contracted to components, connected, and mapped back."""
-    ca = comp.select(F.col("id").alias("a"), F.col("comp").alias("ca"))
-    cb = comp.select(F.col("id").alias("b"), F.col("comp").alias("cb"))
-    between = (links.join(ca, "a").join(cb, "b").where("ca <> cb")
-               .select(F.col("ca").alias("a"), F.col("cb").alias("b")))
-    joined = connected(between).select(F.col("id").alias("comp"), F.col("comp").alias("to"))
-    return materialize(comp.join(joined, "comp", "left").select("id", F.coalesce("to", "comp").alias("comp")), "comp")
+def hook(links: DataFrame, parts: int) -> DataFrame:
+    """(comp, to): a cheap part of the contraction of links (ca, cb) between
+    components. Every component takes the smallest one it is linked to, four hops far
+    at most. Equal labels are connected; connected components may still differ."""
+    to = materialize(links.groupBy(F.greatest("ca", "cb").alias("comp")).agg(F.min(F.least("ca", "cb")).alias("to")),
+                     "hook", parts)
+    for _ in range(2):
+        further = to.select(F.col("comp").alias("to"), F.col("to").alias("next"))
+        to = materialize(to.join(further, "to", "left").select("comp", F.coalesce("next", "to").alias("to")),
+                         "hook", parts)
+    return to
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -284,9 +306,9 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_IDS else df
 
 
-def verify(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """The true links of distinct pairs (a, b), as a written table: sizes, then
-    estimates of the registers, then the full sets."""
+def verify(pairs: DataFrame, sets: DataFrame, threshold: float, parts: int) -> DataFrame:
+    """The true links of distinct pairs (a, b, ca, cb), as a written table: estimates
+    of the registers, then the full sets."""
     num, den = round(threshold * 100), 100
 
     def sides(p: DataFrame, *cols: str) -> DataFrame:
@@ -294,13 +316,12 @@ def verify(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
             p = p.join(sets.select(F.col("id").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in cols]), x)
         return p
 
-    sized = sides(pairs, "n", "regs").where(F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num)
-    near = materialize(sized.select("a", "b", "n_a", "n_b", "regs_a", "regs_b")
-                       .mapInArrow(_estimated(threshold), "a BIGINT, b BIGINT"), "estimated")
+    near = materialize(sides(pairs, "n", "regs").select(*PAIR, "n_a", "n_b", "regs_a", "regs_b")
+                       .mapInArrow(_estimated(threshold), ", ".join(f"{c} BIGINT" for c in PAIR)), "estimated", parts)
     both = F.size(F.array_intersect("hashes_a", "hashes_b"))
     full = sides(near, "hashes").withColumn("both", both)
     return materialize(full.where(den * F.col("both") >= num * (
-        F.size("hashes_a") + F.size("hashes_b") - F.col("both"))).select("a", "b"), "links")
+        F.size("hashes_a") + F.size("hashes_b") - F.col("both"))).select(*PAIR), "links", parts)
 
 
 def _cross(nodes: DataFrame) -> int:
@@ -311,8 +332,33 @@ def _cross(nodes: DataFrame) -> int:
     return int(got["x"] or 0)
 
 
+_BITS = [f"x{i}" for i in range(SKETCH_BITS // 64)]
+
+
+def _close(threshold: float, other: str) -> Column:
+    """Whether two nodes (the second one's columns have the prefix ``other``) are in
+    different components and can reach the threshold: by their sizes and the shingles
+    that only one node has (the intersection holds none of these), and by sketch."""
+    num, den = round(threshold * 100), 100
+    differ = F.lit(0)
+    for x in _BITS:
+        differ = differ + F.bit_count(F.col(x).bitwiseXOR(F.col(other + x)))
+    most = F.least(F.col("n") - F.col("own"), F.col(other + "n") - F.col(other + "own"))
+    return ((F.col("comp") != F.col(other + "comp"))
+            & (den * most >= num * (F.col("n") + F.col(other + "n") - most))
+            & (differ <= sketch_limit(threshold)))
+
+
+def _pairs(joined: DataFrame) -> DataFrame:
+    """Distinct pairs (a < b, and their components) of joined nodes."""
+    first = F.col("node") < F.col("o_node")
+    pick = lambda x, y: F.when(first, F.col(x)).otherwise(F.col(y))
+    return joined.select(pick("node", "o_node").alias("a"), pick("o_node", "node").alias("b"),
+                         pick("comp", "o_comp").alias("ca"), pick("o_comp", "comp").alias("cb")).distinct()
+
+
 def components(df: DataFrame, threshold: float = 0.8, k: int = 5, id_col: str = "doc_id",
-               text: str = "text", max_rounds: int = 6) -> DataFrame:
+               text: str = "text", max_rounds: int = 3) -> DataFrame:
     """id, n_shingles, component_id (null for null ids) of every row.
     ``threshold`` is taken in hundredths."""
     r = rows_per_band(threshold)
@@ -333,56 +379,55 @@ def components(df: DataFrame, threshold: float = 0.8, k: int = 5, id_col: str =
     banded = nodes.select("node", F.explode("bands").alias("key"))
     shared = materialize(banded.groupBy("key").agg(F.min("node").alias("x"), F.max("node").alias("y"))
                          .where("x < y").select("key"), "shared")
-    near = materialize(banded.join(shared, "key").select("key", "node"), "near")
+    keyed = materialize(banded.join(shared, "key").select("key", "node"), "keyed")
+    rows = keyed.count()
+    parts = _parts(rows)
+    involved = materialize(keyed.select(F.col("node").alias("id")).distinct(), "involved", parts)
+    wanted = _small(involved)
+    sets = materialize(docs.join(wanted, "id", "left_semi")
+                       .mapInArrow(_sets(k), "id BIGINT, hi BIGINT, n BIGINT, regs BINARY, hashes ARRAY<BIGINT>"), "sets")
+    # shingles that no other set of these has can be in no intersection
+    alone = (sets.select("id", "hi", F.explode("hashes").alias("h")).groupBy("h")
+             .agg(F.min("id").alias("id"), F.min("hi").alias("hi"), F.count(F.lit(1)).alias("c")).where("c = 1")
+             .groupBy("id", "hi").agg(F.count(F.lit(1)).alias("own")))
+    about = (nodes.select(F.col("node").alias("id"), "hi", "n", *[F.col("bits")[i].alias(x) for i, x in enumerate(_BITS)])
+             .join(wanted, "id", "left_semi").join(alone, ["id", "hi"], "left")
+             .select(F.col("id").alias("node"), "n", F.coalesce("own", F.lit(0)).alias("own"), *_BITS))
+    about = materialize(about.where((F.col("n") - F.col("own")) * den >= F.col("n") * num), "about", parts)
+    now = materialize(keyed.join(about, "node").withColumn("comp", F.col("node")), "near", parts)
+
     # an id with several texts belongs to several nodes: these are linked
     split = member.groupBy("id").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x < y")
-    split = materialize(member.join(split, "id").where("node <> x").select(
-        F.col("node").alias("a"), F.col("x").alias("b")).distinct(), "split")
-    involved = materialize(near.select("node").unionAll(split.select("a")).unionAll(split.select("b"))
-                           .distinct().select(F.col("node").alias("id")), "involved")
-    sets = materialize(docs.join(_small(involved), "id", "left_semi")
-                       .mapInArrow(_sets(k), "id BIGINT, n BIGINT, regs BINARY, hashes ARRAY<BIGINT>"), "sets")
-    comp = involved.select("id", F.col("id").alias("comp"))
-    if not split.isEmpty():
-        comp = merge(comp, split)
-
-    def labelled(comp: DataFrame) -> DataFrame:
-        """Nodes with key and component, of the keys with several components."""
-        own = materialize(near.join(comp.withColumnRenamed("id", "node"), "node"), "labelled")
-        active = materialize(own.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"))
-                             .where("x < y").select("key"), "active")
-        return materialize(own.join(active, "key").select("key", "node", "comp"), "open")
-
-    # 3. one leader per key
-    now = labelled(comp)
+    links = [member.join(materialize(split, "split", parts), "id").where("node <> x").select(
+        F.col("node").alias("a"), F.col("x").alias("b"))]
+
+    # 3. one leader per key: first the node with the fewest shingles of its own, which is
+    # the middle of a group of copies, then any
     for turn in range(max_rounds):
-        if _cross(now) <= 2 * now.count():
+        if _cross(now) <= 4 * rows:
             break
-        order = F.xxhash64("node", F.lit(turn))
-        leads = materialize(now.groupBy("key").agg(F.min_by("node", order).alias("lead"),
-                                                   F.min_by("comp", order).alias("lead_comp")), "leads")
-        pairs = (now.join(leads, "key").where("comp <> lead_comp")
-                 .select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct())
-        new = verify(pairs, sets, threshold)
-        if new.isEmpty():
+        order = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(1 << 40))
+        if not turn:
+            order = order + F.least("own", F.lit(1 << 20)) * (1 << 40)
+        leads = materialize(now.groupBy("key").agg(
+            *[F.min_by(c, order).alias("o_" + c) for c in ("node", "comp", "n", "own", *_BITS)]), "leads", parts)
+        new = verify(_pairs(now.join(leads, "key").where(_close(threshold, "o_"))), sets, threshold, parts)
+        links.append(new.select("a", "b"))
+        found = new.count()
+        if found:
+            to = hook(new, parts)
+            now = materialize(now.join(to, "comp", "left").withColumn("comp", F.coalesce("to", "comp")).drop("to"),
+                              "near", parts)
+        if found * den < about.count():  # few are left that a leader finds
             break
-        comp = merge(comp, new)
-        now = labelled(comp)
 
     # 4. all pairs that share a key and are still apart
-    words = range(SKETCH_BITS // 64)
-    bits = nodes.select("node", "n", *[F.col("bits")[i].alias(f"x{i}") for i in words])
-    side = materialize(now.join(bits, "node"), "side")
-    other = side.select("key", *[F.col(c).alias("o_" + c) for c in side.columns if c != "key"])
-    differ = F.lit(0)
-    for i in words:
-        differ = differ + F.bit_count(F.col(f"x{i}").bitwiseXOR(F.col(f"o_x{i}")))
-    close = ((side["key"] == other["key"]) & (F.col("node") < F.col("o_node")) & (F.col("comp") != F.col("o_comp"))
-             & (F.least("n", "o_n") * den >= F.greatest("n", "o_n") * num) & (differ <= sketch_limit(threshold)))
-    rest = side.join(other, close).select(F.col("node").alias("a"), F.col("o_node").alias("b")).distinct()
-    comp = merge(comp, verify(rest, sets, threshold))
+    other = now.select("key", *[F.col(c).alias("o_" + c) for c in now.columns if c != "key"])
+    rest = now.join(other, (now["key"] == other["key"]) & (F.col("node") < F.col("o_node")) & _close(threshold, "o_"))
+    links.append(verify(_pairs(rest), sets, threshold, parts).select("a", "b"))
 
     # 5. every row's component
+    comp = connected(reduce(DataFrame.unionAll, links))
     home = (member.groupBy("id").agg(F.min("node").alias("node"))
             .join(comp.withColumnRenamed("id", "node"), "node", "left")
             .select("id", F.coalesce("comp", "node").alias("component_id")))
