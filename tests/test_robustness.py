@@ -207,7 +207,7 @@ def test_scratch_folder_must_be_shared_on_a_cluster(spark):
 
 
 @pytest.mark.parametrize("name", ["uv_overlap", "uv_vs_previous", "uv_shift_compare", "uv_shift_units", "uv_gap_filled",
-                                  "uv_hll_rollup"])
+                                  "uv_hll_rollup", "uv_new_visitors", "uv_cumulative"])
 def test_one_scan(spark, name):
     plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1

@@ -187,9 +187,22 @@ def _admitted_per_window(adm: DataFrame, width_ms: int) -> DataFrame:
             .agg(F.count_distinct("user_id").cast("bigint").alias("new_users")))
 
 
+def first_visits_per_window(behaviors: DataFrame, width_ms: int) -> DataFrame:
+    """(page, window_time, new_users) of every window with events, without expiry: one
+    scan and no join. Events collapse to one row per (page, user, window) before the
+    first shuffle; the window below holds one row per active window of one user."""
+    rows = (behaviors.select("page", "user_id", window_end_ms("behavior_ms", width_ms).alias("window_time"))
+            .distinct())
+    first = F.min("window_time").over(Window.partitionBy("page", "user_id"))
+    return (rows.withColumn("is_new", (F.col("window_time") == first).cast("bigint"))
+            .groupBy("page", "window_time").agg(F.sum("is_new").alias("new_users")))
+
+
 def uv_new_visitors(behaviors: DataFrame, width_ms: int = 60_000,
                     ttl_ms: int | None = None) -> DataFrame:
     """A5: users admitted in each window with events; 0 when none."""
+    if ttl_ms is None:
+        return first_visits_per_window(behaviors, width_ms).withColumnRenamed("new_users", "uv")
     adm = admission_times(behaviors, ttl_ms)
     active = active_windows(behaviors, width_ms).select("page", "window_time")
     return (active.join(_admitted_per_window(adm, width_ms), ["page", "window_time"], "left")
@@ -206,18 +219,19 @@ def page_epochs(behaviors: DataFrame, ttl_ms: int) -> DataFrame:
 def uv_cumulative(behaviors: DataFrame, width_ms: int = 30_000,
                   ttl_ms: int | None = None) -> DataFrame:
     """A2: running distinct users per page, sampled at each window with events."""
+    if ttl_ms is None:
+        w = (Window.partitionBy("page").orderBy("window_time")
+             .rowsBetween(Window.unboundedPreceding, 0))
+        return (first_visits_per_window(behaviors, width_ms)
+                .select("page", "window_time", F.sum("new_users").over(w).alias("uv")))
+    if width_ms > ttl_ms:
+        raise ValueError("window width must not exceed the TTL")
     adm = admission_times(behaviors, ttl_ms)
     active = active_windows(behaviors, width_ms)
-    per_window = active.join(_admitted_per_window(adm, width_ms), ["page", "window_time"], "left")
-    part = ["page"]
-    if ttl_ms is not None:
-        if width_ms > ttl_ms:
-            raise ValueError("window width must not exceed the TTL")
-        epochs = page_epochs(behaviors, ttl_ms)
-        per_window = (per_window.withColumn("tb", F.expr(f"first_ms div {int(ttl_ms)}"))
-                      .join(epochs, ["page", "tb"]))
-        part = ["page", "epoch"]
-    w = (Window.partitionBy(*part).orderBy("window_time")
+    per_window = (active.join(_admitted_per_window(adm, width_ms), ["page", "window_time"], "left")
+                  .withColumn("tb", F.expr(f"first_ms div {int(ttl_ms)}"))
+                  .join(page_epochs(behaviors, ttl_ms), ["page", "tb"]))
+    w = (Window.partitionBy("page", "epoch").orderBy("window_time")
          .rowsBetween(Window.unboundedPreceding, 0))
     return per_window.select(
         "page", "window_time",
