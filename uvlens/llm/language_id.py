@@ -33,7 +33,7 @@ from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, FloatType, In
                                StructField, StructType)
 
 BUCKETS, DIM = 1 << 12, 16
-SAMPLE_ROWS, MAX_LANGS = 6_000, 256
+SAMPLE_ROWS, MAX_LANGS = 4_000, 256
 UNKNOWN = "und"
 _NOT_LETTERS = regex.compile(r"[^\p{L}\p{M}]+")
 _LETTER = regex.compile(r"\p{L}")
@@ -93,20 +93,19 @@ class LanguageModel:
         return z / z.sum(-1, keepdims=True)
 
 
-def train(x: np.ndarray, y: np.ndarray, langs: tuple[str, ...], epochs: int = 30, rate: float = 4.0,
-          seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
-    """SGD on the embeddings and the softmax; ``x`` rows are mean subword
-    frequencies. Returns (bucket scores, bias)."""
+def train(x: np.ndarray, y: np.ndarray, use: np.ndarray, langs: tuple[str, ...], epochs: int = 30,
+          rate: float = 4.0, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
+    """SGD on the embeddings and the softmax over the rows ``use`` of ``x`` (mean
+    subword frequencies, float32). Returns (bucket scores, bias)."""
     rng = np.random.default_rng(seed)
     e = rng.normal(0, 0.3, (BUCKETS, DIM)).astype(np.float32)
     w = rng.normal(0, 0.3, (DIM, len(langs))).astype(np.float32)
     b = np.zeros(len(langs), np.float32)
-    x = x.astype(np.float32)
-    weight = (len(y) / (len(langs) * np.maximum(np.bincount(y, minlength=len(langs)), 1))).astype(np.float32)
+    weight = (len(use) / (len(langs) * np.maximum(np.bincount(y[use], minlength=len(langs)), 1))).astype(np.float32)
     for epoch in range(epochs):
         step = np.float32(rate * (1 - epoch / epochs))
-        order = rng.permutation(len(y))
-        for i in range(0, len(y), 32):
+        order = rng.permutation(use)
+        for i in range(0, len(use), 32):
             rows = order[i:i + 32]
             xb, yb = x[rows], y[rows]
             h = xb @ e
@@ -174,7 +173,8 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", id_col: str = "
     apart = np.arange(len(y)) % 5 == 4
     if len(y) < 50:
         apart[:] = False
-    scores, bias = train(x[~apart], y[~apart], langs)
+    del rows
+    scores, bias = train(x, y, np.flatnonzero(~apart), langs)
     return _calibrate(LanguageModel(langs, scores, bias), x[apart], y[apart], accept_error)
 
 
