@@ -15,8 +15,8 @@ are compared: the only pairs not looked at are those whose nodes are connected a
 so no link between components is lost, and a large group of near copies costs a few
 comparisons per member instead of all its pairs. A comparison first checks, inside the
 join, the sizes without the shingles that only one node has (an exact bound) and a
-512-bit sketch, then the collision-corrected Jaccard estimate of the registers, both
-with six standard deviations of slack, then the full sets.
+512-bit sketch (five standard deviations of slack), then the collision-corrected
+Jaccard estimate of the registers (six), then the full sets.
 5. Components: alternating large-star and small-star steps on the verified links.
 
 ``rows_per_band`` is chosen so that a pair at the threshold misses all bands with
@@ -51,7 +51,7 @@ from uvlens.llm.common import as_strings, fresh, materialize
 REGISTERS, MANTISSA, SKETCH_BITS = 512, 10, 512
 BROADCAST_IDS, ROWS_PER_PART = 1_000_000, 50_000
 PAIR = ["a", "b", "ca", "cb"]  # two nodes and their components
-SIGMAS = 6
+SIGMAS, SKETCH_SIGMAS = 6, 5
 _LOW = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _ORDER = np.argsort(np.random.default_rng(5).random((REGISTERS, REGISTERS)), axis=1).astype(np.int16)
 _RANK = np.argsort(_ORDER, axis=1).astype(np.int16)
@@ -78,7 +78,7 @@ def shingles(text: bytes, k: int) -> np.ndarray:
     words = text.translate(_LOW).split()
     if not words:
         return np.zeros(0, np.uint64)
-    if len(_WORDS) > 500_000:
+    if len(_WORDS) > 150_000:
         _WORDS.clear()
     ids = []
     for w in words:
@@ -162,9 +162,9 @@ def sketch(dense: np.ndarray) -> np.ndarray:
 
 
 def sketch_limit(threshold: float) -> int:
-    """Differing bits that a pair at the threshold stays under (six sigmas)."""
+    """Differing bits that a pair at the threshold stays under (five sigmas)."""
     p = (1 - threshold) / 2
-    return math.ceil(SKETCH_BITS * p + SIGMAS * math.sqrt(SKETCH_BITS * p * (1 - p)))
+    return math.ceil(SKETCH_BITS * p + SKETCH_SIGMAS * math.sqrt(SKETCH_BITS * p * (1 - p)))
 
 
 def collision_rate(n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
