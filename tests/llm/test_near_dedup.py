@@ -1,5 +1,6 @@
 """Operator 5 against brute force over all pairs."""
 
+import math
 import random
 import re
 
@@ -144,6 +145,41 @@ def test_bands_miss_rarely():
         assert (1 - t**r) ** (N.REGISTERS // r) <= 1e-7
 
 
+def sketch_miss(threshold, union):
+    """Probability that a pair at the threshold with so many shingles differs in more bits
+    than the sketch allows. m registers are full, d of them differ, the others borrow."""
+    def log_choose(n, k):
+        return math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1)
+
+    def binomial(n, p):
+        return np.array([math.exp(log_choose(n, k) + k * math.log(p) + (n - k) * math.log1p(-p)) for k in range(n + 1)])
+
+    full = np.zeros(N.REGISTERS + 1)
+    full[0] = 1
+    k = np.arange(N.REGISTERS + 1)
+    for _ in range(union):
+        full = full * k / N.REGISTERS + np.concatenate([[0], (full * (N.REGISTERS - k) / N.REGISTERS)[:-1]])
+    apart, out = int((1 - threshold) * union + 1e-9), 0.0
+    for m in np.flatnonzero(full > 1e-13):
+        for d in range(max(1, m - union + apart), min(apart, m) + 1):
+            p = full[m] * math.exp(log_choose(apart, d) + log_choose(union - apart, m - d) - log_choose(union, m))
+            if p > 1e-13:
+                bits = np.convolve(binomial(d, 0.5), binomial(N.REGISTERS - m, d / (2 * m)))
+                out += p * bits[N.sketch_limit(threshold) + 1:].sum()
+    return out
+
+
+@pytest.mark.parametrize("threshold", [0.85, 0.8])
+def test_sketch_misses_rarely(threshold):
+    assert all(sketch_miss(threshold, n) < 1e-8 for n in (20, 40, 60, 100, 200))
+
+
+def test_small_sets_are_not_dropped_by_the_sketch(spark):
+    """Five shingles in three buckets: 101 of 512 bits differ at Jaccard 0.8."""
+    words = [f"t527137x{i}" for i in range(9)]
+    check(spark, [(1, " ".join(words)), (2, " ".join(words[:8]))], 0.8)
+
+
 def test_connected_by_union_find(spark):
     rng = random.Random(5)
     edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(230)]
