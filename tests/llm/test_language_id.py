@@ -61,3 +61,21 @@ def test_cases(spark):
     empty = df.where("1 = 0")
     assert L.predict(empty, L.fit(empty)).collect() == []
     assert {r["language"]["lang_pred"] for r in L.predict(df, L.fit(empty)).collect()} == {"und"}
+
+
+def test_sample_holds_whatever_repeats(spark, monkeypatch):
+    """An id with a third of the rows, as equal rows or as many texts."""
+    sizes, train = [], L.train
+
+    def counted(x, y, *rest):
+        sizes.append(len(y))
+        return train(x, y, *rest)
+
+    monkeypatch.setattr(L, "train", counted)
+    for hot in ("same text", "text {}"):
+        rows = [(i, f"words of row {i}", "en") for i in range(1_000)]
+        rows += [(k, hot.format(j), "en") for j in range(500) for k in (0, 1, 2)]
+        L.fit(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"), sample_rows=200)
+    assert all(130 < n < 270 for n in sizes) and len(sizes) == 2
+    L.fit(spark.createDataFrame(rows[:3] * 5, "doc_id bigint, text string, lang string"))
+    assert sizes[2] == 3

@@ -152,3 +152,16 @@ def test_op9_cases(spark):
     one = spark.createDataFrame([(1, 1), (2, 1), (2, 1)], "doc_id bigint, quality int")
     assert all(r["score"] > 0.5 for r in R.score(docs, R.fit(docs, one)).collect())
     assert R.score(docs.where("1 = 0"), R.fit(docs.where("1 = 0"), one)).collect() == []
+
+
+def test_op9_sample_holds_whatever_repeats(spark, monkeypatch):
+    """A labelled id with a third of the rows, as equal rows or as many texts."""
+    sizes = []
+    monkeypatch.setattr(R, "fit_rules", lambda x, y: sizes.append(len(y)))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1_000)], "doc_id bigint, quality int")
+    for hot in ("same text", "text {}"):
+        rows = [(i, f"words of row {i}") for i in range(1_000)] + [(k, hot.format(j)) for j in range(500) for k in (0, 1, 2)]
+        R.fit(spark.createDataFrame(rows, "doc_id bigint, text string"), labels, sample_rows=200)
+    assert all(130 < n < 270 for n in sizes) and len(sizes) == 2
+    R.fit(spark.createDataFrame(rows[:3] * 5, "doc_id bigint, text string"), labels)
+    assert sizes[2] == 3

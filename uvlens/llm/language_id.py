@@ -8,8 +8,9 @@ inside; each is hashed to one of ``BUCKETS`` rows of an embedding table. The tex
 vector is the mean of its subword vectors; a linear softmax gives the language.
 
 Training rows are a bounded sample (``SAMPLE_ROWS`` in expectation, spread evenly
-over the languages by hash thresholds; at most ``MAX_LANGS`` languages, the most
-frequent ones). The executors turn them into sparse subword counts; the driver
+over the languages by thresholds for a hash of id and text, rows that repeat both
+counting once; at most ``MAX_LANGS`` languages, the most frequent ones). The executors
+turn them into sparse subword counts; the driver
 trains on these. A fifth of the sample is kept apart to fit the temperature of
 the softmax and the confidence below which a prediction is marked rejected.
 
@@ -145,12 +146,14 @@ def _calibrate(model: LanguageModel, x: np.ndarray, y: np.ndarray, accept_error:
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", id_col: str = "doc_id",
         learn_from: Column | None = None, sample_rows: int = SAMPLE_ROWS,
         accept_error: float = 0.01) -> LanguageModel:
-    """Train on about ``sample_rows`` rows with text, language and id."""
-    known = docs.select(F.col(id_col).alias("id"), F.col(text).alias("t"), F.col(lang).alias("lang"))
+    """Train on about ``sample_rows`` distinct rows with text, language and id."""
+    known = docs.select(F.col(id_col).alias("id"), F.col(text).alias("t"), F.col(lang).alias("lang"),
+                        F.xxhash64(text).alias("digest"))
     known = known.where("t is not null and lang is not null and id is not null")
     if learn_from is not None:
         known = known.where(learn_from)
-    sizes = (known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect())
+    sizes = (known.select("id", "lang", "digest").distinct().groupBy("lang").count()
+             .orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect())
     if not sizes:
         return LanguageModel()
     each = sample_rows / len(sizes)
@@ -158,7 +161,8 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", id_col: str = "
     bound = F.lit(0)
     for r in sizes:
         bound = F.when(F.col("lang") == r["lang"], int(min(1.0, each / r["count"]) * 1_000_000)).otherwise(bound)
-    picked = known.where(F.pmod(F.xxhash64("id", F.lit(4)), F.lit(1_000_000)) < bound)
+    picked = (known.where(F.pmod(F.xxhash64("id", "digest", F.lit(4)), F.lit(1_000_000)) < bound)
+              .dropDuplicates(["id", "lang", "digest"]))
     rows = (picked.select("id", "lang", _sparse("t").alias("c")).where("c.idx is not null")
             .select("id", "lang", "c.idx", "c.n").toPandas())
     if not len(rows):

@@ -9,12 +9,14 @@
    runs over all rows inside the JVM, once the statistics are there.
 
 ``SAMPLE_ROWS`` bounds the rows that are learned from (in expectation: rows are
-taken by a hash of the id against a threshold derived from the number of labelled
-rows). Only their statistics reach the driver.
+taken by a hash of id and text against a threshold derived from the number of labelled
+rows, equal rows counting once). Only their statistics reach the driver, so no id
+brings more than its share, however many rows repeat it.
 
 Cases. Null and empty texts have statistics 0 and get a score like any other row.
 Labels: rows without id or label are ignored; a document whose labels contradict
-each other is not learned from; repeated equal labels count once. With no label,
+each other is not learned from; repeated equal labels count once, as do rows that repeat an
+id and its text; an id with several texts is learned from with each. With no label,
 or one class only, the score is the smoothed share of label 1 (0.5 without
 labels). Repeated documents are scored alike. Extra columns are passed through.
 """
@@ -194,16 +196,17 @@ def training_labels(labels: DataFrame, label: str, id_col: str) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str = "text",
         id_col: str = "doc_id", learn_from: Column | None = None,
         sample_rows: int = SAMPLE_ROWS) -> RuleModel:
-    """Fit on about ``sample_rows`` labelled documents; ``learn_from`` is a
+    """Fit on about ``sample_rows`` distinct labelled rows; ``learn_from`` is a
     condition on the label table's id column (``id``)."""
     known = training_labels(labels, label, id_col)
     if learn_from is not None:
         known = known.where(learn_from)
-    total = known.count()
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("t"), F.xxhash64(text).alias("digest"))
+    total = rows.select("id", "digest").distinct().join(known, "id").count()
     share = min(1.0, sample_rows / max(total, 1))
     # a hash threshold, not a limit: no sort, and the same rows in any run
-    picked = known.where(F.pmod(F.xxhash64("id", F.lit(9)), F.lit(1_000_000)) < int(share * 1_000_000))
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("t")).join(picked, "id")
+    picked = rows.where(F.pmod(F.xxhash64("id", "digest", F.lit(9)), F.lit(1_000_000)) < int(share * 1_000_000))
+    rows = picked.join(known, "id").dropDuplicates(["id", "digest"])
     got = with_stats(rows, "t", "s").select("y", *features(F.col("s"))).toPandas()
     x = got[list(RATIOS)].to_numpy(float).reshape(len(got), len(RATIOS))
     order = np.lexsort([*x.T, got["y"].to_numpy()])  # the same order in any run
