@@ -1,6 +1,7 @@
 """Edit-aware token counts against encoding the edited text from scratch."""
 
 import random
+import time
 
 import pytest
 
@@ -81,6 +82,30 @@ def test_bad_edits_are_skipped(spark, counter):
     assert r["edited"]["n_tokens"] == brute(counter, t[:5] + "X" + t[9:70])
 
 
+MASKED = [("see https://a.example/" + "x" * 5_000 + " now", "see <URL> now"),
+          ("no. " + "1234567890" * 3 + "!", "no. <NUMBER>!"), ("1 2-3 " * 20 + "x", "<NUMBER> x"),
+          ("to " + "ab.c" * 50 + "@example.com.", "to <EMAIL>."), ("a@" + "b" * 100 + ".c" * 20 + " x", "<EMAIL> x"),
+          ("5551234567@mail.com", "<EMAIL>"), ("call 555 123 4567@mail.com now", "call <EMAIL> now"),
+          ("https://me@mail.com/1234567890 a@b.c+d@e.f", "<URL> <EMAIL><EMAIL>"), ("12345 a@b 123456", "12345 a@b 123456")]
+
+
+def test_masks_take_whole_runs(spark, counter, table_dir):
+    from uvlens.llm.queries import QUERIES
+
+    folder = table_dir(("documents", [(i, t) for i, (t, _) in enumerate(MASKED)], "doc_id bigint, text string"))
+    for r in QUERIES["op1_token_counts"](spark, folder).collect():
+        text, want = MASKED[r["doc_id"]]
+        assert r["n_tokens"] == brute(counter, text) and r["n_tokens_masked"] == brute(counter, want), want
+        assert r["n_edits"] == want.count("<") and r["n_skipped"] == 0
+
+
+@pytest.mark.parametrize("part", ["a", "1", "1 ", "a@", "a+", "a.", "a@b.", "123456 -"])
+def test_masks_are_linear(part):
+    began = time.monotonic()
+    T.masks(part * 300_000)
+    assert time.monotonic() - began < 10
+
+
 def test_query_over_the_table(spark, counter):
     from uvlens.llm.queries import QUERIES
 

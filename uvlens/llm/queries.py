@@ -34,7 +34,7 @@ def op1_token_counts(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     got = token_counts.with_edits(token_counts.mask_edits(token_counts.with_trees(docs)), "edits")
     return got.select("doc_id", "tree.n_tokens", "tree.n_pre_tokens",
-                      F.size("tree.leaf_tokens").cast("bigint").alias("n_leaves"), "edited.n_edits",
+                      F.size("tree.leaf_tokens").cast("bigint").alias("n_leaves"), "edited.n_edits", "edited.n_skipped",
                       F.col("edited.n_tokens").alias("n_tokens_masked"),
                       F.col("edited.n_encoded").alias("n_pre_tokens_encoded"))
 

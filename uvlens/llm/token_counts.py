@@ -273,10 +273,28 @@ def with_edits(df: DataFrame, edits: str, text: str = "text", tree: str = "tree"
     return df.withColumn(out, run(F.col(text), F.col(tree)["leaf_chars"], F.col(tree)["leaf_tokens"], F.col(edits)))
 
 
-# What the masking edits look for (bounded repeats keep them linear) and put in its place.
-MASKS = ((re.compile(r"[\w.+-]{1,64}@[\w-]{1,63}(?:\.[\w-]{1,63}){1,8}"), "<EMAIL>"),
-         (re.compile(r"https?://[^\s<>\"]{1,2000}"), "<URL>"),
-         (re.compile(r"(?<!\d)\d(?:[ -]?\d){6,18}(?!\d)"), "<NUMBER>"))
+# What the masking edits look for and put in its place. Whole runs are matched,
+# however long; possessive repeats, and mail addresses that begin where a run does (or where
+# the last one ended), keep this linear. Letters and digits are those of re's \w.
+MASKS = ((regex.compile(r"(?:(?<![\p{L}\p{N}_.+-])|\G)[\p{L}\p{N}_.+-]++@[\p{L}\p{N}_-]++(?:\.[\p{L}\p{N}_-]++)++"),
+          "<EMAIL>"),
+         (re.compile(r"https?://[^\s<>\"]++"), "<URL>"),
+         (re.compile(r"(?<!\d)\d(?:[ -]?\d){6,}+"), "<NUMBER>"))
+
+
+def masks(text: str) -> list[tuple[int, int, str]]:
+    """What is masked, in order. Masks that overlap become one over all of their
+    characters, with the replacement of the longest."""
+    out, longest = [], 0
+    for a, b, new in sorted((m.start(), m.end(), new) for rule, new in MASKS for m in rule.finditer(text)):
+        if not out or a >= out[-1][1]:
+            out.append((a, b, new))
+            longest = b - a
+            continue
+        start, end, was = out[-1]
+        out[-1] = (start, max(end, b), new if b - a > longest else was)
+        longest = max(longest, b - a)
+    return out
 
 
 def mask_edits(df: DataFrame, text: str = "text", out: str = "edits") -> DataFrame:
@@ -286,8 +304,7 @@ def mask_edits(df: DataFrame, text: str = "text", out: str = "edits") -> DataFra
 
     @F.arrow_udf(kind)
     def run(texts: pa.Array) -> pa.Array:
-        return pa.array([None if t is None else [{"start": m.start(), "end": m.end(), "replacement": new}
-                                                 for rule, new in MASKS for m in rule.finditer(t)]
+        return pa.array([None if t is None else [{"start": a, "end": b, "replacement": new} for a, b, new in masks(t)]
                          for t in texts.to_pylist()],
                         pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("replacement", pa.string())])))
 
