@@ -79,3 +79,16 @@ def test_sample_holds_whatever_repeats(spark, monkeypatch):
     assert all(130 < n < 270 for n in sizes) and len(sizes) == 2
     L.fit(spark.createDataFrame(rows[:3] * 5, "doc_id bigint, text string, lang string"))
     assert sizes[2] == 3
+
+
+def test_sample_has_six_thousand_rows(spark, monkeypatch):
+    sizes = []
+
+    def counted(x, y, use, langs):
+        sizes.append(len(y))
+        return np.zeros((L.BUCKETS, len(langs))), np.zeros(len(langs))
+
+    monkeypatch.setattr(L, "train", counted)
+    rows = [(i, f"row {i}", "en") for i in range(6_000)]
+    L.fit(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    assert sizes == [6_000]

@@ -12,7 +12,8 @@ over the languages by thresholds for a hash of id and text, rows that repeat bot
 counting once; at most ``MAX_LANGS`` languages, the most frequent ones). The executors
 turn them into sparse subword counts; the driver
 trains on these. A fifth of the sample is kept apart to fit the temperature of
-the softmax and the confidence below which a prediction is marked rejected.
+the softmax and the confidence below which a prediction is marked rejected. Languages
+beyond the ``MAX_LANGS`` most frequent ones are never predicted.
 
 Cases. Null text, or no letter: ``und`` with score 0. Any text with a letter gets
 a learned language; ``rejected`` says whether its confidence is below the
@@ -34,7 +35,7 @@ from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, FloatType, In
                                StructField, StructType)
 
 BUCKETS, DIM = 1 << 12, 16
-SAMPLE_ROWS, MAX_LANGS = 4_000, 256
+SAMPLE_ROWS, MAX_LANGS = 6_000, 256
 UNKNOWN = "und"
 _NOT_LETTERS = regex.compile(r"[^\p{L}\p{M}]+")
 _LETTER = regex.compile(r"\p{L}")
