@@ -44,11 +44,13 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sentencepiece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document copy as piece ids (operator 2): doc_id, lang, source, ids,
-    n_pieces."""
-    got = sentencepieces.encode(docs, n=1, out=fresh(docs, "pieces"))
-    ids = F.col(fresh(docs, "pieces"))["ids"]
-    return got.select("doc_id", "lang", "source", ids.alias("ids"), F.size(ids).cast("bigint").alias("n_pieces"))
+    """Every document copy as piece ids (operator 2, with its N of 3): doc_id, lang,
+    source, ids, n_pieces, nbest_scores."""
+    got = sentencepieces.encode(docs, n=3, out=fresh(docs, "pieces"))
+    pieces = F.col(fresh(docs, "pieces"))
+    return got.select("doc_id", "lang", "source", pieces["ids"].alias("ids"),
+                      F.size(pieces["ids"]).cast("bigint").alias("n_pieces"),
+                      pieces["nbest_scores"].alias("nbest_scores"))
 
 
 STAGES = [

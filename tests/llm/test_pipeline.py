@@ -88,6 +88,18 @@ def test_ids_decode_to_the_texts(steps):
     assert all(seg.decode(r["ids"]) == text[r["doc_id"]] and r["n_pieces"] == len(r["ids"]) for r in rows)
 
 
+def test_last_stage_has_the_scores_of_the_three_best(spark):
+    texts = ["a plain text with some words", "", None, "other words " * 50]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)],
+                                 "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    seg = S.Segmenter(S.load_vocabulary())
+    for r in C.sentencepiece_ids(spark, docs, "").collect():
+        text = texts[r["doc_id"]]
+        want = None if text is None else seg.encode(text, 3)
+        assert r["nbest_scores"] == (want and [score for score, _ in want])
+        assert r["ids"] == (want and want[0][1].tolist()) and (r["doc_id"] != 3 or len(r["nbest_scores"]) == 3)
+
+
 def test_run_equals_the_stages(spark, steps):
     got = C.run(spark, "/root/testdata/sf0.001")
     key = lambda df: sorted((r["doc_id"], tuple(r["ids"])) for r in df.collect())
