@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from uvlens.llm import (chat_format, kdtree_topk, language_id, mixing, near_dedup, rule_ensemble,
-                        sentencepieces, token_counts, warc, weak_rules)
+from uvlens.llm import (chat_format, kdtree_topk, language_id, mixing, near_dedup, periodic_runs, rule_ensemble,
+                        sentencepieces, token_counts, warc, weak_rules, whitening)
 from uvlens.llm.common import crc_mod
 from uvlens.sources.tables import read_table
 
@@ -189,3 +189,41 @@ def op10_warc(spark, sf_dir):
     manifest = warc.write_archives(read_table(spark, sf_dir, "pages"))
     return warc.read_archives(manifest, with_payload=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def planted_periods(docs: DataFrame) -> DataFrame:
+    """doc_id and text, with the periodic stretch that the contract of operator 12 writes into
+    every tenth document (by crc32 of its id): from word a on, the words a .. a+p-1 repeat."""
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g, n = F.floor(h / 10), F.size("_w").cast("bigint")
+    a = g % n
+    p = 1 + F.floor((n - a) / (3 + g % 8))
+    i = lambda c: c.cast("int")
+    again = F.flatten(F.array_repeat(F.slice("_w", i(a) + 1, i(p)), i(F.ceil((n - a) / p))))
+    made = F.concat(F.slice("_w", F.lit(1), i(a)), F.slice(again, F.lit(1), i(n - a)))
+    due = (h % 10 == 0) & (n > 0)
+    return (docs.select("doc_id", "text", F.when(h % 10 == 0, words).alias("_w"))
+            .select("doc_id", F.when(due, F.array_join(made, " ")).otherwise(F.col("text")).alias("text")))
+
+
+@query("op12_periodic_runs")
+def op12_periodic_runs(spark, sf_dir):
+    """Periodic runs of every whole text, the strongest one, digests of all runs and of
+    the collapsed text."""
+    docs = planted_periods(read_table(spark, sf_dir, "documents"))
+    got = periodic_runs.with_runs(docs, "text", "found").select("doc_id", "found.runs", "found.collapsed")
+    top = periodic_runs.strongest(F.col("runs"))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    lines = F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise("")
+    return (got.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), top.alias("top"),
+                       F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+            .select("doc_id", "n_runs", "top.start", "top.length", "top.period",
+                    F.expr("top.length * 1000 div top.period").alias("exponent_milli"),
+                    "runs_sha256", "collapsed_sha256"))
+
+
+@query("op11_embedding_whitening")
+def op11_embedding_whitening(spark, sf_dir):
+    """The first four whitened components of every usable vector."""
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"), k=4)
