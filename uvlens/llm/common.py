@@ -36,6 +36,14 @@ def crc_mod(id_col: str | Column, m: int) -> Column:
     return F.crc32(c.cast("string").cast("binary")) % m
 
 
+def hash_below(share: float, *cols: str | Column) -> Column:
+    """Whether a hash of ``cols`` falls into the first ``share`` of all hashes (63 bits,
+    so that a share of one row in 10^12 still picks its rows)."""
+    if share >= 1:
+        return F.lit(True)
+    return F.xxhash64(*cols).bitwiseAND(F.lit((1 << 63) - 1)) < F.lit(int(max(share, 0.0) * 2.0**63))
+
+
 def byte_slices(texts: pa.Array, max_bytes: int = 1 << 22) -> Iterator[tuple[int, int]]:
     """Row ranges of a string array holding about ``max_bytes`` each (one row
     at least), so temporaries stay small however long the texts are."""

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from uvlens.llm import (chat_format, kdtree_topk, language_id, mixing, near_dedup, periodic_runs, rule_ensemble,
-                        sentencepieces, token_counts, warc, weak_rules, whitening)
+                        sentencepieces, token_counts, toxicity, warc, weak_rules, whitening)
 from uvlens.llm.common import crc_mod
 from uvlens.sources.tables import read_table
 
@@ -227,3 +227,13 @@ def op12_periodic_runs(spark, sf_dir):
 def op11_embedding_whitening(spark, sf_dir):
     """The first four whitened components of every usable vector."""
     return whitening.whiten(read_table(spark, sf_dir, "embeddings"), k=4)
+
+
+@query("op13_toxicity")
+def op13_toxicity(spark, sf_dir):
+    """Toxicity score of every whole text, learned from rows with crc32(doc_id) mod 5 <> 0."""
+    docs = read_table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, read_table(spark, sf_dir, "labels"), learn_from=crc_mod("id", 5) != 0)
+    held = F.coalesce(crc_mod("doc_id", 5) == 0, F.lit(False))
+    got = toxicity.score(docs.select("doc_id", "text"), model)
+    return got.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

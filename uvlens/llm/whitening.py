@@ -44,6 +44,7 @@ from uvlens.llm.common import materialize
 
 SCALE, FAN, BLOCK = 256, 64, 4096
 _EPS = np.finfo(float).eps
+_TOL = (100 * _EPS) ** 2  # share of a squared value that a coupling may be ignored at
 _LONG = 2**63
 
 
@@ -107,25 +108,28 @@ def dqds(a: np.ndarray, b: np.ndarray) -> np.ndarray:
                 out.append(q[0] + total)
                 break
             # couplings that no longer count: cut there (the last one: a value is found)
-            tol = (_EPS * _EPS)
-            cut = [i for i in range(n - 1) if e[i] <= tol * (total + min(q[i], q[i + 1])) or e[i] == 0]
+            cut = [i for i in range(n - 1) if e[i] <= _TOL * (total + min(q[i], q[i + 1]))]
             if cut:
                 for i, j in zip([-1, *cut], cut):
                     todo.append((q[i + 1:j + 1], e[i + 1:j], total))
                 q, e = q[cut[-1] + 1:], e[cut[-1] + 1:]
                 continue
-            if q[0] < q[-1]:  # graded the wrong way: the same values, read backwards
+            if 1.5 * q[0] < q[-1]:  # graded the wrong way: the same values, read backwards
                 q, e = q[::-1], e[::-1]
             # a guess below the smallest value: that of the last two rows, then less
             x, y, z = q[-2], q[-1], e[-1]
             half = (x + y + z) / 2
             s = x * y / (half + math.sqrt(max(half * half - x * y, 0.0))) if half else 0.0
-            s = max(s * (1 - 2 * _EPS) - (math.sqrt(z * x) if n > 2 else 0) * 0.25, 0.0)
-            for attempt in range(4):
+            s *= 1 - 4 * _EPS
+            for less in (0.75, 0.25, 0.0):
                 qq, ee, low, at = _sweep(q, e, s)
-                if low >= 0 or not s:
+                if low >= 0:
                     break
-                s = 0.0 if attempt == 2 or s + low <= 0 else min(s + low, s / 4 if at < n - 1 else s) * (1 - 4 * _EPS)
+                # too far only at the last row: the negative remainder says by how much
+                s = (s + low) * (1 - 4 * _EPS) if less == 0.75 and at == n - 1 and s + low > 0 else s * less
+            else:
+                qq, ee, low, at = _sweep(q, e, 0.0)
+                s = 0.0
             q, e, total = [max(x, 0.0) for x in qq], ee, total + s
     return np.sort(np.array(out))[::-1]
 
@@ -200,7 +204,7 @@ def principal(r: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     values = dqds(a, b)
     values = values[values > values[0] * (len(a) * _EPS) ** 2][:k]
     # parts between zero couplings have vectors of their own
-    cuts = [i + 1 for i in range(len(b)) if abs(b[i]) <= _EPS * _EPS * (abs(a[i]) + abs(a[i + 1]))]
+    cuts = [i + 1 for i in range(len(b)) if b[i] ** 2 <= _TOL * min(a[i] ** 2, a[i + 1] ** 2)]
     parts = list(zip([0, *cuts], [*cuts, len(a)]))
     owned = sorted(((w, p) for p in parts for w in dqds(a[p[0]:p[1]], b[p[0]:p[1] - 1])), key=lambda t: -t[0])
     z = np.zeros((len(a), len(values)))
