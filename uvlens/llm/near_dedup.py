@@ -10,11 +10,14 @@ Links. 1. Texts with equal shingle sets are one node (smallest id). 2. Every ban
 a node is hashed; keys that several nodes share are candidates. 3. If there are many
 candidate pairs, all nodes of a key are compared with one leader, and links found are
 contracted. This repeats with other leaders while many candidate pairs between
-components are left and links are still found. 4. All pairs that share a key and are still in different components
-are compared: the only pairs not looked at are those whose nodes are connected already,
-so no link between components is lost, and a large group of near copies costs a few
-comparisons per member instead of all its pairs. A comparison first checks, inside the
-join, the sizes without the shingles that only one node has (an exact bound) and a
+components are left and links are still found, so a large group of near copies costs a few
+comparisons per member instead of all its pairs. 4. Nodes that share a key with another
+component are paired by an exact prefix filter: only if they share one of the rarest
+shingles that two linked sets must share. A passage that many texts hold is among these of no
+text that has enough else, so texts around it are not compared; pairs whose nodes are
+connected already are not either. No link between components is lost. A comparison first
+checks, inside the join, the sizes without the shingles that only one node has, how much of
+both sets is left behind the shared shingle (exact bounds) and a
 512-bit sketch, then the collision-corrected Jaccard estimate of the registers, both
 with six standard deviations of slack, then the full sets. The sketch's deviation counts
 in that borrowed registers are correlated; sets with fewer than ``SKETCH_LEAST`` shingles
@@ -33,9 +36,10 @@ pairs of a group of copies; joins on hot keys are plain equi-joins that adaptive
 execution splits. Intermediate tables lie in the shared checkpoint folder.
 
 Cases. Null text or no word: empty set, linked with nothing. Fewer words than a
-shingle: the whole word sequence is the one shingle. Null ids: the row is linked
-with nothing and kept (component null). Rows that repeat an id: the id is one node
-with several texts, linked if any of them is. Empty table: empty result.
+shingle: the whole word sequence is the one shingle. Null ids: ``components`` links the row
+with nothing (component null); ``keep_one`` links it by its words. Rows that repeat an id: the
+id is one node with several texts, linked if any of them is; ``keep_one`` keeps one row of
+those with the same words. Empty table: empty result.
 Extra columns are ignored by ``components`` and kept by ``keep_one``.
 Only A-Z are lower-cased. Sets hold 64-bit shingle hashes.
 """
@@ -45,6 +49,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from functools import reduce
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -367,8 +372,47 @@ def _pairs(joined: DataFrame) -> DataFrame:
                          pick("comp", "o_comp").alias("ca"), pick("o_comp", "comp").alias("cb")).distinct()
 
 
+def _rare_pairs(now: DataFrame, sets: DataFrame, about: DataFrame, threshold: float, parts: int) -> DataFrame:
+    """Joined nodes in different components that can reach the threshold, by an exact
+    prefix filter: with the shingles of every node in one order, rarest first, two linked
+    sets of n >= m shingles share one among the first n - ceil(t n) + 1 of the larger and the
+    first m - ceil(2 t m / (1 + t)) + 1 of the smaller. Only nodes take part that share a band
+    with another component. Of a shingle's components the one with most nodes there is paired
+    with the others, never with itself."""
+    num, den = round(threshold * 100), 100
+    open_keys = now.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("key")
+    apart = materialize(now.join(open_keys, "key", "left_semi").select("node", "comp").distinct(), "apart", parts)
+    has = (sets.select(F.col("id").alias("node"), "hi", F.explode("hashes").alias("h"))
+           .join(about.select("node", "hi"), ["node", "hi"], "left_semi"))
+    common = materialize(has.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "common")
+    # (the ceilings in integers; own shingles come first in the order and are in no other set)
+    larger = F.col("n") - F.expr(f"(n * {num} + {den - 1}) div {den}") + 1
+    smaller = F.col("n") - F.expr(f"(n * {2 * num} + {num + den - 1}) div {num + den}") + 1
+    known = about.join(apart, "node").where(larger > F.col("own"))
+    listed = (has.join(known.select("node", "n", "own", larger.alias("most")), "node").join(common, "h")
+              .groupBy("node", "n", "own", "most").agg(F.array_sort(F.collect_list(F.struct("c", "h"))).alias("s"))
+              .select("node", F.posexplode(F.slice("s", F.lit(1), (F.col("most") - F.col("own")).cast("int")))
+                      .alias("at", "s")).select("node", "at", "s.h"))
+    rare = materialize(listed.join(known, "node").select(
+        "h", (F.col("at") + F.col("own")).alias("at"), "node", "comp", "n", "own", smaller.alias("short"), *_BITS), "rare")
+    per = rare.groupBy("h", "comp").agg(F.count(F.lit(1)).alias("c"))
+    top = materialize(per.groupBy("h").agg(F.max_by("comp", F.struct("c", "comp")).alias("top"), F.count(F.lit(1)).alias("m"))
+                      .where("m > 1").select("h", "top"), "top")
+    left = materialize(rare.join(top, "h"), "left")
+    right = left.select("h", "top", *[F.col(c).alias("o_" + c) for c in rare.columns if c != "h"])
+    # the larger one's whole list against the smaller one's shorter list; what is left behind
+    # the first common shingle must hold the needed intersection
+    bigger = F.struct("n", "node") > F.struct("o_n", "o_node")
+    within = F.when(bigger, F.col("o_at") < F.col("o_short")).otherwise(F.col("at") < F.col("short"))
+    left_over = F.least(F.col("n") - F.col("at"), F.col("o_n") - F.col("o_at"))
+    enough = left_over * (num + den) >= num * (F.col("n") + F.col("o_n"))
+    once = (F.col("o_comp") == F.col("top")) | (F.col("node") < F.col("o_node"))
+    return (left.where("comp <> top").drop("top").join(right, "h")
+            .where(once & within & enough & _close(threshold, "o_")))
+
+
 def components(df: DataFrame, threshold: float = 0.8, k: int = 5, id_col: str = "doc_id",
-               text: str = "text", max_rounds: int = 3) -> DataFrame:
+               text: str = "text") -> DataFrame:
     """id, n_shingles, component_id (null for null ids) of every row.
     ``threshold`` is taken in hundredths."""
     r = rows_per_band(threshold)
@@ -402,9 +446,9 @@ def components(df: DataFrame, threshold: float = 0.8, k: int = 5, id_col: str =
              .groupBy("id", "hi").agg(F.count(F.lit(1)).alias("own")))
     about = (nodes.select(F.col("node").alias("id"), "hi", "n", *[F.col("bits")[i].alias(x) for i, x in enumerate(_BITS)])
              .join(wanted, "id", "left_semi").join(alone, ["id", "hi"], "left")
-             .select(F.col("id").alias("node"), "n", F.coalesce("own", F.lit(0)).alias("own"), *_BITS))
+             .select(F.col("id").alias("node"), "hi", "n", F.coalesce("own", F.lit(0)).alias("own"), *_BITS))
     about = materialize(about.where((F.col("n") - F.col("own")) * den >= F.col("n") * num), "about", parts)
-    now = materialize(keyed.join(about, "node").withColumn("comp", F.col("node")), "near", parts)
+    now = materialize(keyed.join(about.drop("hi"), "node").withColumn("comp", F.col("node")), "near", parts)
 
     # an id with several texts belongs to several nodes: these are linked
     split = member.groupBy("id").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x < y")
@@ -413,7 +457,7 @@ def components(df: DataFrame, threshold: float = 0.8, k: int = 5, id_col: str =
 
     # 3. one leader per key: first the node with the fewest shingles of its own, which is
     # the middle of a group of copies, then any
-    for turn in range(max_rounds):
+    for turn in count():
         if _cross(now) <= 4 * rows:
             break
         order = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(1 << 40))
@@ -431,10 +475,8 @@ def components(df: DataFrame, threshold: float = 0.8, k: int = 5, id_col: str =
         if found * den < about.count():  # few are left that a leader finds
             break
 
-    # 4. all pairs that share a key and are still apart
-    other = now.select("key", *[F.col(c).alias("o_" + c) for c in now.columns if c != "key"])
-    rest = now.join(other, (now["key"] == other["key"]) & (F.col("node") < F.col("o_node")) & _close(threshold, "o_"))
-    links.append(verify(_pairs(rest), sets, threshold, parts).select("a", "b"))
+    # 4. pairs that are still apart and share a rare shingle
+    links.append(verify(_pairs(_rare_pairs(now, sets, about, threshold, parts)), sets, threshold, parts).select("a", "b"))
 
     # 5. every row's component
     comp = connected(reduce(DataFrame.unionAll, links))
@@ -448,9 +490,24 @@ def components(df: DataFrame, threshold: float = 0.8, k: int = 5, id_col: str =
 
 def keep_one(df: DataFrame, threshold: float = 0.8, k: int = 5, id_col: str = "doc_id",
              text: str = "text") -> DataFrame:
-    """``df`` without the near-duplicates of a document with a smaller id. Rows
-    with a null id stay; rows that repeat an id stay or go together."""
-    name = fresh(df, "gone_id")
-    gone = materialize(components(df, threshold, k, id_col, text).where("id <> component_id")
-                       .select(F.col("id").alias(name)).distinct(), "gone")
-    return df.join(_small(gone), F.col(id_col).cast("bigint") == F.col(name), "left_anti")
+    """One row of each group of near-duplicates of ``df``: that of the smallest id. Rows
+    without an id are told apart by their words and come after those that have one; of rows
+    that repeat an id and its words one stays, an id's different texts stay or go together. Rows
+    without id and words are linked with nothing and stay."""
+    key, gone_id = fresh(df, "node_key"), fresh(df, "gone_id")
+    low = F.translate(F.col(text), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    words = F.trim(F.regexp_replace(low, r"[\x20\x09-\x0D]+", " "))
+    # above any id in use: 62 bits of a hash of the words
+    nameless = F.when(words != "", F.xxhash64(words).bitwiseAND(F.lit((1 << 62) - 1)) + F.lit(1 << 62))
+    keyed = df.withColumn(key, F.coalesce(F.col(id_col).cast("bigint"), nameless))
+    found = materialize(components(keyed, threshold, k, key, text).where("id IS NOT NULL")
+                        .select(F.col("id").alias(gone_id), "component_id"), "found")
+    gone = materialize(found.where(f"{gone_id} <> component_id").select(gone_id).distinct(), "gone")
+    again = materialize(found.groupBy(gone_id).agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(gone_id), "again")
+    kept = keyed.join(_small(gone), F.col(key) == F.col(gone_id), "left_anti")
+    if again.isEmpty():
+        return kept.drop(key)
+    again, digest = _small(again), fresh(keyed, "words_digest")
+    one = (kept.join(again, F.col(key) == F.col(gone_id), "left_semi")
+           .withColumn(digest, F.md5(F.coalesce(words, F.lit("")))).dropDuplicates([key, digest]).drop(digest))
+    return kept.join(again, F.col(key) == F.col(gone_id), "left_anti").unionByName(one).drop(key)
