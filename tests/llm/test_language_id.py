@@ -92,3 +92,52 @@ def test_sample_has_six_thousand_rows(spark, monkeypatch):
     rows = [(i, f"row {i}", "en") for i in range(6_000)]
     L.fit(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
     assert sizes == [6_000]
+
+
+def test_every_language_brings_its_rows_at_any_size(spark):
+    """The share of a language of 10^12 rows is not rounded to nothing."""
+    from uvlens.llm.common import hash_bound
+
+    n = [10.0, 6e3, 2.5e8, 1.6e9, 1e12]
+    got = spark.createDataFrame([(x,) for x in n], "n double").select("n", hash_bound(F.lit(1500.0) / F.col("n")).alias("b"))
+    for r in got.collect():
+        assert abs((r["b"] + 1) / 2**63 * r["n"] - min(1500, r["n"])) < 1e-3 * min(1500, r["n"])
+
+
+def test_more_languages_than_were_once_allowed(spark):
+    rows = [(300 * k + i, f"{chr(0x4e00 + 3 * k)}{chr(0x4e00 + 3 * k + 1)} " * (i + 1), f"l{k:03d}")
+            for k in range(300) for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    assert len(L.fit(docs, sample_rows=2_400).langs) == 300
+    assert len(L.fit(docs, sample_rows=2_400, max_langs=7).langs) == 7
+
+
+def test_predictions_by_plain_loops(spark, sf):
+    """Subwords one by one, their mean embedding scores, softmax and temperature."""
+    import math
+    import unicodedata
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    model = L.fit(docs)
+    mask = 2**32 - 1
+
+    def bucket(window):
+        h = len(window) * 40503
+        for k, c in enumerate(window):
+            h = (h ^ ord(c)) * int(L._MIX[k]) & mask
+            h ^= h >> 15
+        return (h * int(L._MIX[0]) & mask) >> (32 - (L.BUCKETS.bit_length() - 1))
+
+    for r in L.predict(docs.orderBy("doc_id").limit(12), model).collect():
+        letters = "".join(c if unicodedata.category(c)[0] in "LM" else " " for c in (r["text"] or "").lower())
+        clean, z, n = " " + " ".join(letters.split()) + " ", [0.0] * len(model.langs), 0
+        for i in range(len(clean)):
+            for w in (clean[i:i + k] for k in (1, 2, 3) if i + k <= len(clean)):
+                if w == " " or (len(w) == 3 and w[1] == " "):
+                    continue
+                n += 1
+                for j in range(len(z)):
+                    z[j] += model.scores[bucket(w)][j]
+        e = [math.exp((x / n + b) / model.temperature) for x, b in zip(z, model.bias)]
+        assert r["language"]["lang_pred"] == model.langs[e.index(max(e))]
+        assert abs(r["language"]["score"] - max(e) / sum(e)) < 1e-6

@@ -75,7 +75,8 @@ def test_mix_repeats_whole_rows(steps):
         parts = max(1, -(-lam // mixing.STEP))
         want = 0
         for k in range(int(parts)):
-            u = int(hashlib.md5(f"{i}#{C.MIX_SEED}#{k}".encode()).hexdigest()[:13], 16) / 2**52
+            text = hashlib.md5((d[1] or "").encode()).hexdigest()
+            u = int(hashlib.md5(f"{i}#{text}#{C.MIX_SEED}#{k}".encode()).hexdigest()[:13], 16) / 2**52
             want += sum(c <= u for c in mixing.poisson_table(lam / parts))
         assert counts.get(i, 0) == want
 

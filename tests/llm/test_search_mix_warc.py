@@ -78,6 +78,28 @@ def test_mix_weights(spark):
     assert len(mixing.poisson_table(8.0)) < 80 and abs(mixing.poisson_table(0.3)[-1] - 1) < 1e-12
 
 
+@pytest.mark.parametrize("kind", ["null", "one"])
+def test_mix_shares_with_null_and_hot_ids(spark, kind):
+    """30 % of the rows without an id, or a third with one and the same: target shares
+    within 1 %, and no partition above twice the mean."""
+    n = 60_000
+    odd = F.col("id") % 10 < 3 if kind == "null" else F.col("id") % 3 == 0
+    df = spark.range(n).select(
+        F.when(odd, F.lit(None if kind == "null" else 7).cast("bigint")).otherwise(F.col("id")).alias("doc_id"),
+        F.concat(F.lit("text "), F.col("id")).alias("text"), F.when(F.col("id") % 7 < 2, "a").otherwise("b").alias("source"))
+    got = mixing.mix(df, {"a": 0.7, "b": 0.3}, seed=5)
+    rows = got.groupBy("source").count().collect()
+    total = sum(r["count"] for r in rows)
+    assert abs(total / n - 1) < 0.02
+    assert all(abs(r["count"] / total - {"a": 0.7, "b": 0.3}[r["source"]]) < 0.01 for r in rows)
+    # copies are whole rows, and rows that are equal draw alike
+    twice = df.limit(50)
+    both = mixing.mix(twice.unionAll(twice), {"a": 0.7, "b": 0.3}, total=300).groupBy("doc_id", "text", "copy").count()
+    assert {r["count"] for r in both.collect()} == {2}
+    parts = [r["count"] for r in got.groupBy(F.pmod(F.xxhash64("shuffle_key"), F.lit(16))).count().collect()]
+    assert len(parts) == 16 and max(parts) < 2 * total / 16
+
+
 def test_chat_spans_cover_the_assistant_texts_only(spark):
     rows = [(1, 0, "user", "a"), (1, 1, "assistant", "b<|c"), (1, 2, "assistant", "d&"), (1, 3, "user", "e")]
     df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")

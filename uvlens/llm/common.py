@@ -36,12 +36,30 @@ def crc_mod(id_col: str | Column, m: int) -> Column:
     return F.crc32(c.cast("string").cast("binary")) % m
 
 
+def about_distinct(*cols: str) -> Column:
+    """Approximate number of distinct combinations, to set a sampling rate by. Samples
+    take a tenth more (``MARGIN``), so that tables not larger than the sample come whole."""
+    return F.approx_count_distinct(F.xxhash64(*cols), 0.02)
+
+
+MARGIN = 1.1
+
+
+def hash63(*cols: str | Column) -> Column:
+    """A hash of ``cols`` from 0 to 2^63 - 1."""
+    return F.xxhash64(*cols).bitwiseAND(F.lit((1 << 63) - 1))
+
+
+def hash_bound(share: Column) -> Column:
+    """The bound that about ``share`` of all ``hash63`` values do not exceed. With 63
+    bits, a share of one row in 10^12 still picks its rows."""
+    return F.when(share >= 1, F.lit((1 << 63) - 1)).otherwise(
+        (F.greatest(share.cast("double"), F.lit(0.0)) * (2.0**63)).cast("bigint") - 1)
+
+
 def hash_below(share: float, *cols: str | Column) -> Column:
-    """Whether a hash of ``cols`` falls into the first ``share`` of all hashes (63 bits,
-    so that a share of one row in 10^12 still picks its rows)."""
-    if share >= 1:
-        return F.lit(True)
-    return F.xxhash64(*cols).bitwiseAND(F.lit((1 << 63) - 1)) < F.lit(int(max(share, 0.0) * 2.0**63))
+    """Whether a hash of ``cols`` falls into the first ``share`` of all hashes."""
+    return hash63(*cols) <= hash_bound(F.lit(float(share)))
 
 
 def byte_slices(texts: pa.Array, max_bytes: int = 1 << 22) -> Iterator[tuple[int, int]]:

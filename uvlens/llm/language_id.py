@@ -7,13 +7,13 @@ side. Its subwords are all windows of 1 to 3 code points that have no blank
 inside; each is hashed to one of ``BUCKETS`` rows of an embedding table. The text
 vector is the mean of its subword vectors; a linear softmax gives the language.
 
-Training rows are a bounded sample (``SAMPLE_ROWS`` in expectation, spread evenly
-over the languages by thresholds for a hash of id and text, rows that repeat both
-counting once; at most ``MAX_LANGS`` languages, the most frequent ones). The executors
+Training rows are a bounded sample (about ``SAMPLE_ROWS``, at most a tenth more in expectation, spread evenly
+over all languages by thresholds for a 63-bit hash of id and text, rows that repeat both
+counting once), so a language of 10^12 rows brings as many as one of thousands. The executors
 turn them into sparse subword counts; the driver
 trains on these. A fifth of the sample is kept apart to fit the temperature of
-the softmax and the confidence below which a prediction is marked rejected. Languages
-beyond the ``MAX_LANGS`` most frequent ones are never predicted.
+the softmax and the confidence below which a prediction is marked rejected. ``max_langs``
+bounds the languages to the most frequent ones if a caller asks for it.
 
 Cases. Null text, or no letter: ``und`` with score 0. Any text with a letter gets
 a learned language; ``rejected`` says whether its confidence is below the
@@ -34,8 +34,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, FloatType, IntegerType, StringType,
                                StructField, StructType)
 
+from uvlens.llm.common import MARGIN, about_distinct, hash63, hash_bound, materialize
+
 BUCKETS, DIM = 1 << 12, 16
-SAMPLE_ROWS, MAX_LANGS = 6_000, 256
+SAMPLE_ROWS = 6_000
+BROADCAST_LANGS = 100_000
 UNKNOWN = "und"
 _NOT_LETTERS = regex.compile(r"[^\p{L}\p{M}]+")
 _LETTER = regex.compile(r"\p{L}")
@@ -146,24 +149,24 @@ def _calibrate(model: LanguageModel, x: np.ndarray, y: np.ndarray, accept_error:
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", id_col: str = "doc_id",
         learn_from: Column | None = None, sample_rows: int = SAMPLE_ROWS,
-        accept_error: float = 0.01) -> LanguageModel:
+        accept_error: float = 0.01, max_langs: int | None = None) -> LanguageModel:
     """Train on about ``sample_rows`` distinct rows with text, language and id."""
     known = docs.select(F.col(id_col).alias("id"), F.col(text).alias("t"), F.col(lang).alias("lang"),
                         F.xxhash64(text).alias("digest"))
     known = known.where("t is not null and lang is not null and id is not null")
     if learn_from is not None:
         known = known.where(learn_from)
-    sizes = (known.select("id", "lang", "digest").distinct().groupBy("lang").count()
-             .orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect())
-    if not sizes:
+    sizes = known.groupBy("lang").agg(about_distinct("id", "digest").alias("n"))
+    if max_langs is not None:
+        sizes = sizes.orderBy(F.desc("n"), "lang").limit(max_langs)
+    sizes = materialize(sizes, "languages", 1)
+    langs = sizes.count()
+    if not langs:
         return LanguageModel()
-    each = sample_rows / len(sizes)
     # per language a hash threshold: no sort, no window, the same rows in any run
-    bound = F.lit(0)
-    for r in sizes:
-        bound = F.when(F.col("lang") == r["lang"], int(min(1.0, each / r["count"]) * 1_000_000)).otherwise(bound)
-    picked = (known.where(F.pmod(F.xxhash64("id", "digest", F.lit(4)), F.lit(1_000_000)) < bound)
-              .dropDuplicates(["id", "lang", "digest"]))
+    bounds = sizes.select("lang", hash_bound(F.lit(MARGIN * sample_rows / langs) / F.col("n")).alias("bound"))
+    picked = (known.join(F.broadcast(bounds) if langs <= BROADCAST_LANGS else bounds, "lang")
+              .where(hash63("id", "digest", F.lit(4)) <= F.col("bound")).dropDuplicates(["id", "lang", "digest"]))
     rows = (picked.select("id", "lang", _sparse("t").alias("c")).where("c.idx is not null")
             .select("id", "lang", "c.idx", "c.n").toPandas())
     if not len(rows):

@@ -2,11 +2,11 @@
 
 Every source has a mean repetition rate; every document draws its number of
 copies from a Poisson distribution with that mean, by inverting the distribution
-at a uniform number seeded by a hash of its id. The document is exploded by its
-count and the copies are dealt out by a hash of (id, copy): a global shuffle.
+at a uniform number seeded by a hash of its id and text. The document is exploded by its
+count and the copies are dealt out by a hash of (id, text, copy): a global shuffle.
 
-The draw depends on nothing but id and seed, so a lost task redraws the same
-counts. Rates come from one aggregate by source, reduced to the sources that the
+The draw depends on nothing but id, text and seed, so a lost task redraws the same
+counts, and rows without an id, or with one and the same id, draw apart. Rates come from one aggregate by source, reduced to the sources that the
 weights name plus one row for all others (a bounded collect). No join and no
 window: a source that holds a third of all rows is handled like any other, and
 the only exchange is that of the final shuffle.
@@ -16,9 +16,9 @@ Poisson variables is Poisson), so the distribution tables stay short and exp(-ra
 never underflows.
 
 Cases. Null or unnamed sources share the weight ``other``. A source with weight 0
-gets no copies. Null ids draw by the hash of the empty text; repeated rows (equal
-ids) draw equal counts. Empty texts are mixed like others. Empty table: empty
-result. Extra columns are kept; ``copy`` and ``shuffle_key`` get free names.
+gets no copies. Null ids draw by their text; rows that repeat both id and text are one
+document to the draw: they get equal counts and equal keys. Empty texts are mixed like others.
+A table without a text column is drawn by id alone. Empty table: empty result. Extra columns are kept; ``copy`` and ``shuffle_key`` get free names.
 """
 
 from __future__ import annotations
@@ -56,13 +56,21 @@ def poisson_table(rate: float) -> list[float]:
         table.append(total)
 
 
-def uniform(id_col: Column, seed: int, part: int) -> Column:
-    """A number in [0, 1) from the first 52 bits of md5(id, seed, part)."""
-    key = F.concat_ws("#", F.coalesce(id_col.cast("string"), F.lit("")), F.lit(str(seed)), F.lit(str(part)))
+def identity(df: DataFrame, id_col: str, text: str) -> Column:
+    """What a row is drawn by: its id and the md5 of its text."""
+    own = [F.coalesce(F.col(id_col).cast("string"), F.lit(""))]
+    if text in df.columns:
+        own.append(F.md5(F.coalesce(F.col(text).cast("string"), F.lit(""))))
+    return F.concat_ws("#", *own)
+
+
+def uniform(who: Column, seed: int, part: int) -> Column:
+    """A number in [0, 1) from the first 52 bits of md5(identity, seed, part)."""
+    key = F.concat_ws("#", who, F.lit(str(seed)), F.lit(str(part)))
     return F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("double") / float(2**52)
 
 
-def draw(id_col: Column, rate: float, seed: int) -> Column:
+def draw(who: Column, rate: float, seed: int) -> Column:
     """Poisson count with mean ``rate``: for each part the number of table
     entries at or below the uniform number."""
     parts = max(1, math.ceil(rate / STEP))
@@ -71,13 +79,13 @@ def draw(id_col: Column, rate: float, seed: int) -> Column:
     table = F.array(*[F.lit(x) for x in poisson_table(rate / parts)])
     count = F.lit(0)
     for k in range(parts):
-        u = F.array(uniform(id_col, seed, k))  # one-element array: hashed once, not once per table entry
+        u = F.array(uniform(who, seed, k))  # one-element array: hashed once, not once per table entry
         count = count + F.aggregate(u, F.lit(0), lambda n, x: n + F.size(F.filter(table, lambda c: c <= x)))
     return count
 
 
 def mix(df: DataFrame, weights: dict[str, float], total: float | None = None, seed: int = 17,
-        id_col: str = "doc_id", source: str = "source", shuffle: bool = True,
+        id_col: str = "doc_id", source: str = "source", text: str = "text", shuffle: bool = True,
         copy: str = "copy", shuffle_key: str = "shuffle_key") -> DataFrame:
     """Copies of the rows of ``df`` by target weights (source -> share of the
     output; ``other`` for all sources not named). ``total``: expected number of
@@ -90,19 +98,18 @@ def mix(df: DataFrame, weights: dict[str, float], total: float | None = None, se
     if total is None:
         total = sum(n for s, n in counts.items() if weights.get(s, 0) > 0)
     rate = rates(counts, weights, total)
-    n = F.lit(0)
+    copy, key = fresh(df, copy), fresh(df, shuffle_key)
+    n_col, who_col = fresh(df, "_repetitions"), fresh(df, "_identity")
+    who, n = F.col(who_col), F.lit(0)
     for s in weights:
         if s != OTHER:
-            n = F.when(F.col(source) == s, draw(F.col(id_col), rate[s], seed)).otherwise(n)
+            n = F.when(F.col(source) == s, draw(who, rate[s], seed)).otherwise(n)
     if OTHER in weights:
-        n = F.when(F.coalesce(F.col(source).isin(named), F.lit(False)), n).otherwise(
-            draw(F.col(id_col), rate[OTHER], seed)) if named else draw(F.col(id_col), rate[OTHER], seed)
-    copy, key = fresh(df, copy), fresh(df, shuffle_key)
-    n_col = fresh(df, "_repetitions")
-    out = (df.withColumn(n_col, n).where(F.col(n_col) > 0)
+        other = draw(who, rate[OTHER], seed)
+        n = F.when(F.coalesce(F.col(source).isin(named), F.lit(False)), n).otherwise(other) if named else other
+    out = (df.withColumn(who_col, identity(df, id_col, text)).withColumn(n_col, n).where(F.col(n_col) > 0)
            .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(n_col)))).drop(n_col)
-           .withColumn(key, F.md5(F.concat_ws("#", F.coalesce(F.col(id_col).cast("string"), F.lit("")),
-                                              F.col(copy).cast("string"), F.lit(f"s{seed}")))))
+           .withColumn(key, F.md5(F.concat_ws("#", who, F.col(copy).cast("string"), F.lit(f"s{seed}")))).drop(who_col))
     if shuffle:
         out = out.repartition(F.col(key)).sortWithinPartitions(key)
     return out

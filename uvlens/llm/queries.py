@@ -100,8 +100,8 @@ MIX_SEED = 17
 
 OP7_SQL = f"""
 WITH RECURSIVE w(b, w) AS (VALUES {', '.join(f"('{s}', {w:.2f}::DOUBLE)" for s, w in MIX_WEIGHTS.items())}),
-d AS (SELECT *, CASE WHEN source IN (SELECT b FROM w WHERE b <> 'other') THEN source ELSE 'other' END AS b
-      FROM documents),
+d AS (SELECT *, CASE WHEN source IN (SELECT b FROM w WHERE b <> 'other') THEN source ELSE 'other' END AS b,
+             coalesce(doc_id::VARCHAR, '') || '#' || md5(coalesce(text, '')) AS who FROM documents),
 n AS (SELECT b, count(*)::DOUBLE AS n FROM d GROUP BY 1),
 r AS (SELECT w.b, (SELECT sum(n) FROM n) * w / (SELECT sum(w) FROM w JOIN n USING (b)) / n AS rate
       FROM w JOIN n USING (b)),
@@ -110,13 +110,13 @@ p AS (SELECT b, greatest(1, ceil(rate / {mixing.STEP}))::INT AS parts,
 t(b, rate, k, p, total) AS (
   SELECT b, rate, 0, exp(-rate), exp(-rate) FROM p
   UNION ALL SELECT b, rate, k + 1, p * rate / (k + 1), total + p * rate / (k + 1) FROM t WHERE k < 80),
-u AS (SELECT doc_id, d.b, i, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || '#{MIX_SEED}#' || i), 1, 13))::UBIGINT
+u AS (SELECT who, d.b, i, ('0x' || substr(md5(who || '#{MIX_SEED}#' || i), 1, 13))::UBIGINT
              / 4503599627370496::DOUBLE AS u
-      FROM (SELECT DISTINCT doc_id, b FROM d) d JOIN p USING (b), LATERAL (SELECT unnest(range(parts)) AS i)),
-x AS (SELECT u.doc_id, u.b, count(t.k) AS n FROM u LEFT JOIN t ON t.b = u.b AND t.total <= u.u GROUP BY 1, 2)
+      FROM (SELECT DISTINCT who, b FROM d) d JOIN p USING (b), LATERAL (SELECT unnest(range(parts)) AS i)),
+x AS (SELECT u.who, u.b, count(t.k) AS n FROM u LEFT JOIN t ON t.b = u.b AND t.total <= u.u GROUP BY 1, 2)
 SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, c::INT AS copy,
-       md5(coalesce(d.doc_id::VARCHAR, '') || '#' || c || '#s{MIX_SEED}') AS shuffle_key
-FROM d JOIN x ON x.doc_id IS NOT DISTINCT FROM d.doc_id AND x.b = d.b, LATERAL (SELECT unnest(range(1, x.n + 1)) AS c)"""
+       md5(d.who || '#' || c || '#s{MIX_SEED}') AS shuffle_key
+FROM d JOIN x ON x.who = d.who AND x.b = d.b, LATERAL (SELECT unnest(range(1, x.n + 1)) AS c)"""
 
 
 @query("op7_source_mix", OP7_SQL)

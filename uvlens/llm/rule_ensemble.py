@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from uvlens.llm.common import fresh
+from uvlens.llm.common import MARGIN, about_distinct, fresh, hash_below
 from uvlens.llm.textstats import with_stats
 
 SAMPLE_ROWS = 20_000
@@ -157,7 +157,7 @@ def _lasso(m: np.ndarray, y: np.ndarray, lam: float, rounds: int = 400) -> tuple
     return float(w[0]), w[1:]
 
 
-def fit_rules(x: np.ndarray, y: np.ndarray, lam: float = 0.0008, max_rules: int = 300) -> RuleModel:
+def fit_rules(x: np.ndarray, y: np.ndarray, lam: float = 0.0008) -> RuleModel:
     """Rule ensemble of a feature matrix and 0/1 labels."""
     n, ones = len(y), float(y.sum())
     share = (ones + 1) / (n + 2)
@@ -179,7 +179,7 @@ def fit_rules(x: np.ndarray, y: np.ndarray, lam: float = 0.0008, max_rules: int
     seen: dict[bytes, int] = {}
     for k in order:
         seen.setdefault(np.packbits(m[:, k].astype(bool)).tobytes(), k)
-    keep = sorted(seen.values())[:max_rules]
+    keep = sorted(seen.values())
     bias, w = _lasso(m[:, keep], y, lam)
     on = [k for k in range(len(keep)) if abs(w[k]) > 1e-4]
     return RuleModel(bias, tuple(rules[keep[k]] for k in on), tuple(float(w[k]) for k in on))
@@ -202,10 +202,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str =
     if learn_from is not None:
         known = known.where(learn_from)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("t"), F.xxhash64(text).alias("digest"))
-    total = rows.select("id", "digest").distinct().join(known, "id").count()
-    share = min(1.0, sample_rows / max(total, 1))
+    total = known.join(rows.select("id", "digest"), "id").agg(about_distinct("id", "digest").alias("n")).first()["n"]
     # a hash threshold, not a limit: no sort, and the same rows in any run
-    picked = rows.where(F.pmod(F.xxhash64("id", "digest", F.lit(9)), F.lit(1_000_000)) < int(share * 1_000_000))
+    picked = rows.where(hash_below(MARGIN * sample_rows / max(total, 1), "id", "digest", F.lit(9)))
     rows = picked.join(known, "id").dropDuplicates(["id", "digest"])
     got = with_stats(rows, "t", "s").select("y", *features(F.col("s"))).toPandas()
     x = got[list(RATIOS)].to_numpy(float).reshape(len(got), len(RATIOS))
