@@ -87,3 +87,50 @@ def test_dense_session_across_small_arrow_batches(mk, spark):
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert got == _brute(events, ttl)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_dense_sessions_by_pointer_doubling(mk, seed):
+    """All long sessions split (dense_times=0): equal to the fold and to brute force."""
+    rnd = random.Random(seed)
+    ttl, events = 1000, []
+    for u in range(5):
+        t = rnd.randint(0, 500)
+        for _ in range(rnd.randint(1, 500)):
+            t += rnd.choice([1, 7, 50, 120, 300, 999, 1000, 1001, 2500] if u else [250, 333])
+            events.append((u, "p", t))
+    events += [(9, "p", k * 100) for k in range(700)]  # a periodic bot
+    got = {(r.page, r.user_id, r.admit_ms) for r in ttl_admissions(mk(events), ttl, dense_times=0).collect()}
+    assert got == _brute(events, ttl)
+
+
+def test_one_dense_session_is_spread_over_tasks(spark):
+    """200,000 times without a pause: no task of the successor table holds over half of
+    them, no Python worker takes part, and the result equals the fold."""
+    from pyspark.sql import functions as F
+
+    from uvlens.operators import admissions as A
+
+    ttl = 3_600_000
+    ms = F.col("id") * 977 + F.pmod(F.xxhash64("id"), F.lit(900))
+    b = spark.range(200_000).select(F.lit("p").alias("page"), F.lit("bot").alias("user_id"), ms.alias("behavior_ms"))
+    folded = sorted(r["admit_ms"] for r in A.ttl_admissions(b, ttl).collect())
+    split = A.ttl_admissions(b, ttl, dense_times=1_000)
+    assert sorted(r["admit_ms"] for r in split.collect()) == folded and len(folded) > 50
+    times = b.select(F.lit(0).alias("session"), F.col("behavior_ms").alias("t")).distinct()
+    jump = A.successors(times, ttl, ["session"])
+    assert "Python" not in jump._jdf.queryExecution().toString()
+    sizes = [r["count"] for r in jump.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) > 190_000 and max(sizes) < sum(sizes) / 2
+
+
+def test_ttl_reports_scan_the_events_once(spark, tmp_path, monkeypatch):
+    from uvlens.operators import admissions as A
+    from uvlens.plans.uv import CUM_W, TTL_TEST_MS, _b
+
+    reads = []
+    monkeypatch.setattr(A, "ttl_pieces", lambda b, *a, f=A.ttl_pieces: (reads.append(b), f(b, *a))[1])
+    for report, width in ((A.uv_new_visitors, 60_000), (A.uv_cumulative, CUM_W)):
+        plan = report(_b(spark, "/root/testdata/sf0.001"), width, TTL_TEST_MS)._jdf.queryExecution().toString()
+        assert "events.parquet" not in plan
+    assert len(reads) == 2

@@ -30,6 +30,17 @@ partial aggregation. With TTL the admission chain is sequential per
    by session, sorted, and scanned by ``mapInPandas`` with O(1) carried
    state (binary search for the next admission). A session is streamed in
    Arrow batches and never held whole in memory.
+4. Sessions of more than ``dense_times`` distinct times (a bot that never
+   pauses) are not folded by one task but split over all tasks by *pointer
+   doubling*: every time gets its successor, the first time at least ``ttl``
+   later, and joins of the successor table with itself give the successors 2,
+   4, 8, ... steps on; the times reached from a session's start are its
+   admissions. The cost is one join of the session's times per doubling of
+   its number of admissions, whatever pattern the times follow.
+
+The pieces are written once, below the shared checkpoint folder. Everything
+that a report needs (admissions, active windows, page epochs) is computed
+from them, so the raw events are scanned and shuffled once.
 """
 
 from __future__ import annotations
@@ -43,6 +54,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from uvlens.functions.time import window_end_ms
+from uvlens.session import written
 
 KEYS = ("page", "user_id")
 
@@ -53,15 +65,13 @@ def first_seen(behaviors: DataFrame, keys: Sequence[str] = KEYS,
 
 
 def _sessions_from_summary(per_bucket: DataFrame, keys: list[str], ttl_ms: int) -> DataFrame:
-    """(keys..., tb, session, mn, mx) from per-bucket (mn, mx) summaries:
-    a new session starts after every gap >= ttl between neighbouring
+    """``per_bucket`` (keys..., tb, mn, mx, ...) with column ``session``: a new session starts after every gap >= ttl between neighbouring
     buckets. The window holds at most span/ttl rows per key."""
     w = Window.partitionBy(*keys).orderBy("tb")
     prev = F.lag("mx").over(w)
     brk = F.when(prev.isNull() | (F.col("mn") - prev >= ttl_ms), 1).otherwise(0)
     return (per_bucket.withColumn("brk", brk)
-            .withColumn("session", F.sum("brk").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-            .select(*keys, "tb", "session", "mn", "mx"))
+            .withColumn("session", F.sum("brk").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("brk"))
 
 
 def _sessions(times: DataFrame, keys: list[str], ttl_ms: int, ms: str) -> DataFrame:
@@ -117,54 +127,103 @@ def _fold_pieces(keys: list[str], ttl_ms: int):
     return fold
 
 
+def ttl_pieces(behaviors: DataFrame, ttl_ms: int, keys: Sequence[str] = KEYS,
+               ms: str = "behavior_ms") -> DataFrame:
+    """Written table (keys..., piece, times, pmin, pmax): the sorted distinct times of
+    every key and piece, a partial aggregate over one scan. A piece is not wider than
+    the TTL."""
+    if int(ttl_ms) <= 0:
+        raise ValueError("ttl_ms must be positive")
+    return written(behaviors.groupBy(*keys, F.expr(f"{ms} div {min(PIECE_MS, int(ttl_ms))}").alias("piece"))
+                   .agg(F.array_sort(F.collect_set(ms)).alias("times"),
+                        F.min(ms).alias("pmin"), F.max(ms).alias("pmax")), "ttl-pieces")
+
+
+def piece_times(pieces: DataFrame, *cols: str, ms: str = "behavior_ms") -> DataFrame:
+    """The distinct times of the pieces again, one row each."""
+    return pieces.select(*cols, F.explode("times").alias(ms))
+
+
+DENSE_TIMES = 1_000_000  # distinct times of one session that a single task folds
+
+
 def ttl_admissions(behaviors: DataFrame, ttl_ms: int, keys: Sequence[str] = KEYS,
-                   ms: str = "behavior_ms") -> DataFrame:
-    """Admission times per key under an entry TTL (exact, see module doc).
+                   ms: str = "behavior_ms", dense_times: int = DENSE_TIMES) -> DataFrame:
+    """Admission times (keys..., admit_ms) under an entry TTL (exact, see module doc)."""
+    return admissions_of_pieces(ttl_pieces(behaviors, ttl_ms, keys, ms), ttl_ms, keys, dense_times)
+
 
-    Raw events are aggregated once, into *pieces*: per (key, 1,024-ms piece)
-    the sorted distinct times with their min and max (a partial aggregate,
-    so a hot key's duplicates collapse map-side). Everything after works on
-    pieces. A piece is assigned to the TTL bucket of its first event; a
+def admissions_of_pieces(pieces: DataFrame, ttl_ms: int, keys: Sequence[str] = KEYS,
+                         dense_times: int = DENSE_TIMES) -> DataFrame:
+    """Admission times per key, from the table of ``ttl_pieces``.
+
+    A piece is assigned to the TTL bucket of its first event; a
     bucket assigned this way still has no inner gap >= ttl (its pieces start
     inside one TTL span and are no wider than the TTL), so sessions follow
     from per-bucket (min, max) over pieces exactly as over events. Short
     sessions yield their first time; pieces of long sessions are joined to
-    their session and folded in order.
+    their session and folded in order, or, if the session is dense, split.
     """
-    keys = list(keys)
-    ttl_ms = int(ttl_ms)
-    if ttl_ms <= 0:
-        raise ValueError("ttl_ms must be positive")
-    piece_ms = min(PIECE_MS, ttl_ms)  # a piece must not be wider than the TTL
-    pieces = (behaviors.groupBy(*keys, F.expr(f"{ms} div {piece_ms}").alias("piece"))
-              .agg(F.array_sort(F.collect_set(ms)).alias("times"),
-                   F.min(ms).alias("pmin"), F.max(ms).alias("pmax"))
-              .withColumn("tb", F.expr(f"pmin div {ttl_ms}")))
-    # Referencing ``times`` here (the filter is always true) keeps both
-    # branches on the identical piece aggregate, so its exchange is reused
-    # and the raw events are shuffled once.
+    keys, ttl_ms = list(keys), int(ttl_ms)
+    pieces = pieces.withColumn("tb", F.expr(f"pmin div {ttl_ms}"))
     summary = (pieces.groupBy(*keys, "tb")
                .agg(F.min("pmin").alias("mn"), F.max("pmax").alias("mx"),
-                    F.sum(F.size("times")).alias("n_times"))
-               .where(F.col("n_times") > 0).drop("n_times"))
+                    F.sum(F.size("times")).alias("n_times")))
     sessions = _sessions_from_summary(summary, keys, ttl_ms)
     ws = Window.partitionBy(*keys, "session")
-    bounds = (sessions
-              .withColumn("s_min", F.min("mn").over(ws))
-              .withColumn("long", F.max("mx").over(ws) - F.col("s_min") >= ttl_ms))
+    bounds = written(sessions
+                     .withColumn("s_min", F.min("mn").over(ws))
+                     .withColumn("long", F.max("mx").over(ws) - F.col("s_min") >= ttl_ms)
+                     .withColumn("dense", F.col("long") & (F.sum("n_times").over(ws) > dense_times)), "ttl-sessions")
     short = (bounds.where(~F.col("long") & (F.col("mn") == F.col("s_min")))
              .select(*keys, F.col("s_min").alias("admit_ms")))
-    # (pmax >= pmin always holds; it keeps this branch's piece aggregate
-    # identical to the summary branch's, so one exchange serves both)
-    long_pieces = (pieces.where(F.col("pmax") >= F.col("pmin"))
-                   .join(bounds.where("long").select(*keys, "tb", "session"), [*keys, "tb"])
-                   .select(*keys, "session", "piece", "times"))
-    out_schema = T.StructType([behaviors.schema[k] for k in keys]
-                              + [T.StructField("admit_ms", T.LongType())])
-    folded = (long_pieces.repartition(*keys, "session")
-              .sortWithinPartitions(*keys, "session", "piece")
+    tagged = pieces.join(bounds.where("long").select(*keys, "tb", "session", "dense"), [*keys, "tb"])
+    out_schema = T.StructType([pieces.schema[k] for k in keys] + [T.StructField("admit_ms", T.LongType())])
+    folded = (tagged.where(~F.col("dense")).select(*keys, "session", "piece", "times")
+              .repartition(*keys, "session").sortWithinPartitions(*keys, "session", "piece")
               .mapInPandas(_fold_pieces(keys, ttl_ms), out_schema))
-    return short.unionByName(folded)
+    out = short.unionByName(folded)
+    if not bounds.where("dense").isEmpty():
+        times = piece_times(tagged.where("dense"), *keys, "session", ms="t")
+        out = out.unionByName(dense_admissions(times, ttl_ms, [*keys, "session"])
+                              .select(*keys, F.col("t").alias("admit_ms")))
+    return out
+
+
+def successors(times: DataFrame, ttl_ms: int, group: Sequence[str]) -> DataFrame:
+    """(group..., t, to): for every distinct time the first time of its session at least
+    ``ttl_ms`` later. Within a session it lies less than ``2 * ttl_ms`` on, so in the TTL
+    bucket of t + ttl or in the next one: windows hold one bucket each, not the session."""
+    g = list(group)
+    bucket = F.expr(f"v div {ttl_ms}").alias("b")
+    both = (times.select(*g, F.col("t").alias("v"), "t", F.lit(None).cast("bigint").alias("since"))
+            .unionByName(times.select(*g, (F.col("t") + ttl_ms).alias("v"), F.lit(None).cast("bigint").alias("t"),
+                                      F.col("t").alias("since"))).select("*", bucket))
+    later = Window.partitionBy(*g, "b").orderBy(F.desc("v"), F.asc_nulls_first("since")).rowsBetween(
+        Window.unboundedPreceding, 0)
+    here = both.withColumn("to", F.min("t").over(later)).where("since IS NOT NULL").select(
+        *g, F.col("since").alias("t"), "b", "to")
+    first = (times.groupBy(*g, F.expr(f"t div {ttl_ms}").alias("b")).agg(F.min("t").alias("first"))
+             .select(*g, (F.col("b") - 1).alias("b"), "first"))
+    return (here.join(first, [*g, "b"], "left").select(*g, "t", F.coalesce("to", "first").alias("to"))
+            .where("to IS NOT NULL"))
+
+
+def dense_admissions(times: DataFrame, ttl_ms: int, group: Sequence[str]) -> DataFrame:
+    """(group..., t): the admissions of sessions (no gap of ``ttl_ms`` or more) given by
+    their distinct times, by pointer doubling. All joins are on (group, time), which is
+    unique on one side: they neither multiply rows nor gather a session."""
+    g = list(group)
+    times = written(times, "dense-times")
+    reached = written(times.groupBy(*g).agg(F.min("t").alias("t")), "dense-reached")
+    jump = written(successors(times, ttl_ms, g), "dense-jump")
+    while not jump.isEmpty():
+        # ``reached`` holds the first 2^k admissions of every session, ``jump`` 2^k steps
+        reached = written(reached.unionByName(
+            reached.join(jump, [*g, "t"]).select(*g, F.col("to").alias("t"))), "dense-reached")
+        on = jump.select(*g, F.col("t").alias("to"), F.col("to").alias("further"))
+        jump = written(jump.join(on, [*g, "to"]).select(*g, "t", F.col("further").alias("to")), "dense-jump")
+    return reached
 
 
 def admission_times(behaviors: DataFrame, ttl_ms: int | None = None,
@@ -203,8 +262,9 @@ def uv_new_visitors(behaviors: DataFrame, width_ms: int = 60_000,
     """A5: users admitted in each window with events; 0 when none."""
     if ttl_ms is None:
         return first_visits_per_window(behaviors, width_ms).withColumnRenamed("new_users", "uv")
-    adm = admission_times(behaviors, ttl_ms)
-    active = active_windows(behaviors, width_ms).select("page", "window_time")
+    pieces = ttl_pieces(behaviors, ttl_ms)
+    adm = admissions_of_pieces(pieces, ttl_ms)
+    active = active_windows(piece_times(pieces, "page"), width_ms).select("page", "window_time")
     return (active.join(_admitted_per_window(adm, width_ms), ["page", "window_time"], "left")
             .select("page", "window_time",
                     F.coalesce("new_users", F.lit(0)).cast("bigint").alias("uv")))
@@ -226,11 +286,12 @@ def uv_cumulative(behaviors: DataFrame, width_ms: int = 30_000,
                 .select("page", "window_time", F.sum("new_users").over(w).alias("uv")))
     if width_ms > ttl_ms:
         raise ValueError("window width must not exceed the TTL")
-    adm = admission_times(behaviors, ttl_ms)
-    active = active_windows(behaviors, width_ms)
+    pieces = ttl_pieces(behaviors, ttl_ms)
+    adm = admissions_of_pieces(pieces, ttl_ms)
+    active = active_windows(piece_times(pieces, "page"), width_ms)
     per_window = (active.join(_admitted_per_window(adm, width_ms), ["page", "window_time"], "left")
                   .withColumn("tb", F.expr(f"first_ms div {int(ttl_ms)}"))
-                  .join(page_epochs(behaviors, ttl_ms), ["page", "tb"]))
+                  .join(page_epochs(piece_times(pieces, "page"), ttl_ms), ["page", "tb"]))
     w = (Window.partitionBy("page", "epoch").orderBy("window_time")
          .rowsBetween(Window.unboundedPreceding, 0))
     return per_window.select(

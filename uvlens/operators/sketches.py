@@ -89,3 +89,34 @@ def overlap_next(bitmaps: DataFrame, width_ms: int) -> DataFrame:
             .agg(F.sum(F.expr("CASE WHEN n = 2 THEN bitmap_count(bm) ELSE 0 END")).alias("overlap"),
                  F.max("here").alias("here"), F.max("next").alias("next"))
             .where("here AND next").select("page", "window_time", F.col("overlap").cast("bigint").alias("overlap")))
+
+
+# --- theta sketches: set algebra on text ids (G3, G6) ---------------------------
+
+THETA_LGK = 15  # 2^15 kept hashes: exact up to 32,768 users, standard error 0.6 % beyond
+
+
+def window_thetas(behaviors: DataFrame, width_ms: int, lgk: int = THETA_LGK, user: str = "user_id") -> DataFrame:
+    """(page, window_time, theta), mergeable by ``theta_union_agg``."""
+    return (behaviors.select("page", window_end_ms("behavior_ms", width_ms).alias("window_time"), user)
+            .groupBy("page", "window_time").agg(F.theta_sketch_agg(user, lgk).alias("theta")))
+
+
+def theta_estimate(theta: Column) -> Column:
+    return F.theta_sketch_estimate(theta).cast("bigint")
+
+
+def theta_with_next(thetas: DataFrame, width_ms: int, lgk: int = THETA_LGK) -> DataFrame:
+    """(page, window_time, both, only_here, only_next, either): users of a window and of the
+    following one, for windows that have both. Sketches are shifted and grouped: constant-size
+    rows, one shuffle and no join."""
+    role = F.explode(F.sequence(F.lit(0), F.lit(1))).alias("role")
+    two = thetas.select("*", role).withColumn("window_time", F.col("window_time") - F.col("role") * width_ms)
+    side = lambda r: F.first(F.when(F.col("role") == r, F.col("theta")), ignorenulls=True)
+    a, b = F.col("a"), F.col("b")
+    return (two.groupBy("page", "window_time").agg(side(0).alias("a"), side(1).alias("b"))
+            .where(a.isNotNull() & b.isNotNull())
+            .select("page", "window_time", theta_estimate(F.theta_intersection(a, b)).alias("both"),
+                    theta_estimate(F.theta_difference(a, b)).alias("only_here"),
+                    theta_estimate(F.theta_difference(b, a)).alias("only_next"),
+                    theta_estimate(F.theta_union(a, b, lgk)).alias("either")))

@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from uvlens.operators import containers as C
 from uvlens.operators import sketches as S
 from uvlens.functions.time import window_end_ms
-from uvlens.operators.admissions import active_windows, ttl_admissions, uv_cumulative, uv_new_visitors
+from uvlens.operators.admissions import (active_windows, admissions_of_pieces, piece_times, ttl_pieces,
+                                          uv_cumulative, uv_new_visitors)
 from uvlens.operators.strategies import count_bitmaps, hll_sketch
 from uvlens.operators.windows import DAY, HOUR, MINUTE, page_views, uv_per_batch_time, uv_per_window
 from uvlens.plans.registry import B_SQL, ORACLE, register
-from uvlens.session import scratch_path
+from uvlens.session import scratch_path, written
 from uvlens.sources.behaviors import behaviors_from_events, load_behaviors
 from uvlens.sources.tables import read_table
 
@@ -226,10 +228,11 @@ def q_uv_new_visitors_hll(spark, sf_dir):
     """A5 with a sketch: admitted users (1-hour TTL) added to an HLL per page and
     minute; 0 for windows with events but nobody admitted."""
     b = _b(spark, sf_dir)
-    adm = (ttl_admissions(b, TTL_TEST_MS)
+    pieces = ttl_pieces(b, TTL_TEST_MS)
+    adm = (admissions_of_pieces(pieces, TTL_TEST_MS)
            .select("page", "user_id", window_end_ms("admit_ms", MINUTE).alias("window_time")))
     new = adm.groupBy("page", "window_time").agg(F.hll_sketch_estimate(hll_sketch("user_id")).alias("n"))
-    active = active_windows(b, MINUTE).select("page", "window_time")
+    active = active_windows(piece_times(pieces, "page"), MINUTE).select("page", "window_time")
     return (active.join(new, ["page", "window_time"], "left")
             .select("page", "window_time", F.coalesce("n", F.lit(0)).cast("bigint").alias("uv")))
 
@@ -269,3 +272,54 @@ FROM aw LEFT JOIN nw ON aw.page = nw.page AND aw.window_time = nw.window_time"""
 def q_uv_cumulative_ttl(spark, sf_dir):
     """A2: running distinct users per page with a 1-hour entry TTL and page reset."""
     return uv_cumulative(_b(spark, sf_dir), CUM_W, TTL_TEST_MS)
+
+
+# --- set algebra on text ids ---------------------------------------------------
+
+_DAYS_SQL = f"""{B_SQL},
+d AS (SELECT DISTINCT page, (behavior_ms // 86400000 + 1) * 86400000 AS window_time, user_id FROM b),
+p AS (SELECT x.page, x.window_time FROM (SELECT DISTINCT page, window_time FROM d) x
+      JOIN (SELECT DISTINCT page, window_time FROM d) y ON x.page = y.page AND y.window_time = x.window_time + 86400000),
+u AS (SELECT p.page, p.window_time, d.user_id, bool_or(d.window_time = p.window_time) AS here,
+             bool_or(d.window_time > p.window_time) AS nxt
+      FROM p JOIN d ON d.page = p.page AND d.window_time IN (p.window_time, p.window_time + 86400000) GROUP BY 1, 2, 3)"""
+
+
+@register("uv_theta_algebra", f"""
+WITH {_DAYS_SQL}
+SELECT page, window_time, count(*) FILTER (here AND nxt) AS both, count(*) FILTER (NOT nxt) AS only_here,
+       count(*) FILTER (NOT here) AS only_next, count(*) AS either
+FROM u GROUP BY 1, 2""")
+def uv_theta_algebra(spark, sf_dir):
+    """G3/G6 on sketches: users of a day and of the next one: in both, in one only, in
+    either, from one theta sketch per (page, day)."""
+    return S.theta_with_next(S.window_thetas(_b(spark, sf_dir), DAY), DAY)
+
+
+@register("uv_sparse_bitmap", f"""
+WITH {B_SQL}
+SELECT page, (behavior_ms // 3600000 + 1) * 3600000 AS window_time, count(DISTINCT user_id)::BIGINT AS uv
+FROM b GROUP BY 1, 2""")
+def uv_sparse_bitmap(spark, sf_dir):
+    """A7 for text ids: hourly users as container bitmaps of 63-bit hashes."""
+    return C.cardinality(C.window_containers(_b(spark, sf_dir), HOUR), ["page", "window_time"])
+
+
+@register("uv_sparse_rollup", f"""
+WITH {B_SQL}
+SELECT page, (behavior_ms // 86400000 + 1) * 86400000 AS window_time, count(DISTINCT user_id)::BIGINT AS uv
+FROM b GROUP BY 1, 2""")
+def uv_sparse_rollup(spark, sf_dir):
+    """G5 for text ids: hourly containers, stored, merged into days."""
+    hours = written(C.window_containers(_b(spark, sf_dir), HOUR), "containers")
+    return C.cardinality(C.rollup(hours, DAY), ["page", "window_time"])
+
+
+@register("uv_sparse_overlap", f"""
+WITH {_DAYS_SQL}
+SELECT page, window_time, count(*) FILTER (here) AS here, count(*) FILTER (nxt) AS next,
+       count(*) FILTER (here AND nxt) AS overlap
+FROM u GROUP BY 1, 2""")
+def uv_sparse_overlap(spark, sf_dir):
+    """G6 for text ids: users of a day, of the next one and of both, from containers."""
+    return C.overlap_next(C.window_containers(_b(spark, sf_dir), DAY), DAY)

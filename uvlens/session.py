@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job here relies on. AQE coalesces the many small shuffle
 # partitions of the UV aggregations and splits skewed join partitions.
@@ -105,6 +105,14 @@ def scratch_path(spark: SparkSession, kind: str) -> str:
     return f"{root}/uvlens/{kind}/{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, kind: str) -> DataFrame:
+    """``df`` as a fresh table below the shared checkpoint folder: the lineage is cut, and
+    all later uses read the same rows."""
+    path = scratch_path(df.sparkSession, kind)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists, in any file system that Spark reads."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
