@@ -56,3 +56,28 @@ def test_top_and_bottom_ties(spark):
     bottom = [r.page for r in bottom_by_score(df, ["day"], "page", "uv", 0, 2).orderBy("rank").collect()]
     assert top == ["e", "b", "a"]
     assert bottom == ["c", "a", "b"]
+
+
+@pytest.mark.parametrize("kind", ["one day", "one second, ties", "long common prefix"])
+def test_positions_spread_one_hot_page(spark, kind):
+    """One page of 200,000 rows whose order column hardly differs: no range holds over 5 %
+    of them, and positions are exact."""
+    import uvlens.operators.reports as R
+
+    n, seen = 200_000, []
+    key = {"one day": F.timestamp_seconds(F.lit(1_704_067_200) + F.pmod(F.col("id") * 7919, F.lit(86_400))),
+           "one second, ties": F.lit(1_704_067_200),
+           "long common prefix": F.concat(F.lit("page_with_a_long_name_"), F.lpad(F.pmod(F.col("id") * 7919, F.lit(n)), 6, "0"))}[kind]
+    df = spark.range(n).select(F.lit("p").alias("page"), key.alias("k"), "id")
+    old = R.written
+    R.written = lambda d, name: (seen.append(old(d, name)), seen[-1])[1]
+    try:
+        got = positions(df, ["page"], [asc("k")], "pos", n_parts=64, size="n")
+        rows = got.select("k", "pos", "n").orderBy("pos").collect()
+    finally:
+        R.written = old
+    sizes = [r["count"] for r in seen[0].groupBy("_range").count().collect()]
+    assert sum(sizes) == n and max(sizes) <= 0.05 * n
+    assert [r["pos"] for r in rows] == list(range(n)) and {r["n"] for r in rows} == {n}
+    keys = [r["k"] for r in rows]
+    assert keys == sorted(keys)

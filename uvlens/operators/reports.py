@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from uvlens.functions.time import format_ms
-from uvlens.session import scratch_path
+from uvlens.session import written
 
 
 Order = tuple[str, bool]  # (column, ascending)
@@ -53,61 +53,45 @@ def rank_slice(df: DataFrame, partition: Sequence[str], order: Sequence[Order],
         return (ranked.join(sizes, part).withColumn(pos, (F.col("_n") - F.col("_rd")).cast("bigint"))
                 .drop("_rd", "_n"))
     # Mixed signs or far from the end: exact positions from the start, bounds normalised by size.
-    ranked = positions(df, part, order, "_rn").join(sizes, part)
+    ranked = positions(df, part, order, "_rn", size="_n")
     lo = F.lit(start) if start >= 0 else F.col("_n") + start
     hi = F.lit(end) if end >= 0 else F.col("_n") + end
     return (ranked.where((F.col("_rn") >= lo) & (F.col("_rn") <= hi))
             .withColumn(pos, F.col("_rn").cast("bigint")).drop("_rn", "_n"))
 
 
-def _order_number(df: DataFrame, name: str) -> Column:
-    """A number that never falls along an ascending sort by the column (nulls are
-    first in Spark, here null)."""
-    kind = dict(df.dtypes)[name]
-    if kind == "string":  # its first six bytes
-        head = F.rpad(F.hex(F.substring(F.col(name).cast("binary"), 1, 6)), 12, "0")
-        return F.conv(head, 16, 10).cast("double")
-    if kind == "date" or kind.startswith("timestamp"):
-        return F.datediff(F.col(name).cast("date"), F.lit("1970-01-01").cast("date")).cast("double")
-    return F.col(name).cast("double")
-
-
 def positions(df: DataFrame, partition: Sequence[str], order: Sequence[Order],
-              pos: str = "pos", n_parts: int | None = None) -> DataFrame:
-    """Exact 0-based position of every row in its partition under ``order``.
-
-    No partition is ranked in one task: each is cut into ``n_parts`` buckets at
-    approximate quantiles of its first order column, rows are numbered inside
-    (partition, bucket), and bucket sizes give the prefix offsets. The cuts are
-    written to a table first, so both uses see the same buckets, whatever is
-    recomputed or reused. Rows with one value of the first order column share a
-    bucket.
+              pos: str = "pos", n_parts: int | None = None, size: str | None = None) -> DataFrame:
+    """Exact 0-based position of every row in its partition under ``order`` (and, as
+    ``size``, the number of rows of the partition).
+
+    No partition is ranked in one task. Rows are dealt by ranges of the whole key: partition
+    columns, all order columns, and a hash of the row, so that ties are cut too (only rows
+    equal in every column share a place). Spark samples the splitters and finds a row's range
+    by binary search. The dealt rows are written with the number of their range, so all uses
+    see the same cuts; rows are numbered inside (partition, range), and the sizes of the ranges
+    before give the offset.
     """
     part = list(partition)
-    first, ascending = order[0]
     n = n_parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    number = _order_number(df, first)
-    shares = F.array(*[F.lit(k / n) for k in range(1, n)]) if n > 1 else F.array(F.lit(0.5))
-    cuts = df.groupBy(*part).agg(F.percentile_approx(number, shares, 100 * n).alias("_cuts"))
-    path = scratch_path(df.sparkSession, "position-cuts")
-    cuts.write.parquet(path)
-    cuts = df.sparkSession.read.schema(cuts.schema).parquet(path)
-    keys = [F.col(p).eqNullSafe(F.col(f"_k{i}")) for i, p in enumerate(part)]
-    named = cuts.select("_cuts", *[F.col(p).alias(f"_k{i}") for i, p in enumerate(part)])
-    above = F.size(F.filter(F.coalesce("_cuts", F.array().cast("array<double>")), lambda c: c < number))
-    bucket = F.when(number.isNull(), F.lit(-1)).otherwise(above)
-    joined = df.join(named, reduce(lambda a, b: a & b, keys)) if part else df.crossJoin(cuts)
-    rows = (joined.withColumn("_bucket", bucket if ascending else -bucket)
-            .drop("_cuts", *[f"_k{i}" for i in range(len(part))]))
-    counts = rows.groupBy(*part, "_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
-    w = Window.partitionBy(*part).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(F.col("_bucket").alias("_b"), *[F.col(p).alias(f"_k{i}") for i, p in enumerate(part)],
-                            F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_off"))
-    inside = Window.partitionBy(*part, "_bucket").orderBy(*_cols(order))
+    hashed = [c for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+    key = [*_cols(order), F.col("_tie").asc()]
+    rows = written(df.withColumn("_tie", F.xxhash64(*hashed)).repartitionByRange(n, *part, *key)
+                   .withColumn("_range", F.spark_partition_id()), "position-ranges")
+    counts = rows.groupBy(*part, "_range").agg(F.count(F.lit(1)).alias("_cnt"))
+    w = Window.partitionBy(*part).orderBy("_range")
+    offsets = counts.select(
+        F.col("_range").alias("_r"), *[F.col(p).alias(f"_k{i}") for i, p in enumerate(part)],
+        F.coalesce(F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
+        F.sum("_cnt").over(Window.partitionBy(*part)).alias("_size"))
+    inside = Window.partitionBy(*part, "_range").orderBy(*key)
     local = rows.withColumn("_local", F.row_number().over(inside) - 1)
-    return (local.join(offsets, reduce(lambda a, b: a & b, [*keys, F.col("_bucket") == F.col("_b")]))
-            .withColumn(pos, (F.col("_off") + F.col("_local")).cast("bigint"))
-            .drop("_bucket", "_local", "_off", "_b", *[f"_k{i}" for i in range(len(part))]))
+    same = [F.col(p).eqNullSafe(F.col(f"_k{i}")) for i, p in enumerate(part)]
+    out = (local.join(offsets, reduce(lambda a, b: a & b, [*same, F.col("_range") == F.col("_r")]))
+           .withColumn(pos, (F.col("_off") + F.col("_local")).cast("bigint")))
+    if size:
+        out = out.withColumn(size, F.col("_size").cast("bigint"))
+    return out.drop("_range", "_local", "_off", "_r", "_tie", "_size", *[f"_k{i}" for i in range(len(part))])
 
 
 def asc(name: str) -> Order:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from uvlens.functions import time as TM
-from uvlens.operators.reports import asc, bottom_by_score, rank_slice, report_lines, top_by_score
+from uvlens.operators.reports import asc, bottom_by_score, positions, report_lines, top_by_score
 from uvlens.operators.strategies import uv_exact
 from uvlens.operators.windows import MINUTE, uv_per_window
 from uvlens.plans.registry import B_SQL, register
@@ -64,12 +64,11 @@ def event_slice(spark, sf_dir):
     """Events of each page by position (lrange): 0..9, -5..-1, 2..-3."""
     b = load_behaviors(spark, sf_dir, keep=("event_id",))
     order = [asc("behavior_ms"), asc("event_id")]
-    parts = []
-    for tag, s, e in (("head", 0, 9), ("tail", -5, -1), ("mid", 2, -3)):
-        parts.append(rank_slice(b, ["page"], order, s, e)
-                     .select(F.lit(tag).alias("part"), "page", "event_id", "user_id",
-                             "behavior_ms", "pos"))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    ranked = positions(b, ["page"], order, size="n")
+    at, n = F.col("pos"), F.col("n")
+    tags = F.array(F.when(at <= 9, "head"), F.when(at >= n - 5, "tail"), F.when((at >= 2) & (at <= n - 3), "mid"))
+    return (ranked.withColumn("part", F.explode(F.array_compact(tags)))
+            .select("part", "page", "event_id", "user_id", "behavior_ms", "pos"))
 
 
 @register("uv_report_lines", f"""
