@@ -94,3 +94,60 @@ def test_long_running_needs_a_checkpoint(spark, three_files):
     args = L.parser().parse_args(["--source", "parquet", "--path", three_files])
     with pytest.raises(ValueError, match="checkpoint"):
         L.start(spark, args)
+
+
+def _windows(spark, state, hour=3_600_000):
+    active = spark.read.schema(L.ACTIVE_SCHEMA).parquet(f"{state}/active")
+    seen = active.groupBy("page", "window_time").agg(F.min("first_ms").alias("first_ms"), F.max("last_ms").alias("last_ms"))
+    admitted = spark.read.schema(L.J.ADMIT_TABLE).parquet(f"{state}/admissions")
+    return L.J.cumulative_ttl_from(seen, L.new_users(admitted, hour), 3 * hour)
+
+
+def test_running_totals_read_a_ttl_back_only(spark, monkeypatch):
+    """A batch a day, every fifth with events of the day before: the last total of every
+    window equals the totals from all stored rows, and the days opened do not grow."""
+    import random
+    hour, day, rng = 3_600_000, 86_400_000, random.Random(5)
+    state, out, opened = scratch_path(spark, "t-running"), scratch_path(spark, "t-running-out"), []
+    read = L.J.read_days
+
+    def counted(*a):
+        df = read(*a)
+        opened[-1] |= {f.split("/day=")[1].split("/")[0] for f in df.inputFiles()}
+        return df
+    monkeypatch.setattr(L.J, "read_days", counted)
+    args = L.parser().parse_args(["--strategy", "cumulative", "--window", "1 hour", "--ttl-hours", "3",
+                                  "--sink", "parquet", "--out", out])
+    write = L._admissions_batch(args, state, 3 * hour, out)
+    for k in range(12):
+        rows = [(f"p{rng.randrange(3)}", f"u{rng.randrange(6)}", k * day + rng.randrange(day)) for _ in range(30)]
+        if k % 5 == 4:
+            rows += [("p0", f"v{i}", (k - 1) * day + rng.randrange(day)) for i in range(10)]
+        opened.append(set())
+        batch = spark.createDataFrame(rows, "page string, user_id string, behavior_ms bigint")
+        write(batch, k)
+        if k in (4, 7):  # a replay changes nothing
+            write(batch, k)
+    got = (spark.read.parquet(out).groupBy("page", "window_time").agg(F.max_by("uv", "batch_id").alias("uv")))
+    key = lambda df: sorted((r.page, r.window_time, r.uv) for r in df.collect())
+    assert key(got) == key(_windows(spark, state))
+    assert max(len(o) for o in opened) <= 4
+
+
+def test_store_strategy_compacts_and_keeps_new_rows_only(spark, three_files):
+    from uvlens.operators.store import UVStore
+    from uvlens.operators.windows import uv_per_batch_time
+    from uvlens.sources.behaviors import load_behaviors
+    out = scratch_path(spark, "launch-compact")
+    args = L.parser().parse_args(["--strategy", "hll-store", "--source", "parquet", "--path", three_files,
+                                  "--max-files", "1", "--sink", "parquet", "--out", out, "--once",
+                                  "--compact-every", "2"])
+    L.start(spark, args).awaitTermination()
+    store = UVStore(spark, out, "hll")
+    assert store.snapshot() == (1, 1)
+    args = L.parser().parse_args(["--strategy", "set-store", "--source", "parquet", "--path", three_files,
+                                  "--max-files", "1", "--sink", "parquet", "--out", f"{out}-set", "--once",
+                                  "--only-new"])
+    L.start(spark, args).awaitTermination()
+    key = lambda df: sorted((r.page, r.window_time, r.uv) for r in df.collect())
+    assert key(UVStore(spark, f"{out}-set").uv()) == key(uv_per_batch_time(load_behaviors(spark, SF), 1, "minutes"))

@@ -20,19 +20,26 @@ from uvlens.sources.behaviors import load_behaviors
 from uvlens.sources.streams import stream_table_behaviors
 from uvlens.sources.tables import read_table
 from uvlens.streaming import jobs as J
+from uvlens.streaming import late as L
 
 
 def _stream(spark, sf_dir):
     return stream_table_behaviors(spark, sf_dir)
 
 
-def _stream_in_batches(spark, sf_dir, files: int = 4):
-    """The events dealt out to ``files`` files that overlap in time, read one
-    file per micro-batch: state is carried over from batch to batch."""
+ROWS_PER_FILE = 1_000_000
+ROWS_PER_BATCH = 100_000_000
+
+
+def _stream_in_batches(spark, sf_dir):
+    """The events dealt out to files that overlap in time, of up to a million rows each,
+    streamed in at least four micro-batches of up to a hundred million rows: tasks and
+    batches grow in number with the table, not in size."""
+    events = read_table(spark, sf_dir, "events")
+    files = max(4, -(-events.count() // ROWS_PER_FILE))
     folder = scratch_path(spark, "stream-in")
-    (read_table(spark, sf_dir, "events").repartition(files, F.xxhash64("event_id"))
-     .write.parquet(f"{folder}/events.parquet"))
-    return stream_table_behaviors(spark, folder, max_files=1)
+    events.repartition(files, F.xxhash64("event_id")).write.parquet(f"{folder}/events.parquet")
+    return stream_table_behaviors(spark, folder, max_files=min(files // 4, ROWS_PER_BATCH // ROWS_PER_FILE))
 
 
 def _batch(spark, sf_dir):
@@ -130,18 +137,15 @@ def stream_uv_new_visitors(spark, sf_dir):
 
 @register("stream_uv_new_visitors_wm", ORACLE["uv_new_visitors"])
 def stream_uv_new_visitors_wm(spark, sf_dir):
-    """A5 without expiry over four micro-batches that overlap in time. The first
-    visits need no watermark; the active windows use one that is as long as the
-    table's time span (read from the table), so no window is closed early."""
-    stream = lambda: _stream_in_batches(spark, sf_dir)
-    span = _batch(spark, sf_dir).agg((F.max("behavior_ms") - F.min("behavior_ms")).alias("s")).first()["s"] or 0
+    """A5 without expiry over micro-batches that overlap in time by their whole length.
+    Neither the first visits nor the logged active windows need a watermark, so no event
+    is too late and no window stays in the state."""
+    stream = _stream_in_batches(spark, sf_dir)
     seen_log, act_log = J.await_all(
-        J.start_update(spark, J.first_visits_stream(stream()), "nv-wm"),
-        J.start_update(spark, J.active_windows_stream(stream(), "1 minute", f"{span + 60_000} milliseconds"),
-                       "nv-wm-active"))
+        J.start_update(spark, J.first_visits_stream(stream), "nv-wm"),
+        J.active_windows_log(spark, stream, MINUTE, "nv-wm-active"))
     new = J.new_users_per_window(J.read_first_visits(spark, seen_log), MINUTE)
-    act = J.read_changelog(spark, act_log, ACTIVE_SCHEMA, ["page", "window_time"], ["first_ms"])
-    return _with_zeros(act, new)
+    return _with_zeros(J.read_active_windows(spark, act_log).select("page", "window_time"), new)
 
 
 @register("stream_uv_new_visitors_ttl", ORACLE["uv_new_visitors_ttl"])
@@ -168,7 +172,7 @@ def stream_uv_new_visitors_ttl(spark, sf_dir):
 
 @register("uv_microbatch_set", ORACLE["uv_dedup_bucket"])
 def uv_microbatch_set(spark, sf_dir):
-    """Four micro-batches merged into the keyed set store (year-anchored
+    """Micro-batches merged into the keyed set store (year-anchored
     minutes, label = start); UV read back from the store."""
     store = UVStore(spark, scratch_path(spark, "store-set"), "set")
     J.store_stream(spark, _stream_in_batches(spark, sf_dir), store, 1, "minutes", name="mb-set")
@@ -177,7 +181,7 @@ def uv_microbatch_set(spark, sf_dir):
 
 @register("uv_microbatch_hll", ORACLE["uv_dedup_bucket"])
 def uv_microbatch_hll(spark, sf_dir):
-    """A10: four micro-batches merged into the keyed sketch store; UV of the
+    """A10: micro-batches merged into the keyed sketch store; UV of the
     merged sketches."""
     store = UVStore(spark, scratch_path(spark, "store-hll"), "hll")
     J.store_stream(spark, _stream_in_batches(spark, sf_dir), store, 1, "minutes", name="mb-hll")
@@ -250,9 +254,69 @@ l AS (SELECT page, window_time,
       FROM u)
 SELECT *, 'page:' || page || ',batch time:' || window_time || ',uv:' || uv AS line FROM l""")
 def store_report_lines(spark, sf_dir):
-    """K2: the printed line of every bucket that four micro-batches wrote, read back
+    """K2: the printed line of every bucket that the micro-batches wrote, read back
     from the store as of the latest event; buckets older than a day have expired."""
     store = UVStore(spark, scratch_path(spark, "store-lines"), "hll", ttl_ms=DAY)
     J.store_stream(spark, _stream_in_batches(spark, sf_dir), store, 1, "hours", name="st-lines")
     as_of = _batch(spark, sf_dir).agg(F.max("behavior_ms")).first()[0]
     return store_lines(store, store.rows().select("page", "window_time"), as_of)
+
+
+@register("uv_store_redelivery", f"""
+WITH {B_SQL}
+SELECT page, behavior_ms - behavior_ms % 3600000 AS window_time,
+       count(DISTINCT user_id)::BIGINT AS uv, count(DISTINCT user_id)::BIGINT AS stored_rows
+FROM b GROUP BY 1, 2""")
+def uv_store_redelivery(spark, sf_dir):
+    """The duplicate filter between micro-batches. The events before the median time
+    come as batch 0, then a source delivers everything again as batch 1 and once more as
+    batch 2; each visitor of a bucket is stored once."""
+    b = _batch(spark, sf_dir).select("page", "user_id", "behavior_ms",
+                                     TM.hour_start("behavior_ms").alias("window_time"))
+    cut = b.agg(F.percentile_approx("behavior_ms", 0.5)).first()[0]
+    store = UVStore(spark, scratch_path(spark, "store-new"), "set")
+    store.write_new(b.where(F.col("behavior_ms") < cut), 0)
+    store.write_new(b, 1)
+    store.write_new(b, 2)
+    return (store.rows().groupBy("page", "window_time")
+            .agg(F.count_distinct("user_id").cast("bigint").alias("uv"),
+                 F.count(F.lit(1)).cast("bigint").alias("stored_rows")))
+
+
+LATE_DELAY_MS = 2 * DAY
+# Arrival of an event: its week, or the week after for the users whose devices send a
+# week's events at once (one in seven).
+_ARRIVAL = ("(behavior_ms - (SELECT min(behavior_ms) FROM b)) // 604800000 "
+            "+ CASE WHEN user_num % 7 = 0 THEN 1 ELSE 0 END")
+
+
+@register("uv_late_report", f"""
+WITH {B_SQL},
+a AS (SELECT page, user_id, behavior_ms, {_ARRIVAL} AS arrival,
+             (behavior_ms // 3600000 + 1) * 3600000 AS window_time FROM b),
+m AS (SELECT DISTINCT arrival FROM a),
+w AS (SELECT m.arrival, (SELECT max(behavior_ms) FROM a x WHERE x.arrival < m.arrival) - {LATE_DELAY_MS} AS mark
+      FROM m),
+l AS (SELECT a.*, coalesce(a.window_time <= w.mark, false) AS late FROM a JOIN w USING (arrival)),
+u AS (SELECT page, window_time, user_id, bool_and(late) AS only_late,
+             count(*) FILTER (WHERE late) AS late_n FROM l GROUP BY 1, 2, 3)
+SELECT page, window_time, count(*) FILTER (WHERE NOT only_late)::BIGINT AS closed_uv,
+       sum(late_n)::BIGINT AS late_events, count(*) FILTER (WHERE only_late)::BIGINT AS late_users,
+       count(*)::BIGINT AS restated_uv
+FROM u GROUP BY 1, 2""")
+def uv_late_report(spark, sf_dir):
+    """Events by weekly arrival, one user in seven a week late, windows of an hour and
+    a watermark delay of two days: what closed, what came late, what it adds up to."""
+    b = load_behaviors(spark, sf_dir)
+    start = b.agg(F.min("behavior_ms")).first()[0] or 0
+    arrival = F.expr(f"(behavior_ms - {start}) div 604800000 + IF(cast(user_id as bigint) % 7 = 0, 1, 0)")
+    weeks = scratch_path(spark, "arrivals")
+    (b.select("page", "user_id", "behavior_ms", arrival.alias("arrival"))
+     .write.partitionBy("arrival").parquet(weeks))
+    arrived = spark.read.schema("page STRING, user_id STRING, behavior_ms BIGINT, arrival BIGINT").parquet(weeks)
+    root = scratch_path(spark, "late")
+    write = L.late_writer(root, HOUR, LATE_DELAY_MS)
+    last = arrived.agg(F.max("arrival")).first()[0]
+    for k in range(0 if last is None else last + 1):  # one micro-batch a week of the table
+        write(arrived.where(F.col("arrival") == k), k)
+    return L.late_report(spark, root)

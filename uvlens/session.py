@@ -117,3 +117,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists, in any file system that Spark reads."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right below a folder, in any file system that Spark reads;
+    none if it does not exist."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]

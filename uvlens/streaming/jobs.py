@@ -22,7 +22,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from uvlens.functions.time import batch_time, window_end_ms
 from uvlens.operators.store import UVStore
 from uvlens.operators.strategies import DEFAULT_LGK, hll_sketch
-from uvlens.session import path_exists, scratch_path
+from uvlens.session import scratch_path, subfolders
 
 CHANGELOG_SCHEMA_EXTRA = "batch_id BIGINT"
 
@@ -63,6 +63,31 @@ def active_windows_stream(behaviors: DataFrame, width: str,
             .select("page", _window_end().alias("window_time"), "first_ms", "last_ms"))
 
 
+ACTIVE_LOG = "page STRING, window_time BIGINT, first_ms BIGINT, last_ms BIGINT, batch_id BIGINT"
+
+
+def active_windows_log(spark: SparkSession, behaviors: DataFrame, width_ms: int, name: str):
+    """The same windows without streaming state and without a watermark: every
+    micro-batch is aggregated by itself and logged, ``read_active_windows`` merges the
+    log. No event is too late for it, in whatever order the files come."""
+    out = scratch_path(spark, f"changelog-{name}")
+    log = _changelog_writer(out)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        log(batch.groupBy("page", window_end_ms("behavior_ms", width_ms).alias("window_time"))
+            .agg(F.min("behavior_ms").alias("first_ms"), F.max("behavior_ms").alias("last_ms")), batch_id)
+    q = (behaviors.writeStream.foreachBatch(write).queryName(f"{name}-{uuid.uuid4().hex[:8]}")
+         .option("checkpointLocation", scratch_path(spark, f"ckpt-{name}"))
+         .trigger(availableNow=True).start())
+    return q, out, name
+
+
+def read_active_windows(spark: SparkSession, log: str) -> DataFrame:
+    """(page, window_time, first_ms, last_ms) over all micro-batches of a log."""
+    return (spark.read.schema(ACTIVE_LOG).parquet(log).groupBy("page", "window_time")
+            .agg(F.min("first_ms").alias("first_ms"), F.max("last_ms").alias("last_ms")))
+
+
 FIRST_SCHEMA = "page STRING, user_id STRING, first_ms BIGINT"
 
 
@@ -146,14 +171,18 @@ ADMIT_TABLE = f"{ADMIT_SCHEMA}, day BIGINT, batch_id BIGINT"
 DAY_MS = 86_400_000
 
 
-def _stored_admissions(session: SparkSession, out: str, first_ms: int, last_ms: int) -> DataFrame:
-    """Stored admissions of the days from ``first_ms`` to ``last_ms``: only the folders
-    of these days are listed and opened, however long the stream has run."""
-    days = range(first_ms // DAY_MS, last_ms // DAY_MS + 1)
-    paths = [p for p in (f"{out}/day={d}" for d in days) if path_exists(session, p)]
+def read_days(session: SparkSession, path: str, schema: str, first_ms: int | None,
+              last_ms: int | None) -> DataFrame:
+    """Rows of a table partitioned by ``day``, of the days from ``first_ms`` to ``last_ms``
+    (None: no bound): only the folders of these days are opened, however long the stream
+    has run. Empty where the table is missing."""
+    lo = None if first_ms is None else first_ms // DAY_MS
+    hi = None if last_ms is None else last_ms // DAY_MS
+    days = [int(n[4:]) for n in subfolders(session, path) if n[4:].lstrip("-").isdigit()]
+    paths = [f"{path}/day={d}" for d in sorted(days) if (lo is None or d >= lo) and (hi is None or d <= hi)]
     if not paths:
-        return session.createDataFrame([], ADMIT_TABLE)
-    return session.read.option("basePath", out).schema(ADMIT_TABLE).parquet(*paths)
+        return session.createDataFrame([], schema)
+    return session.read.option("basePath", path).schema(schema).parquet(*paths)
 
 
 def seeded_admissions_writer(ttl_ms: int, out: str,
@@ -170,7 +199,7 @@ def seeded_admissions_writer(ttl_ms: int, out: str,
             lo, hi = b.agg(F.min("behavior_ms"), F.max("behavior_ms")).first()
             if lo is None:
                 return
-            prev = (_stored_admissions(session, out, lo - ttl_ms, hi)
+            prev = (read_days(session, out, ADMIT_TABLE, lo - ttl_ms, hi)
                     .where((F.col("batch_id") < batch_id) & (F.col("admit_ms") > F.lit(int(lo) - ttl_ms))))
             adm = continue_admissions(b, prev.select("page", "user_id", "admit_ms"), ttl_ms)
             (adm.withColumn("day", F.expr(f"cast(floor(admit_ms / {DAY_MS}) as bigint)"))
@@ -180,7 +209,7 @@ def seeded_admissions_writer(ttl_ms: int, out: str,
         finally:
             b.unpersist()
         if then is not None:
-            stored = (_stored_admissions(session, out, lo, hi)
+            stored = (read_days(session, out, ADMIT_TABLE, lo, hi)
                       .where(F.col("batch_id") == batch_id).drop("batch_id", "day"))
             then(stored, batch_id)
     return write

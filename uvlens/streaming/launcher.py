@@ -39,7 +39,7 @@ from uvlens.functions.time import batch_time, format_ms, window_end_ms
 from uvlens.operators.reports import store_lines
 from uvlens.operators.store import UVStore
 from uvlens.operators.strategies import DEFAULT_SLOTS, hash63, md5_slot
-from uvlens.session import build_session, path_exists, scratch_path
+from uvlens.session import build_session, scratch_path
 from uvlens.sources.streams import (
     json_line_messages, kafka_messages, stream_behaviors, stream_behaviors_from_messages,
 )
@@ -109,54 +109,91 @@ def _write_batch(rows: DataFrame, batch_id: int, path: str) -> None:
      .partitionBy("batch_id").parquet(path))
 
 
-ACTIVE_SCHEMA = "page STRING, window_time BIGINT, first_ms BIGINT, last_ms BIGINT, batch_id BIGINT"
+ACTIVE_SCHEMA = "page STRING, window_time BIGINT, first_ms BIGINT, last_ms BIGINT, day BIGINT, batch_id BIGINT"
+TOTALS_SCHEMA = "page STRING, window_time BIGINT, uv BIGINT, day BIGINT, batch_id BIGINT"
 
 
-def admission_totals(admitted: DataFrame, active: DataFrame, touched: DataFrame, strategy: str,
-                     width_ms: int, ttl_ms: int) -> DataFrame:
-    """(page, window_time, uv) of the windows whose value a micro-batch may change.
+def _write_days(rows: DataFrame, batch_id: int, path: str) -> None:
+    """Rows with a ``window_time``, by its day and the micro-batch."""
+    (rows.withColumn("day", F.expr(f"cast(floor(window_time / {J.DAY_MS}) as bigint)"))
+     .withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("day", "batch_id").parquet(path))
+
+
+def new_users(admitted: DataFrame, width_ms: int) -> DataFrame:
+    return (admitted.select("page", "user_id", window_end_ms("admit_ms", width_ms).alias("window_time"))
+            .groupBy("page", "window_time").agg(F.count_distinct("user_id").alias("new_users")))
+
+
+def admission_totals(admitted: DataFrame, touched: DataFrame, width_ms: int) -> DataFrame:
+    """(page, window_time, uv) of the windows of a micro-batch: new visitors, 0 if none."""
+    return (touched.join(new_users(admitted, width_ms), ["page", "window_time"], "left")
+            .select("page", "window_time", F.coalesce("new_users", F.lit(0)).cast("bigint").alias("uv")))
 
-    ``admitted`` (page, user_id, admit_ms) and ``active`` (page, window_time, first_ms,
-    last_ms) hold everything up to this batch, ``touched`` (page, window_time) its
-    windows. New visitors change in the touched windows only; running totals change
-    from a page's first touched window on."""
-    new = (admitted.join(touched.select("page").distinct(), "page", "left_semi")
-           .select("page", "user_id", window_end_ms("admit_ms", width_ms).alias("window_time"))
-           .groupBy("page", "window_time").agg(F.count_distinct("user_id").alias("new_users")))
-    if strategy == "new-visitors":
-        return (touched.join(new, ["page", "window_time"], "left")
-                .select("page", "window_time", F.coalesce("new_users", F.lit(0)).cast("bigint").alias("uv")))
+
+def running_totals(admitted: DataFrame, active: DataFrame, totals: DataFrame, touched: DataFrame,
+                   width_ms: int, ttl_ms: int) -> DataFrame:
+    """(page, window_time, uv) of the windows whose running total a micro-batch may
+    change: those of a page from its first touched window on.
+
+    ``totals`` holds the totals that earlier batches stored. A page goes on from the last
+    window before its first touched one: that window enters with its stored total in place
+    of its new users, and whether the sum restarts after it is judged by its last event as
+    for any other. A window a TTL or more back does not matter, as the sum restarts, so
+    the three inputs need to reach back by a TTL and a window only."""
     since = touched.groupBy("page").agg(F.min("window_time").alias("since"))
-    seen = (active.join(since.select("page"), "page", "left_semi").groupBy("page", "window_time")
+    seen = (active.join(since, "page").groupBy("page", "window_time", "since")
             .agg(F.min("first_ms").alias("first_ms"), F.max("last_ms").alias("last_ms")))
-    return (J.cumulative_ttl_from(seen, new, ttl_ms).join(since, "page")
-            .where("window_time >= since").drop("since"))
+    before = seen.where("window_time < since").groupBy("page").agg(F.max("window_time").alias("window_time"))
+    carried = (totals.join(before, ["page", "window_time"]).groupBy("page", "window_time")
+               .agg(F.max_by("uv", "batch_id").alias("new_users")))
+    kept = (seen.join(before.withColumnRenamed("window_time", "last_before"), "page", "left")
+            .where("window_time >= since OR window_time = last_before")
+            .select("page", "window_time", "first_ms", "last_ms"))
+    new = (new_users(admitted, width_ms).join(since, "page").where("window_time >= since").drop("since")
+           .unionByName(carried))
+    return J.cumulative_ttl_from(kept, new, ttl_ms).join(since, "page").where("window_time >= since").drop("since")
 
 
 def _admissions_batch(args, state: str, ttl_ms: int, out: str | None):
     """foreachBatch body of the strategies with entry TTL: folds the micro-batch into
     the stored admissions and active windows, then reports the changed totals. Every
-    write replaces only the batch's own partition, and later partitions are not read,
-    so a replay gives the same rows."""
+    write replaces only the batch's own partitions, and later partitions are not read,
+    so a replay gives the same rows.
+
+    What is read reaches from the batch's first window (for running totals a TTL earlier)
+    to the newest one: it depends on how late events are, not on the age of the job."""
     width_ms = _width_ms(args.window)
-    admissions, windows = f"{state}/admissions", f"{state}/active"
+    admissions, windows, running = f"{state}/admissions", f"{state}/active", f"{state}/totals"
     fold = J.seeded_admissions_writer(ttl_ms, admissions)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         touched = (batch.groupBy("page", window_end_ms("behavior_ms", width_ms).alias("window_time"))
-                   .agg(F.min("behavior_ms").alias("first_ms"), F.max("behavior_ms").alias("last_ms")))
-        _write_batch(touched, batch_id, windows)
-        active = spark.read.schema(ACTIVE_SCHEMA).parquet(windows).where(F.col("batch_id") <= batch_id)
-        mine = active.where(F.col("batch_id") == batch_id).select("page", "window_time")
-        if mine.isEmpty():
-            return
+                   .agg(F.min("behavior_ms").alias("first_ms"), F.max("behavior_ms").alias("last_ms"))).persist()
+        try:
+            first, last = touched.agg(F.min("window_time"), F.max("window_time")).first()
+            if first is None:
+                return
+            _write_days(touched, batch_id, windows)
+        finally:
+            touched.unpersist()
+        upto = F.col("batch_id") <= batch_id
+        mine = (J.read_days(spark, windows, ACTIVE_SCHEMA, first, last)
+                .where(F.col("batch_id") == batch_id).select("page", "window_time"))
         fold(batch, batch_id)
-        if not path_exists(spark, admissions):  # events, but nobody admitted yet
+        if args.strategy == "new-visitors":
+            admitted = J.read_days(spark, admissions, J.ADMIT_TABLE, first - width_ms, last).where(upto)
+            _sink_batch(args, out)(admission_totals(admitted, mine, width_ms), batch_id)
             return
-        admitted = (spark.read.schema(J.ADMIT_TABLE).parquet(admissions)
-                    .where(F.col("batch_id") <= batch_id))
-        _sink_batch(args, out)(admission_totals(admitted, active, mine, args.strategy, width_ms, ttl_ms), batch_id)
+        back = first - ttl_ms - width_ms
+        admitted = J.read_days(spark, admissions, J.ADMIT_TABLE, first - width_ms, None).where(upto)
+        active = J.read_days(spark, windows, ACTIVE_SCHEMA, back, None).where(upto)
+        totals = J.read_days(spark, running, TOTALS_SCHEMA, back, None).where(F.col("batch_id") < batch_id)
+        _write_days(running_totals(admitted, active, totals, mine, width_ms, ttl_ms), batch_id, running)
+        changed = J.read_days(spark, running, TOTALS_SCHEMA, first, None).where(F.col("batch_id") == batch_id)
+        _sink_batch(args, out)(changed.drop("day", "batch_id"), batch_id)
     return write
 
 
@@ -164,15 +201,25 @@ def _keyed_admissions_batch(args, state: str, ttl_ms: int, out: str | None):
     """The same totals where a keyed-state stream has already made the admissions
     (new visitors only: its output says nothing of windows without admissions)."""
     width_ms = _width_ms(args.window)
+    folder = f"{state}/admissions"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark, folder = batch.sparkSession, f"{state}/admissions"
-        _write_batch(batch.select("page", "user_id", "admit_ms"), batch_id, folder)
-        admitted = (spark.read.schema(f"{J.ADMIT_SCHEMA}, batch_id BIGINT").parquet(folder)
-                    .where(F.col("batch_id") <= batch_id))
+        spark = batch.sparkSession
+        rows = batch.select("page", "user_id", "admit_ms",
+                            window_end_ms("admit_ms", width_ms).alias("window_time")).persist()
+        try:
+            first, last = rows.agg(F.min("window_time"), F.max("window_time")).first()
+            if first is None:
+                return
+            _write_days(rows, batch_id, folder)
+        finally:
+            rows.unpersist()
+        schema = f"{J.ADMIT_SCHEMA}, window_time BIGINT, day BIGINT, batch_id BIGINT"
+        admitted = (J.read_days(spark, folder, schema, first, last).where(F.col("batch_id") <= batch_id)
+                    .drop("window_time"))
         mine = (admitted.where(F.col("batch_id") == batch_id)
                 .select("page", window_end_ms("admit_ms", width_ms).alias("window_time")).distinct())
-        _sink_batch(args, out)(admission_totals(admitted, mine, mine, "new-visitors", width_ms, ttl_ms), batch_id)
+        _sink_batch(args, out)(admission_totals(admitted, mine, width_ms), batch_id)
     return write
 
 
@@ -199,7 +246,13 @@ def start(spark: SparkSession, args):
             keyed = batch.select("page", "user_id", "behavior_ms",
                                  batch_time("behavior_ms", args.bucket_n, args.bucket_unit,
                                             args.zone).alias("window_time"))
-            store.write_batch(keyed, batch_id)
+            if args.only_new and kind == "set":
+                store.write_new(keyed.select("page", "window_time", "user_id"), batch_id)
+            else:
+                store.write_batch(keyed, batch_id)
+            if args.compact_every and batch_id % args.compact_every == args.compact_every - 1:
+                # The earliest event decides: one clock that runs ahead expires nothing.
+                store.compact(as_of_ms=keyed.agg(F.min("behavior_ms")).first()[0])
             if args.sink == "console":
                 now = keyed.agg(F.max("behavior_ms")).first()[0]
                 if now is not None:
@@ -248,6 +301,11 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--bucket-n", type=int, default=1)
     p.add_argument("--bucket-unit", default="minutes")
     p.add_argument("--zone", default="UTC")
+    p.add_argument("--only-new", action="store_true",
+                   help="set-store: store no visitor of a bucket twice, also if the source delivers again")
+    p.add_argument("--compact-every", type=int, default=0,
+                   help="set-store, hll-store: fold the live buckets into a snapshot every so many "
+                        "micro-batches (0: never); buckets expired by then are left out")
     p.add_argument("--trigger-seconds", type=int, default=5)
     p.add_argument("--once", action="store_true", help="process what is available, then stop")
     p.add_argument("--master")
