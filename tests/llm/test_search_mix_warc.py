@@ -6,6 +6,7 @@ import os
 import struct
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import zstandard
 from pyspark.sql import functions as F
@@ -17,12 +18,12 @@ def brute_topk(rows, k):
     out = []
     for q, x in rows:
         if q % 7 == 0:
-            best = sorted(((-sum(a * b for a, b in zip(x, y)), i) for i, y in rows if i != q))[:k]
+            best = sorted(((-sum(a * b for a, b in zip(x, y)), i) for i, y in rows if i != q and len(x) == len(y)))[:k]
             out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(best)]
     return sorted(out)
 
 
-@pytest.mark.parametrize("kind", ["random", "ties", "huge"])
+@pytest.mark.parametrize("kind", ["random", "ties", "huge", "clusters", "lengths"])
 def test_topk_over_many_shards(spark, kind):
     rng = np.random.default_rng(1)
     x = rng.normal(0, 0.2, (700, 6))
@@ -31,6 +32,9 @@ def test_topk_over_many_shards(spark, kind):
         x[:250] = x[0]
     if kind == "huge":
         x *= 1e6
+    if kind == "clusters":
+        x += 4 * rng.normal(0, 1, (9, 6))[rng.integers(0, 9, 700)]
+    x = [y[:1 + i % 6] for i, y in enumerate(x)] if kind == "lengths" else x
     rows = [(i, [math.floor(256 * float(v)) for v in y]) for i, y in enumerate(x)]
     df = spark.createDataFrame([(i, [float(v) for v in y]) for i, y in enumerate(x)],
                                "vec_id bigint, embedding array<double>")
@@ -38,6 +42,31 @@ def test_topk_over_many_shards(spark, kind):
     assert sorted(tuple(r) for r in got) == brute_topk(rows, 4)
 
 
+def test_cells_bound_all_rows_and_skip_far_ones():
+    rng = np.random.default_rng(5)
+    x = np.floor(256 * (rng.normal(0, 0.1, (4000, 16)) + 2 * rng.normal(0, 1, (20, 16))[rng.integers(0, 20, 4000)]))
+    cells = kdtree_topk.Cells({16: x[:1000]}, 40)
+    column = pa.array(list(x), pa.list_(pa.float64()))
+    cell = cells.of(column)
+    assert len(set(cell)) > 15 and cells.count <= 1 + 1000 // 16 and 0 not in cell
+    cells.boxes = {int(c): (x[cell == c].min(0), x[cell == c].max(0)) for c in set(cell)}
+    products = x[:100] @ x.T
+    floors = np.sort(products, 1)[:, -6]
+    reached = cells.reached(column[:100], floors)
+    for r, p, f in zip(reached, products, floors):
+        assert set(cell[p >= f]) <= set(r)
+    assert np.mean([len(r) for r in reached]) < 0.2 * len(cells.boxes)
+    other = pa.array([[1.0, 2.0]], pa.list_(pa.float64()))  # a length that the sample lacks
+    assert cells.of(other).tolist() == [0] and [c.tolist() for c in cells.reached(other, np.array([9.0]))] == [[0]]
+
+
+def test_quantized_values_beyond_a_long(spark):
+    df = spark.createDataFrame([(1, [1e20, -1e25]), (2, [-0.5, 1.7e308]), (3, [float("inf")]), (4, [-1 / 512, 2.0**45 + 0.5])],
+                               "vec_id bigint, embedding array<double>")
+    got = dict(df.select("vec_id", kdtree_topk.quantize(F.col("embedding"))).collect())
+    assert got == {1: [256e20, -256e25], 2: [-128.0, 1.7976931348623157e308], 3: None, 4: [-1.0, 2.0**53 + 128]}
+
+
 def test_tree_bounds_are_tight_and_leaves_small():
     rng = np.random.default_rng(2)
     p = np.floor(rng.normal(0, 60, (5000, 8)))
@@ -100,6 +129,14 @@ def test_mix_shares_with_null_and_hot_ids(spark, kind):
     assert len(parts) == 16 and max(parts) < 2 * total / 16
 
 
+def test_chat_of_many_turns(spark):
+    said = [("assistant" if i % 3 else "user", f"t{i}<|" * (i % 4)) for i in range(4000)]
+    df = spark.createDataFrame([(1, i, r, t) for i, (r, t) in enumerate(said)], "conv_id int, turn int, role string, text string")
+    got = chat_format.read_back(chat_format.format_chats(df)).first()
+    assert [tuple(t) for t in got["turns"]] == said
+    assert got["loss_texts"] == [t for r, t in said if r == "assistant"]
+
+
 def test_chat_spans_cover_the_assistant_texts_only(spark):
     rows = [(1, 0, "user", "a"), (1, 1, "assistant", "b<|c"), (1, 2, "assistant", "d&"), (1, 3, "user", "e")]
     df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
