@@ -17,8 +17,8 @@ parses turns and masked texts out of the formatted string and spans alone.
 
 The one exchange is by conversation: the result holds one string per conversation,
 so a conversation must fit one task (as must its result row); conversations are
-spread over the tasks by a hash of their id. Time is linear in the text, and the
-span offsets cost a copy of the span list per turn.
+spread over the tasks by a hash of their id. Time is linear in the text: where a text
+begins is a running sum of lengths, a window over the same exchange.
 
 Cases. Null texts and roles read as empty. Turns are ordered by (turn, role, text),
 null turns first, so ties and repeated rows have one order, and repeated rows are
@@ -28,7 +28,7 @@ result. Extra columns are ignored; only the named ones are read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TURN, SAYS, MORE, END = "<|turn|>", "<|says|>", "<|more|>", "<|end|>"
@@ -51,10 +51,18 @@ def unescape(c: Column) -> Column:
 
 
 def collect_turns(df: DataFrame, conv_id: str, turn: str, role: str, text: str) -> DataFrame:
-    """One row per conversation: conv_id and its sorted turns."""
-    t = F.struct(F.col(turn).alias("turn"), escape(F.col(role)).alias("role"), escape(F.col(text)).alias("text"))
-    return (df.groupBy(F.col(conv_id).alias("conv_id"))
-            .agg(F.sort_array(F.collect_list(t)).alias("turns")))
+    """One row per conversation: conv_id and its sorted turns, each with the position
+    (from 0) at which its text begins in the formatted string."""
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    before = F.lag("role").over(order)
+    head = F.length("role") + len(TURN) + len(SAYS)
+    control = F.when(before.isNull(), head).when(before != F.col("role"), head + len(END)).otherwise(len(MORE))
+    rows = (df.select(F.col(conv_id).alias("conv_id"), F.col(turn).alias("turn"), escape(F.col(role)).alias("role"),
+                      escape(F.col(text)).alias("text"))
+            .withColumn("control", control.cast("bigint")))
+    ends = F.sum(F.col("control") + F.length("text")).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    return (rows.withColumn("start", ends - F.length("text"))
+            .groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text", "start"))).alias("turns")))
 
 
 def format_chats(df: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role",
@@ -77,24 +85,9 @@ def format_chats(df: DataFrame, conv_id: str = "conv_id", turn: str = "turn", ro
         return F.concat(F.lit(TURN), F.get(run, F.lit(0))["role"], F.lit(SAYS),
                         F.array_join(F.transform(run, lambda t: t["text"]), MORE), F.lit(END))
 
-    gap = len(MORE)
-    empty = F.array().cast("array<struct<start:bigint,length:bigint>>")
-    learned = F.lit(learn_role)
-
-    def add_run(acc: Column, run: Column) -> Column:
-        head = F.get(run, F.lit(0))["role"]
-        at = acc["at"] + len(TURN) + F.length(head) + len(SAYS)
-        inner = F.aggregate(
-            run, F.struct(at.cast("bigint").alias("at"), acc["spans"].alias("spans")),
-            lambda a, t: F.struct(
-                (a["at"] + F.length(t["text"]) + gap).cast("bigint").alias("at"),
-                F.when(head == learned, F.concat(a["spans"], F.array(F.struct(
-                    a["at"].alias("start"), F.length(t["text"]).cast("bigint").alias("length")))))
-                .otherwise(a["spans"]).alias("spans")))
-        return F.struct((inner["at"] - gap + len(END)).cast("bigint").alias("at"), inner["spans"].alias("spans"))
-
-    spans = F.aggregate(F.col("runs"), F.struct(F.lit(0).cast("bigint").alias("at"), empty.alias("spans")),
-                        add_run)["spans"]
+    learned = F.filter(turns, lambda t: t["role"] == escape(F.lit(learn_role)))
+    spans = F.transform(learned, lambda t: F.struct(t["start"].alias("start"),
+                                                    F.length(t["text"]).cast("bigint").alias("length")))
     return got.select("conv_id", F.array_join(F.transform("runs", run_text), "").alias("formatted"),
                       spans.alias("loss_spans"))
 
