@@ -97,6 +97,13 @@ def test_op3_posterior_equals_bayes(spark):
         assert r["p"] == pytest.approx(p[0] / p.sum())
 
 
+def test_op3_written_votes_give_the_same_verdict(spark, sf, tmp_path):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    weak_rules.vote(docs).drop("text").write.parquet(str(tmp_path / "votes"))
+    got = weak_rules.decide(spark.read.parquet(str(tmp_path / "votes")))
+    assert got.exceptAll(weak_rules.judge(docs).drop("text")).isEmpty()
+
+
 def test_op3_cases(spark):
     schema = "doc_id bigint, text string, rule_stats string, rule_kept string"
     df = spark.createDataFrame([(None, None, "a", "b"), (1, "", None, None), (1, "w " * 100, "", ""), (1, "w " * 100, "", "")],

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from uvlens.llm import (chat_format, kdtree_topk, language_id, mixing, near_dedup, periodic_runs, rule_ensemble,
                         sentencepieces, token_counts, toxicity, warc, weak_rules, whitening)
-from uvlens.llm.common import crc_mod
+from uvlens.llm.common import crc_mod, materialize
 from uvlens.sources.tables import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -54,7 +54,8 @@ def op3_quality_rules(spark, sf_dir):
     """Weak-supervision verdict on every whole text."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     s = F.col("rule_stats")
-    return weak_rules.judge(docs).select(
+    voted = materialize(weak_rules.vote(docs).drop("text"), "votes")  # the texts are read once
+    return weak_rules.decide(voted).select(
         "doc_id", *[s[c].alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
         F.col("rule_base_failed").alias("base_failed"), F.col("rule_kept").alias("kept"),
         F.col("rule_p_good").alias("p_good"))

@@ -160,22 +160,33 @@ def fit(voted: DataFrame, votes: str, n_rules: int) -> LabelModel:
     return fit_label_model(patterns, np.array([r["count"] for r in rows], float))
 
 
+def vote(df: DataFrame, text: str = "text", rules=RULES, prefix: str = "rule_") -> DataFrame:
+    """``df`` with ``<prefix>stats`` (struct) and ``<prefix>votes`` (array<int>), the one
+    pass over the texts."""
+    stats = fresh(df, prefix + "stats")
+    return with_stats(df, text, stats).withColumn(fresh(df, prefix + "votes"), votes_of(F.col(stats), rules))
+
+
+def decide(voted: DataFrame, stats: str = "rule_stats", votes: str = "rule_votes", n_rules: int = len(RULES),
+           threshold: float = 0.5, prefix: str = "rule_", model: LabelModel | None = None) -> DataFrame:
+    """``voted`` with ``<prefix>base_failed``, ``<prefix>p_good`` (posterior) and
+    ``<prefix>kept``. The model is fitted on the votes of all rows unless given; a table
+    of ``vote`` that was written first is then read twice instead of judged twice."""
+    if model is None:
+        model = fit(voted, votes, n_rules)
+    s = F.col(stats)
+    failed, p_good = fresh(voted, prefix + "base_failed"), fresh(voted, prefix + "p_good")
+    return (voted.withColumn(failed, (s["n_words"] < MIN_WORDS) | (100 * s["n_repeat_words"] > 50 * s["n_words"]))
+            .withColumn(p_good, model.posterior(F.col(votes)))
+            .withColumn(fresh(voted, prefix + "kept"), ~F.col(failed) & (F.col(p_good) >= threshold)))
+
+
 def judge(df: DataFrame, text: str = "text", rules=RULES, threshold: float = 0.5,
           prefix: str = "rule_", model: LabelModel | None = None) -> DataFrame:
-    """``df`` with ``<prefix>stats`` (struct), ``<prefix>votes`` (array<int>),
-    ``<prefix>base_failed``, ``<prefix>p_good`` (posterior) and ``<prefix>kept``.
+    """``df`` with the columns of ``vote`` and ``decide``.
 
     Base rules are hard: fewer than 50 words, or more than half of the words in
     repeated 3-word windows. ``kept`` is false for these, else the posterior's
-    verdict. The model is fitted on the votes of all rows unless given."""
-    stats, votes = fresh(df, prefix + "stats"), fresh(df, prefix + "votes")
-    voted = with_stats(df, text, stats).withColumn(votes, votes_of(F.col(stats), rules))
-    if model is None:
-        model = fit(voted, votes, len(rules))
-    s = F.col(stats)
-    failed = (s["n_words"] < MIN_WORDS) | (100 * s["n_repeat_words"] > 50 * s["n_words"])
-    return (voted.withColumn(fresh(df, prefix + "base_failed"), failed)
-            .withColumn(fresh(df, prefix + "p_good"), model.posterior(F.col(votes)))
-            .withColumn(fresh(df, prefix + "kept"),
-                        ~F.col(fresh(df, prefix + "base_failed"))
-                        & (F.col(fresh(df, prefix + "p_good")) >= threshold)))
+    verdict."""
+    return decide(vote(df, text, rules, prefix), fresh(df, prefix + "stats"), fresh(df, prefix + "votes"),
+                  len(rules), threshold, prefix, model)
