@@ -116,3 +116,45 @@ def test_query_over_the_table(spark, seg):
     for r in got:
         assert r["round_trip"] and r["n_pieces"] == len(r["ids"])
         assert seg.decode(r["ids"]) == docs[r["doc_id"]]
+
+
+def test_all_segmentations_of_many_texts(seg):
+    rng = random.Random(4)
+    bits = ["th", "e", "in", " ", "er", "\n", "ö", "1", "zq", "🙂"]
+    texts = TEXTS + ["".join(rng.choice(bits) for _ in range(rng.randrange(1, 60))) for _ in range(300)]
+    for part in (texts, texts[::-1]):  # the second time from the store
+        ids, sizes, scores, others = seg.segment_many(part, 3)
+        best = np.split(ids, np.cumsum(sizes)[:-1])
+        for text, own, sums, more in zip(part, best, scores, others):
+            want = seg.encode(text, 3)
+            assert [s for s, _ in want] == sums
+            assert [i.tolist() for _, i in want] == [x.tolist() for x in (own, *more)]
+
+
+def test_store_is_begun_anew(seg, monkeypatch):
+    monkeypatch.setattr(S, "STORE_UNITS", 3)
+    for text in ("one two three four five", "six", "one two"):
+        ids, _, scores, others = seg.segment_many([text], 3)
+        want = seg.encode(text, 3)
+        assert scores == [[s for s, _ in want]] and others[0][1].tolist() == want[2][1].tolist()
+        assert ids.tolist() == want[0][1].tolist()
+
+
+def test_query_gives_every_segmentation(spark, seg, table_dir):
+    from uvlens.llm.queries import QUERIES
+
+    rows = [(1, "the other inner thing"), (1, "the other inner thing"), (2, None), (3, ""), (None, "ö▁ in the\nend"), (4, "a")]
+    got = QUERIES["op2_sentencepiece"](spark, table_dir(("documents", rows, "doc_id bigint, text string"))).collect()
+    texts = dict(rows)
+    assert len(got) == len(rows)
+    for r in got:
+        text = texts[r["doc_id"]]
+        assert r["round_trip"]
+        if text is None:
+            assert r["other_ids"] is None
+        elif text:
+            want = seg.encode(text, 3)
+            assert [r["ids"], *r["other_ids"]] == [i.tolist() for _, i in want]
+            assert r["nbest_scores"] == [s for s, _ in want]
+        else:
+            assert r["other_ids"] == []

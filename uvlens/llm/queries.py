@@ -41,12 +41,12 @@ def op1_token_counts(spark, sf_dir):
 
 @query("op2_sentencepiece")
 def op2_sentencepiece(spark, sf_dir):
-    """Best segmentation of every whole text, scores of the 3 best, round trip."""
+    """The 3 best segmentations of every whole text and their scores; round trip of all."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     got = sentencepieces.encode(docs, n=3).withColumn("ids", F.col("pieces.ids"))
     return sentencepieces.decode(got, "ids").select(
-        "doc_id", F.size("ids").cast("bigint").alias("n_pieces"), "ids", "pieces.nbest_scores",
-        F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+        "doc_id", F.size("ids").cast("bigint").alias("n_pieces"), "ids", "pieces.nbest_scores", "pieces.other_ids",
+        (F.col("decoded").eqNullSafe(F.col("text")) & F.col("pieces.others_read_back")).alias("round_trip"))
 
 
 @query("op3_quality_rules")

@@ -14,8 +14,10 @@ of its second best; only the N - 1 units with the smallest losses can differ fro
 best within the N best of the whole text, and only these are searched by A*.
 
 Columns are encoded in slices of about ``SLICE_CHARS`` characters: the distinct units
-of a slice are grouped by length and both passes run over a whole group at once in
-numpy (units with characters beyond the pieces, and very long ones, one by one).
+of a slice that the worker's bounded store lacks are grouped by length, and both passes run
+over a whole group's pieces at once in numpy (units with characters beyond the pieces, and
+very long ones, one by one). A text's N best differ from its best in at most N - 1 units,
+so their ids are the best's with other pieces there.
 
 Scores are integers (millionths of a nat), so sums and ties are exact. A unigram
 model's scores are used as they are. A BPE model has merge ranks instead: a piece of
@@ -36,6 +38,7 @@ import hashlib
 import heapq
 import math
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
 
@@ -44,13 +47,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
 from uvlens.llm.common import as_strings, byte_slices
 
 NBEST = 3
 CACHE_UNITS, CACHE_CHARS = 20_000, 40
-SLICE_CHARS, LANE_CHARS, LANE_CELLS = 1_000_000, 24, 1_000_000
+SLICE_CHARS, LANE_CHARS, LANE_CELLS = 500_000, 24, 1_000_000
+STORE_UNITS, STORE_IDS = 400_000, 4_000_000  # from which on the store of solved units is begun anew
 MICRO = 1_000_000
 _NEVER, _ALONE = -(2**60), 2**62  # score of no piece; loss where there is no second path
 _MULT = np.uint64(0x9E3779B97F4A7C15)
@@ -105,9 +109,26 @@ def load_vocabulary(model: str | None = None) -> Vocabulary:
                       min(scores[i] for i in normal) - 10 * MICRO)
 
 
+class _Store(dict):
+    """Solved units: a unit's number (given at its first look-up), and by number the best
+    score, the loss and the end of its ids in ``flat``."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.units: list[str] = []
+        self.best, self.loss, self.ends = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(1, np.int64)
+        self.flat = np.zeros(0, np.int32)
+
+    def __missing__(self, unit: str) -> int:
+        self[unit] = k = len(self)
+        self.units.append(unit)
+        return k
+
+
 class Segmenter:
     def __init__(self, v: Vocabulary):
         self.v = v
+        self.store: _Store | None = None
         self.known = {p: (i, v.scores[i]) for i, p in enumerate(v.pieces) if p}
         self.longest = max(map(len, self.known), default=1)
         if any(re.search(r"[^ ] ", p) for p in self.known):
@@ -237,81 +258,108 @@ class Segmenter:
     # --- many texts at once -----------------------------------------------------
 
     def _tables(self) -> None:
-        """Arrays of the pieces: codes, hashes (sorted) and a filter by hash bits."""
+        """Arrays of the pieces: codes, hashes (sorted), filters by hash bits of the pieces
+        and of their beginnings, and the ids of single characters."""
         pieces = [(p, i) for i, p in enumerate(self.v.pieces) if p]
         self.codes = np.zeros((len(self.v.pieces), self.longest), np.uint32)
         for p, i in pieces:
             self.codes[i, :len(p)] = np.frombuffer(p.encode("utf-32-le"), np.uint32)
-        keys = np.zeros(len(pieces), np.uint64)
-        for k, (p, i) in enumerate(pieces):
-            h = np.zeros(1, np.uint64)
-            for c in self.codes[i, :len(p)]:
-                h = h * _MULT + np.uint64(int(c) + 1)
-            keys[k] = _mix(h)[0]
+        at = np.array([i for _, i in pieces], np.int64)
+        length = np.array([len(p) for p, _ in pieces], np.int64)
+        keys, h = np.zeros(len(pieces), np.uint64), np.zeros(len(pieces), np.uint64)
+        self.begins = np.zeros(1 << 22, bool)
+        for size in range(1, self.longest + 1):
+            h = h * _MULT + (self.codes[at, size - 1].astype(np.uint64) + np.uint64(1))
+            key = _mix(h)
+            self.begins[(key[length >= size] >> np.uint64(42)).astype(np.int64)] = True
+            keys[length == size] = key[length == size]
         order = np.argsort(keys)
         self.keys = keys[order]
-        self.key_ids = np.array([i for _, i in pieces], np.int32)[order]
+        self.key_ids = at[order].astype(np.int32)
         if len(np.unique(self.keys)) != len(self.keys):
             raise ValueError("two pieces have one hash")
         self.filter = np.zeros(1 << 20, bool)
         self.filter[(self.keys >> np.uint64(44)).astype(np.int64)] = True
         self.piece_scores = np.array(self.v.scores, np.int64)
         self.single = {p for p in self.known if len(p) == 1}
+        self.single_ids = np.zeros(0x110000, np.int32)
+        for p in self.single:
+            self.single_ids[ord(p)] = self.known[p][0]
         size = np.array([len(x) for x in self.bytes], np.int64)
         self.byte_at = np.concatenate([[0], np.cumsum(size)])
         self.byte_data = np.frombuffer(b"".join(self.bytes), np.uint8)
 
-    def _lattice(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Forward and backward passes over m units of n characters (codes is n x m):
-        best scores, losses, piece counts, and ids (m x most pieces, in order)."""
+    def _edges_of(self, codes: np.ndarray) -> list[list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]]:
+        """For each start the pieces in m units of n characters, each a single piece: (length,
+        units that have such a piece there, its ids and scores). Only units where a longer
+        piece may begin are looked at further."""
         n, m = codes.shape
-        top = min(self.longest, n)
-        score = np.full((n, top + 1, m), _NEVER, np.int64)  # by start and length
-        piece = np.zeros((n, top + 1, m), np.int32)
+        every, out = np.arange(m), []
         for i in range(n):
-            h = np.zeros(m, np.uint64)
-            for size in range(1, min(top, n - i) + 1):
-                h = h * _MULT + (codes[i + size - 1].astype(np.uint64) + np.uint64(1))
+            ids = self.single_ids[codes[i]]
+            here = [(1, every, ids, self.piece_scores[ids])]
+            rows, h = every, codes[i].astype(np.uint64) + np.uint64(1)
+            for size in range(2, min(self.longest, n - i) + 1):
+                h = h * _MULT + (codes[i + size - 1, rows].astype(np.uint64) + np.uint64(1))
                 key = _mix(h)
-                rows = np.flatnonzero(self.filter[(key >> np.uint64(44)).astype(np.int64)])
-                at = np.minimum(np.searchsorted(self.keys, key[rows]), len(self.keys) - 1)
-                hit = self.keys[at] == key[rows]
-                rows, ids = rows[hit], self.key_ids[at[hit]]
-                same = (self.codes[ids, :size] == codes[i:i + size, rows].T).all(1)  # hashes may lie
+                go = self.begins[(key >> np.uint64(42)).astype(np.int64)]
+                rows, h, key = rows[go], h[go], key[go]
+                if not len(rows):
+                    break
+                some = np.flatnonzero(self.filter[(key >> np.uint64(44)).astype(np.int64)])
+                at = np.minimum(np.searchsorted(self.keys, key[some]), len(self.keys) - 1)
+                hit = self.keys[at] == key[some]
+                on, ids = rows[some[hit]], self.key_ids[at[hit]]
+                same = (self.codes[ids, :size] == codes[i:i + size, on].T).all(1)  # hashes may lie
                 if size < self.longest:
                     same &= self.codes[ids, size] == 0
-                rows, ids = rows[same], ids[same]
-                score[i, size, rows] = self.piece_scores[ids]
-                piece[i, size, rows] = ids
-        best = np.zeros((n + 1, m), np.int64)
-        last = np.zeros((n + 1, m), np.int64)
+                on, ids = on[same], ids[same]
+                if len(on):
+                    here.append((size, on, ids, self.piece_scores[ids]))
+            out.append(here)
+        return out
+
+    def _lattice(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Forward and backward passes over m units of n characters (codes is n x m):
+        best scores, losses, piece counts, and ids (m x most pieces, in order)."""
+        n, m = codes.shape
+        edges = self._edges_of(codes)
+        ending: list[list] = [[] for _ in range(n + 1)]
+        for i, here in enumerate(edges):  # longest first, as starts come in order
+            for size, rows, ids, score in here:
+                ending[i + size].append((size, rows, ids, score))
+        best = np.full((n + 1, m), 2 * _NEVER, np.int64)
+        best[0] = 0
+        last = np.zeros((n + 1, m), np.int32)
+        last_id = np.zeros((n + 1, m), np.int32)
         for j in range(1, n + 1):
-            b = np.full(m, 2 * _NEVER, np.int64)
-            for size in range(min(j, top), 0, -1):
-                c = best[j - size] + score[j - size, size]
-                better = c > b
-                b[better] = c[better]
-                last[j, better] = size
-            best[j] = b
-        behind = np.zeros((n + 1, m), np.int64)
+            for size, rows, ids, score in ending[j]:
+                c = best[j - size, rows] + score
+                better = c > best[j, rows]
+                on = rows[better]
+                best[j, on], last[j, on], last_id[j, on] = c[better], size, ids[better]
+        behind = np.full((n + 1, m), 2 * _NEVER, np.int64)
+        behind[n] = 0
         for i in range(n - 1, -1, -1):
-            behind[i] = np.max([score[i, size] + behind[i + size] for size in range(1, min(top, n - i) + 1)], axis=0)
-        path, used, count = [], np.zeros((n, top + 1, m), bool), np.zeros(m, np.int64)
+            for size, rows, _, score in edges[i]:
+                behind[i, rows] = np.maximum(behind[i, rows], behind[i + size, rows] + score)
+        path, used, count = [], np.zeros((n + 1, m), np.int32), np.zeros(m, np.int64)
         rows, pos = np.arange(m), np.full(m, n)
         while len(rows):
             size = last[pos, rows]
-            pos = pos - size
-            used[pos, size, rows] = True
+            used[pos, rows] = size  # length of the path's piece that ends here
             ids = np.zeros(m, np.int32)
-            ids[rows] = piece[pos, size, rows]
+            ids[rows] = last_id[pos, rows]
             path.append(ids)
             count[rows] += 1
+            pos = pos - size
             rows, pos = rows[pos > 0], pos[pos > 0]
         second = np.full(m, _NEVER, np.int64)
-        for i in range(n):
-            for size in range(1, min(top, n - i) + 1):
-                c = best[i] + score[i, size] + behind[i + size]
-                np.maximum(second, np.where(used[i, size], _NEVER, c), out=second)
+        for i, here in enumerate(edges):
+            for size, rows, _, score in here:
+                c = best[i, rows] + score + behind[i + size, rows]
+                c[used[i + size, rows] == size] = _NEVER
+                second[rows] = np.maximum(second[rows], c)
         loss = np.where(second > _NEVER // 2, best[n] - second, _ALONE)
         back = np.array(path)  # last piece first
         k = np.arange(len(path))
@@ -354,40 +402,66 @@ class Segmenter:
             flat[((ends[part] - c)[:, None] + np.arange(got.shape[1]))[on]] = got[on]
         return best, loss, ends, flat
 
-    def encode_many(self, texts: list[str], n: int) -> tuple[np.ndarray, np.ndarray, list[list[int]]]:
-        """Ids of the best segmentations of all texts (joined, with the number of ids of
-        each text) and the scores of the n best of each text."""
-        index: dict[str, int] = {}
-        place, per_text = [], []
+    def _place(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the texts' units in the store (joined) and each text's number of units;
+        units that the store lacks are solved."""
+        store = self.store
+        if store is None or len(store) >= STORE_UNITS or len(store.flat) >= STORE_IDS or len(store) != len(store.best):
+            store = self.store = _Store()
+        place: list[int] = []
+        per_text, number, known = [], store.__getitem__, len(store)
         for t in texts:
             units = self.split(t)
             per_text.append(len(units))
-            place += [index.setdefault(u, len(index)) for u in units]
-        units = list(index)
-        if not units:
-            return np.zeros(0, np.int32), np.zeros(len(texts), np.int64), [[0]] * len(texts)
-        best, loss, ends, flat = self._solve(units)
-        at = np.array(place, np.int64)
-        size = np.diff(ends, prepend=0)[at]
+            place += map(number, units)
+        if len(store) > known:
+            best, loss, ends, flat = self._solve(store.units[known:])
+            store.ends = np.concatenate([store.ends, ends + len(store.flat)])
+            store.flat = np.concatenate([store.flat, flat])
+            store.best, store.loss = np.concatenate([store.best, best]), np.concatenate([store.loss, loss])
+        return np.array(place, np.int64), np.array(per_text, np.int64)
+
+    def segment_many(self, texts: list[str], n: int) -> tuple[np.ndarray, np.ndarray, list[list[int]], list[list[np.ndarray]]]:
+        """The n best segmentations of all texts: ids of the best (joined, with the number
+        of ids of each text), scores of all n, ids of the second to the n-th."""
+        at, per_text = self._place(texts)
+        if not len(at):
+            return np.zeros(0, np.int32), np.zeros(len(texts), np.int64), [[0] for _ in texts], [[] for _ in texts]
+        store = self.store
+        best, loss, units = store.best, store.loss, store.units
+        size = np.diff(store.ends)[at]
         stop = np.cumsum(size)
-        ids = flat[np.repeat(ends[at] - stop, size) + np.arange(int(stop[-1]))]
+        ids = store.flat[np.repeat(store.ends[1:][at] - stop, size) + np.arange(int(stop[-1]))]
         edge = np.concatenate([[0], np.cumsum(per_text)])
         total = np.concatenate([[0], np.cumsum(best[at])])
-        count = np.concatenate([[0], stop])
-        scores = []
-        for a, b in zip(edge[:-1], edge[1:]):
-            sums = [int(total[b] - total[a])]
+        count = np.concatenate([[0], stop])  # start of each unit's ids
+        scores, others = [], []
+        for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
+            sums: list[tuple[int, tuple[int, ...]]] = [(-int(total[b] - total[a]), ())]
+            free: list[tuple[int, list]] = []
             if n > 1 and b > a:
                 x = loss[at[a:b]]
-                free = np.argpartition(x, n - 2)[:n - 1] if len(x) >= n else np.arange(len(x))
-                for k in free:
-                    if x[k] == _ALONE:
-                        continue
-                    u = int(at[a + k])
-                    ways = [w[0] - int(best[u]) for w in self.ways(units[u], n)]
-                    sums = heapq.nlargest(n, [q + w for q in sums for w in ways])
-            scores.append(sums)
-        return ids, count[edge[1:]] - count[edge[:-1]], scores
+                near = np.flatnonzero(x <= np.partition(x, n - 2)[n - 2]) if len(x) >= n else np.arange(len(x))
+                near = np.sort(near[np.argsort(x[near], kind="stable")[:n - 1]])
+                free = [(a + int(k), self.ways(units[at[a + k]], n)) for k in near if x[k] != _ALONE]
+                for k, ways in free:
+                    own = int(best[at[k]])
+                    sums = heapq.nsmallest(n, ((s - w[0] + own, (*c, i)) for s, c in sums for i, w in enumerate(ways)))
+            scores.append([-s for s, _ in sums])
+            more = []
+            for _, choice in sums[1:]:
+                parts, done = [], int(count[a])
+                for (k, ways), i in zip(free, choice):
+                    if i:
+                        parts += [ids[done:count[k]], np.array(ways[i][1], np.int32)]
+                        done = int(count[k + 1])
+                more.append(np.concatenate([*parts, ids[done:count[b]]]))
+            others.append(more)
+        return ids, count[edge[1:]] - count[edge[:-1]], scores, others
+
+    def encode_many(self, texts: list[str], n: int) -> tuple[np.ndarray, np.ndarray, list[list[int]]]:
+        """``segment_many`` without the ids of the second to the n-th."""
+        return self.segment_many(texts, n)[:3]
 
     def ways(self, unit: str, n: int) -> list[tuple[int, tuple[int, ...]]]:
         """The n best paths of a unit, kept in a bounded cache."""
@@ -431,27 +505,40 @@ def segmenter(v: Vocabulary, key: str) -> Segmenter:
 
 def encode(df: DataFrame, text: str = "text", out: str = "pieces", n: int = NBEST,
            model: str | None = None) -> DataFrame:
-    """``df`` with struct column ``out``: ids of the best segmentation and
-    nbest_scores, the scores of the n best, best first (in millionths of a nat)."""
+    """``df`` with struct column ``out``: ids of the best segmentation, nbest_scores, the
+    scores of the n best, best first (in millionths of a nat), other_ids, the ids of the
+    second to the n-th, and others_read_back, whether these all decode to the text."""
     v = load_vocabulary(model)
     key = v.digest
-    kind = StructType([StructField("ids", ArrayType(IntegerType())), StructField("nbest_scores", ArrayType(LongType()))])
+    kind = StructType([StructField("ids", ArrayType(IntegerType())), StructField("nbest_scores", ArrayType(LongType())),
+                       StructField("other_ids", ArrayType(ArrayType(IntegerType()))),
+                       StructField("others_read_back", BooleanType())])
+
+    def ends(sizes) -> pa.Array:
+        return pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
 
     @F.arrow_udf(kind)
-    def run(texts: pa.Array) -> pa.Array:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         seg = segmenter(v, key)
-        null = texts.is_null().to_numpy(zero_copy_only=False)
-        ids, sizes, scores = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)], []
-        filled = as_strings(texts)
-        for i, j in byte_slices(filled, SLICE_CHARS):
-            got, count, sums = seg.encode_many(filled[i:j].to_pylist(), n)
-            ids.append(got)
-            sizes.append(count)
-            scores += [None if null[i + k] else x for k, x in enumerate(sums)]
-        off = pa.array(np.cumsum(np.concatenate(sizes)).astype(np.int32))
-        return pa.StructArray.from_arrays(
-            [pa.ListArray.from_arrays(off, pa.array(np.concatenate(ids)), mask=pa.array(null)),
-             pa.array(scores, pa.list_(pa.int64()))], ["ids", "nbest_scores"])
+        for texts in batches:
+            for i, j in byte_slices(as_strings(texts), SLICE_CHARS):
+                part = texts[i:j]  # given back slice by slice: ids take more memory than texts
+                null = part.is_null()
+                part = as_strings(part)
+                ids, sizes, scores, others = seg.segment_many(part.to_pylist(), n)
+                row = np.repeat(np.arange(j - i), [len(x) for x in others])
+                lists = [x for xs in others for x in xs]
+                flat = np.concatenate([np.zeros(0, np.int32), *lists])
+                each = np.array([len(x) for x in lists], np.int64)
+                differ = pc.not_equal(seg.decode_many(flat, np.cumsum(each)), part.take(pa.array(row)))
+                wrong = np.bincount(row[differ.to_numpy(zero_copy_only=False)], minlength=j - i)
+                gone = null.to_pylist()
+                yield pa.StructArray.from_arrays(
+                    [pa.ListArray.from_arrays(ends(sizes), pa.array(ids), mask=null),
+                     pa.array([None if x else s for x, s in zip(gone, scores)], pa.list_(pa.int64())),
+                     pa.ListArray.from_arrays(ends([len(x) for x in others]),
+                                              pa.ListArray.from_arrays(ends(each), pa.array(flat)), mask=null),
+                     pa.array(wrong == 0)], ["ids", "nbest_scores", "other_ids", "others_read_back"])
 
     return df.withColumn(out, run(F.col(text)))
 
@@ -479,14 +566,13 @@ def decode(df: DataFrame, ids: str = "ids", out: str = "decoded", model: str | N
     key = v.digest
 
     @F.arrow_udf(StringType())
-    def run(column: pa.Array) -> pa.Array:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         seg = segmenter(v, key)
-        parts = []
-        for i in range(0, len(column), 500):
-            part = column[i:i + 500]
-            size = part.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            got = seg.decode_many(part.flatten().to_numpy(zero_copy_only=False), np.cumsum(size))
-            parts.append(pc.if_else(part.is_valid(), got, None))
-        return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
+        for column in batches:
+            for i in range(0, len(column), 500):
+                part = column[i:i + 500]
+                size = part.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+                got = seg.decode_many(part.flatten().to_numpy(zero_copy_only=False), np.cumsum(size))
+                yield pc.if_else(part.is_valid(), got, None)
 
     return df.withColumn(out, run(F.col(ids)))
