@@ -141,3 +141,18 @@ def test_predictions_by_plain_loops(spark, sf):
         e = [math.exp((x / n + b) / model.temperature) for x, b in zip(z, model.bias)]
         assert r["language"]["lang_pred"] == model.langs[e.index(max(e))]
         assert abs(r["language"]["score"] - max(e) / sum(e)) < 1e-6
+
+
+def test_counts_of_all_rows(spark):
+    rows = [(i, t, x) for i, (t, x) in enumerate([("der Hund läuft", "de"), ("the dog runs", "en"), ("die Katze", "de"),
+                                                  ("the cat", "en"), (None, "de"), ("no language", None), ("123", "en")])]
+    rows += [(None, "no id", "en"), (50, "le chien", "fr")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(3)
+    model = L.fit_counts(docs, learn_from=F.col("id") != 50)
+    assert model.langs == ("de", "en")
+    n = np.stack([sum(L.subword_counts(t) for i, t, x in rows if x == y and i is not None and t and t != "123")
+                  for y in ("de", "en")], 1) + 0.5
+    assert np.allclose(model.scores, np.log(n / n.sum(0)))
+    c = L.subword_counts("the dog")
+    assert model.probabilities(c / c.sum()).argmax() == 1
+    assert L.fit_counts(docs.where("1 = 0")).langs == ()

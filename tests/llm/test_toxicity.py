@@ -113,3 +113,66 @@ def test_shares_of_hashes(spark):
         assert abs(got - n * min(share, 1)) <= 5 * (n * share) ** 0.5 * (share < 1)
     # a language of 10^12 rows still gets its threshold
     assert int(1500 / 1e12 * 2.0**63) > 10**9
+
+
+def test_all_rows_are_learned_from(spark, monkeypatch):
+    monkeypatch.setattr(T, "FIRST_EPOCHS", 3, raising=False)
+    n = 20_000
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.lit(None).cast("string").alias("lang"), F.concat_ws(
+        " ", F.when(F.col("id") % 7 == 0, "vile"), F.concat(F.lit("w"), F.col("id") % 50)).alias("text"))
+    model = T.fit(docs, docs.select("doc_id", (F.col("doc_id") % 7 == 0).cast("int").alias("toxic")))
+    assert model.prior == ((n + 6) // 7 + 1) / (n + 2)  # counted, not estimated
+    got = T.score(docs.limit(500), model).select("doc_id", "score").collect()
+    assert all((r["score"] >= 0.5) == (r["doc_id"] % 7 == 0) for r in got)
+
+
+def test_long_rows_are_learned_from(spark, monkeypatch):
+    monkeypatch.setattr(T, "FIRST_EPOCHS", 1, raising=False)
+    bad = "vile " + "w1 " * 20_001
+    docs = spark.createDataFrame([(i, bad + str(i) if i % 2 else f"w1 w2 {i}", "xx") for i in range(40)],
+                                 "doc_id bigint, text string, lang string")
+    model = T.fit(docs, docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic")))
+    assert model.net is not None and model.prior == 0.5
+
+
+def test_rounds_over_all_rows(spark, monkeypatch):
+    """What only the other tasks' rows hold is learned as well, and alike in any run."""
+    docs = spark.range(0, 3_000, 1, 3).select(F.col("id").alias("doc_id"), F.lit("xx").alias("lang"), F.concat_ws(
+        " ", F.when(F.col("id") % 5 == 0, F.concat(F.lit("vile"), F.col("id") % 3)),
+        F.concat(F.lit("w"), F.col("id") % 50)).alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 5 == 0).cast("int").alias("toxic"))
+    whole = T.fit(docs, labels)
+    monkeypatch.setattr(T, "FIRST_ROWS", 300)
+    a, b = T.fit(docs, labels), T.fit(docs, labels)
+    assert np.array_equal(a.net.table, b.net.table) and not np.array_equal(a.net.table, whole.net.table)
+    got = T.score(docs, a).select("doc_id", "score").collect()
+    assert np.mean([(r["score"] >= 0.5) == (r["doc_id"] % 5 == 0) for r in got]) > 0.99
+
+
+def test_moves_are_put_together():
+    start = T.Training.start()
+    a, b = start.copy(), start.copy()
+    a.net.out[0] += 1
+    a.past[-2][0] += 3
+    b.net.out[0] -= 1
+    b.past[-2][0] += 1
+    b.net.out[1] += 2
+    b.past[-2][1] += 1
+    got = start.moved(a.change(start) + b.change(start))
+    assert np.allclose(got.net.out[:3] - start.net.out[:3], [0.5, 2, 0])
+    assert np.allclose(got.past[-2][:3] - start.past[-2][:3], [2, 0.5, 0])
+
+
+def test_counts_at_one_logit():
+    z, y = np.array([2.0, 2, 2, 1, 1, 0, 0, 0]), np.array([1.0, 1, 0, 1, 0, 0, 0, 1])
+    u = np.unique(z)
+    cells = np.array([y[z == x].sum() for x in u]), np.array([(z == x).sum() for x in u])
+    assert T.best_threshold(u, cells[0], 0.3, cells[1]) == T.best_threshold(z, y, 0.3)
+    rng = np.random.default_rng(1)
+    z = np.round(rng.normal(size=500), 1)
+    y = (rng.random(500) < 1 / (1 + np.exp(-3 * z))).astype(float)
+    u = np.unique(z)
+    y_at, n_at = np.array([y[z == x].sum() for x in u]), np.array([(z == x).sum() for x in u])
+    one = T._calibrate(T.ToxicityModel(0.4), z, y, np.full(500, "a"))
+    two = T._calibrate(T.ToxicityModel(0.4), u, y_at, np.full(len(u), "a"), n_at)
+    assert one == two

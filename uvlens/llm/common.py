@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -107,3 +108,41 @@ def per_row(flags: np.ndarray, start: np.ndarray) -> np.ndarray:
     if len(full):
         out[full] = np.add.reduceat(flags, start[full], dtype=np.int64)
     return out
+
+
+VECTOR_PARTS = "key string, piece int, task int, v binary"
+_PIECES = 16
+
+
+def vector_parts(key: str, v: np.ndarray) -> pa.RecordBatch:
+    """One task's part of a sum of float64 vectors, cut into pieces (``VECTOR_PARTS``)."""
+    task = TaskContext.get()
+    pieces = [x.astype(np.float64).tobytes() for x in np.array_split(v, _PIECES)]
+    return pa.record_batch([pa.array([key] * _PIECES), pa.array(range(_PIECES), pa.int32()),
+                            pa.array([task.partitionId() if task else 0] * _PIECES, pa.int32()),
+                            pa.array(pieces, pa.binary())], ["key", "piece", "task", "v"])
+
+
+def vector_sums(parts: DataFrame) -> dict[str, np.ndarray]:
+    """Sums of the tasks' vectors by key, added piece by piece on the executors in the order
+    of the tasks; only the sums come to the driver."""
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, total = None, np.zeros(0)
+        for b in batches:
+            for key, piece, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(3)):
+                if (key, piece) != at:
+                    if at is not None:
+                        yield pa.record_batch([pa.array([at[0]]), pa.array([at[1]], pa.int32()),
+                                               pa.array([total.tobytes()], pa.binary())], ["key", "piece", "v"])
+                    at, total = (key, piece), 0.0
+                total = total + np.frombuffer(v.as_buffer())
+        if at is not None:
+            yield pa.record_batch([pa.array([at[0]]), pa.array([at[1]], pa.int32()),
+                                   pa.array([total.tobytes()], pa.binary())], ["key", "piece", "v"])
+
+    got = (parts.repartition("key", "piece").sortWithinPartitions("key", "piece", "task")
+           .mapInArrow(add, "key string, piece int, v binary").toArrow())
+    out: dict[str, dict] = {}
+    for key, piece, v in zip(got["key"].to_pylist(), got["piece"].to_pylist(), got["v"].to_pylist()):
+        out.setdefault(key, {})[piece] = np.frombuffer(v)
+    return {k: np.concatenate([out[k][i] for i in range(_PIECES)]) for k in sorted(out)}

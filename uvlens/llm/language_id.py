@@ -23,6 +23,7 @@ predicted alike. Whole texts are read; memory is bounded by the longest text.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,7 +35,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, FloatType, IntegerType, StringType,
                                StructField, StructType)
 
-from uvlens.llm.common import MARGIN, about_distinct, hash63, hash_bound, materialize
+from uvlens.llm.common import (MARGIN, VECTOR_PARTS, about_distinct, hash63, hash_bound, materialize, vector_parts,
+                                vector_sums)
 
 BUCKETS, DIM = 1 << 12, 16
 SAMPLE_ROWS = 6_000
@@ -186,6 +188,35 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", id_col: str = "
     return _calibrate(LanguageModel(langs, scores, bias), x[apart], y[apart], accept_error)
 
 
+def fit_counts(docs: DataFrame, text: str = "text", lang: str = "lang", id_col: str = "doc_id",
+               learn_from: Column | None = None) -> LanguageModel:
+    """A multinomial model from the subword counts of every row with text, language and id:
+    counts are added up by task and language, then over all tasks. A language is as likely as
+    any other beforehand."""
+    known = docs.select(F.col(id_col).alias("id"), F.col(text).alias("t"), F.col(lang).alias("lang"))
+    known = known.where("t is not null and lang is not null and id is not null")
+    if learn_from is not None:
+        known = known.where(learn_from)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[str, np.ndarray] = {}
+        for b in batches:
+            for x, t in zip(b.column(0).to_pylist(), b.column(1)):
+                c = subword_counts(t.as_py())
+                if c is not None:
+                    sums[x] = sums[x] + c if x in sums else c
+                    if len(sums) > 1_000:
+                        yield from (vector_parts(k, v) for k, v in sums.items())
+                        sums.clear()
+        yield from (vector_parts(k, v) for k, v in sums.items())
+
+    sums = vector_sums(known.select("lang", "t").mapInArrow(count, VECTOR_PARTS))
+    if not sums:
+        return LanguageModel()
+    n = np.stack(list(sums.values()), 1) + 0.5
+    return LanguageModel(tuple(sums), np.log(n / n.sum(0)), np.zeros(len(sums)))
+
+
 def predict(df: DataFrame, model: LanguageModel, text: str = "text", out: str = "language") -> DataFrame:
     """``df`` with struct column ``out``: lang_pred, score (confidence, 0 to 1),
     rejected."""
