@@ -356,7 +356,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "t
         return ToxicityModel(prior)
     weights = ((good + bad) / (2 * good), (good + bad) / (2 * bad))
     use = table.where("not apart")
-    model = learned(use.where("first").coalesce(1), Training.start(), weights, FIRST_EPOCHS, 13)
+    first = use.where("first").repartition(1).sortWithinPartitions("key")  # only these rows meet in one task
+    model = learned(first, Training.start(), weights, FIRST_EPOCHS, 13)
     for k in range(ROUNDS if shards > 1 else 0):
         model = learned(use, model, weights, 1, 14 + k)
     net = model.net
