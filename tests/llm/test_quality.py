@@ -1,10 +1,12 @@
 """Operators 3 and 9: statistics by brute force, planted junk, held-out accuracy."""
 
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -45,6 +47,20 @@ def test_statistics_by_brute_force(spark, sf):
             assert r["s"][k] == v, (r["text"][:80] if r["text"] else r["text"], k)
 
 
+def test_statistics_take_little_memory_beside_the_batch(monkeypatch):
+    texts = pa.array([f"Line {i} of text, #{i % 7}!\nand an\xe4ther line. " * 60 for i in range(4_000)])
+    tracemalloc.start()
+    try:
+        got = textstats.batch_stats(texts)
+        assert tracemalloc.get_traced_memory()[1] < 8 << 20  # of 11 MB of text
+    finally:
+        tracemalloc.stop()
+    for size in (1, 1 << 30):  # slices change no result: text by text, all at once
+        monkeypatch.setattr(textstats, "SLICE_BYTES", size)
+        again = textstats.batch_stats(texts)
+        assert all((again[f] == got[f]).all() for f in textstats.FIELDS)
+
+
 def test_many_distinct_words_take_the_ranked_path(monkeypatch):
     words = [b"%d" % (i % 700_000) for i in range(2_100_000)]
     n, v = textstats.repeat_words(words)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -75,6 +76,21 @@ def byte_slices(texts: pa.Array, max_bytes: int = 1 << 22) -> Iterator[tuple[int
         i = j
 
 
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError, TypeError):  # another C library than glibc
+    _trim = None
+
+
+def give_back() -> None:
+    """Hands freed memory, which Arrow and the C library keep for later, back to the system.
+    Worker processes outlive their tasks: what one operator's batches leave adds to what the
+    next one needs."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
 def offsets(texts: pa.Array) -> np.ndarray:
     kind = np.int64 if pa.types.is_large_string(texts.type) else np.int32
     buf = texts.buffers()[1]

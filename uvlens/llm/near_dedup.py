@@ -57,7 +57,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from uvlens.llm.common import as_strings, fresh, materialize
+from uvlens.llm.common import as_strings, fresh, give_back, materialize
 
 REGISTERS, MANTISSA, SKETCH_BITS = 512, 10, 512
 BROADCAST_IDS, ROWS_PER_PART = 1_000_000, 50_000
@@ -230,6 +230,7 @@ def _sign(r: int, k: int):
                     [part.column(0), pa.array(n, pa.int64()), pa.array(hi, pa.int64()), pa.array(lo, pa.int64()),
                      pa.array(keys, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64()))],
                     ["id", "n", "hi", "lo", "bands", "bits"])
+            give_back()
     return fn
 
 
@@ -245,6 +246,7 @@ def _sets(k: int):
                      pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([registers(s).tobytes() for s in sets], pa.binary()),
                      pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["id", "hi", "n", "regs", "hashes"])
+            give_back()
     return fn
 
 
@@ -262,6 +264,7 @@ def _estimated(threshold: float):
                 rest = np.clip((union - m) / (union - 1), 0, 1)
                 slack = SIGMAS * np.sqrt(threshold * (1 - threshold) / m * rest) + 1 / m + 0.005
                 yield p.select(PAIR).filter(pa.array(j >= threshold - slack))
+            give_back()
     return fn
 
 

@@ -49,7 +49,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
-from uvlens.llm.common import as_strings, byte_slices
+from uvlens.llm.common import as_strings, byte_slices, give_back
 
 NBEST = 3
 CACHE_UNITS, CACHE_CHARS = 20_000, 40
@@ -539,6 +539,7 @@ def encode(df: DataFrame, text: str = "text", out: str = "pieces", n: int = NBES
                      pa.ListArray.from_arrays(ends([len(x) for x in others]),
                                               pa.ListArray.from_arrays(ends(each), pa.array(flat)), mask=null),
                      pa.array(wrong == 0)], ["ids", "nbest_scores", "other_ids", "others_read_back"])
+            give_back()
 
     return df.withColumn(out, run(F.col(text)))
 

@@ -12,7 +12,8 @@ characters ``.!?``; ``n_marks`` other ASCII punctuation; ``n_bangs`` ``!``;
 ``n_longest`` bytes of the longest word.
 
 Null and empty texts give 0 everywhere. A text is never cut; memory is bounded by
-one Arrow batch plus the words of the longest single text.
+one Arrow batch plus the flags of ``SLICE_BYTES`` of text (a dozen arrays of a byte each),
+or of the longest single text and its words.
 """
 
 from __future__ import annotations
@@ -23,13 +24,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from uvlens.llm.common import as_strings, byte_slices, per_row, utf8
+from uvlens.llm.common import as_strings, byte_slices, give_back, per_row, utf8
 
 FIELDS = ("n_chars", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines",
           "n_repeat_words", "n_distinct_words", "n_upper", "n_digits", "n_ends",
           "n_marks", "n_bangs", "n_longest")
 SCHEMA = StructType([StructField(f, LongType()) for f in FIELDS])
 BLANKS = b" \t\n\x0b\x0c\r"
+SLICE_BYTES = 1 << 18  # the arrays of a slice fit a core's cache
 
 
 def _lut(chars: bytes) -> np.ndarray:
@@ -78,7 +80,7 @@ def batch_stats(texts: pa.Array) -> dict[str, np.ndarray]:
     """The statistics of a string array, as one int64 array per field."""
     texts = as_strings(texts)
     out = {f: np.zeros(len(texts), np.int64) for f in FIELDS}
-    for i, j in byte_slices(texts):
+    for i, j in byte_slices(texts, SLICE_BYTES):
         data, start = utf8(texts, i, j)
         word = 1 - _BLANK[data]
         first = word.copy()
@@ -111,6 +113,7 @@ def batch_stats(texts: pa.Array) -> dict[str, np.ndarray]:
 @F.arrow_udf(SCHEMA)
 def _stats(texts: pa.Array) -> pa.Array:
     got = batch_stats(texts)
+    give_back()
     return pa.StructArray.from_arrays([pa.array(got[f]) for f in FIELDS], list(FIELDS))
 
 
