@@ -140,6 +140,9 @@ class Segmenter:
         self.bytes = [p.encode() for p in v.pieces]
         for b, i in enumerate(v.byte_ids):
             self.bytes[i] = bytes([b])
+        size = np.array([len(x) for x in self.bytes], np.int64)
+        self.byte_at = np.concatenate([[0], np.cumsum(size)])
+        self.byte_data = np.frombuffer(b"".join(self.bytes), np.uint8)
 
     def edges(self, unit: str) -> list[list[tuple[int, tuple[int, ...], int]]]:
         """For each end position the pieces that end there: (start, ids, score)."""
@@ -285,9 +288,6 @@ class Segmenter:
         self.single_ids = np.zeros(0x110000, np.int32)
         for p in self.single:
             self.single_ids[ord(p)] = self.known[p][0]
-        size = np.array([len(x) for x in self.bytes], np.int64)
-        self.byte_at = np.concatenate([[0], np.cumsum(size)])
-        self.byte_data = np.frombuffer(b"".join(self.bytes), np.uint8)
 
     def _edges_of(self, codes: np.ndarray) -> list[list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]]:
         """For each start the pieces in m units of n characters, each a single piece: (length,
@@ -476,8 +476,6 @@ class Segmenter:
 
     def decode_many(self, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
         """Texts of joined ids; ``ends`` are the ends of each text's ids."""
-        if not hasattr(self, "keys"):
-            self._tables()
         size = (self.byte_at[1:] - self.byte_at[:-1])[ids]
         stop = np.cumsum(size)
         data = self.byte_data[np.repeat(self.byte_at[1:][ids] - stop, size) + np.arange(int(stop[-1]) if len(stop) else 0)]
@@ -575,5 +573,6 @@ def decode(df: DataFrame, ids: str = "ids", out: str = "decoded", model: str | N
                 size = part.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
                 got = seg.decode_many(part.flatten().to_numpy(zero_copy_only=False), np.cumsum(size))
                 yield pc.if_else(part.is_valid(), got, None)
+            give_back()
 
     return df.withColumn(out, run(F.col(ids)))
